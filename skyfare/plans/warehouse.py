@@ -23,7 +23,7 @@ from ..functions.lookup import with_airline_info  # noqa: F401  (re-export)
 from ..operators import dims, fact, marts, scd2
 from ..operators.joins import bounded_broadcast
 from ..session import new_run_dir
-from ..sources import fixture
+from ..sources import feeds, fixture, landing
 
 MARTS = ["mart_route_analysis", "mart_airline_performance", "mart_temporal_patterns",
          "mart_flight_type_analysis", "mart_price_summary"]
@@ -159,6 +159,31 @@ class Warehouse:
         self.write("mart_price_summary", marts.price_summary(
             self.read("fact_flights"), self.read("dim_date"), self.cfg.as_of))
 
+    # ---- landing feeds ------------------------------------------------------
+    FEEDS = {"grouped_prices": (feeds.grouped_prices_landing, landing.extract_grouped_prices),
+             "directions": (feeds.directions_landing, landing.extract_directions),
+             "calendar": (feeds.price_calendar_landing, landing.extract_calendar)}
+
+    def landing_path(self, feed: str) -> str:
+        """Landing JSON files of a feed (written once per run)."""
+        with self._lock:
+            key = f"landing_{feed}"
+            if key not in self.paths:
+                path = f"{self.run_dir}/landing/{feed}"
+                feeds.write_landing(self.FEEDS[feed][0](self.spark, self.sf_dir), path)
+                self.paths[key] = path
+            return self.paths[key]
+
+    def landing(self, feed: str) -> DataFrame:
+        return feeds.read_landing(self.spark, self.landing_path(feed))
+
+    def extract(self, feed: str) -> DataFrame:
+        name = f"ext_{feed}"
+        with self._lock:
+            if name not in self.paths:
+                self.write(name, self.FEEDS[feed][1](self.landing(feed), self.cfg.batch_ts))
+        return self.spark.read.parquet(self.paths[name])
+
     def build_all(self) -> "Warehouse":
         for m in MARTS:
             self.read(m)
