@@ -5,41 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted text shapes, tried in order; each pattern is guarded by a regex
-# that allows one or two digits per day/month/time part and exactly four for
-# the year, so e.g. '2025-001-01' is refused as the source system refuses it.
-_SHAPES = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d'T'H:m:s"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{1,2}\.\d{1,2}\.\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "d.M.yyyy H:m:s"),
-    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
-]
+# Accepted text shapes (tried in order by the source system):
+#   yyyy-m-dThh:mm:ss, yyyy-m-d hh:mm:ss, yyyy-m-d, d.m.yyyy hh:mm:ss, d.m.yyyy
+# One or two digits per part, exactly four for the year; a space between
+# date and time stands for any whitespace run.  Anything else falls back to
+# the first yyyy-mm-dd found in the text, at midnight.
+_ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{1,2}:\d{1,2})?$"
+_DOT_SHAPE = r"^\d{1,2}\.\d{1,2}\.\d{4}( \d{1,2}:\d{1,2}:\d{1,2})?$"
+_DOT_TO_ISO = (r"^(\d{1,2})\.(\d{1,2})\.(\d{4})", "$3-$2-$1")
 _ANY_ISO_DAY = r"(\d{4}-\d{2}-\d{2})"
 
 
 def parse_ts(text: Column) -> Column:
     """Multi-format timestamp parse -> TIMESTAMP_NTZ or NULL.
 
-    The five shapes are tried in order; failing those, the first
-    ``dddd-dd-dd`` found anywhere in the text gives midnight of that day
-    (so zoned or fractional texts keep their local date, no zone shift).
-    Whitespace runs between date and time collapse to one space first.
+    A shape guard picks the rows each pattern would accept; dotted dates are
+    reordered to ISO and the text is cast (a cheap, codegen'd parse with
+    calendar validation, so 2025-02-30 is NULL).  Failing that, the first
+    ``dddd-dd-dd`` in the text gives midnight of that day, so zoned or
+    fractional texts keep their local date with no zone shift.
     """
     s = F.regexp_replace(text, r"\s+", " ")
-    s = F.trim(s)
-    tries = [
-        F.when(s.rlike(rx), F.try_to_timestamp(s, F.lit(fmt)))
-        for rx, fmt in _SHAPES
-    ]
+    shaped = (F.when(s.rlike(_ISO_SHAPE), s)
+               .when(s.rlike(_DOT_SHAPE), F.regexp_replace(s, *_DOT_TO_ISO)))
     day = F.nullif(F.regexp_extract(text, _ANY_ISO_DAY, 1), F.lit(""))
-    tries.append(F.try_to_timestamp(day, F.lit("yyyy-MM-dd")))
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    return F.coalesce(shaped.try_cast("timestamp_ntz"),
+                      day.try_cast("date").cast("timestamp_ntz"))
 
 
 def date_key(d: Column) -> Column:
-    """yyyymmdd integer key of a date/timestamp."""
-    return F.date_format(d, "yyyyMMdd").cast("int")
+    """yyyymmdd integer key of a date/timestamp (integer arithmetic on the
+    calendar fields; no formatting, no time zone)."""
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
 def calendar_columns(d: Column) -> list[Column]:

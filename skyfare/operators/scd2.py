@@ -32,11 +32,16 @@ def empty_dim(spark: SparkSession) -> DataFrame:
             "valid_from timestamp_ntz, valid_to timestamp_ntz, is_current int")
 
 
-def source_airlines(ods: DataFrame, lookup: DataFrame) -> DataFrame:
+def source_codes(ods: DataFrame) -> DataFrame:
+    """Distinct non-null airline codes of the ODS (partial + final
+    aggregate; the result is bounded by the code domain)."""
+    return (ods.where(F.col("airline").isNotNull())
+               .select(F.col("airline").alias("airline_bk")).distinct())
+
+
+def source_airlines(ods: DataFrame, lookup: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     """Distinct non-null airline codes of the ODS with (name, country)."""
-    codes = (ods.where(F.col("airline").isNotNull())
-                .select(F.col("airline").alias("airline_bk")).distinct())
-    return with_airline_info(codes, lookup)
+    return with_airline_info(codes if codes is not None else source_codes(ods), lookup)
 
 
 def scd2_initial(dim: DataFrame, source: DataFrame, batch_ts: str,

@@ -100,14 +100,15 @@ class Warehouse:
         lookup release (initial load, then an update that finds nothing),
         the current one with today's lookup."""
         ods = self.read("ods_cheap_tickets")
+        codes = self.write("ods_airline_codes", scd2.source_codes(ods), count=True)
         empty = scd2.empty_dim(self.spark)
-        src_prev = scd2.source_airlines(ods, self.lookup(previous=True))
+        src_prev = scd2.source_airlines(ods, self.lookup(previous=True), codes)
         v1 = scd2.scd2_initial(empty, src_prev, self.cfg.prev_batch_ts, dim_rows=0)
         v1 = self.write("dim_airline", v1, count=True)
         v1 = self.write("dim_airline", scd2.scd2_merge(v1, src_prev, self.cfg.prev_batch_ts),
                         count=True)
         self.paths["dim_airline_previous"] = self.paths["dim_airline"]
-        src = scd2.source_airlines(ods, self.lookup(previous=False))
+        src = scd2.source_airlines(ods, self.lookup(previous=False), codes)
         self.write("scd2_source", src, count=True)
         self.write("dim_airline", scd2.scd2_merge(v1, self.read("scd2_source"),
                                                   self.cfg.batch_ts), count=True)
@@ -164,13 +165,26 @@ class Warehouse:
              "directions": (feeds.directions_landing, landing.extract_directions),
              "calendar": (feeds.price_calendar_landing, landing.extract_calendar)}
 
+    def _build_landing_flights(self):
+        self.write("landing_flights", feeds.flights(self.spark, self.sf_dir))
+
+    def _build_landing_pick_day(self):
+        self.write("landing_pick_day", feeds.cheapest(
+            self.read("landing_flights"), feeds.DAY_KEYS))
+
+    def _build_landing_pick_route(self):
+        self.write("landing_pick_route", feeds.cheapest(
+            self.read("landing_flights"), feeds.ROUTE_KEYS))
+
     def landing_path(self, feed: str) -> str:
         """Landing JSON files of a feed (written once per run)."""
         with self._lock:
             key = f"landing_{feed}"
             if key not in self.paths:
                 path = f"{self.run_dir}/landing/{feed}"
-                feeds.write_landing(self.FEEDS[feed][0](self.spark, self.sf_dir), path)
+                picks = self.read("landing_pick_route" if feed == "directions"
+                                  else "landing_pick_day")
+                feeds.write_landing(self.FEEDS[feed][0](picks), path)
                 self.paths[key] = path
             return self.paths[key]
 

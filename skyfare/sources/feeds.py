@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table
+from .tables import read_table, spread
 
 # fixture fault rules (request level, by nation keys)
 OBJECT_FAULTS = {"not_success": "o = d", "no_data": "o + d = 5", "data_not_object": "o + d = 7",
@@ -42,9 +42,9 @@ DIRECTION_FAULTS = {"not_success": "o = 7", "no_data": "o = 5", "data_not_object
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every lineitem as a priced flight with its route's nation keys."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_shipdate")
+        "l_extendedprice", "l_shipdate"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -76,6 +76,10 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+DAY_KEYS = ["o", "d", "origin", "destination", "day"]
+ROUTE_KEYS = ["o", "d", "origin", "destination"]
+
+
 def cheapest(fl: DataFrame, keys: list[str]) -> DataFrame:
     """Cheapest flight per key (ties broken by the line's identity).
     ``min(struct)`` aggregates partially map-side, so a hot key is reduced
@@ -145,9 +149,8 @@ def _landing(groups: DataFrame, faults: dict[str, str], month: bool) -> DataFram
     return groups.select(*cols, body.alias("body"))
 
 
-def grouped_prices_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fl = flights(spark, sf_dir)
-    t = cheapest(fl, ["o", "d", "origin", "destination", "day"])
+def grouped_prices_landing(t: DataFrame) -> DataFrame:
+    """Objects from the per-day cheapest flights (``cheapest(flights, DAY_KEYS)``)."""
     dur = F.col("duration")
     ticket = F.struct(
         F.col("origin").alias("origin"), _opt(F.col("airline"), dur).alias("airline"),
@@ -164,9 +167,8 @@ def grouped_prices_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landing(g, OBJECT_FAULTS, month=True)
 
 
-def price_calendar_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fl = flights(spark, sf_dir)
-    t = cheapest(fl, ["o", "d", "origin", "destination", "day"])
+def price_calendar_landing(t: DataFrame) -> DataFrame:
+    """Objects from the per-day cheapest flights (``cheapest(flights, DAY_KEYS)``)."""
     dur = F.col("duration")
     ticket = F.struct(
         price_value(F.col("price"), dur).alias("price"),
@@ -181,9 +183,8 @@ def price_calendar_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landing(g, OBJECT_FAULTS, month=True)
 
 
-def directions_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fl = flights(spark, sf_dir)
-    t = cheapest(fl, ["o", "d", "origin", "destination"])
+def directions_landing(t: DataFrame) -> DataFrame:
+    """Objects from the per-route cheapest flights (``cheapest(flights, ROUTE_KEYS)``)."""
     dur = F.col("duration")
     ticket = F.struct(
         price_value(F.col("price"), dur).alias("price"),

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..config import RunConfig
 from ..functions.scalar import price_bucket
-from .tables import read_table
+from .tables import read_table, spread
 
 ODS_COLUMNS = ["ticket_id", "origin", "destination", "departure_at", "price",
                "airline", "flight_number", "transfers", "duration",
@@ -56,9 +56,9 @@ def ods_tickets(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     Join strategy is left to Catalyst/AQE: nation is tiny (broadcast by
     statistics); supplier/customer/part/orders join by shuffle when large.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_shipdate")
+        "l_extendedprice", "l_shipdate"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     nat = nation_names(spark, sf_dir)

@@ -11,3 +11,14 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (e.g. one large single-row-group file), so the map-side work after
+    it runs on every core.  A scan of many files already has more partitions
+    than cores and passes through untouched."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
