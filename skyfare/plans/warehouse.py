@@ -70,8 +70,12 @@ class Warehouse:
         return bounded_broadcast(df, self.rows.get(name), self.cfg.broadcast_max_rows)
 
     # ---- ODS -------------------------------------------------------------
+    def _build_fixture_lines(self):
+        self.write("fixture_lines", fixture.joined_lines(self.spark, self.sf_dir))
+
     def _build_ods_cheap_tickets(self):
-        self.write("ods_cheap_tickets", fixture.ods_tickets(self.spark, self.sf_dir, self.cfg))
+        self.write("ods_cheap_tickets", fixture.ods_tickets(
+            self.spark, self.sf_dir, self.cfg, lines=self.read("fixture_lines")))
 
     # ---- dimensions --------------------------------------------------------
     def _build_dim_airport(self):
@@ -165,16 +169,13 @@ class Warehouse:
              "directions": (feeds.directions_landing, landing.extract_directions),
              "calendar": (feeds.price_calendar_landing, landing.extract_calendar)}
 
-    def _build_landing_flights(self):
-        self.write("landing_flights", feeds.flights(self.spark, self.sf_dir))
-
     def _build_landing_pick_day(self):
         self.write("landing_pick_day", feeds.cheapest(
-            self.read("landing_flights"), feeds.DAY_KEYS))
+            feeds.flights(self.read("fixture_lines")), feeds.DAY_KEYS))
 
     def _build_landing_pick_route(self):
         self.write("landing_pick_route", feeds.cheapest(
-            self.read("landing_flights"), feeds.ROUTE_KEYS))
+            feeds.flights(self.read("fixture_lines")), feeds.ROUTE_KEYS))
 
     def landing_path(self, feed: str) -> str:
         """Landing JSON files of a feed (written once per run)."""

@@ -31,7 +31,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table, spread
 
 # fixture fault rules (request level, by nation keys)
 OBJECT_FAULTS = {"not_success": "o = d", "no_data": "o + d = 5", "data_not_object": "o + d = 7",
@@ -40,27 +39,11 @@ DIRECTION_FAULTS = {"not_success": "o = 7", "no_data": "o = 5", "data_not_object
                     "empty_body": "o = 9", "broken_json": "o = 11"}
 
 
-def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every lineitem as a priced flight with its route's nation keys."""
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_shipdate"))
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    supp = (read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-            .join(nat, F.col("s_nationkey") == F.col("n_nationkey"))
-            .select("s_suppkey", F.col("s_nationkey").alias("o"), F.col("n_name").alias("origin")))
-    cust = (read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-            .join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select("c_custkey", F.col("c_nationkey").alias("d"),
-                    F.col("n_name").alias("destination")))
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-           .join(part, li.l_partkey == part.p_partkey)
-           .join(supp, li.l_suppkey == supp.s_suppkey)
-           .join(cust, orders.o_custkey == cust.c_custkey))
+def flights(lines: DataFrame) -> DataFrame:
+    """Every joined lineitem (``fixture.joined_lines``) as a priced flight
+    with its route's nation keys."""
     hh = F.lpad(F.col("l_linenumber").cast("string"), 2, "0")
-    return j.select(
+    return lines.select(
         "o", "d", "origin", "destination",
         F.to_date("l_shipdate").alias("day"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),

@@ -50,8 +50,9 @@ def nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
 
-def ods_tickets(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
-    """The cheap-tickets ODS rows (14 columns) built from the driver tables.
+def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem joined to its order, part, and both nations: the one wide
+    join every fixture table (ODS tickets, feed flights) is projected from.
 
     Join strategy is left to Catalyst/AQE: nation is tiny (broadcast by
     statistics); supplier/customer/part/orders join by shuffle when large.
@@ -63,17 +64,26 @@ def ods_tickets(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     nat = nation_names(spark, sf_dir)
     supp = (read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-            .join(nat.withColumnRenamed("n_name", "origin"),
-                  F.col("s_nationkey") == F.col("n_nationkey"))
-            .select("s_suppkey", "origin"))
+            .join(nat, F.col("s_nationkey") == F.col("n_nationkey"))
+            .select("s_suppkey", F.col("s_nationkey").alias("o"), F.col("n_name").alias("origin")))
     cust = (read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-            .join(nat.withColumnRenamed("n_name", "destination"),
-                  F.col("c_nationkey") == F.col("n_nationkey"))
-            .select("c_custkey", "destination"))
+            .join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select("c_custkey", F.col("c_nationkey").alias("d"),
+                    F.col("n_name").alias("destination")))
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(part, li.l_partkey == part.p_partkey)
            .join(supp, li.l_suppkey == supp.s_suppkey)
            .join(cust, orders.o_custkey == cust.c_custkey))
+    return j.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                    "l_extendedprice", "l_shipdate", "o_orderdate", "p_brand",
+                    "o", "d", "origin", "destination")
+
+
+def ods_tickets(spark: SparkSession, sf_dir: str, cfg: RunConfig,
+                lines: DataFrame | None = None) -> DataFrame:
+    """The cheap-tickets ODS rows (14 columns) built from the driver tables
+    (or from already joined ``lines``)."""
+    j = lines if lines is not None else joined_lines(spark, sf_dir)
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     transfers = (F.col("l_linenumber") - 1).cast("int")
     return j.select(

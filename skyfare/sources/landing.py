@@ -20,40 +20,62 @@ from ..functions.scalar import empty_as_null, popularity_bucket, price_bucket
 
 NUMERIC = r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"
 
-OBJECT_STATUS = ["empty_body", "broken_json", "not_success", "no_data", "data_not_object"]
-
-
-def object_status(body: Column, v: Column) -> Column:
+OBJECT_STATUS = ["empty_body", "broken_json", "not_success", "no_data", "data_not_object",
+                 "bad_entry"]
+
+# fields read from a ticket object, per feed (other keys are ignored)
+FIELDS = {
+    "grouped_prices": ["origin", "airline", "flight_number", "departure_at", "origin_airport",
+                       "destination_airport", "link", "price", "transfers", "duration"],
+    "calendar": ["price", "airline", "flight_number", "departure_at", "return_at",
+                 "transfers", "expires_at"],
+    "directions": ["price", "airline", "flight_number", "departure_at", "return_at",
+                   "expires_at", "transfers"],
+}
+
+
+def _typed_data(v: Column, fields: list[str]) -> Column:
+    """``data`` as map<key, struct<field: VARIANT, ...>>: one cast per
+    object instead of a path lookup per field.  A missing field is a NULL
+    struct member, an explicit JSON null a VARIANT null."""
+    st = ", ".join(f"`{f}`: variant" for f in fields)
+    return F.try_variant_get(v, "$.data", f"map<string,struct<{st}>>")
+
+
+def object_status(body: Column, v: Column, typed: Column) -> Column:
+    """Why a response object is skipped ('ok' if it is not).  An entry
+    that is not an object fails its whole request, as in the source."""
     data = F.try_variant_get(v, "$.data", "variant")
     success = F.coalesce(F.try_variant_get(v, "$.success", "boolean"), F.lit(False))
     return (F.when(body.isNull() | (F.trim(body) == ""), "empty_body")
              .when(v.isNull(), "broken_json")
              .when(~success, "not_success")
              .when(data.isNull(), "no_data")
+             .when(typed.isNotNull(), "ok")
              .when(F.try_variant_get(v, "$.data", "map<string,variant>").isNull(),
                    "data_not_object")
-             .otherwise("ok"))
+             .otherwise("bad_entry"))
 
 
-def parse_objects(landing: DataFrame) -> DataFrame:
+def parse_objects(landing: DataFrame, fields: list[str]) -> DataFrame:
     v = F.try_parse_json(F.col("body"))
-    return landing.withColumn("_v", v).withColumn("status", object_status(F.col("body"), v))
+    return (landing.withColumn("_v", v).withColumn("_m", _typed_data(F.col("_v"), fields))
+                   .withColumn("status", object_status(F.col("body"), F.col("_v"), F.col("_m"))))
 
 
 def entries(parsed: DataFrame, key_name: str) -> DataFrame:
-    """One row per ``data`` entry of the good objects: (key, ticket variant)."""
+    """One row per ``data`` entry of the good objects: (key, ticket struct)."""
     ok = parsed.where(F.col("status") == "ok")
-    m = F.try_variant_get(F.col("_v"), "$.data", "map<string,variant>")
     cur = F.coalesce(F.try_variant_get(F.col("_v"), "$.currency", "string"),
                      F.lit(fixed.DEFAULT_CURRENCY))
     return (ok.select("origin", "destination", "month", cur.alias("currency"),
-                      F.explode(m).alias(key_name, "_t")))
+                      F.explode("_m").alias(key_name, "_t")))
 
 
 # ---- per-field helpers ---------------------------------------------------
 
 def raw(name: str) -> Column:
-    return F.try_variant_get(F.col("_t"), f"$.{name}", "variant")
+    return F.col("_t")[name]
 
 
 def kind(name: str) -> Column:
@@ -119,7 +141,7 @@ def cast_reason(fields: list[tuple[str, str]]) -> Column:
 def extract_grouped_prices(landing: DataFrame, batch_ts: str,
                            data_source: str = "aviasales_api_v3") -> DataFrame:
     """17-field extract (raw values described by kind + cast value)."""
-    e = entries(parse_objects(landing), "departure_date")
+    e = entries(parse_objects(landing, FIELDS["grouped_prices"]), "departure_date")
     req_origin = F.col("origin")
     return e.select(
         F.concat_ws("_", key_part("airline"), key_part("flight_number"), F.col("destination"))
@@ -147,7 +169,7 @@ def extract_grouped_prices(landing: DataFrame, batch_ts: str,
 
 def extract_calendar(landing: DataFrame, batch_ts: str,
                      data_source: str = "aviasales_price_trends") -> DataFrame:
-    e = entries(parse_objects(landing), "date")
+    e = entries(parse_objects(landing, FIELDS["calendar"]), "date")
     return e.select(
         F.concat_ws("_", key_part("airline"), key_part("flight_number"), F.col("origin"),
                     F.col("destination"), F.col("date")).alias("ticket_id"),
@@ -167,7 +189,7 @@ def extract_calendar(landing: DataFrame, batch_ts: str,
 
 def extract_directions(landing: DataFrame, batch_ts: str,
                        data_source: str = "aviasales_city_directions") -> DataFrame:
-    e = entries(parse_objects(landing), "dest_key")
+    e = entries(parse_objects(landing, FIELDS["directions"]), "dest_key")
     return e.select(
         F.col("origin"), F.col("dest_key").alias("destination"),
         kind("price").alias("price_kind"), as_double("price").alias("price"),

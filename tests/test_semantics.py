@@ -80,7 +80,8 @@ def test_json_missing_vs_null_vs_bad(spark):
     bad = ["", "{broken", json.dumps({"success": False}), json.dumps({"success": True}),
            json.dumps({"success": True, "data": [1, 2]})]
     land = _landing(spark, [body] + bad)
-    st = sorted(r[0] for r in parse_objects(land).select("status").collect())
+    from skyfare.sources.landing import FIELDS
+    st = sorted(r[0] for r in parse_objects(land, FIELDS["grouped_prices"]).select("status").collect())
     assert st == sorted(["ok", "empty_body", "broken_json", "not_success", "no_data",
                          "data_not_object"])
     ex = {r["departure_date"]: r for r in extract_grouped_prices(land, "2025-12-01 00:00:00").collect()}
