@@ -15,13 +15,14 @@ def airline_lookup_table(spark: SparkSession) -> DataFrame:
 
 
 def with_airline_info(codes: DataFrame, lookup: DataFrame,
-                      code_col: str = "airline_bk") -> DataFrame:
+                      code_col: str = "airline_bk", hint=F.broadcast) -> DataFrame:
     """Attach (airline_name, country); unknown codes give (code, 'Unknown').
 
     ``lookup`` is a code table (code, name, country) with unique codes; it is
-    a curated reference list, so it is broadcast.
+    a curated reference list; ``hint`` broadcasts it unless the caller
+    found it too large.
     """
-    lk = F.broadcast(lookup.select(
+    lk = hint(lookup.select(
         F.col("code").alias("_lk_code"), F.col("name").alias("_lk_name"),
         F.col("country").alias("_lk_country")))
     j = codes.join(lk, codes[code_col] == lk["_lk_code"], "left")

@@ -52,7 +52,7 @@ def route_pairs(ods: DataFrame) -> DataFrame:
 
 
 def dim_route(ods: DataFrame, airports: DataFrame,
-              existing: DataFrame | None = None) -> DataFrame:
+              existing: DataFrame | None = None, hint=F.broadcast) -> DataFrame:
     """Route dimension: distinct pairs whose two airports are known.
 
     Unknown airports drop the pair.  New ids are ``max(existing id) +
@@ -61,7 +61,7 @@ def dim_route(ods: DataFrame, airports: DataFrame,
     build.  The numbering window runs over distinct pairs, bounded by
     airports squared, never over tickets.
     """
-    ap = F.broadcast(airports.select("airport_id", "airport_code"))
+    ap = hint(airports.select("airport_id", "airport_code"))
     o = ap.select(F.col("airport_id").alias("origin_airport_id"),
                   F.col("airport_code").alias("origin"))
     d = ap.select(F.col("airport_id").alias("destination_airport_id"),

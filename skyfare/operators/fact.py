@@ -37,14 +37,14 @@ def complete_rows(ods: DataFrame) -> DataFrame:
     return ods.where(cond)
 
 
-def route_codes(dim_route: DataFrame, airports: DataFrame) -> DataFrame:
+def route_codes(dim_route: DataFrame, airports: DataFrame, hint=F.broadcast) -> DataFrame:
     """(origin, destination, route_id): routes with their two airport codes."""
     o = airports.select(F.col("airport_id").alias("origin_airport_id"),
                         F.col("airport_code").alias("origin"))
     d = airports.select(F.col("airport_id").alias("destination_airport_id"),
                         F.col("airport_code").alias("destination"))
-    return (dim_route.join(F.broadcast(o), "origin_airport_id")
-                     .join(F.broadcast(d), "destination_airport_id")
+    return (dim_route.join(hint(o), "origin_airport_id")
+                     .join(hint(d), "destination_airport_id")
                      .select("origin", "destination", "route_id"))
 
 

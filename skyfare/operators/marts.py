@@ -1,7 +1,9 @@
 """The five aggregate marts.
 
-Each is fact -> broadcast dimension joins -> one hash aggregate (partial
-map-side, final after the shuffle on the group key).  Averages are exact
+Each is fact -> dimension joins -> one hash aggregate (partial map-side,
+final after the shuffle on the group key).  ``hint`` is applied to the
+dimension sides: ``F.broadcast`` when the caller has checked their size,
+identity otherwise (then Spark picks a shuffle join).  Averages are exact
 decimal arithmetic rounded half away from zero, as the source store's
 NUMBER type does; money totals keep decimal type.
 """
@@ -24,7 +26,8 @@ def _avg_int(c: str):
     return F.round(F.avg(c), 0).cast("bigint")
 
 
-def route_analysis(fact: DataFrame, route: DataFrame, airports: DataFrame) -> DataFrame:
+def route_analysis(fact: DataFrame, route: DataFrame, airports: DataFrame,
+                   hint=F.broadcast) -> DataFrame:
     o = airports.select(F.col("airport_id").alias("origin_airport_id"),
                         F.col("airport_code").alias("origin_code"),
                         F.col("city").alias("origin_city"))
@@ -34,7 +37,7 @@ def route_analysis(fact: DataFrame, route: DataFrame, airports: DataFrame) -> Da
     r = (route.select("route_id", "origin_airport_id", "destination_airport_id")
               .join(o, "origin_airport_id").join(d, "destination_airport_id")
               .select("route_id", "origin_code", "origin_city", "dest_code", "dest_city"))
-    return (fact.join(F.broadcast(r), "route_id")
+    return (fact.join(hint(r), "route_id")
                 .groupBy("route_id", "origin_code", "origin_city", "dest_code", "dest_city")
                 .agg(F.count(F.lit(1)).alias("total_flights"),
                      _avg_price().alias("avg_price"),
@@ -43,13 +46,14 @@ def route_analysis(fact: DataFrame, route: DataFrame, airports: DataFrame) -> Da
                      _avg_int("duration").alias("avg_duration_min")))
 
 
-def airline_performance(fact: DataFrame, airline: DataFrame, ftype: DataFrame) -> DataFrame:
+def airline_performance(fact: DataFrame, airline: DataFrame, ftype: DataFrame,
+                        hint=F.broadcast) -> DataFrame:
     """Facts on closed airline versions drop out (current versions only)."""
     a = airline.where(F.col("is_current") == 1).select(
         "airline_sk", F.col("airline_bk").alias("airline_code"), "airline_name", "country")
     ft = ftype.select("flight_type_id", "type_category")
     direct = F.sum(F.when(F.col("type_category") == "direct", 1).otherwise(0))
-    return (fact.join(F.broadcast(a), "airline_sk").join(F.broadcast(ft), "flight_type_id")
+    return (fact.join(hint(a), "airline_sk").join(hint(ft), "flight_type_id")
                 .groupBy("airline_code", "airline_name", "country")
                 .agg(F.count(F.lit(1)).alias("flights_operated"),
                      _avg_price().alias("avg_ticket_price"),
@@ -58,21 +62,21 @@ def airline_performance(fact: DataFrame, airline: DataFrame, ftype: DataFrame) -
                      round_ratio_pct(direct, F.count(F.lit(1))).alias("direct_flights_percent")))
 
 
-def temporal_patterns(fact: DataFrame, calendar: DataFrame) -> DataFrame:
+def temporal_patterns(fact: DataFrame, calendar: DataFrame, hint=F.broadcast) -> DataFrame:
     c = calendar.select("date_id", "year", "month", "month_name", "day_of_week",
                         "day_name", "is_weekend")
-    return (fact.join(F.broadcast(c), "date_id")
+    return (fact.join(hint(c), "date_id")
                 .groupBy("year", "month", "month_name", "day_of_week", "day_name", "is_weekend")
                 .agg(F.count(F.lit(1)).alias("flights_count"),
                      _avg_price().alias("avg_price_this_period"),
                      F.sum("price").cast("decimal(38,2)").alias("total_revenue_this_period")))
 
 
-def flight_type_analysis(fact: DataFrame, ftype: DataFrame) -> DataFrame:
+def flight_type_analysis(fact: DataFrame, ftype: DataFrame, hint=F.broadcast) -> DataFrame:
     """Share of all facts per flight type; the grand total is an
     uncorrelated scalar subquery (evaluated once, one row)."""
     total = fact.select(F.count(F.lit(1))).scalar()
-    return (fact.join(F.broadcast(ftype), "flight_type_id")
+    return (fact.join(hint(ftype), "flight_type_id")
                 .groupBy("flight_type_id", "type_category", "description", "transfers_count")
                 .agg(F.count(F.lit(1)).alias("total_flights"),
                      _avg_price().alias("avg_price_for_type"),
@@ -83,12 +87,13 @@ def flight_type_analysis(fact: DataFrame, ftype: DataFrame) -> DataFrame:
                         "avg_price_for_type", "avg_duration_for_type"))
 
 
-def price_summary(fact: DataFrame, calendar: DataFrame, as_of: dt.date) -> DataFrame:
+def price_summary(fact: DataFrame, calendar: DataFrame, as_of: dt.date,
+                  hint=F.broadcast) -> DataFrame:
     """Global aggregate for the month of ``as_of``: always exactly one row
     (count 0 and NULLs for an empty month)."""
     c = calendar.where((F.col("month") == as_of.month) & (F.col("year") == as_of.year)) \
                 .select("date_id")
-    f = fact.join(F.broadcast(c), "date_id")
+    f = fact.join(hint(c), "date_id")
     return f.agg(F.lit("current_month").alias("period"),
                  F.count(F.lit(1)).alias("total_flights"),
                  _avg_price().alias("avg_price"),

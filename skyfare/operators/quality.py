@@ -22,13 +22,13 @@ def null_key_rows(fact: DataFrame) -> DataFrame:
 
 
 def broken_links(fact: DataFrame, route: DataFrame, airline: DataFrame,
-                 calendar: DataFrame, ftype: DataFrame) -> DataFrame:
+                 calendar: DataFrame, ftype: DataFrame, hint=F.broadcast) -> DataFrame:
     """Facts with any dangling foreign key (four NOT EXISTS, OR-ed).
 
     Each dimension key set is joined left with an existence flag; the
     dimensions are bounded, so these are broadcast lookups."""
     def flag(df, key, name):
-        return F.broadcast(df.select(key).distinct().withColumn(name, F.lit(True)))
+        return hint(df.select(key).distinct().withColumn(name, F.lit(True)))
     j = (fact.join(flag(route, "route_id", "_r"), "route_id", "left")
              .join(flag(airline, "airline_sk", "_a"), "airline_sk", "left")
              .join(flag(calendar, "date_id", "_d"), "date_id", "left")
@@ -79,9 +79,9 @@ def dq_report(ods: DataFrame, fact: DataFrame, min_success_pct: float = 90.0,
 
 
 def fact_validate(fact: DataFrame, route, airline, calendar, ftype,
-                  max_price: int = 1_000_000) -> DataFrame:
+                  max_price: int = 1_000_000, hint=F.broadcast) -> DataFrame:
     total = _count_check(fact, "total_rows", 0, "gt", "error")
-    broken = _count_check(broken_links(fact, route, airline, calendar, ftype),
+    broken = _count_check(broken_links(fact, route, airline, calendar, ftype, hint),
                           "broken_links", 0, "eq", "error")
     anomalies = _count_check(price_anomalies(fact, max_price), "price_anomalies", 0, "eq",
                              "warning")

@@ -58,20 +58,25 @@ def price_filter_count(ods: DataFrame, limit: int) -> DataFrame:
                .withColumn("price_limit", F.lit(limit)))
 
 
-def flights_by_type(fact: DataFrame, ftype: DataFrame) -> DataFrame:
-    return (fact.join(ftype, "flight_type_id")
+def _id(df):
+    return df
+
+
+def flights_by_type(fact: DataFrame, ftype: DataFrame, hint=_id) -> DataFrame:
+    return (fact.join(hint(ftype), "flight_type_id")
                 .groupBy("type_category", "flight_type_id")
                 .agg(_n().alias("flights"), _avg2().alias("avg_price")))
 
 
-def top_expensive(fact, route, airports, airline, calendar, ftype, k: int = 10) -> DataFrame:
+def top_expensive(fact, route, airports, airline, calendar, ftype, k: int = 10,
+                  hint=_id) -> DataFrame:
     """The k dearest flights across the whole star.  The top-k runs as a
     per-partition partial top-k then a merge (TakeOrderedAndProject)."""
     rc = route_cities(route, airports)
-    j = (fact.join(rc, "route_id")
-             .join(airline.select("airline_sk", "airline_name"), "airline_sk")
-             .join(calendar.select("date_id", "full_date"), "date_id")
-             .join(ftype.select("flight_type_id", "transfers_count"), "flight_type_id"))
+    j = (fact.join(hint(rc), "route_id")
+             .join(hint(airline.select("airline_sk", "airline_name")), "airline_sk")
+             .join(hint(calendar.select("date_id", "full_date")), "date_id")
+             .join(hint(ftype.select("flight_type_id", "transfers_count")), "flight_type_id"))
     return (j.select("flight_id",
                      oracle_concat(F.col("origin_city"), F.lit(" -> "), F.col("dest_city"))
                      .alias("route"),
@@ -80,39 +85,39 @@ def top_expensive(fact, route, airports, airline, calendar, ftype, k: int = 10)
              .orderBy(F.col("price").desc(), F.col("flight_id")).limit(k))
 
 
-def route_city_summary(fact, route, airports) -> DataFrame:
+def route_city_summary(fact, route, airports, hint=_id) -> DataFrame:
     """Per city pair: airports of one city merge."""
     rc = route_cities(route, airports)
-    return (fact.join(rc, "route_id").groupBy("origin_city", "dest_city")
+    return (fact.join(hint(rc), "route_id").groupBy("origin_city", "dest_city")
                 .agg(_n().alias("flights"), _avg2().alias("avg_price"),
                      F.min("price").alias("min_price"), F.max("price").alias("max_price"))
                 .select(oracle_concat(F.col("origin_city"), F.lit(" -> "), F.col("dest_city"))
                         .alias("route"), "flights", "avg_price", "min_price", "max_price"))
 
 
-def route_short(fact, route, airports) -> DataFrame:
+def route_short(fact, route, airports, hint=_id) -> DataFrame:
     rc = route_cities(route, airports)
-    return (fact.join(rc, "route_id").groupBy("route_id", "origin_city", "dest_city")
+    return (fact.join(hint(rc), "route_id").groupBy("route_id", "origin_city", "dest_city")
                 .agg(_n().alias("total_flights"), _avg2().alias("avg_price")))
 
 
-def airline_stats(fact, airline, k: int | None = 5) -> DataFrame:
+def airline_stats(fact, airline, k: int | None = 5, hint=_id) -> DataFrame:
     a = airline.where(F.col("is_current") == 1).select("airline_sk", "airline_bk", "airline_name")
-    out = (fact.join(a, "airline_sk").groupBy("airline_bk", "airline_name")
+    out = (fact.join(hint(a), "airline_sk").groupBy("airline_bk", "airline_name")
                .agg(_n().alias("flight_count"), _avg2().alias("avg_price")))
     if k is not None:
         out = out.orderBy(F.col("flight_count").desc(), F.col("airline_bk")).limit(k)
     return out
 
 
-def flight_type_stats(fact, ftype) -> DataFrame:
-    return (fact.join(ftype.select("flight_type_id", "type_category"), "flight_type_id")
+def flight_type_stats(fact, ftype, hint=_id) -> DataFrame:
+    return (fact.join(hint(ftype.select("flight_type_id", "type_category")), "flight_type_id")
                 .groupBy("type_category").agg(_n().alias("flight_count"),
                                               _avg2().alias("avg_price")))
 
 
-def date_coverage(fact, calendar) -> DataFrame:
-    return (fact.join(calendar.select("date_id", "full_date"), "date_id")
+def date_coverage(fact, calendar, hint=_id) -> DataFrame:
+    return (fact.join(hint(calendar.select("date_id", "full_date")), "date_id")
                 .agg(F.min("full_date").alias("earliest_date"),
                      F.max("full_date").alias("latest_date"),
                      F.countDistinct("date_id").alias("unique_dates")))
@@ -148,7 +153,7 @@ def price_by_weekday(temporal: DataFrame) -> DataFrame:
 
 
 def filtered_airlines(fact, airline, ftype, airline_codes=None,
-                      type_categories=None) -> DataFrame:
+                      type_categories=None, hint=_id) -> DataFrame:
     """Dashboard filters (airline, flight type) applied to the airline table
     dataset; filters are plain predicates, pushed below the aggregate."""
     a = airline.where(F.col("is_current") == 1).select(
@@ -158,7 +163,7 @@ def filtered_airlines(fact, airline, ftype, airline_codes=None,
         a = a.where(F.col("airline_code").isin(list(airline_codes)))
     if type_categories is not None:
         ft = ft.where(F.col("type_category").isin(list(type_categories)))
-    return (fact.join(a, "airline_sk").join(ft, "flight_type_id")
+    return (fact.join(hint(a), "airline_sk").join(hint(ft), "flight_type_id")
                 .groupBy("airline_code", "airline_name")
                 .agg(_n().alias("flights"), _avg2().alias("avg_price")))
 

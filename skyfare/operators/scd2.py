@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.lookup import with_airline_info
+from ..functions.lookup import with_airline_info  # noqa: F401  (used by callers)
 
 DIM_AIRLINE_COLUMNS = ["airline_sk", "airline_bk", "airline_name", "country",
                        "valid_from", "valid_to", "is_current"]
@@ -73,7 +73,7 @@ def scd2_changes(dim: DataFrame, source: DataFrame) -> DataFrame:
     return j.withColumn("status", status)
 
 
-def scd2_merge(dim: DataFrame, source: DataFrame, batch_ts: str) -> DataFrame:
+def scd2_merge(dim: DataFrame, source: DataFrame, batch_ts: str, hint=F.broadcast) -> DataFrame:
     """Next version of the dimension after applying ``source``.
 
     Keys missing from the source stay current.  New surrogate keys continue
@@ -83,7 +83,7 @@ def scd2_merge(dim: DataFrame, source: DataFrame, batch_ts: str) -> DataFrame:
     max_sk = dim.agg(F.coalesce(F.max("airline_sk"), F.lit(0))).first()[0]
     closing = (ch.where(F.col("status") == "updated")
                  .select(F.col("cur_sk").alias("airline_sk"), F.lit(True).alias("_close")))
-    kept = (dim.join(F.broadcast(closing), "airline_sk", "left")
+    kept = (dim.join(hint(closing), "airline_sk", "left")
                .select("airline_sk", "airline_bk", "airline_name", "country", "valid_from",
                        F.when(F.col("_close"), _ts(batch_ts)).otherwise(F.col("valid_to"))
                         .alias("valid_to"),

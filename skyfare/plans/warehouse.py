@@ -69,6 +69,17 @@ class Warehouse:
         df = self.read(name)
         return bounded_broadcast(df, self.rows.get(name), self.cfg.broadcast_max_rows)
 
+    def hint(self, *names: str):
+        """``F.broadcast`` when the named dimensions were counted at write
+        time and together stay within ``broadcast_max_rows``; identity
+        otherwise, leaving the join strategy to Spark's size estimates."""
+        for n in names:
+            self.read(n)
+        rows = [self.rows.get(n) for n in names]
+        if all(r is not None for r in rows) and sum(rows) <= self.cfg.broadcast_max_rows:
+            return F.broadcast
+        return _identity
+
     # ---- ODS -------------------------------------------------------------
     def _build_fixture_lines(self):
         self.write("fixture_lines", fixture.joined_lines(self.spark, self.sf_dir))
@@ -90,14 +101,23 @@ class Warehouse:
 
     def _build_dim_route(self):
         self.write("dim_route", dims.dim_route(self.read("ods_cheap_tickets"),
-                                               self.read("dim_airport")), count=True)
+                                               self.read("dim_airport"),
+                                               hint=self.hint("dim_airport")), count=True)
 
     def _build_dim_airline_snapshot(self):
         self.write("dim_airline_snapshot",
                    fixture.airline_snapshot(self.spark, self.sf_dir, self.cfg), count=True)
 
+    def _build_airline_lookup(self):
+        self.write("airline_lookup", fixture.airline_lookup(
+            self.spark, self.sf_dir, self.cfg, previous=False), count=True)
+
+    def _build_airline_lookup_previous(self):
+        self.write("airline_lookup_previous", fixture.airline_lookup(
+            self.spark, self.sf_dir, self.cfg, previous=True), count=True)
+
     def lookup(self, previous: bool = False) -> DataFrame:
-        return fixture.airline_lookup(self.spark, self.sf_dir, self.cfg, previous)
+        return self.read("airline_lookup_previous" if previous else "airline_lookup")
 
     def _build_dim_airline(self):
         """Two SCD2 runs over the ODS: the earlier one with the previous
@@ -106,16 +126,20 @@ class Warehouse:
         ods = self.read("ods_cheap_tickets")
         codes = self.write("ods_airline_codes", scd2.source_codes(ods), count=True)
         empty = scd2.empty_dim(self.spark)
-        src_prev = scd2.source_airlines(ods, self.lookup(previous=True), codes)
+        src_prev = scd2.with_airline_info(codes, self.lookup(previous=True),
+                                          hint=self.hint("airline_lookup_previous"))
         v1 = scd2.scd2_initial(empty, src_prev, self.cfg.prev_batch_ts, dim_rows=0)
         v1 = self.write("dim_airline", v1, count=True)
-        v1 = self.write("dim_airline", scd2.scd2_merge(v1, src_prev, self.cfg.prev_batch_ts),
+        v1 = self.write("dim_airline", scd2.scd2_merge(v1, src_prev, self.cfg.prev_batch_ts,
+                                                       hint=self.hint("dim_airline")),
                         count=True)
         self.paths["dim_airline_previous"] = self.paths["dim_airline"]
-        src = scd2.source_airlines(ods, self.lookup(previous=False), codes)
+        src = scd2.with_airline_info(codes, self.lookup(previous=False),
+                                     hint=self.hint("airline_lookup"))
         self.write("scd2_source", src, count=True)
         self.write("dim_airline", scd2.scd2_merge(v1, self.read("scd2_source"),
-                                                  self.cfg.batch_ts), count=True)
+                                                  self.cfg.batch_ts,
+                                                  hint=self.hint("dim_airline")), count=True)
 
     def _build_dim_airline_previous(self):
         self._build_dim_airline()
@@ -125,7 +149,8 @@ class Warehouse:
 
     # ---- fact ----------------------------------------------------------------
     def routes_by_code(self) -> DataFrame:
-        return fact.route_codes(self.read("dim_route"), self.read("dim_airport"))
+        return fact.route_codes(self.read("dim_route"), self.read("dim_airport"),
+                                hint=self.hint("dim_airport"))
 
     def staged(self) -> DataFrame:
         cfg = self.cfg
@@ -146,23 +171,27 @@ class Warehouse:
     # ---- marts ------------------------------------------------------------
     def _build_mart_route_analysis(self):
         self.write("mart_route_analysis", marts.route_analysis(
-            self.read("fact_flights"), self.small("dim_route"), self.read("dim_airport")))
+            self.read("fact_flights"), self.read("dim_route"), self.read("dim_airport"),
+            hint=self.hint("dim_route", "dim_airport")))
 
     def _build_mart_airline_performance(self):
         self.write("mart_airline_performance", marts.airline_performance(
-            self.read("fact_flights"), self.read("dim_airline"), self.read("dim_flight_type")))
+            self.read("fact_flights"), self.read("dim_airline"), self.read("dim_flight_type"),
+            hint=self.hint("dim_airline", "dim_flight_type")))
 
     def _build_mart_temporal_patterns(self):
         self.write("mart_temporal_patterns", marts.temporal_patterns(
-            self.read("fact_flights"), self.read("dim_date")))
+            self.read("fact_flights"), self.read("dim_date"), hint=self.hint("dim_date")))
 
     def _build_mart_flight_type_analysis(self):
         self.write("mart_flight_type_analysis", marts.flight_type_analysis(
-            self.read("fact_flights"), self.read("dim_flight_type")))
+            self.read("fact_flights"), self.read("dim_flight_type"),
+            hint=self.hint("dim_flight_type")))
 
     def _build_mart_price_summary(self):
         self.write("mart_price_summary", marts.price_summary(
-            self.read("fact_flights"), self.read("dim_date"), self.cfg.as_of))
+            self.read("fact_flights"), self.read("dim_date"), self.cfg.as_of,
+            hint=self.hint("dim_date")))
 
     # ---- landing feeds ------------------------------------------------------
     FEEDS = {"grouped_prices": (feeds.grouped_prices_landing, landing.extract_grouped_prices),
@@ -205,6 +234,10 @@ class Warehouse:
         return self
 
 
+def _identity(df: DataFrame) -> DataFrame:
+    return df
+
+
 _CACHE: dict = {}
 _CACHE_LOCK = threading.Lock()
 
