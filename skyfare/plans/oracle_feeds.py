@@ -60,7 +60,7 @@ g_ext AS (
          origin AS origin_airport, destination AS destination_airport,
          '/search/' || origin || destination AS link, '{stamp}' AS extracted_at,
          origin || '-' || destination AS route, strftime(day, '%Y-%m-%d') AS departure_date,
-         'aviasales_api_v3' AS data_source, {direct} AS is_direct, {reason3} AS reject_reason,
+         'grouped_prices_api' AS data_source, {direct} AS is_direct, {reason3} AS reject_reason,
          strftime(day, '%Y-%m') AS month
   FROM pick_day WHERE {route_ok}),
 c_ext AS (
@@ -70,14 +70,14 @@ c_ext AS (
          {airline} AS airline, {fno} AS flight_number, {tkind} AS transfers_kind,
          {tval} AS transfers, expires_at, '{stamp}' AS extracted_at,
          origin || '-' || destination AS route, strftime(day, '%Y-%m-%d') AS date,
-         'aviasales_price_trends' AS data_source, {direct} AS is_direct,
+         'price_calendar_api' AS data_source, {direct} AS is_direct,
          {reason3} AS reject_reason, strftime(day, '%Y-%m') AS month
   FROM pick_day WHERE {route_ok}),
 d_ext AS (
   SELECT origin, destination, {pkind} AS price_kind, {pval} AS price, {airline} AS airline,
          {fno} AS flight_number, departure_at, return_at, expires_at, {tkind} AS transfers_kind,
          {tval} AS transfers, '{stamp}' AS extracted_at,
-         'aviasales_city_directions' AS data_source, {direct} AS is_direct,
+         'city_directions_api' AS data_source, {direct} AS is_direct,
          {reason3} AS reject_reason
   FROM pick_dir WHERE o NOT IN (5, 7, 9, 11, 13)),
 g_norm AS (

@@ -139,7 +139,7 @@ def cast_reason(fields: list[tuple[str, str]]) -> Column:
 # ---- the three feeds -------------------------------------------------------
 
 def extract_grouped_prices(landing: DataFrame, batch_ts: str,
-                           data_source: str = "aviasales_api_v3") -> DataFrame:
+                           data_source: str = "grouped_prices_api") -> DataFrame:
     """17-field extract (raw values described by kind + cast value)."""
     e = entries(parse_objects(landing, FIELDS["grouped_prices"]), "departure_date")
     req_origin = F.col("origin")
@@ -168,7 +168,7 @@ def extract_grouped_prices(landing: DataFrame, batch_ts: str,
 
 
 def extract_calendar(landing: DataFrame, batch_ts: str,
-                     data_source: str = "aviasales_price_trends") -> DataFrame:
+                     data_source: str = "price_calendar_api") -> DataFrame:
     e = entries(parse_objects(landing, FIELDS["calendar"]), "date")
     return e.select(
         F.concat_ws("_", key_part("airline"), key_part("flight_number"), F.col("origin"),
@@ -188,7 +188,7 @@ def extract_calendar(landing: DataFrame, batch_ts: str,
 
 
 def extract_directions(landing: DataFrame, batch_ts: str,
-                       data_source: str = "aviasales_city_directions") -> DataFrame:
+                       data_source: str = "city_directions_api") -> DataFrame:
     e = entries(parse_objects(landing, FIELDS["directions"]), "dest_key")
     return e.select(
         F.col("origin"), F.col("dest_key").alias("destination"),
