@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, RunConfig
@@ -43,16 +43,24 @@ class Warehouse:
     # ---- storage -------------------------------------------------------
     def write(self, name: str, df: DataFrame, count: bool = False,
               sort_within: list[str] | None = None) -> DataFrame:
-        """Write ``df`` as the next version of table ``name`` and switch."""
+        """Write ``df`` as the next version of table ``name`` and switch.
+
+        With ``count`` the row count is taken by an ``Observation`` during
+        the write itself (no second job); it backs the broadcast checks.
+        """
         v = self.versions.get(name, 0) + 1
         path = f"{self.run_dir}/{name}/v{v}"
         if sort_within:
             df = df.sortWithinPartitions(*sort_within)
+        obs = None
+        if count:
+            obs = Observation(f"{name}_v{v}")
+            df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         df.write.mode("errorifexists").parquet(path)
         self.paths[name] = path
         self.versions[name] = v
-        if count:
-            self.rows[name] = self.spark.read.parquet(path).count()
+        if obs is not None:
+            self.rows[name] = int(obs.get["rows"])
         return self.spark.read.parquet(path)
 
     def read(self, name: str) -> DataFrame:
