@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions.scalar import empty_as_null, popularity_bucket, price_bucket
 
-NUMERIC = r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"
-
 OBJECT_STATUS = ["empty_body", "broken_json", "not_success", "no_data", "data_not_object",
                  "bad_entry"]
 
@@ -34,94 +32,130 @@ FIELDS = {
 }
 
 
-def _typed_data(v: Column, fields: list[str]) -> Column:
-    """``data`` as map<key, struct<field: VARIANT, ...>>: one cast per
-    object instead of a path lookup per field.  A missing field is a NULL
-    struct member, an explicit JSON null a VARIANT null."""
-    st = ", ".join(f"`{f}`: variant" for f in fields)
-    return F.try_variant_get(v, "$.data", f"map<string,struct<{st}>>")
+OBJECT_SCHEMA = "success boolean, currency string, data string, _corrupt_record string"
 
 
-def object_status(body: Column, v: Column, typed: Column) -> Column:
-    """Why a response object is skipped ('ok' if it is not).  An entry
-    that is not an object fails its whole request, as in the source."""
-    data = F.try_variant_get(v, "$.data", "variant")
-    success = F.coalesce(F.try_variant_get(v, "$.success", "boolean"), F.lit(False))
-    return (F.when(body.isNull() | (F.trim(body) == ""), "empty_body")
-             .when(v.isNull(), "broken_json")
-             .when(~success, "not_success")
-             .when(data.isNull(), "no_data")
-             .when(typed.isNotNull(), "ok")
-             .when(F.try_variant_get(v, "$.data", "map<string,variant>").isNull(),
-                   "data_not_object")
-             .otherwise("bad_entry"))
+def _ticket_struct(fields: list[str]) -> str:
+    return "struct<" + ", ".join(f"`{f}`: variant" for f in fields) + ">"
 
 
 def parse_objects(landing: DataFrame, fields: list[str]) -> DataFrame:
-    v = F.try_parse_json(F.col("body"))
-    return (landing.withColumn("_v", v).withColumn("_m", _typed_data(F.col("_v"), fields))
-                   .withColumn("status", object_status(F.col("body"), F.col("_v"), F.col("_m"))))
+    """Split each response into its envelope and ``data`` entries.
+
+    The envelope is read with ``from_json`` (a malformed body lands in
+    ``_corrupt_record``); ``data`` is kept as text and split into a map of
+    entry texts, so each ticket is later parsed as its own small VARIANT
+    rather than as a slice of the whole document."""
+    env = F.from_json(F.col("body"), OBJECT_SCHEMA,
+                      {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return (landing.withColumn("_o", env)
+                   .withColumn("_m", F.from_json(F.col("_o.data"), "map<string,string>"))
+                   .withColumn("status", object_status(F.col("body"), F.col("_o"), F.col("_m"))))
 
 
-def entries(parsed: DataFrame, key_name: str) -> DataFrame:
-    """One row per ``data`` entry of the good objects: (key, ticket struct)."""
+def object_status(body: Column, env: Column, entries_: Column) -> Column:
+    """Why a response object is skipped ('ok' if it is not).  An entry
+    that is not an object fails its whole request, as in the source."""
+    not_object = F.exists(F.map_values(entries_), lambda x: ~F.ltrim(x).startswith("{"))
+    return (F.when(body.isNull() | (F.trim(body) == ""), "empty_body")
+             .when(env.isNull() | env["_corrupt_record"].isNotNull(), "broken_json")
+             .when(~F.coalesce(env["success"], F.lit(False)), "not_success")
+             .when(env["data"].isNull(), "no_data")
+             .when(entries_.isNull(), "data_not_object")
+             .when(not_object, "bad_entry")
+             .otherwise("ok"))
+
+
+def entries(parsed: DataFrame, key_name: str, fields: list[str]) -> DataFrame:
+    """One row per ``data`` entry of the good objects: (key, ticket struct
+    of VARIANT fields; a missing field is NULL, a JSON null a VARIANT null)."""
     ok = parsed.where(F.col("status") == "ok")
-    cur = F.coalesce(F.try_variant_get(F.col("_v"), "$.currency", "string"),
-                     F.lit(fixed.DEFAULT_CURRENCY))
-    return (ok.select("origin", "destination", "month", cur.alias("currency"),
-                      F.explode("_m").alias(key_name, "_t")))
+    cur = F.coalesce(F.col("_o.currency"), F.lit(fixed.DEFAULT_CURRENCY))
+    e = ok.select("origin", "destination", "month", cur.alias("currency"),
+                  F.explode("_m").alias(key_name, "_txt"))
+    t = F.try_variant_get(F.try_parse_json(F.col("_txt")), "$", _ticket_struct(fields))
+    return e.withColumn("_t", t).drop("_txt")
 
 
 # ---- per-field helpers ---------------------------------------------------
+#
+# Extraction runs in two projections.  The first reads each field of the
+# ticket struct once: its JSON text (NULL when the field is missing, 'null'
+# for an explicit null, a leading quote for text) and one cast (string for
+# text fields; double and bigint for numeric fields).  The second derives
+# every output column from those primitive columns only.
+
+TEXT = "text"
+NUM = "num"
 
-def raw(name: str) -> Column:
-    return F.col("_t")[name]
+
+def prepare(e: DataFrame, fields: dict[str, str]) -> DataFrame:
+    keep = [c for c in e.columns if c != "_t"]
+    cols = [F.col(c) for c in keep]
+    for f, kind_ in fields.items():
+        r = F.col("_t")[f]
+        cols.append(F.to_json(r).alias(f"_{f}_js"))
+        cols.append(F.try_variant_get(r, "$", "string").alias(f"_{f}_s"))
+        if kind_ == NUM:
+            cols.append(F.try_variant_get(r, "$", "double").alias(f"_{f}_d"))
+            cols.append(F.try_variant_get(r, "$", "bigint").alias(f"_{f}_i"))
+    return e.select(*cols)
+
+
+def _js(name: str) -> Column:
+    return F.col(f"_{name}_js")
+
+
+def _missing(name: str) -> Column:
+    return _js(name).isNull()
+
+
+def _null(name: str) -> Column:
+    return _js(name) == "null"
+
+
+def _is_text(name: str) -> Column:
+    return _js(name).startswith('"')
 
 
 def kind(name: str) -> Column:
-    r = raw(name)
-    return (F.when(r.isNull(), "missing").when(F.is_variant_null(r), "null")
-             .when(F.schema_of_variant(r).rlike(NUMERIC), "number").otherwise("text"))
+    """missing / null / text / number, as the raw JSON value was."""
+    return (F.when(_missing(name), "missing").when(_null(name), "null")
+             .when(_is_text(name), "text").otherwise("number"))
 
 
 def text(name: str, default: Column | str = "") -> Column:
     """``d.get(name, default)`` as text; explicit null stays NULL."""
-    r = raw(name)
     dflt = default if isinstance(default, Column) else F.lit(default)
-    return (F.when(r.isNull(), dflt).when(F.is_variant_null(r), F.lit(None).cast("string"))
-             .otherwise(F.try_variant_get(r, "$", "string")))
+    return (F.when(_missing(name), dflt).when(_null(name), F.lit(None).cast("string"))
+             .otherwise(F.col(f"_{name}_s")))
 
 
 def key_part(name: str, default: str = "") -> Column:
     """The value as an f-string renders it: missing -> default, null -> 'None'."""
-    r = raw(name)
-    return (F.when(r.isNull(), F.lit(default)).when(F.is_variant_null(r), F.lit("None"))
-             .otherwise(F.try_variant_get(r, "$", "string")))
+    return (F.when(_missing(name), F.lit(default)).when(_null(name), F.lit("None"))
+             .otherwise(F.col(f"_{name}_s")))
 
 
 def as_double(name: str, default: float = 0.0) -> Column:
     """``float(d.get(name, default))``: NULL when it would raise."""
-    r = raw(name)
-    return (F.when(r.isNull(), F.lit(default).cast("double"))
-             .when(F.is_variant_null(r), F.lit(None).cast("double"))
-             .otherwise(F.try_variant_get(r, "$", "double")))
+    return (F.when(_missing(name), F.lit(default).cast("double"))
+             .when(_null(name), F.lit(None).cast("double"))
+             .otherwise(F.col(f"_{name}_d")))
 
 
 def as_int(name: str, default: int = 0) -> Column:
     """``int(d.get(name, default))``: numbers truncate, '3' parses, '3.5' fails."""
-    r = raw(name)
-    return (F.when(r.isNull(), F.lit(default).cast("bigint"))
-             .when(F.is_variant_null(r), F.lit(None).cast("bigint"))
-             .otherwise(F.try_variant_get(r, "$", "bigint")))
+    return (F.when(_missing(name), F.lit(default).cast("bigint"))
+             .when(_null(name), F.lit(None).cast("bigint"))
+             .otherwise(F.col(f"_{name}_i")))
 
 
 def equals_zero(name: str) -> Column:
     """``d.get(name, 0) == 0`` on the raw value: text '0' is not zero."""
-    r = raw(name)
-    return (F.when(r.isNull(), F.lit(True))
-             .when(F.schema_of_variant(r).rlike(NUMERIC),
-                   F.coalesce(F.try_variant_get(r, "$", "double") == 0, F.lit(False)))
-             .otherwise(F.lit(False)))
+    return (F.when(_missing(name), F.lit(True))
+             .when(_null(name) | _is_text(name), F.lit(False))
+             .otherwise(F.coalesce(F.col(f"_{name}_d") == 0, F.lit(False))))
 
 
 def cast_reason(fields: list[tuple[str, str]]) -> Column:
@@ -129,19 +163,24 @@ def cast_reason(fields: list[tuple[str, str]]) -> Column:
     out = None
     for name, typ in fields:
         failed = (as_double(name) if typ == "double" else as_int(name)).isNull()
-        r = raw(name)
-        reason = F.when(failed & F.is_variant_null(r), F.lit(f"null_{name}")) \
-                  .when(failed, F.lit(f"bad_{name}"))
+        reason = (F.when(failed & _null(name), F.lit(f"null_{name}"))
+                   .when(failed, F.lit(f"bad_{name}")))
         out = reason if out is None else F.coalesce(out, reason)
     return out
 
 
+def _fields(feed: str) -> dict[str, str]:
+    nums = {"price", "transfers", "duration"}
+    return {f: (NUM if f in nums else TEXT) for f in FIELDS[feed]}
+
+
 # ---- the three feeds -------------------------------------------------------
 
 def extract_grouped_prices(landing: DataFrame, batch_ts: str,
                            data_source: str = "grouped_prices_api") -> DataFrame:
     """17-field extract (raw values described by kind + cast value)."""
-    e = entries(parse_objects(landing, FIELDS["grouped_prices"]), "departure_date")
+    f = FIELDS["grouped_prices"]
+    e = prepare(entries(parse_objects(landing, f), "departure_date", f), _fields("grouped_prices"))
     req_origin = F.col("origin")
     return e.select(
         F.concat_ws("_", key_part("airline"), key_part("flight_number"), F.col("destination"))
@@ -169,7 +208,8 @@ def extract_grouped_prices(landing: DataFrame, batch_ts: str,
 
 def extract_calendar(landing: DataFrame, batch_ts: str,
                      data_source: str = "price_calendar_api") -> DataFrame:
-    e = entries(parse_objects(landing, FIELDS["calendar"]), "date")
+    f = FIELDS["calendar"]
+    e = prepare(entries(parse_objects(landing, f), "date", f), _fields("calendar"))
     return e.select(
         F.concat_ws("_", key_part("airline"), key_part("flight_number"), F.col("origin"),
                     F.col("destination"), F.col("date")).alias("ticket_id"),
@@ -189,7 +229,8 @@ def extract_calendar(landing: DataFrame, batch_ts: str,
 
 def extract_directions(landing: DataFrame, batch_ts: str,
                        data_source: str = "city_directions_api") -> DataFrame:
-    e = entries(parse_objects(landing, FIELDS["directions"]), "dest_key")
+    f = FIELDS["directions"]
+    e = prepare(entries(parse_objects(landing, f), "dest_key", f), _fields("directions"))
     return e.select(
         F.col("origin"), F.col("dest_key").alias("destination"),
         kind("price").alias("price_kind"), as_double("price").alias("price"),

@@ -102,3 +102,15 @@ def test_store_edge_empty_is_null(spark):
     df = spark.createDataFrame([("", True, 1.005)], "airline string, is_direct boolean, price double")
     r = to_store(df).first()
     assert r["airline"] is None and r["is_direct"] == 1
+
+
+def test_bad_entry_fails_object_and_null_text_renders_none(spark):
+    from skyfare.sources.landing import FIELDS, extract_grouped_prices, parse_objects
+    good = json.dumps({"success": True, "data": {"2025-12-01": {"airline": None, "flight_number": 7,
+                                                                  "price": 100}}})
+    bad = json.dumps({"success": True, "data": {"2025-12-01": {"price": 1}, "2025-12-02": 5}})
+    land = _landing(spark, [good, bad])
+    st = sorted(r[0] for r in parse_objects(land, FIELDS["grouped_prices"]).select("status").collect())
+    assert st == ["bad_entry", "ok"]
+    r = extract_grouped_prices(land, "2025-12-01 00:00:00").collect()
+    assert len(r) == 1 and r[0]["ticket_id"] == "None_7_LED" and r[0]["airline"] is None
