@@ -1,11 +1,18 @@
-"""The five aggregate marts.
-
-Each is fact -> dimension joins -> one hash aggregate (partial map-side,
-final after the shuffle on the group key).  ``hint`` is applied to the
-dimension sides: ``F.broadcast`` when the caller has checked their size,
-identity otherwise (then Spark picks a shuffle join).  Averages are exact
-decimal arithmetic rounded half away from zero, as the source store's
-NUMBER type does; money totals keep decimal type.
+"""The fact cube and the five aggregate marts.
+
+``fact_cube`` aggregates the fact once at the finest grain any mart or
+aggregate report needs (route x airline version x flight type x day):
+flights, exact decimal price sum, min / max price and duration sum.  Sums,
+counts, minima and maxima compose, so every mart re-aggregated from the cube
+equals the mart computed from the fact, while the fact is scanned once for
+all of them and the cube's size is bounded by the dimensions, not by the
+number of flights.
+
+Each mart is cube -> dimension joins -> one partial + final aggregate.
+``hint`` is applied to the dimension sides: ``F.broadcast`` when the caller
+has checked their size, identity otherwise (Spark then picks the join).
+Averages are exact decimal arithmetic rounded half away from zero, as the
+source store's NUMBER type does; money totals keep decimal type.
 """
 
 from __future__ import annotations
@@ -17,16 +24,34 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import round_avg, round_ratio_pct
 
+CUBE_KEYS = ["route_id", "airline_sk", "flight_type_id", "date_id"]
 
-def _avg_price(c: str = "price"):
-    return round_avg(F.sum(c), F.count(F.lit(1)))
 
+def fact_cube(fact: DataFrame) -> DataFrame:
+    return fact.groupBy(*CUBE_KEYS).agg(
+        F.count(F.lit(1)).alias("flights"),
+        F.sum("price").cast("decimal(28,2)").alias("sum_price"),
+        F.min("price").alias("min_price"),
+        F.max("price").alias("max_price"),
+        F.sum("duration").cast("bigint").alias("sum_duration"))
 
-def _avg_int(c: str):
-    return F.round(F.avg(c), 0).cast("bigint")
 
+def n_flights():
+    return F.coalesce(F.sum("flights"), F.lit(0)).cast("bigint")
 
-def route_analysis(fact: DataFrame, route: DataFrame, airports: DataFrame,
+
+def avg_price():
+    """ROUND(AVG(price), 2) from cube cells (decimal(28,2) sum keeps 12
+    digits of scale in the quotient)."""
+    return round_avg(F.sum("sum_price").cast("decimal(28,2)"), F.sum("flights"))
+
+
+def avg_duration():
+    """ROUND(AVG(duration), 0) from cube cells."""
+    return F.round(F.sum("sum_duration") / F.sum("flights"), 0).cast("bigint")
+
+
+def route_analysis(cube: DataFrame, route: DataFrame, airports: DataFrame,
                    hint=F.broadcast) -> DataFrame:
     o = airports.select(F.col("airport_id").alias("origin_airport_id"),
                         F.col("airport_code").alias("origin_code"),
@@ -37,66 +62,66 @@ def route_analysis(fact: DataFrame, route: DataFrame, airports: DataFrame,
     r = (route.select("route_id", "origin_airport_id", "destination_airport_id")
               .join(o, "origin_airport_id").join(d, "destination_airport_id")
               .select("route_id", "origin_code", "origin_city", "dest_code", "dest_city"))
-    return (fact.join(hint(r), "route_id")
+    return (cube.join(hint(r), "route_id")
                 .groupBy("route_id", "origin_code", "origin_city", "dest_code", "dest_city")
-                .agg(F.count(F.lit(1)).alias("total_flights"),
-                     _avg_price().alias("avg_price"),
-                     F.min("price").alias("min_price"),
-                     F.max("price").alias("max_price"),
-                     _avg_int("duration").alias("avg_duration_min")))
+                .agg(n_flights().alias("total_flights"),
+                     avg_price().alias("avg_price"),
+                     F.min("min_price").alias("min_price"),
+                     F.max("max_price").alias("max_price"),
+                     avg_duration().alias("avg_duration_min")))
 
 
-def airline_performance(fact: DataFrame, airline: DataFrame, ftype: DataFrame,
+def airline_performance(cube: DataFrame, airline: DataFrame, ftype: DataFrame,
                         hint=F.broadcast) -> DataFrame:
     """Facts on closed airline versions drop out (current versions only)."""
     a = airline.where(F.col("is_current") == 1).select(
         "airline_sk", F.col("airline_bk").alias("airline_code"), "airline_name", "country")
     ft = ftype.select("flight_type_id", "type_category")
-    direct = F.sum(F.when(F.col("type_category") == "direct", 1).otherwise(0))
-    return (fact.join(hint(a), "airline_sk").join(hint(ft), "flight_type_id")
+    direct = F.sum(F.when(F.col("type_category") == "direct", F.col("flights")).otherwise(0))
+    return (cube.join(hint(a), "airline_sk").join(hint(ft), "flight_type_id")
                 .groupBy("airline_code", "airline_name", "country")
-                .agg(F.count(F.lit(1)).alias("flights_operated"),
-                     _avg_price().alias("avg_ticket_price"),
-                     _avg_int("duration").alias("avg_flight_duration_min"),
+                .agg(n_flights().alias("flights_operated"),
+                     avg_price().alias("avg_ticket_price"),
+                     avg_duration().alias("avg_flight_duration_min"),
                      direct.cast("bigint").alias("direct_flights_count"),
-                     round_ratio_pct(direct, F.count(F.lit(1))).alias("direct_flights_percent")))
+                     round_ratio_pct(direct, F.sum("flights")).alias("direct_flights_percent")))
 
 
-def temporal_patterns(fact: DataFrame, calendar: DataFrame, hint=F.broadcast) -> DataFrame:
+def temporal_patterns(cube: DataFrame, calendar: DataFrame, hint=F.broadcast) -> DataFrame:
     c = calendar.select("date_id", "year", "month", "month_name", "day_of_week",
                         "day_name", "is_weekend")
-    return (fact.join(hint(c), "date_id")
+    return (cube.join(hint(c), "date_id")
                 .groupBy("year", "month", "month_name", "day_of_week", "day_name", "is_weekend")
-                .agg(F.count(F.lit(1)).alias("flights_count"),
-                     _avg_price().alias("avg_price_this_period"),
-                     F.sum("price").cast("decimal(38,2)").alias("total_revenue_this_period")))
+                .agg(n_flights().alias("flights_count"),
+                     avg_price().alias("avg_price_this_period"),
+                     F.sum("sum_price").cast("decimal(38,2)").alias("total_revenue_this_period")))
 
 
-def flight_type_analysis(fact: DataFrame, ftype: DataFrame, hint=F.broadcast) -> DataFrame:
+def flight_type_analysis(cube: DataFrame, ftype: DataFrame, hint=F.broadcast) -> DataFrame:
     """Share of all facts per flight type; the grand total is an
     uncorrelated scalar subquery (evaluated once, one row)."""
-    total = fact.select(F.count(F.lit(1))).scalar()
-    return (fact.join(hint(ftype), "flight_type_id")
+    total = cube.select(F.sum("flights")).scalar()
+    return (cube.join(hint(ftype), "flight_type_id")
                 .groupBy("flight_type_id", "type_category", "description", "transfers_count")
-                .agg(F.count(F.lit(1)).alias("total_flights"),
-                     _avg_price().alias("avg_price_for_type"),
-                     _avg_int("duration").alias("avg_duration_for_type"))
+                .agg(n_flights().alias("total_flights"),
+                     avg_price().alias("avg_price_for_type"),
+                     avg_duration().alias("avg_duration_for_type"))
                 .select("flight_type_id", "type_category", "description", "transfers_count",
                         "total_flights",
                         round_ratio_pct(F.col("total_flights"), total).alias("percentage_of_total"),
                         "avg_price_for_type", "avg_duration_for_type"))
 
 
-def price_summary(fact: DataFrame, calendar: DataFrame, as_of: dt.date,
+def price_summary(cube: DataFrame, calendar: DataFrame, as_of: dt.date,
                   hint=F.broadcast) -> DataFrame:
     """Global aggregate for the month of ``as_of``: always exactly one row
     (count 0 and NULLs for an empty month)."""
     c = calendar.where((F.col("month") == as_of.month) & (F.col("year") == as_of.year)) \
                 .select("date_id")
-    f = fact.join(hint(c), "date_id")
+    f = cube.join(hint(c), "date_id")
     return f.agg(F.lit("current_month").alias("period"),
-                 F.count(F.lit(1)).alias("total_flights"),
-                 _avg_price().alias("avg_price"),
-                 F.round(F.min("price"), 2).cast("decimal(18,2)").alias("min_price"),
-                 F.round(F.max("price"), 2).cast("decimal(18,2)").alias("max_price"),
-                 F.sum("price").cast("decimal(38,2)").alias("total_revenue"))
+                 n_flights().alias("total_flights"),
+                 avg_price().alias("avg_price"),
+                 F.round(F.min("min_price"), 2).cast("decimal(18,2)").alias("min_price"),
+                 F.round(F.max("max_price"), 2).cast("decimal(18,2)").alias("max_price"),
+                 F.sum("sum_price").cast("decimal(38,2)").alias("total_revenue"))

@@ -17,6 +17,14 @@ def _avg2(c="price"):
     return round_avg(F.sum(c), _n())
 
 
+def _cube_n():
+    return F.coalesce(F.sum("flights"), F.lit(0)).cast("bigint")
+
+
+def _cube_avg2():
+    return round_avg(F.sum("sum_price").cast("decimal(28,2)"), F.sum("flights"))
+
+
 def _airport_roles(airports: DataFrame):
     o = airports.select(F.col("airport_id").alias("origin_airport_id"),
                         F.col("airport_code").alias("origin_code"),
@@ -62,10 +70,10 @@ def _id(df):
     return df
 
 
-def flights_by_type(fact: DataFrame, ftype: DataFrame, hint=_id) -> DataFrame:
-    return (fact.join(hint(ftype), "flight_type_id")
+def flights_by_type(cube: DataFrame, ftype: DataFrame, hint=_id) -> DataFrame:
+    return (cube.join(hint(ftype), "flight_type_id")
                 .groupBy("type_category", "flight_type_id")
-                .agg(_n().alias("flights"), _avg2().alias("avg_price")))
+                .agg(_cube_n().alias("flights"), _cube_avg2().alias("avg_price")))
 
 
 def top_expensive(fact, route, airports, airline, calendar, ftype, k: int = 10,
@@ -85,39 +93,39 @@ def top_expensive(fact, route, airports, airline, calendar, ftype, k: int = 10,
              .orderBy(F.col("price").desc(), F.col("flight_id")).limit(k))
 
 
-def route_city_summary(fact, route, airports, hint=_id) -> DataFrame:
+def route_city_summary(cube, route, airports, hint=_id) -> DataFrame:
     """Per city pair: airports of one city merge."""
     rc = route_cities(route, airports)
-    return (fact.join(hint(rc), "route_id").groupBy("origin_city", "dest_city")
-                .agg(_n().alias("flights"), _avg2().alias("avg_price"),
-                     F.min("price").alias("min_price"), F.max("price").alias("max_price"))
+    return (cube.join(hint(rc), "route_id").groupBy("origin_city", "dest_city")
+                .agg(_cube_n().alias("flights"), _cube_avg2().alias("avg_price"),
+                     F.min("min_price").alias("min_price"), F.max("max_price").alias("max_price"))
                 .select(oracle_concat(F.col("origin_city"), F.lit(" -> "), F.col("dest_city"))
                         .alias("route"), "flights", "avg_price", "min_price", "max_price"))
 
 
-def route_short(fact, route, airports, hint=_id) -> DataFrame:
+def route_short(cube, route, airports, hint=_id) -> DataFrame:
     rc = route_cities(route, airports)
-    return (fact.join(hint(rc), "route_id").groupBy("route_id", "origin_city", "dest_city")
-                .agg(_n().alias("total_flights"), _avg2().alias("avg_price")))
+    return (cube.join(hint(rc), "route_id").groupBy("route_id", "origin_city", "dest_city")
+                .agg(_cube_n().alias("total_flights"), _cube_avg2().alias("avg_price")))
 
 
-def airline_stats(fact, airline, k: int | None = 5, hint=_id) -> DataFrame:
+def airline_stats(cube, airline, k: int | None = 5, hint=_id) -> DataFrame:
     a = airline.where(F.col("is_current") == 1).select("airline_sk", "airline_bk", "airline_name")
-    out = (fact.join(hint(a), "airline_sk").groupBy("airline_bk", "airline_name")
-               .agg(_n().alias("flight_count"), _avg2().alias("avg_price")))
+    out = (cube.join(hint(a), "airline_sk").groupBy("airline_bk", "airline_name")
+               .agg(_cube_n().alias("flight_count"), _cube_avg2().alias("avg_price")))
     if k is not None:
         out = out.orderBy(F.col("flight_count").desc(), F.col("airline_bk")).limit(k)
     return out
 
 
-def flight_type_stats(fact, ftype, hint=_id) -> DataFrame:
-    return (fact.join(hint(ftype.select("flight_type_id", "type_category")), "flight_type_id")
-                .groupBy("type_category").agg(_n().alias("flight_count"),
-                                              _avg2().alias("avg_price")))
+def flight_type_stats(cube, ftype, hint=_id) -> DataFrame:
+    return (cube.join(hint(ftype.select("flight_type_id", "type_category")), "flight_type_id")
+                .groupBy("type_category").agg(_cube_n().alias("flight_count"),
+                                              _cube_avg2().alias("avg_price")))
 
 
-def date_coverage(fact, calendar, hint=_id) -> DataFrame:
-    return (fact.join(hint(calendar.select("date_id", "full_date")), "date_id")
+def date_coverage(cube, calendar, hint=_id) -> DataFrame:
+    return (cube.join(hint(calendar.select("date_id", "full_date")), "date_id")
                 .agg(F.min("full_date").alias("earliest_date"),
                      F.max("full_date").alias("latest_date"),
                      F.countDistinct("date_id").alias("unique_dates")))
@@ -152,7 +160,7 @@ def price_by_weekday(temporal: DataFrame) -> DataFrame:
                                    F.sum("flights_count")).alias("avg_price")))
 
 
-def filtered_airlines(fact, airline, ftype, airline_codes=None,
+def filtered_airlines(cube, airline, ftype, airline_codes=None,
                       type_categories=None, hint=_id) -> DataFrame:
     """Dashboard filters (airline, flight type) applied to the airline table
     dataset; filters are plain predicates, pushed below the aggregate."""
@@ -163,9 +171,9 @@ def filtered_airlines(fact, airline, ftype, airline_codes=None,
         a = a.where(F.col("airline_code").isin(list(airline_codes)))
     if type_categories is not None:
         ft = ft.where(F.col("type_category").isin(list(type_categories)))
-    return (fact.join(hint(a), "airline_sk").join(hint(ft), "flight_type_id")
+    return (cube.join(hint(a), "airline_sk").join(hint(ft), "flight_type_id")
                 .groupBy("airline_code", "airline_name")
-                .agg(_n().alias("flights"), _avg2().alias("avg_price")))
+                .agg(_cube_n().alias("flights"), _cube_avg2().alias("avg_price")))
 
 
 def _first(df: DataFrame, finding: str, label: str, value, order) -> DataFrame:

@@ -176,29 +176,32 @@ class Warehouse:
         self.write("fact_flights", fact.fact_from_outcomes(self.read("fact_outcomes")),
                    sort_within=["date_id"])
 
-    # ---- marts ------------------------------------------------------------
+    def _build_fact_cube(self):
+        self.write("fact_cube", marts.fact_cube(self.read("fact_flights")))
+
+    # ---- marts (all from the cube: one fact scan for all of them) ----------
     def _build_mart_route_analysis(self):
         self.write("mart_route_analysis", marts.route_analysis(
-            self.read("fact_flights"), self.read("dim_route"), self.read("dim_airport"),
+            self.read("fact_cube"), self.read("dim_route"), self.read("dim_airport"),
             hint=self.hint("dim_route", "dim_airport")))
 
     def _build_mart_airline_performance(self):
         self.write("mart_airline_performance", marts.airline_performance(
-            self.read("fact_flights"), self.read("dim_airline"), self.read("dim_flight_type"),
+            self.read("fact_cube"), self.read("dim_airline"), self.read("dim_flight_type"),
             hint=self.hint("dim_airline", "dim_flight_type")))
 
     def _build_mart_temporal_patterns(self):
         self.write("mart_temporal_patterns", marts.temporal_patterns(
-            self.read("fact_flights"), self.read("dim_date"), hint=self.hint("dim_date")))
+            self.read("fact_cube"), self.read("dim_date"), hint=self.hint("dim_date")))
 
     def _build_mart_flight_type_analysis(self):
         self.write("mart_flight_type_analysis", marts.flight_type_analysis(
-            self.read("fact_flights"), self.read("dim_flight_type"),
+            self.read("fact_cube"), self.read("dim_flight_type"),
             hint=self.hint("dim_flight_type")))
 
     def _build_mart_price_summary(self):
         self.write("mart_price_summary", marts.price_summary(
-            self.read("fact_flights"), self.read("dim_date"), self.cfg.as_of,
+            self.read("fact_cube"), self.read("dim_date"), self.cfg.as_of,
             hint=self.hint("dim_date")))
 
     # ---- landing feeds ------------------------------------------------------

@@ -70,10 +70,13 @@ def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
             .select("c_custkey", F.col("c_nationkey").alias("d"),
                     F.col("n_name").alias("destination")))
+    # destination onto orders first (an orders-sized join), so the
+    # lineitem side meets one table per key: orders, part, supplier
+    orders = (orders.join(cust, orders.o_custkey == cust.c_custkey)
+                    .select("o_orderkey", "o_orderdate", "d", "destination"))
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(part, li.l_partkey == part.p_partkey)
-           .join(supp, li.l_suppkey == supp.s_suppkey)
-           .join(cust, orders.o_custkey == cust.c_custkey))
+           .join(supp, li.l_suppkey == supp.s_suppkey))
     return j.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                     "l_extendedprice", "l_shipdate", "o_orderdate", "p_brand",
                     "o", "d", "origin", "destination")

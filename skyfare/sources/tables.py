@@ -18,7 +18,11 @@ def spread(df: DataFrame) -> DataFrame:
     cores (e.g. one large single-row-group file), so the map-side work after
     it runs on every core.  A scan of many files already has more partitions
     than cores and passes through untouched."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. a Connect session)
+        return df
+    if parts < cores:
         return df.repartition(cores)
     return df

@@ -99,7 +99,7 @@ def test_unknown_airline_and_null_duration_rejects(spark):
 def test_price_summary_empty_month_is_one_row(spark):
     from skyfare.operators.marts import price_summary
     w = warehouse(spark, SF_SMALL)
-    r = price_summary(w.read("fact_flights"), w.read("dim_date"), dt.date(1890, 1, 1)).collect()
+    r = price_summary(w.read("fact_cube"), w.read("dim_date"), dt.date(1890, 1, 1)).collect()
     assert len(r) == 1 and r[0].total_flights == 0 and r[0].avg_price is None
 
 
@@ -145,3 +145,18 @@ def test_bench_generator_price_filter(spark):
     from skyfare.sources.generator import generate_tickets
     df = generate_tickets(spark, 500, "2025-10-15 00:00:00")
     assert df.count() == 500 and df.where("price < 8000").count() == 150
+
+
+def test_cube_marts_equal_fact_marts(spark):
+    """Marts from the cube equal the same aggregates straight off the fact."""
+    from pyspark.sql import functions as F
+    from skyfare.functions.scalar import round_avg
+    w = warehouse(spark, SF_SMALL)
+    f = w.read("fact_flights")
+    direct = (f.groupBy("route_id").agg(F.count(F.lit(1)).alias("total_flights"),
+                                        round_avg(F.sum("price"), F.count(F.lit(1))).alias("avg_price"),
+                                        F.min("price").alias("min_price"),
+                                        F.round(F.avg("duration"), 0).cast("bigint").alias("avg_duration_min")))
+    mart = w.read("mart_route_analysis").select("route_id", "total_flights", "avg_price",
+                                                "min_price", "avg_duration_min")
+    assert direct.exceptAll(mart).count() == 0 and mart.exceptAll(direct).count() == 0
