@@ -52,15 +52,20 @@ def route_pairs(ods: DataFrame) -> DataFrame:
 
 
 def dim_route(ods: DataFrame, airports: DataFrame,
-              existing: DataFrame | None = None, hint=F.broadcast) -> DataFrame:
+              existing: DataFrame | None = None, hint=F.broadcast,
+              frozen: bool = False) -> DataFrame:
     """Route dimension: distinct pairs whose two airports are known.
 
     Unknown airports drop the pair.  New ids are ``max(existing id) +
     row_number()`` over the *new pairs only*, ordered by the two codes, so
     existing routes keep their ids.  Pass ``existing=None`` for a first
     build.  The numbering window runs over distinct pairs, bounded by
-    airports squared, never over tickets.
+    airports squared, never over tickets.  ``frozen=True`` keeps an existing
+    dimension as it is (create-once behaviour: new routes then become
+    unknown-route rejects).
     """
+    if frozen and existing is not None:
+        return existing
     ap = hint(airports.select("airport_id", "airport_code"))
     o = ap.select(F.col("airport_id").alias("origin_airport_id"),
                   F.col("airport_code").alias("origin"))

@@ -239,6 +239,16 @@ class Warehouse:
                 self.write(name, self.FEEDS[feed][1](self.landing(feed), self.cfg.batch_ts))
         return self.spark.read.parquet(self.paths[name])
 
+    def register_views(self, names: list[str] | None = None) -> list[str]:
+        """Temp views over the current version of each layer, so the
+        warehouse can be queried with plain Spark SQL (``fact_flights``,
+        ``dim_route``, ``mart_route_analysis``, ...)."""
+        names = names or (["ods_cheap_tickets", "dim_date", "dim_airport", "dim_route",
+                           "dim_flight_type", "dim_airline", "fact_flights"] + MARTS)
+        for n in names:
+            self.read(n).createOrReplaceTempView(n)
+        return names
+
     def build_all(self) -> "Warehouse":
         for m in MARTS:
             self.read(m)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -57,9 +56,7 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_run_dir(spark: SparkSession, name: str = "run") -> str:
-    """A fresh folder per run under the shared root; never reused."""
+    """A fresh folder per run under the shared root; never reused.  Spark's
+    writers create it (local, HDFS or object-store URIs alike)."""
     app = spark.sparkContext.applicationId
-    path = f"{shared_root(spark)}/skyfare/{app}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{shared_root(spark)}/skyfare/{app}/{name}-{uuid.uuid4().hex[:12]}"

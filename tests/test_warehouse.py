@@ -160,3 +160,26 @@ def test_cube_marts_equal_fact_marts(spark):
     mart = w.read("mart_route_analysis").select("route_id", "total_flights", "avg_price",
                                                 "min_price", "avg_duration_min")
     assert direct.exceptAll(mart).count() == 0 and mart.exceptAll(direct).count() == 0
+
+
+def test_sql_over_registered_views(spark):
+    """The report SQL of the source system runs unchanged on the views."""
+    w = warehouse(spark, SF_SMALL)
+    w.register_views()
+    rows = spark.sql("""
+        SELECT ft.type_category, COUNT(*) AS flights, ROUND(AVG(f.price), 2) AS avg_price
+        FROM fact_flights f JOIN dim_flight_type ft ON f.flight_type_id = ft.flight_type_id
+        GROUP BY ft.type_category, ft.flight_type_id ORDER BY ft.flight_type_id""").collect()
+    from skyfare.plans.registry import QUERIES
+    ref = {r.type_category: (r.flights, r.avg_price)
+           for r in QUERIES["flights_by_type"](spark, SF_SMALL).collect()}
+    assert {r.type_category: (r.flights, float(r.avg_price)) for r in rows} == ref
+
+
+def test_frozen_routes(spark):
+    from skyfare.operators.dims import dim_route
+    ap = spark.createDataFrame([(1, "A"), (2, "B")], "airport_id int, airport_code string")
+    r1 = dim_route(spark.createDataFrame([("A", "B")], "origin string, destination string"), ap)
+    ods2 = spark.createDataFrame([("B", "A")], "origin string, destination string")
+    assert dim_route(ods2, ap, existing=r1, frozen=True).count() == 1
+    assert dim_route(ods2, ap, existing=r1).count() == 2
