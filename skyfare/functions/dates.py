@@ -25,7 +25,7 @@ def parse_ts(text: Column) -> Column:
     ``dddd-dd-dd`` in the text gives midnight of that day, so zoned or
     fractional texts keep their local date with no zone shift.
     """
-    s = F.regexp_replace(text, r"\s+", " ")
+    s = F.upper(F.regexp_replace(text, r"\s+", " "))   # 't' separator counts as 'T'
     shaped = (F.when(s.rlike(_ISO_SHAPE), s)
                .when(s.rlike(_DOT_SHAPE), F.regexp_replace(s, *_DOT_TO_ISO)))
     day = F.nullif(F.regexp_extract(text, _ANY_ISO_DAY, 1), F.lit(""))

@@ -14,7 +14,7 @@ def sql_str(s: str) -> str:
 
 
 def parse_ts_sql(x: str) -> str:
-    s = f"regexp_replace({x}, '\\s+', ' ', 'g')"
+    s = f"upper(regexp_replace({x}, '\\s+', ' ', 'g'))"
     shapes = [
         (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$", "%Y-%m-%dT%H:%M:%S"),
         (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "%Y-%m-%d %H:%M:%S"),
