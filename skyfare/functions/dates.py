@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 # Accepted text shapes (tried in order by the source system):
 #   yyyy-m-dThh:mm:ss, yyyy-m-d hh:mm:ss, yyyy-m-d, d.m.yyyy hh:mm:ss, d.m.yyyy
-# One or two digits per part, exactly four for the year; a space between
-# date and time stands for any whitespace run.  Anything else falls back to
-# the first yyyy-mm-dd found in the text, at midnight.
-_ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{1,2}:\d{1,2})?$"
-_DOT_SHAPE = r"^\d{1,2}\.\d{1,2}\.\d{4}( \d{1,2}:\d{1,2}:\d{1,2})?$"
-_DOT_TO_ISO = (r"^(\d{1,2})\.(\d{1,2})\.(\d{4})", "$3-$2-$1")
+# One or two digits per part, exactly four for the year; the day may also be
+# a space and one digit (as strptime's %d allows); the separator 'T' is
+# case-insensitive and a space between date and time stands for any
+# whitespace run.  Anything else falls back to the first yyyy-mm-dd found in
+# the text, at midnight.
+_DAY = r"(\d{1,2}| [1-9])"
+_TIME = r"\d{1,2}:\d{1,2}:\d{1,2}"
+_ISO_SHAPE = rf"^\d{{4}}-\d{{1,2}}-{_DAY}([T ]{_TIME})?$"
+_DOT_SHAPE = rf"^{_DAY}\.\d{{1,2}}\.\d{{4}}( {_TIME})?$"
+_ISO_DAY_SPACE = (r"^(\d{4}-\d{1,2}-) ", "$1")
+_DOT_TO_ISO = (r"^ ?(\d{1,2})\.(\d{1,2})\.(\d{4})", "$3-$2-$1")
 _ANY_ISO_DAY = r"(\d{4}-\d{2}-\d{2})"
 
 
@@ -25,8 +30,9 @@ def parse_ts(text: Column) -> Column:
     ``dddd-dd-dd`` in the text gives midnight of that day, so zoned or
     fractional texts keep their local date with no zone shift.
     """
-    s = F.upper(F.regexp_replace(text, r"\s+", " "))   # 't' separator counts as 'T'
-    shaped = (F.when(s.rlike(_ISO_SHAPE), s)
+    # whitespace runs between two digits (the date/time separator) -> one space
+    s = F.upper(F.regexp_replace(text, r"(\d)\s+(\d)", "$1 $2"))
+    shaped = (F.when(s.rlike(_ISO_SHAPE), F.regexp_replace(s, *_ISO_DAY_SPACE))
                .when(s.rlike(_DOT_SHAPE), F.regexp_replace(s, *_DOT_TO_ISO)))
     day = F.nullif(F.regexp_extract(text, _ANY_ISO_DAY, 1), F.lit(""))
     return F.coalesce(shaped.try_cast("timestamp_ntz"),

@@ -14,16 +14,20 @@ def sql_str(s: str) -> str:
 
 
 def parse_ts_sql(x: str) -> str:
-    s = f"upper(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    s = f"upper(regexp_replace({x}, '(\\d)\\s+(\\d)', '\\1 \\2', 'g'))"
+    day = r"(\d{1,2}| [1-9])"
+    tm = r"\d{1,2}:\d{1,2}:\d{1,2}"
+    iso = f"regexp_replace({s}, '^(\\d{{4}}-\\d{{1,2}}-) ', '\\1')"
+    dot = f"regexp_replace({s}, '^ ?(\\d{{1,2}})\\.(\\d{{1,2}})\\.(\\d{{4}})', '\\3-\\2-\\1')"
     shapes = [
-        (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$", "%Y-%m-%dT%H:%M:%S"),
-        (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "%Y-%m-%d %H:%M:%S"),
-        (r"^\d{4}-\d{1,2}-\d{1,2}$", "%Y-%m-%d"),
-        (r"^\d{1,2}\.\d{1,2}\.\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "%d.%m.%Y %H:%M:%S"),
-        (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "%d.%m.%Y"),
+        (rf"^\d{{4}}-\d{{1,2}}-{day}T{tm}$", iso, "%Y-%m-%dT%H:%M:%S"),
+        (rf"^\d{{4}}-\d{{1,2}}-{day} {tm}$", iso, "%Y-%m-%d %H:%M:%S"),
+        (rf"^\d{{4}}-\d{{1,2}}-{day}$", iso, "%Y-%m-%d"),
+        (rf"^{day}\.\d{{1,2}}\.\d{{4}} {tm}$", dot, "%Y-%m-%d %H:%M:%S"),
+        (rf"^{day}\.\d{{1,2}}\.\d{{4}}$", dot, "%Y-%m-%d"),
     ]
-    parts = [f"CASE WHEN regexp_matches({s}, '{rx}') THEN try_strptime({s}, '{fmt}') END"
-             for rx, fmt in shapes]
+    parts = [f"CASE WHEN regexp_matches({s}, '{rx}') THEN try_strptime({norm}, '{fmt}') END"
+             for rx, norm, fmt in shapes]
     parts.append(f"try_strptime(NULLIF(regexp_extract({x}, '(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1), ''),"
                  " '%Y-%m-%d')")
     return "CAST(COALESCE(" + ", ".join(parts) + ") AS TIMESTAMP)"

@@ -40,6 +40,8 @@ def texts(n=2000, seed=7):
         y = str(rnd.choice([1999, 2000, 2024, 2025]))
         mo = part(0, 13, rnd.random() < 0.7)
         d = part(0, 32, rnd.random() < 0.7)
+        if rnd.random() < 0.1:
+            d = " " + str(rnd.randint(1, 9))
         h, mi, s = part(0, 24, True), part(0, 60, rnd.random() < 0.8), part(0, 61, True)
         sep = rnd.choice(["T", " ", "  ", "\t", "t"])
         tail = rnd.choice(["", "", "", "+03:00", ".123456", "Z", " x"])
@@ -67,3 +69,16 @@ def test_parse_matches_strptime(spark):
     got = {r.i: r.p for r in df.select("i", parse_ts(F.col("t")).alias("p")).collect()}
     bad = [(t, got[i], expected(t)) for i, t in enumerate(data) if got[i] != expected(t)]
     assert not bad, bad[:10]
+
+
+def test_oracle_parse_matches_strptime():
+    import duckdb
+
+    from skyfare.plans.oracle_base import parse_ts_sql
+    data = texts()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(i INT, s VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(data)))
+    got = dict(con.execute("SELECT i, " + parse_ts_sql("s") + " FROM t").fetchall())
+    bad = [(t, got[i], expected(t)) for i, t in enumerate(data) if got[i] != expected(t)]
+    assert not bad, bad[:10]
