@@ -22,7 +22,7 @@ from ..config import DEFAULT, RunConfig
 from ..functions.lookup import with_airline_info  # noqa: F401  (re-export)
 from ..operators import dims, fact, marts, scd2
 from ..operators.joins import bounded_broadcast
-from ..session import new_run_dir
+from ..session import app_id, new_run_dir
 from ..sources import feeds, fixture, landing
 
 MARTS = ["mart_route_analysis", "mart_airline_performance", "mart_temporal_patterns",
@@ -265,7 +265,7 @@ _CACHE_LOCK = threading.Lock()
 
 def warehouse(spark: SparkSession, sf_dir: str, cfg: RunConfig = DEFAULT) -> Warehouse:
     """The warehouse of this session for ``sf_dir`` (built lazily, once)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
+    key = (app_id(spark), sf_dir.rstrip("/"), cfg)
     with _CACHE_LOCK:
         wh = _CACHE.get(key)
         if wh is None:

@@ -33,11 +33,22 @@ def build_session(master: str | None = None, app: str = "skyfare",
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001
+        pass
     shared_root(spark)
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id (also on sessions without a SparkContext handle)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001  (e.g. a Spark Connect session)
+        return spark.conf.get("spark.app.id", None) or f"session-{id(spark):x}"
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder for materialised layers and checkpoints.
 
@@ -46,17 +57,22 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        try:
+            root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="skyfare-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # noqa: BLE001
+        pass
     return root.rstrip("/")
 
 
 def new_run_dir(spark: SparkSession, name: str = "run") -> str:
     """A fresh folder per run under the shared root; never reused.  Spark's
     writers create it (local, HDFS or object-store URIs alike)."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_root(spark)}/skyfare/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_root(spark)}/skyfare/{app_id(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -44,37 +44,46 @@ def parse_objects(landing: DataFrame, fields: list[str]) -> DataFrame:
 
     The envelope is read with ``from_json`` (a malformed body lands in
     ``_corrupt_record``); ``data`` is kept as text and split into a map of
-    entry texts, so each ticket is later parsed as its own small VARIANT
-    rather than as a slice of the whole document."""
+    entry texts (JSON order kept), so each ticket is later parsed as its own
+    small VARIANT rather than as a slice of the whole document.  ``_bad``
+    is the 1-based position of the first entry that is not an object (0 if
+    none)."""
     env = F.from_json(F.col("body"), OBJECT_SCHEMA,
                       {"columnNameOfCorruptRecord": "_corrupt_record"})
+    not_object = F.transform(F.map_values(F.col("_m")),
+                             lambda x: F.coalesce(~F.ltrim(x).startswith("{"), F.lit(True)))
     return (landing.withColumn("_o", env)
                    .withColumn("_m", F.from_json(F.col("_o.data"), "map<string,string>"))
-                   .withColumn("status", object_status(F.col("body"), F.col("_o"), F.col("_m"))))
+                   .withColumn("_bad", F.coalesce(F.array_position(not_object, True), F.lit(0)))
+                   .withColumn("status", object_status(F.col("body"), F.col("_o"), F.col("_m"),
+                                                       F.col("_bad"))))
 
 
-def object_status(body: Column, env: Column, entries_: Column) -> Column:
-    """Why a response object is skipped ('ok' if it is not).  An entry
-    that is not an object fails its whole request, as in the source."""
-    not_object = F.exists(F.map_values(entries_), lambda x: ~F.ltrim(x).startswith("{"))
+def object_status(body: Column, env: Column, entries_: Column, bad: Column) -> Column:
+    """Why a response object is skipped ('ok' if it is not).
+
+    An entry that is not an object stops the source's loop over ``data``:
+    the entries before it were already taken, the rest of that request is
+    lost ('bad_entry', partially loaded)."""
     return (F.when(body.isNull() | (F.trim(body) == ""), "empty_body")
              .when(env.isNull() | env["_corrupt_record"].isNotNull(), "broken_json")
              .when(~F.coalesce(env["success"], F.lit(False)), "not_success")
              .when(env["data"].isNull(), "no_data")
              .when(entries_.isNull(), "data_not_object")
-             .when(not_object, "bad_entry")
+             .when(bad > 0, "bad_entry")
              .otherwise("ok"))
 
 
 def entries(parsed: DataFrame, key_name: str, fields: list[str]) -> DataFrame:
-    """One row per ``data`` entry of the good objects: (key, ticket struct
-    of VARIANT fields; a missing field is NULL, a JSON null a VARIANT null)."""
-    ok = parsed.where(F.col("status") == "ok")
+    """One row per taken ``data`` entry: (key, ticket struct of VARIANT
+    fields; a missing field is NULL, a JSON null a VARIANT null)."""
+    ok = parsed.where(F.col("status").isin("ok", "bad_entry"))
     cur = F.coalesce(F.col("_o.currency"), F.lit(fixed.DEFAULT_CURRENCY))
-    e = ok.select("origin", "destination", "month", cur.alias("currency"),
-                  F.explode("_m").alias(key_name, "_txt"))
+    e = (ok.select("origin", "destination", "month", cur.alias("currency"), "_bad",
+                   F.posexplode("_m").alias("_pos", key_name, "_txt"))
+           .where((F.col("_bad") == 0) | (F.col("_pos") < F.col("_bad") - 1)))
     t = F.try_variant_get(F.try_parse_json(F.col("_txt")), "$", _ticket_struct(fields))
-    return e.withColumn("_t", t).drop("_txt")
+    return e.withColumn("_t", t).drop("_txt", "_pos", "_bad")
 
 
 # ---- per-field helpers ---------------------------------------------------

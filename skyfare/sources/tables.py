@@ -19,7 +19,7 @@ def spread(df: DataFrame) -> DataFrame:
     it runs on every core.  A scan of many files already has more partitions
     than cores and passes through untouched."""
     try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
+        cores = df.sparkSession.sparkContext.defaultParallelism  # classic sessions only
         parts = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001  (no RDD access, e.g. a Connect session)
         return df

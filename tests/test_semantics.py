@@ -108,9 +108,12 @@ def test_bad_entry_fails_object_and_null_text_renders_none(spark):
     from skyfare.sources.landing import FIELDS, extract_grouped_prices, parse_objects
     good = json.dumps({"success": True, "data": {"2025-12-01": {"airline": None, "flight_number": 7,
                                                                   "price": 100}}})
-    bad = json.dumps({"success": True, "data": {"2025-12-01": {"price": 1}, "2025-12-02": 5}})
+    bad = json.dumps({"success": True, "data": {"2025-12-03": {"price": 1}, "2025-12-04": 5,
+                                                "2025-12-05": {"price": 2}}})
     land = _landing(spark, [good, bad])
     st = sorted(r[0] for r in parse_objects(land, FIELDS["grouped_prices"]).select("status").collect())
     assert st == ["bad_entry", "ok"]
-    r = extract_grouped_prices(land, "2025-12-01 00:00:00").collect()
-    assert len(r) == 1 and r[0]["ticket_id"] == "None_7_LED" and r[0]["airline"] is None
+    r = {x["departure_date"]: x for x in extract_grouped_prices(land, "2025-12-01 00:00:00").collect()}
+    # entries before the first non-object entry are kept, the rest is lost
+    assert sorted(r) == ["2025-12-01", "2025-12-03"]
+    assert r["2025-12-01"]["ticket_id"] == "None_7_LED" and r["2025-12-01"]["airline"] is None
