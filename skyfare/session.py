@@ -26,6 +26,9 @@ def build_session(master: str | None = None, app: str = "skyfare",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        # a feed object with a repeated key keeps the last value (as a JSON
+        # decoder building a dict does) instead of failing the job
+        "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
