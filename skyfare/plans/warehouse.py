@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, RunConfig
-from ..functions.lookup import with_airline_info  # noqa: F401  (re-export)
+from ..functions.lookup import with_airline_info
 from ..operators import dims, fact, marts, scd2
 from ..operators.joins import bounded_broadcast
 from ..session import app_id, new_run_dir
@@ -134,7 +134,7 @@ class Warehouse:
         ods = self.read("ods_cheap_tickets")
         codes = self.write("ods_airline_codes", scd2.source_codes(ods), count=True)
         empty = scd2.empty_dim(self.spark)
-        src_prev = scd2.with_airline_info(codes, self.lookup(previous=True),
+        src_prev = with_airline_info(codes, self.lookup(previous=True),
                                           hint=self.hint("airline_lookup_previous"))
         v1 = scd2.scd2_initial(empty, src_prev, self.cfg.prev_batch_ts, dim_rows=0)
         v1 = self.write("dim_airline", v1, count=True)
@@ -142,7 +142,7 @@ class Warehouse:
                                                        hint=self.hint("dim_airline")),
                         count=True)
         self.paths["dim_airline_previous"] = self.paths["dim_airline"]
-        src = scd2.with_airline_info(codes, self.lookup(previous=False),
+        src = with_airline_info(codes, self.lookup(previous=False),
                                      hint=self.hint("airline_lookup"))
         self.write("scd2_source", src, count=True)
         self.write("dim_airline", scd2.scd2_merge(v1, self.read("scd2_source"),

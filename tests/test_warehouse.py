@@ -183,3 +183,48 @@ def test_frozen_routes(spark):
     ods2 = spark.createDataFrame([("B", "A")], "origin string, destination string")
     assert dim_route(ods2, ap, existing=r1, frozen=True).count() == 1
     assert dim_route(ods2, ap, existing=r1).count() == 2
+
+
+def test_stream_second_run_appends_only_new_files(spark):
+    """Two scheduled runs: the second picks up only the files that arrived
+    since the first (the checkpoint remembers consumed files)."""
+    from skyfare.session import new_run_dir
+    from skyfare.sources.feeds import read_landing
+    from skyfare.streaming.incremental import run_available_now
+    w = warehouse(spark, SF_SMALL)
+    land = read_landing(spark, w.landing_path("grouped_prices"))
+    run = new_run_dir(spark, "stream-test")
+    first = land.where("origin < 'NATION_5'")
+    second = land.where("origin >= 'NATION_5'")
+    first.write.json(f"{run}/landing")
+    from skyfare.config import DEFAULT
+    run_available_now(spark, f"{run}/landing", f"{run}/sink", f"{run}/ckpt", DEFAULT.batch_ts)
+    n1 = spark.read.parquet(f"{run}/sink").count()
+    second.write.mode("append").json(f"{run}/landing")
+    run_available_now(spark, f"{run}/landing", f"{run}/sink", f"{run}/ckpt", DEFAULT.batch_ts)
+    out = spark.read.parquet(f"{run}/sink")
+    from skyfare.plans.registry import QUERIES
+    batch = QUERIES["ingest_to_ods"](spark, SF_SMALL)
+    assert 0 < n1 < out.count() == batch.count()
+    assert out.exceptAll(batch).count() == 0
+
+
+def test_fact_load_with_a_hot_key(spark):
+    """A third of all rows share one flight id: one winner, the rest are
+    duplicate rejects; the aggregate collapses them map-side."""
+    from skyfare.operators.dims import dim_date
+    rows = [(f"t{i}", "A", "B", "2025-12-01", 100.0 + i, "SU", 0, 60,
+             f"2025-11-01T00:00:{i % 60:02d}") for i in range(200)]
+    rows += [("hot", "A", "B", "2025-12-02", 50.0 + i, "SU", 1, 60, "2025-11-02T00:00:00")
+             for i in range(100)]
+    ods = spark.createDataFrame(rows, "ticket_id string, origin string, destination string, "
+                                "departure_at string, price double, airline string, "
+                                "transfers int, duration int, extracted_at string").repartition(8)
+    routes = spark.createDataFrame([("A", "B", 1)], "origin string, destination string, route_id int")
+    air = spark.createDataFrame([("SU", 7)], "airline_bk string, airline_sk bigint")
+    cal = dim_date(spark, dt.date(2025, 1, 1), dt.date(2025, 12, 31))
+    out = fact.outcomes(fact.stage(ods, routes, air, cal, T0)).cache()
+    f = {r.flight_id: r for r in fact.fact_from_outcomes(out).collect()}
+    assert len(f) == 201 and float(f["hot"].price) == 50.0
+    rej = fact.rejects_from_outcomes(out).collect()
+    assert [(r.flight_id, r.reject_reason, r.n_rows) for r in rej] == [("hot", "duplicate_key", 99)]
