@@ -32,7 +32,10 @@ FIELDS = {
 }
 
 
-OBJECT_SCHEMA = "success boolean, currency string, data string, _corrupt_record string"
+# the envelope is read as a map of raw member texts: one parse per body,
+# members looked up by key (struct field access on a JSON parse would be
+# rewritten into one pruned parse per accessed field)
+ENVELOPE = "map<string,string>"
 
 
 def _ticket_struct(fields: list[str]) -> str:
@@ -42,18 +45,16 @@ def _ticket_struct(fields: list[str]) -> str:
 def parse_objects(landing: DataFrame, fields: list[str]) -> DataFrame:
     """Split each response into its envelope and ``data`` entries.
 
-    The envelope is read with ``from_json`` (a malformed body lands in
-    ``_corrupt_record``); ``data`` is kept as text and split into a map of
-    entry texts (JSON order kept), so each ticket is later parsed as its own
-    small VARIANT rather than as a slice of the whole document.  ``_bad``
-    is the 1-based position of the first entry that is not an object (0 if
-    none)."""
-    env = F.from_json(F.col("body"), OBJECT_SCHEMA,
-                      {"columnNameOfCorruptRecord": "_corrupt_record"})
+    The envelope is a map of member texts (NULL for a body that is not a
+    JSON object); ``data`` is split into a map of entry texts (JSON order
+    kept), so each ticket is later parsed as its own small VARIANT rather
+    than as a slice of the whole document.  ``_bad`` is the 1-based position
+    of the first entry that is not an object (0 if none)."""
+    env = F.from_json(F.col("body"), ENVELOPE)
     not_object = F.transform(F.map_values(F.col("_m")),
                              lambda x: F.coalesce(~F.ltrim(x).startswith("{"), F.lit(True)))
     return (landing.withColumn("_o", env)
-                   .withColumn("_m", F.from_json(F.col("_o.data"), "map<string,string>"))
+                   .withColumn("_m", F.from_json(F.col("_o")["data"], "map<string,string>"))
                    .withColumn("_bad", F.coalesce(F.array_position(not_object, True), F.lit(0)))
                    .withColumn("status", object_status(F.col("body"), F.col("_o"), F.col("_m"),
                                                        F.col("_bad"))))
@@ -66,8 +67,8 @@ def object_status(body: Column, env: Column, entries_: Column, bad: Column) -> C
     the entries before it were already taken, the rest of that request is
     lost ('bad_entry', partially loaded)."""
     return (F.when(body.isNull() | (F.trim(body) == ""), "empty_body")
-             .when(env.isNull() | env["_corrupt_record"].isNotNull(), "broken_json")
-             .when(~F.coalesce(env["success"], F.lit(False)), "not_success")
+             .when(env.isNull(), "broken_json")
+             .when(~F.coalesce(env["success"] == "true", F.lit(False)), "not_success")
              .when(env["data"].isNull(), "no_data")
              .when(entries_.isNull(), "data_not_object")
              .when(bad > 0, "bad_entry")
@@ -76,12 +77,16 @@ def object_status(body: Column, env: Column, entries_: Column, bad: Column) -> C
 
 def entries(parsed: DataFrame, key_name: str, fields: list[str]) -> DataFrame:
     """One row per taken ``data`` entry: (key, ticket struct of VARIANT
-    fields; a missing field is NULL, a JSON null a VARIANT null)."""
-    ok = parsed.where(F.col("status").isin("ok", "bad_entry"))
-    cur = F.coalesce(F.col("_o.currency"), F.lit(fixed.DEFAULT_CURRENCY))
-    e = (ok.select("origin", "destination", "month", cur.alias("currency"), "_bad",
-                   F.posexplode("_m").alias("_pos", key_name, "_txt"))
-           .where((F.col("_bad") == 0) | (F.col("_pos") < F.col("_bad") - 1)))
+    fields; a missing field is NULL, a JSON null a VARIANT null).
+
+    Skipped objects explode a NULL map (no rows) rather than being filtered:
+    a filter on ``status`` would be pushed below the projections and repeat
+    the JSON parses inside its condition."""
+    taken = F.when(F.col("status").isin("ok", "bad_entry"), F.col("_m"))
+    cur = F.coalesce(F.col("_o")["currency"], F.lit(fixed.DEFAULT_CURRENCY))
+    e = (parsed.select("origin", "destination", "month", cur.alias("currency"), "_bad",
+                       F.posexplode(taken).alias("_pos", key_name, "_txt"))
+               .where((F.col("_bad") == 0) | (F.col("_pos") < F.col("_bad") - 1)))
     t = F.try_variant_get(F.try_parse_json(F.col("_txt")), "$", _ticket_struct(fields))
     return e.withColumn("_t", t).drop("_txt", "_pos", "_bad")
 

@@ -1,12 +1,19 @@
 """Incremental feed -> ODS append as a Structured Streaming job.
 
 The source system re-ran the whole extract every six hours and appended.
-Here new landing files are picked up by a file-source stream; each
-micro-batch is parsed, normalised and appended to the ODS parquet sink.
-The checkpoint (in the shared folder) records which files were consumed,
-so a restarted job neither drops nor repeats a file, and an executor lost
-mid-batch only re-runs that batch.  ``trigger(availableNow=True)`` drains
-what has arrived and stops, which is what a scheduler calls every six hours.
+Here new landing files are picked up by a file-source stream and each
+micro-batch is processed like a batch layer build:
+
+1. the parsed extract of the batch is written (so the JSON is parsed once;
+   the later filters read materialised columns),
+2. good rows, normalised, are written to the ODS,
+3. rejected rows and skipped objects are written to the quarantine.
+
+Every write goes to a ``batch_id=<id>`` folder with overwrite, so a batch
+replayed after a failure replaces its own output: together with the
+checkpoint (which records consumed files) a run neither drops nor repeats
+a file.  ``trigger(availableNow=True)`` drains what has arrived and stops,
+which is what a scheduler calls every six hours.
 """
 
 from __future__ import annotations
@@ -14,27 +21,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.feeds import LANDING_SCHEMA
-from ..sources.landing import extract_grouped_prices, normalize_tickets, to_store
+from ..sources.landing import (FIELDS, extract_grouped_prices, normalize_tickets,
+                               parse_objects, quarantine, to_store)
 
 
-def tickets_stream(spark: SparkSession, landing_dir: str, batch_ts: str,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(LANDING_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    landing = reader.json(landing_dir)
-    return to_store(normalize_tickets(extract_grouped_prices(landing, batch_ts), batch_ts))
+def _process_batch(out_dir: str, batch_ts: str):
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        part = f"batch_id={batch_id}"
+        # one micro-batch (bounded by the files of one trigger) feeds two
+        # writes: keep it instead of re-reading the files
+        batch = batch.persist()
+        ext_path = f"{out_dir}/_extract/{part}"
+        extract_grouped_prices(batch, batch_ts).write.mode("overwrite").parquet(ext_path)
+        ext = spark.read.parquet(ext_path)
+        (to_store(normalize_tickets(ext, batch_ts))
+         .write.mode("overwrite").parquet(f"{out_dir}/ods/{part}"))
+        (quarantine("grouped_prices", parse_objects(batch, FIELDS["grouped_prices"]), ext,
+                    "departure_date")
+         .write.mode("overwrite").parquet(f"{out_dir}/quarantine/{part}"))
+        batch.unpersist()
+    return run
 
 
-def run_available_now(spark: SparkSession, landing_dir: str, sink_dir: str,
+def run_available_now(spark: SparkSession, landing_dir: str, out_dir: str,
                       checkpoint_dir: str, batch_ts: str,
                       max_files_per_trigger: int | None = None) -> int:
-    """Append every landing file not yet consumed; returns the number of
+    """Process every landing file not yet consumed; returns the number of
     micro-batches run."""
-    q = (tickets_stream(spark, landing_dir, batch_ts, max_files_per_trigger)
-         .writeStream.format("parquet").outputMode("append")
-         .option("path", sink_dir).option("checkpointLocation", checkpoint_dir)
+    reader = spark.readStream.schema(LANDING_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    q = (reader.json(landing_dir).writeStream
+         .foreachBatch(_process_batch(out_dir, batch_ts))
+         .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    n = len(q.recentProgress)
-    return n
+    return len(q.recentProgress)
+
+
+def read_ods(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The ODS rows appended by all runs so far."""
+    return spark.read.parquet(f"{out_dir}/ods").drop("batch_id")
+
+
+def read_quarantine(spark: SparkSession, out_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{out_dir}/quarantine").drop("batch_id")

@@ -190,7 +190,7 @@ def test_stream_second_run_appends_only_new_files(spark):
     since the first (the checkpoint remembers consumed files)."""
     from skyfare.session import new_run_dir
     from skyfare.sources.feeds import read_landing
-    from skyfare.streaming.incremental import run_available_now
+    from skyfare.streaming.incremental import read_ods, read_quarantine, run_available_now
     w = warehouse(spark, SF_SMALL)
     land = read_landing(spark, w.landing_path("grouped_prices"))
     run = new_run_dir(spark, "stream-test")
@@ -198,11 +198,12 @@ def test_stream_second_run_appends_only_new_files(spark):
     second = land.where("origin >= 'NATION_5'")
     first.write.json(f"{run}/landing")
     from skyfare.config import DEFAULT
-    run_available_now(spark, f"{run}/landing", f"{run}/sink", f"{run}/ckpt", DEFAULT.batch_ts)
-    n1 = spark.read.parquet(f"{run}/sink").count()
+    run_available_now(spark, f"{run}/landing", f"{run}/out", f"{run}/ckpt", DEFAULT.batch_ts)
+    n1 = read_ods(spark, f"{run}/out").count()
     second.write.mode("append").json(f"{run}/landing")
-    run_available_now(spark, f"{run}/landing", f"{run}/sink", f"{run}/ckpt", DEFAULT.batch_ts)
-    out = spark.read.parquet(f"{run}/sink")
+    run_available_now(spark, f"{run}/landing", f"{run}/out", f"{run}/ckpt", DEFAULT.batch_ts)
+    out = read_ods(spark, f"{run}/out")
+    assert read_quarantine(spark, f"{run}/out").count() > 0
     from skyfare.plans.registry import QUERIES
     batch = QUERIES["ingest_to_ods"](spark, SF_SMALL)
     assert 0 < n1 < out.count() == batch.count()
