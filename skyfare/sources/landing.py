@@ -309,10 +309,12 @@ def to_store(norm: DataFrame) -> DataFrame:
 def quarantine(feed: str, landing_parsed: DataFrame, extracted: DataFrame,
                key_col: str) -> DataFrame:
     """Object-level skips and row-level cast failures of one feed."""
-    objs = (landing_parsed.where(F.col("status") != "ok")
-            .select(F.lit(feed).alias("feed"), "origin", "destination", "month",
-                    F.lit(None).cast("string").alias("entry_key"),
-                    F.col("status").alias("reason")))
+    # one row per object not fully loaded; a generator rather than a filter
+    # on ``status`` keeps the JSON parses out of a pushed-down condition
+    skipped = F.when(F.col("status") != "ok", F.array(F.col("status")))
+    objs = landing_parsed.select(F.lit(feed).alias("feed"), "origin", "destination", "month",
+                                 F.lit(None).cast("string").alias("entry_key"),
+                                 F.explode(skipped).alias("reason"))
     dest = F.col("destination")
     month = F.col("month") if "month" in extracted.columns else F.lit(None).cast("string")
     origin = F.col("origin") if feed != "grouped_prices" else F.split(F.col("route"), "-")[0]
