@@ -72,14 +72,14 @@ def dim_route(ods: DataFrame, airports: DataFrame,
     d = ap.select(F.col("airport_id").alias("destination_airport_id"),
                   F.col("airport_code").alias("destination"))
     pairs = route_pairs(ods).join(o, "origin").join(d, "destination")
-    base = 0
+    base = F.lit(0)
     if existing is not None:
         pairs = pairs.join(existing.select("origin_airport_id", "destination_airport_id"),
                            ["origin_airport_id", "destination_airport_id"], "left_anti")
-        base = existing.agg(F.coalesce(F.max("route_id"), F.lit(0))).first()[0]
+        base = existing.select(F.coalesce(F.max("route_id"), F.lit(0))).scalar()
     w = Window.orderBy("origin", "destination")
     new = pairs.select(
-        (F.lit(base) + F.row_number().over(w)).cast("int").alias("route_id"),
+        (base + F.row_number().over(w)).cast("int").alias("route_id"),
         F.col("origin_airport_id").cast("int"),
         F.col("destination_airport_id").cast("int"),
         F.lit(None).cast("int").alias("distance_km"),

@@ -80,7 +80,8 @@ def scd2_merge(dim: DataFrame, source: DataFrame, batch_ts: str, hint=F.broadcas
     from ``max(airline_sk)`` in code order.
     """
     ch = scd2_changes(dim, source).where(F.col("status") != "unchanged")
-    max_sk = dim.agg(F.coalesce(F.max("airline_sk"), F.lit(0))).first()[0]
+    # highest key so far, as an uncorrelated scalar subquery (no driver trip)
+    max_sk = dim.select(F.coalesce(F.max("airline_sk"), F.lit(0)).cast("bigint")).scalar()
     closing = (ch.where(F.col("status") == "updated")
                  .select(F.col("cur_sk").alias("airline_sk"), F.lit(True).alias("_close")))
     kept = (dim.join(hint(closing), "airline_sk", "left")
@@ -91,7 +92,7 @@ def scd2_merge(dim: DataFrame, source: DataFrame, batch_ts: str, hint=F.broadcas
                         .alias("is_current")))
     w = Window.orderBy("airline_bk")
     inserted = ch.select(
-        (F.lit(max_sk) + F.row_number().over(w)).cast("bigint").alias("airline_sk"),
+        (max_sk + F.row_number().over(w)).cast("bigint").alias("airline_sk"),
         "airline_bk", "airline_name", "country",
         _ts(batch_ts).alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
