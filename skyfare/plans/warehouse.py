@@ -24,16 +24,19 @@ from ..operators import dims, fact, marts, scd2
 from ..operators.joins import bounded_broadcast
 from ..session import app_id, new_run_dir
 from ..sources import feeds, fixture, landing
+from .inputs import FixtureInputs, LandingInputs
 
 MARTS = ["mart_route_analysis", "mart_airline_performance", "mart_temporal_patterns",
          "mart_flight_type_analysis", "mart_price_summary"]
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: RunConfig = DEFAULT):
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: RunConfig = DEFAULT,
+                 inputs=None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.cfg = cfg
+        self.inputs = inputs if inputs is not None else FixtureInputs()
         self.run_dir = new_run_dir(spark, "warehouse")
         self.paths: dict[str, str] = {}
         self.versions: dict[str, int] = {}
@@ -92,13 +95,19 @@ class Warehouse:
     def _build_fixture_lines(self):
         self.write("fixture_lines", fixture.joined_lines(self.spark, self.sf_dir))
 
+    @classmethod
+    def from_landing(cls, spark: SparkSession, landing_dir: str,
+                     cfg: RunConfig = DEFAULT) -> "Warehouse":
+        """A warehouse fed by grouped-prices landing files (fixed airports,
+        airline lookup and snapshot)."""
+        return cls(spark, landing_dir, cfg, inputs=LandingInputs(landing_dir))
+
     def _build_ods_cheap_tickets(self):
-        self.write("ods_cheap_tickets", fixture.ods_tickets(
-            self.spark, self.sf_dir, self.cfg, lines=self.read("fixture_lines")))
+        self.write("ods_cheap_tickets", self.inputs.ods(self))
 
     # ---- dimensions --------------------------------------------------------
     def _build_dim_airport(self):
-        self.write("dim_airport", fixture.airports(self.spark, self.sf_dir, self.cfg), count=True)
+        self.write("dim_airport", self.inputs.airports(self), count=True)
 
     def _build_dim_flight_type(self):
         self.write("dim_flight_type", dims.dim_flight_type(self.spark), count=True)
@@ -113,16 +122,15 @@ class Warehouse:
                                                hint=self.hint("dim_airport")), count=True)
 
     def _build_dim_airline_snapshot(self):
-        self.write("dim_airline_snapshot",
-                   fixture.airline_snapshot(self.spark, self.sf_dir, self.cfg), count=True)
+        self.write("dim_airline_snapshot", self.inputs.snapshot(self), count=True)
 
     def _build_airline_lookup(self):
-        self.write("airline_lookup", fixture.airline_lookup(
-            self.spark, self.sf_dir, self.cfg, previous=False), count=True)
+        self.write("airline_lookup", self.inputs.lookup(self, previous=False), count=True)
 
     def _build_airline_lookup_previous(self):
-        self.write("airline_lookup_previous", fixture.airline_lookup(
-            self.spark, self.sf_dir, self.cfg, previous=True), count=True)
+        prev = self.inputs.lookup(self, previous=True)
+        self.write("airline_lookup_previous",
+                   prev if prev is not None else self.read("airline_lookup"), count=True)
 
     def lookup(self, previous: bool = False) -> DataFrame:
         return self.read("airline_lookup_previous" if previous else "airline_lookup")
@@ -130,7 +138,9 @@ class Warehouse:
     def _build_dim_airline(self):
         """Two SCD2 runs over the ODS: the earlier one with the previous
         lookup release (initial load, then an update that finds nothing),
-        the current one with today's lookup."""
+        the current one with today's lookup.  Inputs without a previous
+        release replay the current lookup, so the second run changes
+        nothing."""
         ods = self.read("ods_cheap_tickets")
         codes = self.write("ods_airline_codes", scd2.source_codes(ods), count=True)
         empty = scd2.empty_dim(self.spark)

@@ -229,3 +229,46 @@ def test_fact_load_with_a_hot_key(spark):
     assert len(f) == 201 and float(f["hot"].price) == 50.0
     rej = fact.rejects_from_outcomes(out).collect()
     assert [(r.flight_id, r.reject_reason, r.n_rows) for r in rej] == [("hot", "duplicate_key", 99)]
+
+
+def test_warehouse_from_landing_files(spark):
+    """The warehouse built from fare-feed JSON with the fixed airports and
+    airline lookup, as a user of the source system would run it."""
+    import json
+
+    from skyfare.config import RunConfig
+    from skyfare.plans.warehouse import Warehouse
+    from skyfare.session import new_run_dir
+
+    def t(airline, fn, dep, price, transfers, duration):
+        return {"origin": "MOW", "airline": airline, "flight_number": fn, "departure_at": dep,
+                "price": price, "transfers": transfers, "duration": duration}
+    objs = [
+        ("MOW", "LED", {"2025-12-01": t("SU", 1448, "2025-12-01T10:00:00", 5000, 0, 90),
+                        "2025-12-02": t("SU", 1448, "2025-12-02T10:00:00", 5500, 0, 90),
+                        "2025-12-03": t("DP", 6001, "2025-12-03T07:00:00", 3900, 1, 150)}),
+        ("MOW", "AER", {"2025-12-05": t("XX", 7, "2025-12-05T12:00:00", 12000, 2, 400)}),
+        ("MOW", "IST", {"2025-12-06": t("TK", 414, "2025-12-06 09:15:00", 23000, 0, 240)}),
+    ]
+    run = new_run_dir(spark, "landing-test")
+    rows = [(o, d, "2025-12", json.dumps({"success": True, "currency": "rub", "data": data}))
+            for o, d, data in objs]
+    spark.createDataFrame(rows, "origin string, destination string, month string, body string") \
+         .write.json(f"{run}/landing")
+    cfg = RunConfig(calendar_start=dt.date(2020, 1, 1), calendar_end=dt.date(2025, 12, 31),
+                    as_of=dt.date(2025, 12, 15))
+    w = Warehouse.from_landing(spark, f"{run}/landing", cfg).build_all()
+    fact_rows = {r.flight_id: r for r in w.read("fact_flights").collect()}
+    assert sorted(fact_rows) == ["DP_6001_LED", "SU_1448_LED", "TK_414_IST", "XX_7_AER"]
+    assert float(fact_rows["SU_1448_LED"].price) == 5000.0          # first departure wins
+    assert w.read("dim_date").count() == 2192
+    routes = {(r.origin_city, r.dest_city): r.total_flights
+              for r in w.read("mart_route_analysis").collect()}
+    assert routes == {("Moscow", "Saint Petersburg"): 2, ("Moscow", "Sochi"): 1,
+                      ("Moscow", "Istanbul"): 1}
+    airlines = {r.airline_code: (r.airline_name, r.country)
+                for r in w.read("mart_airline_performance").collect()}
+    assert airlines == {"SU": ("Aeroflot", "Russia"), "DP": ("Pobeda", "Russia"),
+                        "TK": ("Turkish Airlines", "Turkey"), "XX": ("XX", "Unknown")}
+    summary = w.read("mart_price_summary").first()
+    assert summary.total_flights == 4
