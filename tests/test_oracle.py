@@ -28,3 +28,22 @@ def test_entry_runs(spark):
     rows = df.collect()
     assert df.columns == ["type_category", "flight_type_id", "flights", "avg_price"]
     assert len(rows) == 3
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def test_column_types_match_oracle(spark):
+    import __spark_entry__ as E
+    from tests.oracle_compare import duck
+    con = duck(SF_SMALL)
+    bad = []
+    for name, sql in E.oracle_sql().items():
+        schema = E.queries()[name](spark, SF_SMALL).schema
+        desc = {d[0]: str(d[1]) for d in con.execute(sql).description}
+        for f in schema.fields:
+            t = f.dataType.simpleString()
+            if desc.get(f.name) != SPARK_TO_DUCK.get(t, t.upper()):
+                bad.append((name, f.name, t, desc.get(f.name)))
+    assert not bad, bad
