@@ -259,6 +259,28 @@ class Warehouse:
             self.read(n).createOrReplaceTempView(n)
         return names
 
+    def publish(self, database: str = "skyfare", names: list[str] | None = None) -> list[str]:
+        """Catalog tables over the current version of each layer.
+
+        A table that does not exist yet is created over the version's folder
+        (create-if-absent, checked with ``spark.catalog.tableExists``); an
+        existing one is switched to the new folder with ``ALTER TABLE ...
+        SET LOCATION`` -- a full refresh that never rewrites the files a
+        reader may be scanning."""
+        names = names or (["ods_cheap_tickets", "dim_date", "dim_airport", "dim_route",
+                           "dim_flight_type", "dim_airline", "fact_flights"] + MARTS)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for n in names:
+            self.read(n)
+            path = self.paths[n].replace("'", "''")
+            table = f"{database}.{n}"
+            if self.spark.catalog.tableExists(table):
+                self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+                self.spark.sql(f"REFRESH TABLE {table}")
+            else:
+                self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+        return [f"{database}.{n}" for n in names]
+
     def build_all(self) -> "Warehouse":
         for m in MARTS:
             self.read(m)

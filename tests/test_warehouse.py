@@ -272,3 +272,24 @@ def test_warehouse_from_landing_files(spark):
                         "TK": ("Turkish Airlines", "Turkey"), "XX": ("XX", "Unknown")}
     summary = w.read("mart_price_summary").first()
     assert summary.total_flights == 4
+
+
+def test_publish_creates_then_switches_tables(spark):
+    """Catalog tables: created when absent, switched to a new version."""
+    from skyfare.operators import scd2 as s2
+    w = warehouse(spark, SF_SMALL)
+    db = "skyfare_pub_test"
+    w.publish(db, ["dim_airline", "fact_flights"])
+    n_before = spark.sql(f"SELECT COUNT(*) FROM {db}.dim_airline").first()[0]
+    assert spark.sql(f"SELECT COUNT(*) FROM {db}.fact_flights").first()[0] == \
+        w.read("fact_flights").count()
+    # a new SCD2 version (one changed airline) is written next to the old one
+    saved = (w.paths["dim_airline"], w.rows["dim_airline"])
+    try:
+        src = w.read("scd2_source").orderBy("airline_bk").limit(1) \
+               .withColumn("country", F.lit("Elsewhere"))
+        w.write("dim_airline", s2.scd2_merge(w.read("dim_airline"), src, T2), count=True)
+        w.publish(db, ["dim_airline"])
+        assert spark.sql(f"SELECT COUNT(*) FROM {db}.dim_airline").first()[0] == n_before + 1
+    finally:   # versions are immutable: switching back restores the old state
+        w.paths["dim_airline"], w.rows["dim_airline"] = saved
