@@ -281,6 +281,14 @@ class Warehouse:
                 self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
         return [f"{database}.{n}" for n in names]
 
+    def unpublish(self, database: str = "skyfare") -> None:
+        """Drop the catalog tables of ``database`` (clean-up).  They are
+        external tables, so the versioned files stay where they are."""
+        if not self.spark.catalog.databaseExists(database):
+            return
+        for t in self.spark.catalog.listTables(database):
+            self.spark.sql(f"DROP TABLE IF EXISTS {database}.{t.name}")
+
     def build_all(self) -> "Warehouse":
         for m in MARTS:
             self.read(m)

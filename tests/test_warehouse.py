@@ -293,3 +293,6 @@ def test_publish_creates_then_switches_tables(spark):
         assert spark.sql(f"SELECT COUNT(*) FROM {db}.dim_airline").first()[0] == n_before + 1
     finally:   # versions are immutable: switching back restores the old state
         w.paths["dim_airline"], w.rows["dim_airline"] = saved
+    w.unpublish(db)
+    assert not spark.catalog.tableExists(f"{db}.fact_flights")
+    assert w.read("fact_flights").count() > 0          # files are kept
