@@ -187,7 +187,8 @@ class Warehouse:
                    sort_within=["date_id"])
 
     def _build_fact_cube(self):
-        self.write("fact_cube", marts.fact_cube(self.read("fact_flights")))
+        self.write("fact_cube", marts.fact_cube(self.read("fact_flights")),
+                   sort_within=["date_id"])
 
     # ---- marts (all from the cube: one fact scan for all of them) ----------
     def _build_mart_route_analysis(self):
