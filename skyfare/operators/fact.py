@@ -2,7 +2,8 @@
 
 Plan shape: ODS scan -> completeness filter -> date parsing -> broadcast
 lookups (routes, current airline versions, calendar) -> reject reason ->
-ONE hash aggregate by ``flight_id``.  That aggregate keeps, per key, the
+ONE aggregate by ``flight_id`` (sort-based, as its buffer holds a struct;
+it spills like any sort).  That aggregate keeps, per key, the
 first valid row (minimum of an ordered struct, so the choice is total and
 repeatable), the number of valid rows (duplicates = n - 1) and the number of
 rows per reject reason.  Partial aggregation runs map-side, so a hot key

@@ -10,9 +10,9 @@ Three feeds, each one JSON object per request, as the fare API returns them:
 
 A landing record is ``{"origin", "destination", "month", "body"}`` where
 ``body`` is the raw response text.  The ticket behind each map entry is the
-cheapest flight of that key (one per route and day), picked with a hash
-aggregate, so an object holds at most 31 entries (one per day of a month)
-or one per destination.
+cheapest flight of that key (one per route and day), picked with one
+aggregate that runs partially map-side, so an object holds at most 31
+entries (one per day of a month) or one per destination.
 
 Fault cases, so the parser's failure paths run over real volumes:
 
