@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, url_reputation
+from . import decontam, mixing, simhash, url_reputation
 from .common import Workspace, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,17 @@ def q_decontaminate(spark, d):
                                   Workspace(spark, "op2"))
 
 
+@register("op3_simhash")
+def q_simhash(spark, d):
+    rows = simhash.near_duplicates(read(spark, d, "documents"), Workspace(spark, "op3"))
+    return rows.select("doc_id", simhash.hex16(rows["fp"]).alias("fingerprint"), "component_id")
+
+
+@register("op5_mix_sources", mixing.mix_sql())
+def q_mix_sources(spark, d):
+    return mixing.mix(read(spark, d, "documents"), Workspace(spark, "op5"))
+
+
 @register("op10_url_reputation", url_reputation.judge_pages_sql())
 def q_url_reputation(spark, d):
     return url_reputation.judge_pages(
