@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, simhash, url_reputation
+from . import decontam, mixing, simhash, toxicity, url_reputation
 from .common import Workspace, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def q_mix_sources(spark, d):
     return mixing.mix(read(spark, d, "documents"), Workspace(spark, "op5"))
 
 
+@register("op9_toxicity")
+def q_toxicity(spark, d):
+    return toxicity.toxicity(read(spark, d, "documents"), read(spark, d, "labels"), Workspace(spark, "op9"))
+
+
 @register("op10_url_reputation", url_reputation.judge_pages_sql())
 def q_url_reputation(spark, d):
     return url_reputation.judge_pages(
