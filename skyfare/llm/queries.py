@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, simhash, toxicity, url_reputation
+from . import decontam, mixing, packing, simhash, toxicity, url_reputation
 from .common import Workspace, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,19 @@ def q_mix_sources(spark, d):
     return mixing.mix(read(spark, d, "documents"), Workspace(spark, "op5"))
 
 
+def word_bpe() -> str:
+    """The public vocabulary that token files are written with."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op6_pack_tokens")
+def q_pack_tokens(spark, d):
+    path = Workspace(spark, "op6").path("tokens")
+    packing.write_tokens(read(spark, d, "documents"), path, packing.Packing(word_bpe()))
+    return packing.document_digests(spark, path)
+
+
 @register("op9_toxicity")
 def q_toxicity(spark, d):
     return toxicity.toxicity(read(spark, d, "documents"), read(spark, d, "labels"), Workspace(spark, "op9"))
