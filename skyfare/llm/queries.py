@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, packing, simhash, toxicity, url_reputation
+from . import decontam, mixing, packing, pii, simhash, toxicity, url_reputation
 from .common import Workspace, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def q_simhash(spark, d):
     return rows.select("doc_id", simhash.hex16(rows["fp"]).alias("fingerprint"), "component_id")
 
 
+@register("op4_personal_data")
+def q_personal_data(spark, d):
+    return pii.report(read(spark, d, "documents"), Workspace(spark, "op4"))
+
+
 @register("op5_mix_sources", mixing.mix_sql())
 def q_mix_sources(spark, d):
     return mixing.mix(read(spark, d, "documents"), Workspace(spark, "op5"))
