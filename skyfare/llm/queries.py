@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, packing, pii, simhash, toxicity, url_reputation
+from . import crf, decontam, mixing, packing, pii, simhash, toxicity, url_reputation
 from .common import Workspace, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_language_id")
+def q_language_id(spark, d):
+    return crf.identify(read(spark, d, "documents"))
+
+
 @register("op2_decontaminate")
 def q_decontaminate(spark, d):
     return decontam.decontaminate(read(spark, d, "documents"), read(spark, d, "benchmark"),
