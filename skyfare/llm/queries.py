@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import crf, decontam, mixing, packing, pii, simhash, toxicity, url_reputation
+from . import covertree, crf, decontam, mixing, packing, pii, simhash, toxicity, url_reputation
 from .common import Workspace, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +63,21 @@ def q_pack_tokens(spark, d):
     return packing.document_digests(spark, path)
 
 
+@register("op8_top_k", """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id AS query_id, MIN(v) AS qv FROM v WHERE vec_id % 50 = 0 GROUP BY 1),
+s AS (SELECT query_id, vec_id, CAST(list_sum(list_transform(list_zip(qv, v),
+  lambda p: COALESCE(p[1], 0) * COALESCE(p[2], 0))) AS BIGINT) AS score FROM q, v WHERE query_id <> vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def q_top_k(spark, d):
+    rows = read(spark, d, "embeddings")
+    vectors = rows.select("vec_id", covertree.scaled(F.col("embedding")).alias("v"))
+    return covertree.top_k(vectors, F.pmod("vec_id", F.lit(50)) == 0, Workspace(spark, "op8"))
+
+
 @register("op9_toxicity")
 def q_toxicity(spark, d):
     return toxicity.toxicity(read(spark, d, "documents"), read(spark, d, "labels"), Workspace(spark, "op9"))
