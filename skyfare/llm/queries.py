@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, crf, decontam, mixing, packing, pii, simhash, toxicity, url_reputation
+from . import covertree, crf, decontam, licences, mixing, packing, pii, simhash, toxicity, url_reputation
 from .common import Workspace, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,11 @@ def q_pack_tokens(spark, d):
     return packing.document_digests(spark, path)
 
 
+@register("op7_licences")
+def q_licences(spark, d):
+    return licences.licence_report(read(spark, d, "documents"))
+
+
 @register("op8_top_k", """
 WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
   FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
