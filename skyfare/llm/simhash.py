@@ -133,10 +133,9 @@ def _canonical(x: Column, bit: Column, cfg: SimHash) -> Column:
 
 def links(fps: DataFrame, ws: Workspace, cfg: SimHash = SimHash()) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fp`` that connect all pairs within the distance."""
-    fps = ws.table(fps.select("fp").distinct(), "fps")
+    fps = spread(ws.table(fps.select("fp").distinct(), "fps"))
     centres = ws.table(_index(fps, cfg).groupBy("bit", "rest")
-                       .agg(F.min("fp").alias("centre"), F.count(F.lit(1)).alias("n"))
-                       .where("n > 1").select("bit", "rest", "centre"), "centres")
+                       .agg(F.min("fp").alias("centre")), "centres")
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))) <= cfg.max_distance
     members = ws.table(_index(fps, cfg).join(centres, ["bit", "rest"])
                        .select("bit", "rest", "fp", "centre", near.alias("near")), "members")
