@@ -115,7 +115,7 @@ def leaf_budgets(leaves: DataFrame, ws: Workspace, cfg: Mix) -> DataFrame:
 
 
 def selection_plan(rows: DataFrame, ws: Workspace, cfg: Mix) -> DataFrame:
-    """One row per leaf: tree columns, epochs, last_key (end of the partial epoch, null without one).
+    """One row per leaf: tree columns, __epochs, __last_key (end of the partial epoch, null without one).
 
     ``rows``: tree columns, __id, __tokens."""
     leaves = ws.table(rows.groupBy(*LEAF).agg(F.sum("__tokens").alias("supply")), "leaves")
@@ -142,13 +142,14 @@ def selection_plan(rows: DataFrame, ws: Workspace, cfg: Mix) -> DataFrame:
     last = (inside(at).withColumn("upto", upto).where("upto <= rest")
             .groupBy(*LEAF).agg(F.max("key").alias("last")))
     ends = at.join(last, LEAF, "left").select(*LEAF, F.coalesce("last", "prefix").alias("last_key"))
-    return ws.table(budgets.join(ends, LEAF, "left").select(*LEAF, "epochs", "last_key"), "plan")
+    return ws.table(budgets.join(ends, LEAF, "left").select(
+        *LEAF, F.col("epochs").alias("__epochs"), F.col("last_key").alias("__last_key")), "plan")
 
 
 def _copies(cfg: Mix) -> Column:
     """How many epochs take the row, given its leaf's plan."""
-    partial = F.coalesce(order_key(F.col("__id"), F.col("epochs"), cfg) <= F.col("last_key"), F.lit(False))
-    return (F.col("epochs") + partial.cast("int")).cast("int")
+    partial = F.coalesce(order_key(F.col("__id"), F.col("__epochs"), cfg) <= F.col("__last_key"), F.lit(False))
+    return (F.col("__epochs") + partial.cast("int")).cast("int")
 
 
 def mix(docs: DataFrame, ws: Workspace, cfg: Mix = Mix()) -> DataFrame:

@@ -18,7 +18,7 @@ if the term occurs with this entity alone.  Terms seen near e in at least
 class name and removes terms whose share reaches ``remove_at``.
 
 Defined cases: null text is empty; repeated rows each get the same spans and
-count once per (id, text) for support; spans are code points, end exclusive;
+count as documents, but only different texts count as support; spans are code points, end exclusive;
 null ids are carried through; an empty table gives an empty result; other
 columns are ignored (``sanitise`` keeps them).
 
@@ -165,8 +165,13 @@ def disclosures(docs: DataFrame, base: DataFrame, terms: DataFrame, ws: Workspac
     held = base.select("doc_id", "__text", F.explode(F.array_distinct(F.transform(
         F.concat(*KINDS), lambda x: x["entity"]))).alias("entity"))
     entities = ws.table(held.groupBy("entity").agg(F.count(F.lit(1)).alias("df_e")), "entities")
+    # rows that repeat an id and text are documents of their own in every count
+    copies = ws.table(base.groupBy(F.col("doc_id").alias("__doc"), F.col("__text").alias("__t"))
+                      .agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"), "copies")
     near = terms.select("entity", "term", "doc_id", "__text").distinct()
-    pairs = ws.table(near.groupBy("entity", "term", "__text").agg(F.count(F.lit(1)).alias("n"))
+    near = near.join(copies, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__text") == F.col("__t")), "left")
+    pairs = ws.table(near.groupBy("entity", "term", "__text")
+                     .agg(F.sum(F.coalesce("copies", F.lit(1))).alias("n"))
                      .groupBy("entity", "term").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("texts"))
                      .where(F.col("texts") >= cfg.min_support).drop("texts"), "pairs")
     wanted = ws.table(pairs.select("term").distinct(), "wanted")
@@ -201,9 +206,9 @@ def find_personal_data(docs: DataFrame, ws: Workspace, cfg: Disclosure = Disclos
                     F.coalesce("term", F.array().cast("array<struct<s:int,e:int,share:double>>")).alias("term")))
 
 
-def _each(kind: str, what) -> Column:
+def _each(kind: str, what, prefix: str = "") -> Column:
     """``what(kind, span)`` of every span of the kind."""
-    return F.transform(kind, lambda x: what(kind, x))
+    return F.transform(prefix + kind, lambda x: what(kind, x))
 
 
 def _joined(kinds) -> Column:
@@ -223,15 +228,16 @@ def report(docs: DataFrame, ws: Workspace, cfg: Disclosure = Disclosure()) -> Da
 def sanitise(docs: DataFrame, ws: Workspace, cfg: Disclosure = Disclosure()) -> DataFrame:
     """The documents with personal data replaced by class names and telling terms generalised
     or removed; of overlapping spans the first, then the longer one counts."""
-    found = ws.table(find_personal_data(docs, ws, cfg).dropDuplicates(["doc_id", "__text"])
-                     .withColumnRenamed("doc_id", "__doc"), "found")
+    found = find_personal_data(docs, ws, cfg).dropDuplicates(["doc_id", "__text"])
+    found = ws.table(found.select(F.col("doc_id").alias("__doc"), "__text",
+                                  *[F.col(k).alias(f"__{k}") for k in (*KINDS, "term")]), "found")
     marks = [_each(k, lambda kind, x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"),
-                                               F.lit(f"[{kind.upper()}]").alias("r"))) for k in KINDS]
-    marks.append(F.transform("term", lambda x: F.struct(
+                                               F.lit(f"[{kind.upper()}]").alias("r")), "__") for k in KINDS]
+    marks.append(F.transform("__term", lambda x: F.struct(
         x["s"].alias("s"), (-x["e"]).alias("e"),
         F.when(x["share"] >= cfg.remove_at, F.lit("")).otherwise(F.lit("[TERM]")).alias("r"))))
     ordered = F.sort_array(F.concat(*marks))
-    body = F.coalesce(F.col("text"), F.lit(""))
+    body = F.coalesce(docs["text"], F.lit(""))
     done = F.aggregate(
         ordered, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
         lambda a, m: F.when(m["s"] < a["at"], a).otherwise(F.struct(

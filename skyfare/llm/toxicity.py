@@ -226,23 +226,35 @@ def label_model(v: np.ndarray, weight: np.ndarray, rounds: int) -> tuple[np.ndar
     n, m = v.shape
     onehot = np.zeros((n, m, 3))
     onehot[np.arange(n)[:, None], np.arange(m)[None, :], v] = 1
-    lexical = (v[:, 1:] == TOXIC).sum(axis=1)
-    q = np.where(v[:, 0] == TOXIC, 0.9, np.where(v[:, 0] == CLEAN, 0.05, np.where(lexical > 0, 0.6, 0.1)))
-    # the label voter is trusted a little before any row is seen; the others are not
-    first = np.full((2, 3), 0.1)
-    first[0, CLEAN], first[1, TOXIC] = 20.0, 20.0
-    parent = np.full(m, -1)
+    toxic, clean = (v[:, 1:] == TOXIC).sum(axis=1), (v[:, 1:] == CLEAN).sum(axis=1)
+    q = np.where(v[:, 0] == TOXIC, 0.9, np.where(v[:, 0] == CLEAN, 0.05, (toxic + 0.25) / (toxic + clean + 1.0)))
+    scaled = weight / max(weight.sum(), 1e-9) * n
+    parent = _tree(onehot, np.stack([scaled, np.zeros(n)]))  # copies of a voter hang together from the start
+    toxic, clean = (v[:, 1:] == TOXIC).sum(axis=1), (v[:, 1:] == CLEAN).sum(axis=1)
+    q = np.where(v[:, 0] == TOXIC, 0.9, np.where(v[:, 0] == CLEAN, 0.05, (toxic + 0.25) / (toxic + clean + 1.0)))
+    scaled = weight / max(weight.sum(), 1e-9) * n
+    parent = _tree(onehot, np.stack([scaled, np.zeros(n)]))  # copies of a voter hang together from the start
+    # before any row is seen every voter is taken to be better than chance, the label voter most
+    first = np.full((2, 3), 0.5)
+    first[0, CLEAN] += 0.05 * n
+    first[1, TOXIC] += 0.05 * n
+    # before any row is seen a voter votes as often in either class, and rather rightly: a tenth
+    # of the rows' weight says so (abstaining tells nothing), for the label voter half of it
+    lean = np.array([[1.0, 1.6, 0.4], [1.0, 0.4, 1.6]])
+    rates = np.einsum("n,njk->jk", scaled, onehot) / n
+    share = float((q * scaled).sum() / n)
     for step in range(rounds):
         w = np.stack([(1 - q) * weight, q * weight])
         w = w / max(w.sum(), 1e-9) * n
-        prior = np.clip(w.sum(axis=1) / w.sum(), 1e-3, 1)
-        if step % 10 == 5:
+        prior = (w.sum(axis=1) / n + 0.1 * np.array([1 - share, share])) / 1.1
+        if step == rounds // 2:
             parent = _tree(onehot, w)
         log = np.log(prior)[None, :].repeat(n, axis=0)
         for j in range(m):
             p = parent[j]
             if p < 0:
-                t = np.einsum("cn,nk->ck", w, onehot[:, j]) + (first if j == 0 else 0.5)
+                t = np.einsum("cn,nk->ck", w, onehot[:, j])
+                t += (0.5 if j == 0 else 0.1) * n / 2 * lean * rates[j] + 0.01
                 t /= t.sum(axis=1, keepdims=True)
                 log += np.log(t)[:, v[:, j]].T
             else:
@@ -265,7 +277,7 @@ def _tree(onehot: np.ndarray, w: np.ndarray) -> np.ndarray:
         joint = ((flat * w[c][:, None]).T @ flat).reshape(m, 3, m, 3).transpose(0, 2, 1, 3) + 1e-3
         share = joint.sum(axis=(2, 3), keepdims=True)
         joint = joint / share
-        cmi += (w[c].sum() / w.sum()) * (joint * np.log2(
+        cmi += (w[c].sum() / max(w.sum(), 1e-9)) * (joint * np.log2(
             joint / (joint.sum(axis=3, keepdims=True) * joint.sum(axis=2, keepdims=True)))).sum(axis=(2, 3))
     parent, inside = np.full(m, -1), np.zeros(m, dtype=bool)
     best, to = np.full(m, -1.0), np.full(m, -1)
