@@ -14,13 +14,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, NumericType
+from pyspark.sql.types import BooleanType, DecimalType, FractionalType, NumericType
 
 TICKET_KEY = ("ticket:", ["ticket_id"])
 DIRECTION_KEY = ("direction:", ["origin", "destination"])
 TREND_KEY = ("price_trend:", ["ticket_id"])
 
 
+def plain_double(c: Column) -> Column:
+    """A double as text with as few digits as name it: written out between 1e-4
+    and 1e16 (``10000000.0``), with an exponent beyond (``1e+16``, ``1e-05``)."""
+    short = c.cast("string")
+    size = F.abs(c)
+    digits = F.regexp_replace(short.try_cast("decimal(38,20)").cast("string"), "0+$", "")
+    written = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    base = F.regexp_replace(F.regexp_extract(short, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
+    power = F.regexp_extract(short, r"E(-?[0-9]+)$", 1)
+    sign = F.when(power.startswith("-"), F.lit("-")).otherwise(F.lit("+"))
+    raised = F.concat(base, F.lit("e"), sign, F.lpad(F.regexp_replace(power, "^-", ""), 2, "0"))
+    return (F.when(~short.contains("E"), short)
+             .when((size >= 1e-4) & (size < 1e16), written)
+             .otherwise(raised))
+
+
 def field_text(df: DataFrame, name: str) -> Column:
     """A value as the key-value store keeps it: bool -> 0/1, number -> text,
     NULL -> ''."""
@@ -28,7 +44,9 @@ def field_text(df: DataFrame, name: str) -> Column:
     c = F.col(name)
     if isinstance(t, BooleanType):
         c = c.cast("int")
-    if isinstance(t, (BooleanType, NumericType)):
+    if isinstance(t, FractionalType) and not isinstance(t, DecimalType):
+        c = plain_double(c)
+    elif isinstance(t, (BooleanType, NumericType)):
         c = c.cast("string")
     return F.coalesce(c.cast("string"), F.lit(""))
 
@@ -51,15 +69,19 @@ def kv_upsert(store: DataFrame | None, batch: DataFrame, seq: Column,
     """Next store version: per key the fields of the latest write.
 
     ``seq`` orders writes (the load stamp); ``order`` are batch columns
-    giving the write order inside one load (e.g. the feed's entry order).
+    giving the write order inside one load (e.g. the feed's entry order);
+    what is left is ordered by the field texts.
     """
     order = order or []
+    # equal stamps and orders are told apart by the values themselves, so the
+    # same writes leave the same store however they are partitioned
+    last = F.map_values("fields").alias("_values")
     w = batch.select("key", "fields",
-                     F.struct(seq.alias("_seq"), *[F.col(c) for c in order]).alias("_ord"))
+                     F.struct(seq.alias("_seq"), *[F.col(c) for c in order], last).alias("_ord"))
     if store is not None:
         old = store.select("key", "fields", F.struct(
             F.col("_seq"), *[F.lit(None).cast(batch.schema[c].dataType).alias(c)
-                             for c in order]).alias("_ord"))
+                             for c in order], last).alias("_ord"))
         w = old.unionByName(w)
     return (w.groupBy("key").agg(F.max_by("fields", "_ord").alias("fields"),
                                  F.max("_ord").alias("_ord"))

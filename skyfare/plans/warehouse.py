@@ -220,13 +220,8 @@ class Warehouse:
              "directions": (feeds.directions_landing, landing.extract_directions),
              "calendar": (feeds.price_calendar_landing, landing.extract_calendar)}
 
-    def _build_landing_pick_day(self):
-        self.write("landing_pick_day", feeds.cheapest(
-            feeds.flights(self.read("fixture_lines")), feeds.DAY_KEYS))
-
-    def _build_landing_pick_route(self):
-        self.write("landing_pick_route", feeds.cheapest(
-            feeds.flights(self.read("fixture_lines")), feeds.ROUTE_KEYS))
+    def _build_landing_polls(self):
+        self.write("landing_polls", feeds.polls(feeds.flights(self.read("fixture_lines"))))
 
     def landing_path(self, feed: str) -> str:
         """Landing JSON files of a feed (written once per run)."""
@@ -234,9 +229,7 @@ class Warehouse:
             key = f"landing_{feed}"
             if key not in self.paths:
                 path = f"{self.run_dir}/landing/{feed}"
-                picks = self.read("landing_pick_route" if feed == "directions"
-                                  else "landing_pick_day")
-                feeds.write_landing(self.FEEDS[feed][0](picks), path)
+                feeds.write_landing(self.FEEDS[feed][0](self.read("landing_polls")), path)
                 self.paths[key] = path
             return self.paths[key]
 

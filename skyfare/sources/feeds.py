@@ -2,35 +2,40 @@
 
 Three feeds, each one JSON object per request, as the fare API returns them:
 
-* grouped prices  request (origin, destination, month); ``data`` maps
+* grouped prices  request (origin, destination, month, poll); ``data`` maps
                   departure day -> ticket
-* city directions request (origin); ``data`` maps destination -> ticket
-* price calendar  request (origin, destination, month); ``data`` maps
+* city directions request (origin, day, poll); ``data`` maps destination ->
+                  ticket
+* price calendar  request (origin, destination, month, poll); ``data`` maps
                   day -> ticket
 
-A landing record is ``{"origin", "destination", "month", "body"}`` where
-``body`` is the raw response text.  The ticket behind each map entry is the
-cheapest flight of that key (one per route and day), picked with one
-aggregate that runs partially map-side, so an object holds at most 31
+A landing record is ``{"origin", "destination", "month", "poll", "body"}``
+where ``body`` is the raw response text (``month`` is the day for directions).
+An API is polled again and again and answers one ticket per route and day each
+time, so every flight lands once: the flights of a route and day are numbered,
+and the number is the poll.  The numbering runs within salted (route, day)
+groups, so no window holds a whole hot route, and an object holds at most 31
 entries (one per day of a month) or one per destination.
 
 Fault cases, so the parser's failure paths run over real volumes:
 
 object level (by the request's nation keys ``o``, ``d``)
     o = d -> ``success: false``;  o+d = 5 -> no ``data``;  o+d = 7 -> ``data``
-    is an array;  o+d = 9 -> empty body;  o+d = 11 -> truncated JSON
+    is an array;  o+d = 9 -> empty body;  o+d = 11 -> truncated JSON;
+    o+d = 13 -> ``success: 1``;  o+d = 15 -> ``success: "yes"`` (both load)
 ticket level (by the ticket's duration in minutes)
     10 -> price missing;  20 -> price null;  30 -> price "abc";  40 -> price
     as text;  50 -> transfers as text;  60 -> airline and flight number
     missing;  70 -> transfers missing;  80 -> duration missing;
-    90 -> transfers "x"
+    90 -> transfers "x";  100 -> price 1e20;  110 -> price "nan";
+    120 -> transfers 2**40;  130 -> duration 99999999999
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from pyspark.sql.window import Window
 
 # fixture fault rules (request level, by nation keys)
 OBJECT_FAULTS = {"not_success": "o = d", "no_data": "o + d = 5", "data_not_object": "o + d = 7",
@@ -59,19 +64,19 @@ def flights(lines: DataFrame) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-DAY_KEYS = ["o", "d", "origin", "destination", "day"]
-ROUTE_KEYS = ["o", "d", "origin", "destination"]
+#: Sub-groups of a (route, day) that are numbered on their own.
+POLL_SALTS = 8
 
 
-def cheapest(fl: DataFrame, keys: list[str]) -> DataFrame:
-    """Cheapest flight per key (ties broken by the line's identity).
-    ``min(struct)`` aggregates partially map-side, so a hot key is reduced
-    before the shuffle."""
-    order = ["price", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    rest = [c for c in fl.columns if c not in keys and c not in order]
-    w = F.min(F.struct(*order, *rest)).alias("w")
-    return fl.groupBy(*keys).agg(w).select(*keys, *[F.col(f"w.{c}").alias(c)
-                                                     for c in order + rest])
+def polls(fl: DataFrame, salts: int = POLL_SALTS) -> DataFrame:
+    """Every flight with the ``poll`` that returned it: its number among the
+    flights of its route and day, in a total order that starts with the line's
+    keys.  Polls of salted sub-groups interleave, so they never collide."""
+    salt = F.pmod(F.col("l_orderkey"), F.lit(salts))
+    first = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "price"]
+    rest = [c for c in fl.columns if c not in first]
+    w = Window.partitionBy("o", "d", "origin", "destination", "day", salt).orderBy(*first, *rest)
+    return fl.withColumn("poll", (salt + F.lit(salts) * (F.row_number().over(w) - 1)).cast("int"))
 
 
 def _num(c: Column) -> Column:
@@ -89,6 +94,8 @@ def price_value(price: Column, duration: Column) -> Column:
              .when(duration == 20, F.parse_json(F.lit("null")))
              .when(duration == 30, F.parse_json(F.lit('"abc"')))
              .when(duration == 40, _str_variant(price))
+             .when(duration == 100, F.parse_json(F.lit("1e20")))
+             .when(duration == 110, F.parse_json(F.lit('"nan"')))
              .otherwise(_num(price)))
 
 
@@ -96,11 +103,14 @@ def transfers_value(transfers: Column, duration: Column) -> Column:
     return (F.when(duration == 50, _str_variant(transfers))
              .when(duration == 70, F.lit(None).cast("variant"))
              .when(duration == 90, F.parse_json(F.lit('"x"')))
+             .when(duration == 120, F.parse_json(F.lit("1099511627776")))
              .otherwise(_num(transfers)))
 
 
 def duration_value(duration: Column) -> Column:
-    return F.when(duration == 80, F.lit(None).cast("variant")).otherwise(_num(duration))
+    return (F.when(duration == 80, F.lit(None).cast("variant"))
+             .when(duration == 130, F.parse_json(F.lit("99999999999")))
+             .otherwise(_num(duration)))
 
 
 def _opt(c: Column, duration: Column) -> Column:
@@ -110,8 +120,12 @@ def _opt(c: Column, duration: Column) -> Column:
 
 def _body(entries: Column, o: Column, d: Column, faults: dict[str, str]) -> Column:
     m = F.map_from_entries(entries)
-    ok = F.to_json(F.struct(F.lit(True).alias("success"), F.lit("rub").alias("currency"),
-                            m.alias("data")))
+
+    def answer(success) -> Column:
+        return F.to_json(F.struct(F.lit(success).alias("success"), F.lit("rub").alias("currency"),
+                                  m.alias("data")))
+
+    ok = answer(True)
     rule = {k: F.expr(v.replace("o", "_o").replace("d", "_d")) for k, v in faults.items()}
     return (F.when(rule["not_success"], F.to_json(F.struct(F.lit(False).alias("success"),
                                                            m.alias("data"))))
@@ -121,19 +135,19 @@ def _body(entries: Column, o: Column, d: Column, faults: dict[str, str]) -> Colu
                    F.to_json(F.struct(F.lit(True).alias("success"), F.map_values(m).alias("data"))))
              .when(rule["empty_body"], F.lit(""))
              .when(rule["broken_json"], F.substring(ok, 1, 25))
+             .when(o + d == 13, answer(1)).when(o + d == 15, answer("yes"))
              .otherwise(ok))
 
 
-def _landing(groups: DataFrame, faults: dict[str, str], month: bool) -> DataFrame:
+def _landing(groups: DataFrame, faults: dict[str, str]) -> DataFrame:
     body = _body(F.col("entries"), F.col("_o"), F.col("_d"), faults)
     cols = [F.col("origin"), F.col("destination") if "destination" in groups.columns
-            else F.lit(None).cast("string").alias("destination"),
-            F.col("month") if month else F.lit(None).cast("string").alias("month")]
+            else F.lit(None).cast("string").alias("destination"), "month", "poll"]
     return groups.select(*cols, body.alias("body"))
 
 
 def grouped_prices_landing(t: DataFrame) -> DataFrame:
-    """Objects from the per-day cheapest flights (``cheapest(flights, DAY_KEYS)``)."""
+    """Objects from all polled flights (``polls(flights)``)."""
     dur = F.col("duration")
     ticket = F.struct(
         F.col("origin").alias("origin"), _opt(F.col("airline"), dur).alias("airline"),
@@ -145,13 +159,14 @@ def grouped_prices_landing(t: DataFrame) -> DataFrame:
         transfers_value(F.col("transfers"), dur).alias("transfers"),
         duration_value(dur).alias("duration"))
     g = (t.withColumn("month", F.date_format("day", "yyyy-MM"))
-          .groupBy(F.col("o").alias("_o"), F.col("d").alias("_d"), "origin", "destination", "month")
+          .groupBy(F.col("o").alias("_o"), F.col("d").alias("_d"), "origin", "destination", "month",
+                   "poll")
           .agg(F.collect_list(F.struct(F.date_format("day", "yyyy-MM-dd"), ticket)).alias("entries")))
-    return _landing(g, OBJECT_FAULTS, month=True)
+    return _landing(g, OBJECT_FAULTS)
 
 
 def price_calendar_landing(t: DataFrame) -> DataFrame:
-    """Objects from the per-day cheapest flights (``cheapest(flights, DAY_KEYS)``)."""
+    """Objects from all polled flights (``polls(flights)``)."""
     dur = F.col("duration")
     ticket = F.struct(
         price_value(F.col("price"), dur).alias("price"),
@@ -161,13 +176,14 @@ def price_calendar_landing(t: DataFrame) -> DataFrame:
         transfers_value(F.col("transfers"), dur).alias("transfers"),
         F.col("expires_at").alias("expires_at"))
     g = (t.withColumn("month", F.date_format("day", "yyyy-MM"))
-          .groupBy(F.col("o").alias("_o"), F.col("d").alias("_d"), "origin", "destination", "month")
+          .groupBy(F.col("o").alias("_o"), F.col("d").alias("_d"), "origin", "destination", "month",
+                   "poll")
           .agg(F.collect_list(F.struct(F.date_format("day", "yyyy-MM-dd"), ticket)).alias("entries")))
-    return _landing(g, OBJECT_FAULTS, month=True)
+    return _landing(g, OBJECT_FAULTS)
 
 
 def directions_landing(t: DataFrame) -> DataFrame:
-    """Objects from the per-route cheapest flights (``cheapest(flights, ROUTE_KEYS)``)."""
+    """Objects from all polled flights (``polls(flights)``)."""
     dur = F.col("duration")
     ticket = F.struct(
         price_value(F.col("price"), dur).alias("price"),
@@ -176,18 +192,19 @@ def directions_landing(t: DataFrame) -> DataFrame:
         F.col("departure_at").alias("departure_at"), F.col("return_at").alias("return_at"),
         F.col("expires_at").alias("expires_at"),
         transfers_value(F.col("transfers"), dur).alias("transfers"))
-    g = (t.groupBy(F.col("o").alias("_o"), F.lit(0).alias("_d"), "origin")
+    g = (t.withColumn("month", F.date_format("day", "yyyy-MM-dd"))
+          .groupBy(F.col("o").alias("_o"), F.lit(0).alias("_d"), "origin", "month", "poll")
           .agg(F.collect_list(F.struct(F.col("destination"), ticket)).alias("entries")))
-    return _landing(g, DIRECTION_FAULTS, month=False)
+    return _landing(g, DIRECTION_FAULTS)
 
 
 def write_landing(df: DataFrame, path: str) -> str:
-    """Landing files: JSON lines {origin, destination, month, body}."""
+    """Landing files: JSON lines {origin, destination, month, poll, body}."""
     df.write.mode("errorifexists").json(path)
     return path
 
 
-LANDING_SCHEMA = "origin string, destination string, month string, body string"
+LANDING_SCHEMA = "origin string, destination string, month string, poll int, body string"
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:

@@ -53,6 +53,8 @@ def parse_objects(landing: DataFrame, fields: list[str]) -> DataFrame:
     env = F.from_json(F.col("body"), ENVELOPE)
     not_object = F.transform(F.map_values(F.col("_m")),
                              lambda x: F.coalesce(~F.ltrim(x).startswith("{"), F.lit(True)))
+    if "poll" not in landing.columns:  # a feed that is asked once per request
+        landing = landing.withColumn("poll", F.lit(None).cast("int"))
     return (landing.withColumn("_o", env)
                    .withColumn("_m", F.from_json(F.col("_o")["data"], "map<string,string>"))
                    .withColumn("_bad", F.coalesce(F.array_position(not_object, True), F.lit(0)))
@@ -60,6 +62,19 @@ def parse_objects(landing: DataFrame, fields: list[str]) -> DataFrame:
                                                        F.col("_bad"))))
 
 
+# member texts that are false as JSON values (as a text of its own, "0" is true)
+FALSE_TEXTS = ["", "false", "0", "0.0", "-0", "-0.0", "[]", "{}"]
+
+
+def _truthy(member: Column, body: Column) -> Column:
+    """Truth of the ``success`` member: every value but null, false, zero and
+    empty ones.  The member map has texts without their quotes, so the rare
+    text "0" or "false" is told from the value by the body."""
+    return (F.when(member.isNull(), False)
+             .when(member.isin(*FALSE_TEXTS), body.rlike(r'"success"\s*:\s*"[^"]'))
+             .otherwise(True))
+
+
 def object_status(body: Column, env: Column, entries_: Column, bad: Column) -> Column:
     """Why a response object is skipped ('ok' if it is not).
 
@@ -68,7 +83,7 @@ def object_status(body: Column, env: Column, entries_: Column, bad: Column) -> C
     lost ('bad_entry', partially loaded)."""
     return (F.when(body.isNull() | (F.trim(body) == ""), "empty_body")
              .when(env.isNull(), "broken_json")
-             .when(~F.coalesce(env["success"] == "true", F.lit(False)), "not_success")
+             .when(~_truthy(env["success"], body), "not_success")
              .when(env["data"].isNull(), "no_data")
              .when(entries_.isNull(), "data_not_object")
              .when(bad > 0, "bad_entry")
@@ -84,7 +99,7 @@ def entries(parsed: DataFrame, key_name: str, fields: list[str]) -> DataFrame:
     the JSON parses inside its condition."""
     taken = F.when(F.col("status").isin("ok", "bad_entry"), F.col("_m"))
     cur = F.coalesce(F.col("_o")["currency"], F.lit(fixed.DEFAULT_CURRENCY))
-    e = (parsed.select("origin", "destination", "month", cur.alias("currency"), "_bad",
+    e = (parsed.select("origin", "destination", "month", "poll", cur.alias("currency"), "_bad",
                        F.posexplode(taken).alias("_pos", key_name, "_txt"))
                .where((F.col("_bad") == 0) | (F.col("_pos") < F.col("_bad") - 1)))
     t = F.try_variant_get(F.try_parse_json(F.col("_txt")), "$", _ticket_struct(fields))
@@ -152,10 +167,12 @@ def key_part(name: str, default: str = "") -> Column:
 
 
 def as_double(name: str, default: float = 0.0) -> Column:
-    """``float(d.get(name, default))``: NULL when it would raise."""
+    """``float(d.get(name, default))``: NULL when it would raise, and for texts
+    like 'nan' and 'inf', which no money column can hold."""
+    d = F.col(f"_{name}_d")
     return (F.when(_missing(name), F.lit(default).cast("double"))
-             .when(_null(name), F.lit(None).cast("double"))
-             .otherwise(F.col(f"_{name}_d")))
+             .when(_null(name) | F.isnan(d) | (F.abs(d) == float("inf")), F.lit(None).cast("double"))
+             .otherwise(d))
 
 
 def as_int(name: str, default: int = 0) -> Column:
@@ -172,13 +189,21 @@ def equals_zero(name: str) -> Column:
              .otherwise(F.coalesce(F.col(f"_{name}_d") == 0, F.lit(False))))
 
 
+# beyond these the store's columns (decimal(18,2), int) cannot hold a value
+MONEY_LIMIT = 1e16
+INT_LIMITS = (-(1 << 31), (1 << 31) - 1)
+
+
 def cast_reason(fields: list[tuple[str, str]]) -> Column:
-    """First failing cast, in the order the transform evaluates them."""
+    """First failing cast, in the order the transform evaluates them; a value
+    that casts but does not fit its store column fails as ``range_<field>``."""
     out = None
     for name, typ in fields:
-        failed = (as_double(name) if typ == "double" else as_int(name)).isNull()
-        reason = (F.when(failed & _null(name), F.lit(f"null_{name}"))
-                   .when(failed, F.lit(f"bad_{name}")))
+        value = as_double(name) if typ == "double" else as_int(name)
+        fits = F.abs(value) < MONEY_LIMIT if typ == "double" else value.between(*INT_LIMITS)
+        reason = (F.when(value.isNull() & _null(name), F.lit(f"null_{name}"))
+                   .when(value.isNull(), F.lit(f"bad_{name}"))
+                   .when(~fits, F.lit(f"range_{name}")))
         out = reason if out is None else F.coalesce(out, reason)
     return out
 
@@ -217,7 +242,7 @@ def extract_grouped_prices(landing: DataFrame, batch_ts: str,
         equals_zero("transfers").alias("is_direct"),
         cast_reason([("price", "double"), ("transfers", "int"), ("duration", "int")])
          .alias("reject_reason"),
-        F.col("month"))
+        F.col("month"), F.col("poll"), req_origin.alias("request_origin"))
 
 
 def extract_calendar(landing: DataFrame, batch_ts: str,
@@ -238,7 +263,7 @@ def extract_calendar(landing: DataFrame, batch_ts: str,
         F.col("date"), F.lit(data_source).alias("data_source"),
         equals_zero("transfers").alias("is_direct"),
         cast_reason([("price", "double"), ("transfers", "int")]).alias("reject_reason"),
-        F.col("month"))
+        F.col("month"), F.col("poll"))
 
 
 def extract_directions(landing: DataFrame, batch_ts: str,
@@ -255,7 +280,8 @@ def extract_directions(landing: DataFrame, batch_ts: str,
         F.lit(batch_ts.replace(" ", "T")).alias("extracted_at"),
         F.lit(data_source).alias("data_source"),
         equals_zero("transfers").alias("is_direct"),
-        cast_reason([("price", "double"), ("transfers", "int")]).alias("reject_reason"))
+        cast_reason([("price", "double"), ("transfers", "int")]).alias("reject_reason"),
+        F.col("month"), F.col("poll"))
 
 
 def _stamp(batch_ts: str) -> Column:
@@ -312,14 +338,13 @@ def quarantine(feed: str, landing_parsed: DataFrame, extracted: DataFrame,
     # one row per object not fully loaded; a generator rather than a filter
     # on ``status`` keeps the JSON parses out of a pushed-down condition
     skipped = F.when(F.col("status") != "ok", F.array(F.col("status")))
-    objs = landing_parsed.select(F.lit(feed).alias("feed"), "origin", "destination", "month",
+    objs = landing_parsed.select(F.lit(feed).alias("feed"), "origin", "destination", "month", "poll",
                                  F.lit(None).cast("string").alias("entry_key"),
                                  F.explode(skipped).alias("reason"))
     dest = F.col("destination")
-    month = F.col("month") if "month" in extracted.columns else F.lit(None).cast("string")
-    origin = F.col("origin") if feed != "grouped_prices" else F.split(F.col("route"), "-")[0]
+    origin = F.col("request_origin" if "request_origin" in extracted.columns else "origin")
     rows = (extracted.where(F.col("reject_reason").isNotNull())
             .select(F.lit(feed).alias("feed"), origin.alias("origin"), dest.alias("destination"),
-                    month.alias("month"), F.col(key_col).alias("entry_key"),
+                    "month", "poll", F.col(key_col).alias("entry_key"),
                     F.col("reject_reason").alias("reason")))
     return objs.unionByName(rows)

@@ -49,10 +49,11 @@ def duck(sf_dir):
 def compare(spark, sf_dir, names=None, verbose=False):
     sys.path.insert(0, "/root/repo")
     import __spark_entry__ as E
+    from skyfare.plans.registry import QUERIES
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     results = {}
-    for name in names or qs:
+    for name in names or QUERIES:
         t = time.time()
         try:
             df = qs[name](spark, sf_dir)

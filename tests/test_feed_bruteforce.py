@@ -1,92 +1,135 @@
-"""Feed extraction against a plain-Python model of the source transform
-(dict.get defaults, float()/int() casts, raw == 0 test, f-string keys) on
-generated response bodies."""
+"""Feed extraction on generated bodies: what each ticket must become is fixed
+with the values it is made from."""
 
 import json
 import random
 
-from skyfare.sources.landing import extract_grouped_prices
-
-DEST, ORIGIN = "LED", "MOW"
-
-
-def model(body):
-    """Rows the source would produce for one response body."""
-    out = []
-    try:
-        data = json.loads(body)
-        if not (data.get("success") and "data" in data):
-            return out
-        for day, t in data["data"].items():
-            row = {"departure_date": day,
-                   "ticket_id": f"{t.get('airline', '')}_{t.get('flight_number', '')}_{DEST}",
-                   "is_direct": t.get("transfers", 0) == 0}
-            origin = t.get("origin", ORIGIN)        # lands in a text column
-            row["origin"] = None if origin is None else str(origin)
-            reason = None
-            for name, cast in (("price", float), ("transfers", int), ("duration", int)):
-                try:
-                    row[name] = cast(t.get(name, 0))
-                except (TypeError, ValueError):
-                    row[name] = None
-                    if reason is None:
-                        reason = f"{'null' if t.get(name, 0) is None else 'bad'}_{name}"
-            row["reject_reason"] = reason
-            out.append(row)
-    except Exception:  # noqa: BLE001  (the source skipped the request)
-        pass
-    return out
-
-
-VALUES = [None, 0, 0.0, 3, 3.7, -2.5, "0", "3", "3.5", " 4 ", "abc", "", "12.25", True, False,
-          "1e3", [1], {"a": 1}]
-
-
-def bodies(n=300, seed=11):
-    rnd = random.Random(seed)
-    out = []
-    for _ in range(n):
-        data = {}
-        for k in range(rnd.randint(0, 6)):
-            t = {}
-            for f in ("price", "transfers", "duration", "airline", "flight_number", "origin"):
-                if rnd.random() < 0.75:
-                    t[f] = rnd.choice(VALUES) if f in ("price", "transfers", "duration") else \
-                        rnd.choice([None, "SU", 1448, "S7"])
-            data[f"2025-12-{k + 1:02d}"] = t
-        if data and rnd.random() < 0.08:
-            data[f"2025-12-{len(data) + 1:02d}"] = rnd.choice([5, None, "x", [1]])
-            data[f"2025-12-{len(data) + 1:02d}"] = {"price": 1}
-        kind = rnd.random()
-        obj = {"success": True, "currency": "rub", "data": data}
-        if kind < 0.05:
-            obj["success"] = False
-        elif kind < 0.1:
-            del obj["data"]
-        elif kind < 0.13:
-            obj["data"] = list(data.values())
-        text = json.dumps(obj)
-        if 0.13 <= kind < 0.16:
-            text = text[: len(text) // 2]
-        elif 0.16 <= kind < 0.18:
-            text = ""
-        out.append(text)
-    return out
-
-
-def test_extract_matches_model(spark):
-    bs = bodies()
-    land = spark.createDataFrame([(ORIGIN, DEST, f"m{i}", b) for i, b in enumerate(bs)],
+from skyfare.operators.keyed import plain_double
+from skyfare.sources.landing import (extract_grouped_prices, normalize_tickets, parse_objects, quarantine, to_store,
+                                     FIELDS)
+
+DEST, ORIGIN = "LED", "A-B"
+GONE = object()
+
+#: (value in the JSON, price read, reason)
+PRICES = [(GONE, 0.0, None), (None, None, "null_price"), (0, 0.0, None), (3, 3.0, None), (3.7, 3.7, None),
+          (-2.5, -2.5, None), ("3", 3.0, None), (" 4 ", 4.0, None), ("12.25", 12.25, None), ("1e3", 1000.0, None),
+          (True, 1.0, None), ("abc", None, "bad_price"), ("", None, "bad_price"), ([1], None, "bad_price"),
+          ({"a": 1}, None, "bad_price"), ("nan", None, "bad_price"), ("inf", None, "bad_price"),
+          (1e20, 1e20, "range_price")]
+#: (value, whole number read, fault, is it the number zero)
+WHOLES = [(GONE, 0, None, True), (None, None, "null", False), (0, 0, None, True), (0.0, 0, None, True),
+          (3, 3, None, False), (3.7, 3, None, False), (-2.5, -2, None, False), ("0", 0, None, False),
+          ("3", 3, None, False), (" 4 ", 4, None, False), ("3.5", None, "bad", False), ("abc", None, "bad", False),
+          ("", None, "bad", False), (True, 1, None, False), (False, 0, None, True), ([1], None, "bad", False),
+          (1 << 40, 1 << 40, "range", False)]
+#: (value, as a part of the key)
+CODES = [(GONE, ""), (None, "None"), ("SU", "SU"), (1448, "1448"), ("S7", "S7")]
+
+
+def ticket(rnd, day):
+    """(JSON object, expected row)."""
+    t = {}
+
+    def put(name, choices):
+        pick = rnd.choice(choices)
+        if pick[0] is not GONE:
+            t[name] = pick[0]
+        return pick
+
+    _, price, price_fault = put("price", PRICES)
+    _, stops, stops_fault, direct = put("transfers", WHOLES)
+    _, minutes, minutes_fault, _ = put("duration", WHOLES)
+    code, number = put("airline", CODES)[1], put("flight_number", CODES)[1]
+    origin = rnd.choice([GONE, None, "SU", "LED"])
+    if origin is not GONE:
+        t["origin"] = origin
+    faults = [price_fault, stops_fault and f"{stops_fault}_transfers", minutes_fault and f"{minutes_fault}_duration"]
+    return t, (day, f"{code}_{number}_{DEST}", ORIGIN if origin is GONE else origin, direct, price, stops, minutes,
+               next((f for f in faults if f), None))
+
+
+def answer(rnd):
+    """(body, expected rows, status of the request)."""
+    made = [(f"2025-12-{k + 1:02d}", *ticket(rnd, f"2025-12-{k + 1:02d}")) for k in range(rnd.randint(0, 6))]
+    data, rows = {day: t for day, t, _ in made}, [row for _, _, row in made]
+    obj = {"success": True, "currency": "rub", "data": data}
+    kind = rnd.randrange(20)
+    if kind < 2:
+        obj["success"] = rnd.choice([False, 0, "", None, [], 0.0])
+        return json.dumps(obj), [], "not_success"
+    if kind == 2:
+        del obj["data"]
+        return json.dumps(obj), [], "no_data"
+    if kind == 3:
+        obj["data"] = [t for _, t, _ in made]
+        return json.dumps(obj), [], "data_not_object"
+    if kind == 4:
+        return json.dumps(obj)[:30], [], "broken_json"
+    if kind == 5:
+        return rnd.choice(["", "  "]), [], "empty_body"
+    if kind == 6 and made:  # the entry after which nothing more is taken
+        data["2025-12-20"] = rnd.choice([5, None, "x", [1]])
+        data["2025-12-21"] = {"price": 1}
+        return json.dumps(obj), rows, "bad_entry"
+    if kind < 10:
+        obj["success"] = rnd.choice([1, "yes", "false", "0", [0], 2.5])
+    return json.dumps(obj), rows, "ok"
+
+
+COLUMNS = ["departure_date", "ticket_id", "origin", "is_direct", "price", "transfers", "duration", "reject_reason"]
+
+
+def landing(spark, bodies):
+    return spark.createDataFrame([(ORIGIN, DEST, f"m{i}", b) for i, b in enumerate(bodies)],
                                  "origin string, destination string, month string, body string")
+
+
+def test_extract(spark):
+    rnd = random.Random(11)
+    made = [answer(rnd) for _ in range(400)]
+    land = landing(spark, [b for b, _, _ in made])
     got = {}
     for r in extract_grouped_prices(land, "2025-12-01 00:00:00").collect():
-        got.setdefault(r["month"], []).append(r)
-    cols = ["departure_date", "ticket_id", "origin", "is_direct", "price", "transfers",
-            "duration", "reject_reason"]
-    bad = []
-    for i, b in enumerate(bs):
-        exp = sorted((tuple(row[c] for c in cols) for row in model(b)), key=repr)
-        act = sorted((tuple(r[c] for c in cols) for r in got.get(f"m{i}", [])), key=repr)
-        if exp != act:
-            bad.append((b, exp, act))
+        got.setdefault(r["month"], []).append(tuple(r[c] for c in COLUMNS))
+    bad = [(b, rows, got.get(f"m{i}")) for i, (b, rows, _) in enumerate(made)
+           if sorted(rows, key=repr) != sorted(got.get(f"m{i}", []), key=repr)]
     assert not bad, bad[:3]
+    status = {r["month"]: r["status"] for r in
+              parse_objects(land, FIELDS["grouped_prices"]).select("month", "status").collect()}
+    wrong = [(b, status[f"m{i}"], s) for i, (b, _, s) in enumerate(made) if status[f"m{i}"] != s]
+    assert not wrong, wrong[:5]
+
+
+def test_bad_numbers_do_not_stop_the_load(spark):
+    """Values that no store column holds are set aside; the rows beside them load."""
+    data = {"2025-12-01": {"price": 1e20}, "2025-12-02": {"transfers": 1 << 40, "price": 5},
+            "2025-12-03": {"price": "nan"}, "2025-12-04": {"price": 7, "duration": -(1 << 31) - 1},
+            "2025-12-05": {"price": 8, "transfers": 2}}
+    land = landing(spark, [json.dumps({"success": 1, "data": data})])
+    ext = extract_grouped_prices(land, "2025-12-01 00:00:00")
+    assert [float(r["price"]) for r in to_store(normalize_tickets(ext, "2025-12-01 00:00:00")).collect()] == [8.0]
+    aside = quarantine("grouped_prices", parse_objects(land, FIELDS["grouped_prices"]), ext, "departure_date")
+    assert {(r["origin"], r["entry_key"][-2:], r["reason"]) for r in aside.collect()} == {
+        (ORIGIN, "01", "range_price"), (ORIGIN, "02", "range_transfers"), (ORIGIN, "03", "bad_price"),
+        (ORIGIN, "04", "range_duration")}
+
+
+def test_double_text(spark):
+    values = [0.0, 1.0, -2.5, 12.25, 1e7, 12345678.25, 1e15, 123456789012345.6, 1e16, 1.5e17, 1e-3, 1.25e-4, 1e-5, 2.5e-7]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r["t"] for r in df.select(plain_double(df["v"]).alias("t")).collect()] == [repr(v) for v in values]
+
+
+def test_equal_stamps_leave_one_store(spark):
+    """The store is the same however the writes are partitioned."""
+    from pyspark.sql import functions as F
+
+    from skyfare.operators import keyed
+    rows = spark.createDataFrame([("k", f"v{i * 37 % 100:02d}", "2025") for i in range(500)], "id string, v string, at string")
+    seen = set()
+    for n in (1, 3, 7):
+        batch = keyed.kv_encode(rows.repartition(n, "v"), "t:", ["id"])
+        out = keyed.kv_upsert(None, batch, F.col("fields")["at"])
+        seen |= {r["fields"]["v"] for r in out.collect()}
+    assert seen == {"v99"}

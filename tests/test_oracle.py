@@ -34,12 +34,28 @@ SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "stri
                  "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 
 
+def test_every_flight_lands_once(spark):
+    """Every lineitem is an entry of some object of each feed, at two sizes:
+    loaded entries plus those of skipped requests."""
+    from skyfare.plans.warehouse import warehouse
+    for folder in (SF_SMALL, "/root/testdata/sf0.01"):
+        w = warehouse(spark, folder)
+        lines = spark.read.parquet(f"{folder}/lineitem.parquet").count()
+        polled = w.read("landing_polls")
+        assert polled.count() == lines
+        for feed, skipped in (("grouped_prices", "o = d OR o + d IN (5, 7, 9, 11)"),
+                              ("calendar", "o = d OR o + d IN (5, 7, 9, 11)"),
+                              ("directions", "o IN (5, 7, 9, 11, 13)")):
+            assert w.extract(feed).count() + polled.where(skipped).count() == lines
+
+
 def test_column_types_match_oracle(spark):
     import __spark_entry__ as E
     from tests.oracle_compare import duck
     con = duck(SF_SMALL)
     bad = []
-    for name, sql in E.oracle_sql().items():
+    from skyfare.plans.registry import SQL
+    for name, sql in SQL.items():
         schema = E.queries()[name](spark, SF_SMALL).schema
         desc = {d[0]: str(d[1]) for d in con.execute(sql).description}
         for f in schema.fields:
