@@ -30,12 +30,22 @@ def parse_ts(text: Column) -> Column:
     ``dddd-dd-dd`` in the text gives midnight of that day, so zoned or
     fractional texts keep their local date with no zone shift.
     """
+    # most texts are whole ISO moments: fixed places decide, no pattern is run
+    def at(i):
+        return F.substring(text, i, 1)
+
+    digit = [at(i).between("0", "9") for i in (1, 4, 6, 7, 9, 10, 12, 13, 15, 16, 18, 19)]
+    iso = (F.length(text) == 19) & (at(5) == "-") & (at(8) == "-") & at(11).isin("T", " ") \
+        & (at(14) == ":") & (at(17) == ":")
+    for d in digit:
+        iso = iso & d
+    fast = F.when(iso, text).try_cast("timestamp_ntz")
     # whitespace runs between two digits (the date/time separator) -> one space
     s = F.upper(F.regexp_replace(text, r"(\d)\s+(\d)", "$1 $2"))
     shaped = (F.when(s.rlike(_ISO_SHAPE), F.regexp_replace(s, *_ISO_DAY_SPACE))
                .when(s.rlike(_DOT_SHAPE), F.regexp_replace(s, *_DOT_TO_ISO)))
     day = F.nullif(F.regexp_extract(text, _ANY_ISO_DAY, 1), F.lit(""))
-    return F.coalesce(shaped.try_cast("timestamp_ntz"),
+    return F.coalesce(fast, shaped.try_cast("timestamp_ntz"),
                       day.try_cast("date").cast("timestamp_ntz"))
 
 

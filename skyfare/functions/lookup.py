@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
+from ..operators.joins import unhinted
 
 
 def airline_lookup_table(spark: SparkSession) -> DataFrame:
@@ -15,7 +16,7 @@ def airline_lookup_table(spark: SparkSession) -> DataFrame:
 
 
 def with_airline_info(codes: DataFrame, lookup: DataFrame,
-                      code_col: str = "airline_bk", hint=F.broadcast) -> DataFrame:
+                      code_col: str = "airline_bk", hint=unhinted) -> DataFrame:
     """Attach (airline_name, country); unknown codes give (code, 'Unknown').
 
     ``lookup`` is a code table (code, name, country) with unique codes; it is

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.dates import calendar_columns
+from .joins import unhinted
+
 
 DIM_DATE_COLUMNS = ["date_id", "full_date", "year", "quarter", "month",
                     "month_name", "day", "day_of_week", "day_name", "is_weekend"]
@@ -52,7 +54,7 @@ def route_pairs(ods: DataFrame) -> DataFrame:
 
 
 def dim_route(ods: DataFrame, airports: DataFrame,
-              existing: DataFrame | None = None, hint=F.broadcast,
+              existing: DataFrame | None = None, hint=unhinted,
               frozen: bool = False) -> DataFrame:
     """Route dimension: distinct pairs whose two airports are known.
 

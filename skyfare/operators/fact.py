@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, parse_ts
 from ..functions.scalar import flight_type_id
+from .joins import unhinted
+
 
 FACT_COLUMNS = ["flight_id", "route_id", "airline_sk", "date_id", "flight_type_id",
                 "price", "duration", "extracted_at"]
@@ -38,7 +40,7 @@ def complete_rows(ods: DataFrame) -> DataFrame:
     return ods.where(cond)
 
 
-def route_codes(dim_route: DataFrame, airports: DataFrame, hint=F.broadcast) -> DataFrame:
+def route_codes(dim_route: DataFrame, airports: DataFrame, hint=unhinted) -> DataFrame:
     """(origin, destination, route_id): routes with their two airport codes."""
     o = airports.select(F.col("airport_id").alias("origin_airport_id"),
                         F.col("airport_code").alias("origin"))

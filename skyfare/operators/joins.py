@@ -6,6 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def unhinted(df: DataFrame) -> DataFrame:
+    """The default hint of every lookup join: none.  Spark chooses by its size
+    estimates; callers that counted a side pass ``F.broadcast`` instead."""
+    return df
+
+
 def bounded_broadcast(df: DataFrame, rows: int | None, max_rows: int) -> DataFrame:
     """Hint a broadcast when the side's row count is known to be <= max_rows.
 

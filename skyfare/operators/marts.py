@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import round_avg, round_ratio_pct
+from .joins import unhinted
+
 
 CUBE_KEYS = ["route_id", "airline_sk", "flight_type_id", "date_id"]
 
@@ -52,7 +54,7 @@ def avg_duration():
 
 
 def route_analysis(cube: DataFrame, route: DataFrame, airports: DataFrame,
-                   hint=F.broadcast) -> DataFrame:
+                   hint=unhinted) -> DataFrame:
     o = airports.select(F.col("airport_id").alias("origin_airport_id"),
                         F.col("airport_code").alias("origin_code"),
                         F.col("city").alias("origin_city"))
@@ -72,7 +74,7 @@ def route_analysis(cube: DataFrame, route: DataFrame, airports: DataFrame,
 
 
 def airline_performance(cube: DataFrame, airline: DataFrame, ftype: DataFrame,
-                        hint=F.broadcast) -> DataFrame:
+                        hint=unhinted) -> DataFrame:
     """Facts on closed airline versions drop out (current versions only)."""
     a = airline.where(F.col("is_current") == 1).select(
         "airline_sk", F.col("airline_bk").alias("airline_code"), "airline_name", "country")
@@ -87,7 +89,7 @@ def airline_performance(cube: DataFrame, airline: DataFrame, ftype: DataFrame,
                      round_ratio_pct(direct, F.sum("flights")).alias("direct_flights_percent")))
 
 
-def temporal_patterns(cube: DataFrame, calendar: DataFrame, hint=F.broadcast) -> DataFrame:
+def temporal_patterns(cube: DataFrame, calendar: DataFrame, hint=unhinted) -> DataFrame:
     c = calendar.select("date_id", "year", "month", "month_name", "day_of_week",
                         "day_name", "is_weekend")
     return (cube.join(hint(c), "date_id")
@@ -97,7 +99,7 @@ def temporal_patterns(cube: DataFrame, calendar: DataFrame, hint=F.broadcast) ->
                      F.sum("sum_price").cast("decimal(38,2)").alias("total_revenue_this_period")))
 
 
-def flight_type_analysis(cube: DataFrame, ftype: DataFrame, hint=F.broadcast) -> DataFrame:
+def flight_type_analysis(cube: DataFrame, ftype: DataFrame, hint=unhinted) -> DataFrame:
     """Share of all facts per flight type; the grand total is an
     uncorrelated scalar subquery (evaluated once, one row)."""
     total = cube.select(F.sum("flights")).scalar()
@@ -113,7 +115,7 @@ def flight_type_analysis(cube: DataFrame, ftype: DataFrame, hint=F.broadcast) ->
 
 
 def price_summary(cube: DataFrame, calendar: DataFrame, as_of: dt.date,
-                  hint=F.broadcast) -> DataFrame:
+                  hint=unhinted) -> DataFrame:
     """Global aggregate for the month of ``as_of``: always exactly one row
     (count 0 and NULLs for an empty month)."""
     c = calendar.where((F.col("month") == as_of.month) & (F.col("year") == as_of.year)) \

@@ -11,30 +11,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import unhinted
+
 
 def price_anomalies(fact: DataFrame, max_price: int = 1_000_000) -> DataFrame:
-    return fact.where((F.col("price") <= 0) | (F.col("price") > max_price))
+    return fact.where(_is_anomaly(max_price))
 
 
 def null_key_rows(fact: DataFrame) -> DataFrame:
-    return fact.where(F.col("route_id").isNull() | F.col("airline_sk").isNull()
-                      | F.col("date_id").isNull())
+    return fact.where(_has_null_key())
 
 
-def broken_links(fact: DataFrame, route: DataFrame, airline: DataFrame,
-                 calendar: DataFrame, ftype: DataFrame, hint=F.broadcast) -> DataFrame:
-    """Facts with any dangling foreign key (four NOT EXISTS, OR-ed).
+def _is_anomaly(max_price: int):
+    return (F.col("price") <= 0) | (F.col("price") > max_price)
+
+
+def _has_null_key():
+    return F.col("route_id").isNull() | F.col("airline_sk").isNull() | F.col("date_id").isNull()
 
-    Each dimension key set is joined left with an existence flag; the
-    dimensions are bounded, so these are broadcast lookups."""
+
+def with_links(fact: DataFrame, route: DataFrame, airline: DataFrame,
+               calendar: DataFrame, ftype: DataFrame, hint=unhinted) -> DataFrame:
+    """The fact with ``_broken``: whether any of its four keys is dangling.
+
+    Every dimension key is unique, so each lookup adds a flag and no rows."""
     def flag(df, key, name):
-        return hint(df.select(key).distinct().withColumn(name, F.lit(True)))
+        return hint(df.select(key, F.lit(True).alias(name)))
     j = (fact.join(flag(route, "route_id", "_r"), "route_id", "left")
              .join(flag(airline, "airline_sk", "_a"), "airline_sk", "left")
              .join(flag(calendar, "date_id", "_d"), "date_id", "left")
              .join(flag(ftype, "flight_type_id", "_t"), "flight_type_id", "left"))
-    return j.where(F.col("_r").isNull() | F.col("_a").isNull() | F.col("_d").isNull()
-                   | F.col("_t").isNull()).drop("_r", "_a", "_d", "_t")
+    broken = F.col("_r").isNull() | F.col("_a").isNull() | F.col("_d").isNull() | F.col("_t").isNull()
+    return j.withColumn("_broken", broken).drop("_r", "_a", "_d", "_t")
+
+
+def broken_links(fact: DataFrame, route: DataFrame, airline: DataFrame,
+                 calendar: DataFrame, ftype: DataFrame, hint=unhinted) -> DataFrame:
+    """Facts with any dangling foreign key."""
+    return with_links(fact, route, airline, calendar, ftype, hint).where("_broken").drop("_broken")
 
 
 def _count_check(df: DataFrame, name: str, limit: float, op: str, severity: str) -> DataFrame:
@@ -68,24 +82,42 @@ def volume(ods: DataFrame, fact: DataFrame) -> DataFrame:
     return a.withColumn("success_pct", pct)
 
 
+def _report(sums: DataFrame, checks: list) -> DataFrame:
+    """Rows of a report from one row of sums: (name, value column, limit, rule, severity)."""
+    rows = F.array(*[_row(*c) for c in checks])
+    return _flatten(sums.select(F.explode(rows).alias("r")))
+
+
+def _int(c):
+    return F.coalesce(c, F.lit(False)).cast("int")
+
+
 def dq_report(ods: DataFrame, fact: DataFrame, min_success_pct: float = 90.0,
               max_price: int = 1_000_000) -> DataFrame:
-    vol = volume(ods, fact).select(_row("volume_success_pct", F.col("success_pct"),
-                                        min_success_pct, "ge", "warning"))
-    anomalies = _count_check(price_anomalies(fact, max_price), "price_anomalies", 0, "eq",
-                             "warning")
-    nulls = _count_check(null_key_rows(fact), "null_foreign_keys", 0, "eq", "warning")
-    return _flatten(vol).unionByName(_flatten(anomalies)).unionByName(_flatten(nulls))
+    """Volume, price anomalies and null keys in one pass over the ODS and the fact."""
+    zero = F.lit(0)
+    u = (ods.select(F.lit(1).alias("_o"), zero.alias("_f"), zero.alias("_p"), zero.alias("_n"))
+            .unionByName(fact.select(zero.alias("_o"), F.lit(1).alias("_f"),
+                                     _int(_is_anomaly(max_price)).alias("_p"),
+                                     _int(_has_null_key()).alias("_n"))))
+    a = u.agg(*[F.coalesce(F.sum(c), zero).cast("bigint").alias(c) for c in ("_o", "_f", "_p", "_n")])
+    pct = F.when(F.col("_o") > 0, F.round((F.col("_f") * F.lit(100)).cast("decimal(28,2)") / F.col("_o"), 2)
+                 .cast("double")).otherwise(F.lit(0.0))
+    return _report(a, [("volume_success_pct", pct, min_success_pct, "ge", "warning"),
+                       ("price_anomalies", F.col("_p").cast("double"), 0, "eq", "warning"),
+                       ("null_foreign_keys", F.col("_n").cast("double"), 0, "eq", "warning")])
 
 
 def fact_validate(fact: DataFrame, route, airline, calendar, ftype,
-                  max_price: int = 1_000_000, hint=F.broadcast) -> DataFrame:
-    total = _count_check(fact, "total_rows", 0, "gt", "error")
-    broken = _count_check(broken_links(fact, route, airline, calendar, ftype, hint),
-                          "broken_links", 0, "eq", "error")
-    anomalies = _count_check(price_anomalies(fact, max_price), "price_anomalies", 0, "eq",
-                             "warning")
-    return _flatten(total).unionByName(_flatten(broken)).unionByName(_flatten(anomalies))
+                  max_price: int = 1_000_000, hint=unhinted) -> DataFrame:
+    """Row count, dangling keys and price anomalies in one pass over the fact."""
+    a = with_links(fact, route, airline, calendar, ftype, hint).agg(
+        F.count(F.lit(1)).cast("double").alias("_n"),
+        F.count_if("_broken").cast("double").alias("_b"),
+        F.count_if(_is_anomaly(max_price)).cast("double").alias("_p"))
+    return _report(a, [("total_rows", F.col("_n"), 0, "gt", "error"),
+                       ("broken_links", F.col("_b"), 0, "eq", "error"),
+                       ("price_anomalies", F.col("_p"), 0, "eq", "warning")])
 
 
 def missing_airlines(ods: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.lookup import with_airline_info
+from .joins import unhinted
+
 
 DIM_AIRLINE_COLUMNS = ["airline_sk", "airline_bk", "airline_name", "country",
                        "valid_from", "valid_to", "is_current"]
@@ -39,11 +40,6 @@ def source_codes(ods: DataFrame) -> DataFrame:
                .select(F.col("airline").alias("airline_bk")).distinct())
 
 
-def source_airlines(ods: DataFrame, lookup: DataFrame, codes: DataFrame | None = None) -> DataFrame:
-    """Distinct non-null airline codes of the ODS with (name, country)."""
-    return with_airline_info(codes if codes is not None else source_codes(ods), lookup)
-
-
 def scd2_initial(dim: DataFrame, source: DataFrame, batch_ts: str,
                  dim_rows: int) -> DataFrame:
     """First load: one current version per source key, keys 1..n in code
@@ -73,7 +69,7 @@ def scd2_changes(dim: DataFrame, source: DataFrame) -> DataFrame:
     return j.withColumn("status", status)
 
 
-def scd2_merge(dim: DataFrame, source: DataFrame, batch_ts: str, hint=F.broadcast) -> DataFrame:
+def scd2_merge(dim: DataFrame, source: DataFrame, batch_ts: str, hint=unhinted) -> DataFrame:
     """Next version of the dimension after applying ``source``.
 
     Keys missing from the source stay current.  New surrogate keys continue

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, RunConfig
 from ..functions.lookup import with_airline_info
-from ..operators import dims, fact, marts, scd2
-from ..operators.joins import bounded_broadcast
+from ..operators import dims, fact, marts, quality, scd2
+from ..operators.joins import bounded_broadcast, unhinted
 from ..session import app_id, new_run_dir
 from ..sources import feeds, fixture, landing
 from .inputs import FixtureInputs, LandingInputs
@@ -89,7 +89,7 @@ class Warehouse:
         rows = [self.rows.get(n) for n in names]
         if all(r is not None for r in rows) and sum(rows) <= self.cfg.broadcast_max_rows:
             return F.broadcast
-        return _identity
+        return unhinted
 
     # ---- ODS -------------------------------------------------------------
     def _build_fixture_lines(self):
@@ -136,28 +136,30 @@ class Warehouse:
         return self.read("airline_lookup_previous" if previous else "airline_lookup")
 
     def _build_dim_airline(self):
-        """Two SCD2 runs over the ODS: the earlier one with the previous
-        lookup release (initial load, then an update that finds nothing),
-        the current one with today's lookup.  Inputs without a previous
-        release replay the current lookup, so the second run changes
-        nothing."""
+        """The Type-2 airline dimension, built under private names and made
+        current by its last write alone.
+
+        Inputs with an earlier lookup release replay it as a run of its own
+        (stamp ``prev_batch_ts``): initial load, then a merge that finds
+        nothing.  Inputs without one are loaded once, valid from this run."""
         ods = self.read("ods_cheap_tickets")
         codes = self.write("ods_airline_codes", scd2.source_codes(ods), count=True)
-        empty = scd2.empty_dim(self.spark)
-        src_prev = with_airline_info(codes, self.lookup(previous=True),
-                                     hint=self.hint("airline_lookup_previous"))
-        v1 = scd2.scd2_initial(empty, src_prev, self.cfg.prev_batch_ts, dim_rows=0)
-        v1 = self.write("dim_airline", v1, count=True)
-        v1 = self.write("dim_airline", scd2.scd2_merge(v1, src_prev, self.cfg.prev_batch_ts,
-                                                       hint=self.hint("dim_airline")),
-                        count=True)
-        self.paths["dim_airline_previous"] = self.paths["dim_airline"]
-        src = with_airline_info(codes, self.lookup(previous=False),
-                                hint=self.hint("airline_lookup"))
-        self.write("scd2_source", src, count=True)
-        self.write("dim_airline", scd2.scd2_merge(v1, self.read("scd2_source"),
-                                                  self.cfg.batch_ts,
-                                                  hint=self.hint("dim_airline")), count=True)
+        src = self.write("scd2_source", with_airline_info(codes, self.lookup(previous=False),
+                                                          hint=self.hint("airline_lookup")), count=True)
+        empty, previous = scd2.empty_dim(self.spark), self.inputs.lookup(self, previous=True)
+        first_src, stamp = src, self.cfg.batch_ts
+        if previous is not None:
+            first_src = with_airline_info(codes, self.lookup(previous=True),
+                                          hint=self.hint("airline_lookup_previous"))
+            stamp = self.cfg.prev_batch_ts
+        v1 = self.write("dim_airline_initial", scd2.scd2_initial(empty, first_src, stamp, dim_rows=0), count=True)
+        v2 = self.write("dim_airline_previous", scd2.scd2_merge(v1, first_src, stamp,
+                                                                hint=self.hint("dim_airline_initial")), count=True)
+        self.write("dim_airline", scd2.scd2_merge(v2, src, self.cfg.batch_ts,
+                                                  hint=self.hint("dim_airline_previous")), count=True)
+
+    def _build_dim_airline_initial(self):
+        self._build_dim_airline()
 
     def _build_dim_airline_previous(self):
         self._build_dim_airline()
@@ -283,16 +285,27 @@ class Warehouse:
         for t in self.spark.catalog.listTables(database):
             self.spark.sql(f"DROP TABLE IF EXISTS {database}.{t.name}")
 
+    # ---- quality ---------------------------------------------------------
+    def _build_dq_report(self):
+        self.write("dq_report", quality.dq_report(self.read("ods_cheap_tickets"), self.read("fact_flights"),
+                                                  self.cfg.min_success_pct, self.cfg.max_valid_price))
+
+    def _build_fact_validate(self):
+        names = ("dim_route", "dim_airline", "dim_date", "dim_flight_type")
+        self.write("fact_validate", quality.fact_validate(
+            self.read("fact_flights"), *[self.read(n) for n in names], self.cfg.max_valid_price,
+            hint=self.hint(*names)))
+
+    def _build_scd2_validate(self):
+        self.write("scd2_validate", quality.scd2_validate(self.read("dim_airline"),
+                                                          self.read("ods_cheap_tickets")))
+
     def build_all(self) -> "Warehouse":
         for m in MARTS:
             self.read(m)
         return self
 
 
-def _identity(df: DataFrame) -> DataFrame:
-    return df
-
-
 _CACHE: dict = {}
 _CACHE_LOCK = threading.Lock()
 
@@ -308,9 +321,16 @@ def warehouse(spark: SparkSession, sf_dir: str, cfg: RunConfig = DEFAULT) -> War
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, cfg: RunConfig = DEFAULT) -> Warehouse:
-    """Ingest -> (SCD2 || dimensions) -> fact -> marts, in that order."""
+    """Ingest -> (SCD2 || dimensions) -> fact -> marts -> quality, in that order.
+
+    The quality reports are layers like the others (``dq_report``,
+    ``fact_validate``, ``scd2_validate``); an empty mart fails the run."""
     wh = warehouse(spark, sf_dir, cfg)
     for name in ["ods_cheap_tickets", "dim_airline", "dim_date", "dim_airport",
                  "dim_route", "dim_flight_type", "fact_outcomes", "fact_flights"]:
         wh.read(name)
-    return wh.build_all()
+    wh.build_all()
+    for name in ("dq_report", "fact_validate", "scd2_validate"):
+        wh.read(name)
+    quality.assert_marts_nonempty({m: wh.read(m) for m in MARTS})
+    return wh

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -56,7 +57,8 @@ def shared_root(spark: SparkSession) -> str:
     """Folder for materialised layers and checkpoints.
 
     Uses the cluster's ``spark.checkpoint.dir`` (a shared file system).  Only
-    when it is unset -- local tests -- do we make one of our own.
+    on a local master, where there is one machine, is a folder of our own made
+    when it is unset; on a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -65,6 +67,8 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001
             root = None
     if not root:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="skyfare-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     try:
