@@ -62,8 +62,8 @@ class WeakSupervision:
     max_features: int = 1000
     mined_voters: int = 40
     em_rounds: int = 30
-    l2: float = 0.05
-    fit_steps: int = 300
+    l2: float = 0.02
+    fit_steps: int = 1000
     threshold: float = 0.7
 
 
@@ -329,6 +329,8 @@ def train(docs: DataFrame, labels: DataFrame, ws: Workspace, cfg: WeakSupervisio
     names = list(dict.fromkeys(seeds + chosen))
     x = np.concatenate([x[:, [column[f] for f in names]], x[:, len(column):]], axis=1)
     v = votes(x, y, names, chosen)
+    if (y >= 0).any():  # an unlabelled row says no more than a labelled one
+        weight = np.where(y < 0, weight[y >= 0].mean(), weight)
     q, _ = label_model(v, weight, cfg.em_rounds)
     w, b = fit_linear(x, q, weight, cfg)
     return Model({f: float(c) for f, c in zip(names, w)}, tuple(float(c) for c in w[len(names):]), b)
