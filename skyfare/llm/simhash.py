@@ -152,7 +152,7 @@ def links(fps: DataFrame, ws: Workspace, cfg: SimHash = SimHash()) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, ws: Workspace, cfg: SimHash = SimHash()) -> DataFrame:
     """(doc_id, __text, fp, component_id): component_id is the smallest id reachable over links."""
-    f = ws.table(fingerprints(spread(docs.select("doc_id", "text")), cfg), "fingerprints")
+    f = ws.table(fingerprints(docs, cfg), "fingerprints")
     roots = connected(links(f, ws, cfg), ws)
     per_fp = f.groupBy("fp").agg(F.min("doc_id").alias("first"))
     rooted = ws.table(per_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
@@ -186,7 +186,8 @@ def drop_near_duplicates(docs: DataFrame, ws: Workspace, cfg: SimHash = SimHash(
     twice = ws.table(keys.where("n > 1").join(kept, same, "left_semi").select(
         F.col("doc_id").alias("__id"), F.col("__text").alias("__t")), "twice")
     mine = F.col("__id").eqNullSafe(docs["doc_id"]) & (F.col("__t") == F.xxhash64(docs["text"]))
-    left = docs.join(out, mine, "left_anti")
+    # the list grows with the documents: joined by a shuffle at every size, never broadcast
+    left = docs.join(out.hint("merge"), mine, "left_anti")
     if twice.isEmpty():
         return left
     mine = F.col("__id").eqNullSafe(left["doc_id"]) & (F.col("__t") == F.xxhash64(left["text"]))
