@@ -16,7 +16,7 @@ repeat an id by the hash of their text).  Token p is in the block with
 base + first <= p, at bit (p - base - first) * width of its payload, so a range
 of tokens needs only the blocks that hold it and unpacks with numpy.
 
-Encoding works on pieces between blanks, which no token of the tokenizer
+With a word tokenizer, encoding works on pieces between blanks, which no token
 crosses, and looks up pieces it has seen; the result equals encoding the whole
 text (tested).  Documents are range-partitioned and encoded where they are; a
 shard's totals are summed by Spark, no id passes through the driver.
@@ -27,8 +27,10 @@ an empty table gives an empty file; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,8 +42,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-_BLANK = re.compile(r"[ \t\n\r]+")
-CACHE = 300_000
+_RUN = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+# letters that normalising keeps or lower-cases one for one (not the dotted capital I)
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+_LOWER = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+# byte alphabet of byte-level vocabularies: visible Latin-1 signs stand for themselves, the
+# other bytes, in order, for the characters from 256 on
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+CACHE = 600_000
 
 
 @dataclass(frozen=True)
@@ -57,7 +66,10 @@ def bits_for(vocabulary: int) -> int:
 
 
 def pack(ids: np.ndarray, width: int) -> bytes:
-    bits = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+    octets = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
+    if width % 8 == 0:
+        return octets[:, :width // 8].tobytes()
+    bits = np.unpackbits(octets, axis=1, bitorder="little")
     return np.packbits(bits[:, :width].reshape(-1), bitorder="little").tobytes()
 
 
@@ -65,36 +77,100 @@ def unpack(payload: bytes, width: int, start: int, count: int) -> np.ndarray:
     """``count`` ids from id ``start`` on; touches only their bytes."""
     low, high = start * width, (start + count) * width
     raw = np.frombuffer(payload, dtype=np.uint8, offset=low // 8, count=(high + 7) // 8 - low // 8)
+    if width % 8 == 0:
+        octets = np.zeros((count, 4), dtype=np.uint8)
+        octets[:, :width // 8] = raw.reshape(count, width // 8)
+        return octets.reshape(-1).view("<u4")
     bits = np.unpackbits(raw, bitorder="little")[low % 8:low % 8 + count * width].reshape(count, width)
     full = np.zeros((count, 32), dtype=np.uint8)
     full[:, :width] = bits
     return np.packbits(full.reshape(-1), bitorder="little").view("<u4")
 
 
+#: Normalising and first cut of the tokenizers that parts_of knows.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+FIRST_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _state(component) -> dict:
+    return json.loads(component.__getstate__()) if component is not None else {}
+
+
 class Encoder:
-    """Ids of whole texts, as little-endian 32-bit bytes."""
+    """Ids of whole texts, as little-endian 32-bit bytes.
+
+    With a tokenizer that lower-cases and cuts words as above, a text is cut at
+    blanks and a piece into parts where the tokenizer cuts too; parts and
+    pieces are encoded once and looked up afterwards.  A part of plain letters
+    is what normalising would leave, so it goes to the merge model directly.
+    Any other tokenizer gets whole texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, bytes] = {"": b""}
+        cuts = _state(self.tokenizer.pre_tokenizer).get("pretokenizers", [])
+        self.in_parts = (_state(self.tokenizer.normalizer) == NORMALIZER and len(cuts) == 2
+                         and cuts[0].get("pattern") == {"Regex": FIRST_CUT} and cuts[1].get("type") == "ByteLevel"
+                         and not cuts[1].get("use_regex") and not cuts[1].get("add_prefix_space"))
+        self.known: dict[str, bytes] = {"": b""}   # pieces as they stand in texts
+        self.parts: dict[str, bytes] = {"": b""}   # what the tokenizer was asked
+
+    def _ask(self, texts: list[str]) -> list[bytes]:
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids)
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word(self, part: str) -> bytes:
+        """A part of lower-case letters, spelt in the model's byte alphabet."""
+        spelt = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(_ALPHABET)
+        ids = [t.id for t in self.model.tokenize(spelt)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [[p.lower() if p.isascii() and "<|" not in p else p for p in _BLANK.split(t or "")]
-                 for t in texts]
+        if not self.in_parts:
+            return self._ask([t or "" for t in texts])
+        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         if len(self.known) > CACHE:
             self.known = {"": b""}
-        known = self.known
-        new = list({p for pieces in split for p in pieces if p not in known})
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[p] = np.array(e.ids, dtype="<u4").tobytes()
+        if len(self.parts) > CACHE:
+            self.parts = {"": b""}
+        known, parts = self.known, self.parts
+        cut = {p: parts_of(p) for p in set().union(*split) - known.keys()}
+        other = []
+        for x in set().union(*cut.values()) - parts.keys():
+            if _LOWER.fullmatch(x):
+                parts[x] = self._word(x)
+            else:
+                other.append(x)
+        for i in range(0, len(other), 10_000):
+            parts.update(zip(other[i:i + 10_000], self._ask(other[i:i + 10_000])))
+        for p, xs in cut.items():
+            known[p] = parts[xs[0]] if len(xs) == 1 else b"".join([parts[x] for x in xs])
         return [b"".join([known[p] for p in pieces]) for pieces in split]
 
 
+def parts_of(piece: str) -> tuple[str, ...]:
+    """A piece without blanks in parts that encode one after another like the whole.
+
+    Plain Latin words are lower-cased, other printable ASCII is cut between
+    letters, single digits and runs of other signs; elsewhere only marks after
+    a last Latin letter are cut off.  Pieces with an apostrophe or the start of
+    a special token stay whole."""
+    if _LATIN.fullmatch(piece):
+        return (piece.lower(),)
+    if "'" in piece or "<|" in piece:
+        return (piece,)
+    if piece.isascii() and piece.isprintable():
+        return tuple(_RUN.findall(piece.lower()))
+    core = piece.rstrip(".,;:!?")
+    if not _LATIN.fullmatch(core[-1:]):
+        return (piece,)
+    return (core.lower() if _LATIN.fullmatch(core) else core, piece[len(core):])
+
+
 def _chunks(texts: list, size: int = 4 << 20) -> Iterator[list]:
     """Texts in runs of about ``size`` characters."""
     run, held = [], 0
