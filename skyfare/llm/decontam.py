@@ -10,8 +10,9 @@ holds the hit has at least ``min_match`` equal tokens.
 
 Defined cases: null and empty texts match nothing; items with fewer tokens
 than a mask's span cannot be told from chance and match nothing; repeated rows
-each get their verdict, repeated items add nothing; an empty benchmark leaves
-every document clean; null ids are carried through; other columns are ignored
+each get their verdict, repeated items add nothing; items without an id count
+like others; an empty benchmark leaves every document clean; null ids of
+documents are carried through; other columns are ignored
 (``remove_contaminated`` keeps them).
 
 Plan: masks are hashed inside one generated stage over (document, position), no
@@ -92,8 +93,7 @@ def _aligned(doc: Column, start: Column, length: Column) -> Column:
 def _index(benchmark: DataFrame, cfg: Seeds, ws: Workspace) -> tuple[DataFrame, DataFrame]:
     """(distinct items with token hashes, index rows (__key, __item, __ipos, __ilen))."""
     items = ws.table(
-        benchmark.where(F.col("item_id").isNotNull())
-        .select(F.col("item_id").alias("__item"), token_hashes(F.col("text")).alias("__h"))
+        benchmark.select(F.col("item_id").alias("__item"), token_hashes(F.col("text")).alias("__h"))
         .where(F.size("__h") >= cfg.span).dropDuplicates(["__item", "__h"])
         .withColumn("__ikey", F.xxhash64("__item", "__h")), "items")
     index = masked_positions(items.withColumn("__ilen", F.size("__h")),
