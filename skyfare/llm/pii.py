@@ -12,13 +12,17 @@ holding entity and term, and c(e, t) documents in which t stands within
     PMI(t; e) = log2(c * N / (df(t) * df(e))),   IC(e) = log2(N / df(e)),
 
 and PMI / IC is the share of the entity's information that the term reveals: 1
-if the term occurs with this entity alone.  Terms seen near e in at least
-``min_support`` different texts whose share reaches ``generalise_at`` become
-``term`` spans; ``sanitise`` replaces base spans and generalised terms by a
-class name and removes terms whose share reaches ``remove_at``.
+if the term occurs with this entity alone.  Few texts prove little, so a term is
+judged by its sure share: P(e | t) = c / df(t) is drawn towards P(e) = df(e) / N
+as if ``prior`` further texts with t held e at the corpus rate.  An entity that
+stands in a single text thus has terms as soon as N is large enough for one
+text to tell something; no number of texts is asked for.  Terms whose sure share
+reaches ``generalise_at`` become ``term`` spans; ``sanitise`` replaces base spans
+and generalised terms by a class name and removes terms whose share reaches
+``remove_at``.
 
 Defined cases: null text is empty; repeated rows each get the same spans and
-count as documents, but only different texts count as support; spans are code points, end exclusive;
+count as documents, but only different texts count as evidence; spans are code points, end exclusive;
 null ids are carried through; an empty table gives an empty result; other
 columns are ignored (``sanitise`` keeps them).
 
@@ -56,7 +60,7 @@ BLOCK = 1000
 @dataclass(frozen=True)
 class Disclosure:
     window: int = 80
-    min_support: int = 3
+    prior: float = 1.5
     generalise_at: float = 0.8
     remove_at: float = 0.95
     max_broadcast: int = 200_000
@@ -172,8 +176,8 @@ def disclosures(docs: DataFrame, base: DataFrame, terms: DataFrame, ws: Workspac
     near = near.join(copies, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__text") == F.col("__t")), "left")
     pairs = ws.table(near.groupBy("entity", "term", "__text")
                      .agg(F.sum(F.coalesce("copies", F.lit(1))).alias("n"))
-                     .groupBy("entity", "term").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("texts"))
-                     .where(F.col("texts") >= cfg.min_support).drop("texts"), "pairs")
+                     .groupBy("entity", "term").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("texts")),
+                     "pairs")
     wanted = ws.table(pairs.select("term").distinct(), "wanted")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
         F.lower(F.coalesce(F.col("text"), F.lit(""))), F.lit(TERM), F.lit(0)))).alias("term"))
@@ -181,11 +185,15 @@ def disclosures(docs: DataFrame, base: DataFrame, terms: DataFrame, ws: Workspac
     frequency = ws.table(words.join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
                          .groupBy("term").agg(F.count(F.lit(1)).alias("df_t")), "frequency")
     n = F.lit(docs.count()).cast("double")
-    share = F.when(n > F.col("df_e"), 1.0 + F.log2(F.least(F.lit(1.0), F.col("c") / F.col("df_t")))
-                   / F.log2(n / F.col("df_e"))).otherwise(0.0)
+    told = F.least(F.lit(1.0), F.col("c") / F.col("df_t"))
+    sure = (F.col("texts") + cfg.prior * F.col("df_e") / n) / (F.col("texts") / told + cfg.prior)
+
+    def share(p: Column) -> Column:
+        return F.when(n > F.col("df_e"), 1.0 + F.log2(p) / F.log2(n / F.col("df_e"))).otherwise(0.0)
+
     return ws.table(pairs.join(entities, "entity").join(frequency, "term")
-                    .select("entity", "term", share.alias("share"))
-                    .where(F.col("share") >= cfg.generalise_at), "disclosures")
+                    .where(share(sure) >= cfg.generalise_at)
+                    .select("entity", "term", share(told).alias("share")), "disclosures")
 
 
 def find_personal_data(docs: DataFrame, ws: Workspace, cfg: Disclosure = Disclosure()) -> DataFrame:

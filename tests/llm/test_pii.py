@@ -102,6 +102,24 @@ def test_sanitise(spark):
     assert text[200] == "the desk again [EMAIL]" and text[201] is None and text[202] == ""
 
 
+def marked(spark, d):
+    """doc_id -> words of its term spans."""
+    text = {r["doc_id"]: r["text"] for r in d.collect()}
+    return {r["doc_id"]: [text[r["doc_id"]][int(x.split(":")[1]):int(x.split(":")[2])]
+                          for x in r["spans"].split(",") if x.startswith("term")]
+            for r in pii.report(d, ws(spark)).collect()}
+
+
+def test_entities_in_one_and_in_two_texts(spark):
+    """A name that stands with an entity alone gives it away, however few texts hold the entity."""
+    rows = [(i, f"the quick fox number{chr(97 + i % 26)} walks home the end") for i in range(2000)]
+    rows += [(3000, "the fox of oncelia walks to one@mail.org home"),
+             (3001, "the fox of twicelia walks to two@mail.org home"), (3002, "walks twicelia the quick two@mail.org")]
+    got = marked(spark, documents(spark, rows))
+    assert got[3000] == ["oncelia"] and got[3001] == got[3002] == ["twicelia"]
+    assert not any(got[i] for i in range(2000))
+
+
 def test_empty(spark):
     d = documents(spark, [(1, "x")]).where(F.col("doc_id") < 0)
     assert pii.report(d, ws(spark)).count() == 0 and pii.sanitise(d, ws(spark)).count() == 0
