@@ -4,10 +4,10 @@ Base: e-mail, IP, card and phone texts are found by pattern, leftmost and
 non-overlapping per kind, and checked (parts, digits, Luhn).  Each valid text is
 a protected entity.
 
-Disclosure: words near an entity can give it away even when the entity itself
-is masked.  Over the whole corpus, with N documents, df(e) and df(t) documents
-holding entity and term, and c(e, t) documents in which t stands within
-``window`` characters of e,
+Disclosure: words of a document can give an entity away even when the entity
+itself is masked.  Over the whole corpus, with N documents, df(e) and df(t)
+documents holding entity and term, and c(e, t) documents holding both, wherever
+they stand (words inside e-mails are no terms; other kinds hold no letters),
 
     PMI(t; e) = log2(c * N / (df(t) * df(e))),   IC(e) = log2(N / df(e)),
 
@@ -19,7 +19,8 @@ stands in a single text thus has terms as soon as N is large enough for one
 text to tell something; no number of texts is asked for.  Terms whose sure share
 reaches ``generalise_at`` become ``term`` spans; ``sanitise`` replaces base spans
 and generalised terms by a class name and removes terms whose share reaches
-``remove_at``.
+``remove_at``.  Every occurrence of such a term is a span in all documents that
+hold the entity; a document without the entity has nothing to give away.
 
 Defined cases: null text is empty; repeated rows each get the same spans and
 count as documents, but only different texts count as evidence; spans are code points, end exclusive;
@@ -28,8 +29,11 @@ columns are ignored (``sanitise`` keeps them).
 
 All expressions are Spark's.  The patterns are written without overlapping
 repeats (possessive, anchored at the start of a run), so a text costs time in
-proportion to its length.  Only matches and their windows are shuffled, never
-texts; the document's own span list is the largest group.
+proportion to its length.  Texts are kept only of documents that hold an
+entity, and only their words are shuffled, besides partial counts.  Entities
+that stand in the same documents are counted as one, so a document costs its
+words times the different sets of documents its entities stand in; the
+document's own span list is the largest group.
 """
 
 from __future__ import annotations
@@ -59,7 +63,6 @@ BLOCK = 1000
 
 @dataclass(frozen=True)
 class Disclosure:
-    window: int = 80
     prior: float = 1.5
     generalise_at: float = 0.8
     remove_at: float = 0.95
@@ -117,22 +120,17 @@ def _entity(kind: str, v: Column) -> Column:
     return F.concat(F.lit(kind + ":"), plain)
 
 
-SPANS = "array<struct<s:int,e:int,entity:string,before:string,after:string>>"
+SPANS = "array<struct<s:int,e:int,entity:string>>"
 
 
-def base_spans(text: Column, kind: str, window: int = 0) -> Column:
-    """Valid spans of one kind with the texts around them (cut to whole words)."""
-    between, found, starts = matches(text, PATTERNS[kind])
-    rows = F.arrays_zip(starts.alias("s"), found.alias("v"),
-                        F.slice(between, 1, F.size(found)).alias("b"),
-                        F.slice(between, 2, F.size(found)).alias("a"))
+def base_spans(text: Column, kind: str) -> Column:
+    """Valid spans of one kind."""
+    _, found, starts = matches(text, PATTERNS[kind])
+    rows = F.arrays_zip(starts.alias("s"), found.alias("v"))
 
     def span(r: Column) -> Column:
-        before, after = F.right(r["b"], F.lit(window)), F.left(r["a"], F.lit(window))
-        before = F.when(F.length(r["b"]) > window, F.regexp_replace(before, r"^\S+", "")).otherwise(before)
-        after = F.when(F.length(r["a"]) > window, F.regexp_replace(after, r"\S+$", "")).otherwise(after)
         return F.struct(r["s"].alias("s"), (r["s"] + F.length(r["v"])).alias("e"),
-                        _entity(kind, r["v"]).alias("entity"), before.alias("before"), after.alias("after"))
+                        _entity(kind, r["v"]).alias("entity"))
 
     spans = F.transform(F.filter(rows, lambda r: _valid(kind, r["v"])), span).cast(SPANS)
     if NEEDS[kind]:
@@ -141,49 +139,63 @@ def base_spans(text: Column, kind: str, window: int = 0) -> Column:
 
 
 def find_base(docs: DataFrame, ws: Workspace, cfg: Disclosure) -> DataFrame:
-    """One row per document: doc_id, __text (hash), one span array per kind."""
+    """One row per document: doc_id, __text (hash), one span array per kind, and __body,
+    the text of documents that hold an entity."""
     body = F.coalesce(F.col("text"), F.lit(""))
-    return ws.table(docs.select("doc_id", F.xxhash64(body).alias("__text"),
-                                *[base_spans(body, k, cfg.window).alias(k) for k in KINDS]), "base")
+    found = docs.select("doc_id", F.xxhash64(body).alias("__text"), body.alias("__all"),
+                        *[base_spans(body, k).alias(k) for k in KINDS])
+    holds = F.size(F.concat(*KINDS)) > 0
+    return ws.table(found.select("doc_id", "__text", *KINDS, F.when(holds, F.col("__all")).alias("__body")), "base")
 
 
 def _terms_around(base: DataFrame) -> DataFrame:
-    """One row per word near an entity: doc_id, __text, entity, term, s, e."""
-    spans = base.select("doc_id", "__text", F.explode(F.concat(*KINDS)).alias("x"))
-    sides = spans.select(
-        "doc_id", "__text", F.col("x.entity").alias("entity"),
-        F.explode(F.array(
-            F.struct((F.col("x.s") - F.length("x.before")).alias("at"), F.col("x.before").alias("t")),
-            F.struct(F.col("x.e").alias("at"), F.col("x.after").alias("t")))).alias("w"))
+    """One row per word outside e-mails, in documents that hold an entity: doc_id, __text, term, s, e."""
+    between, found, starts = matches(F.col("__body"), PATTERNS["email"])
+    ends = F.zip_with(starts, F.transform(found, lambda x: F.length(x)), lambda s, n: s + n)
+    pieces = base.where(F.col("__body").isNotNull()).select(
+        "doc_id", "__text", F.explode(F.arrays_zip(
+            F.concat(F.array(F.lit(0)), ends).alias("at"), between.alias("t"))).alias("w"))
     _, found, starts = matches(F.col("w.t"), TERM)
-    words = sides.select("doc_id", "__text", "entity", F.col("w.at").alias("at"),
-                         F.explode(F.arrays_zip(starts.alias("s"), found.alias("v"))).alias("m"))
+    words = pieces.select("doc_id", "__text", F.col("w.at").alias("at"),
+                          F.explode(F.arrays_zip(starts.alias("s"), found.alias("v"))).alias("m"))
     s = F.col("at") + F.col("m.s")
-    return words.select("doc_id", "__text", "entity", F.lower("m.v").alias("term"),
+    return words.select("doc_id", "__text", F.lower("m.v").alias("term"),
                         s.alias("s"), (s + F.length("m.v")).alias("e"))
 
 
-def disclosures(docs: DataFrame, base: DataFrame, terms: DataFrame, ws: Workspace,
-                cfg: Disclosure) -> DataFrame:
-    """(entity, term, share) of all terms that reveal at least ``generalise_at`` of an entity."""
-    held = base.select("doc_id", "__text", F.explode(F.array_distinct(F.transform(
-        F.concat(*KINDS), lambda x: x["entity"]))).alias("entity"))
-    entities = ws.table(held.groupBy("entity").agg(F.count(F.lit(1)).alias("df_e")), "entities")
+def together(base: DataFrame, terms: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, __text, entity, copies, term) of all entities and terms of a document,
+    (entity, df_e)).  Of entities that stand in the same documents the first by name
+    stands for all: their counts are the same with every term."""
     # rows that repeat an id and text are documents of their own in every count
-    copies = ws.table(base.groupBy(F.col("doc_id").alias("__doc"), F.col("__text").alias("__t"))
-                      .agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"), "copies")
-    near = terms.select("entity", "term", "doc_id", "__text").distinct()
-    near = near.join(copies, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__text") == F.col("__t")), "left")
-    pairs = ws.table(near.groupBy("entity", "term", "__text")
-                     .agg(F.sum(F.coalesce("copies", F.lit(1))).alias("n"))
+    held = ws.table(base.select("doc_id", "__text", F.explode(F.array_distinct(F.transform(
+        F.concat(*KINDS), lambda x: x["entity"]))).alias("entity"))
+        .groupBy("doc_id", "__text", "entity").agg(F.count(F.lit(1)).alias("copies")), "held")
+    sums = [F.sum(F.xxhash64("doc_id", "__text", F.lit(i)).cast("decimal(20,0)")).alias(f"set{i}") for i in (1, 2)]
+    entities = ws.table(held.groupBy("entity").agg(F.sum("copies").alias("df_e"), *sums)
+                        .groupBy("df_e", "set1", "set2").agg(F.min("entity").alias("entity"))
+                        .select("entity", "df_e"), "entities")
+    mine = held.join(entities.select("entity"), "entity", "left_semi").select(
+        F.col("doc_id").alias("__doc"), F.col("__text").alias("__t"), "entity", "copies")
+    words = terms.select("doc_id", "__text", "term").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__text") == F.col("__t"))
+    return ws.table(words.join(mine, same).drop("__doc", "__t"), "near"), entities
+
+
+def _telling(docs: DataFrame, near: DataFrame, entities: DataFrame, ws: Workspace,
+             cfg: Disclosure) -> DataFrame:
+    pairs = ws.table(near.groupBy("entity", "term", "__text").agg(F.sum("copies").alias("n"))
                      .groupBy("entity", "term").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("texts")),
                      "pairs")
     wanted = ws.table(pairs.select("term").distinct(), "wanted")
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(F.coalesce(F.col("text"), F.lit(""))), F.lit(TERM), F.lit(0)))).alias("term"))
-    small = wanted.count() <= cfg.max_broadcast
-    frequency = ws.table(words.join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
-                         .groupBy("term").agg(F.count(F.lit(1)).alias("df_t")), "frequency")
+    body = F.coalesce(F.col("text"), F.lit(""))
+    plain = F.when(F.contains(body, F.lit("@")), F.regexp_replace(body, PATTERNS["email"], " ")).otherwise(body)
+    words = docs.select(F.explode(F.array_distinct(F.transform(
+        F.regexp_extract_all(plain, F.lit(TERM), F.lit(0)), lambda w: F.lower(w)))).alias("term"))
+    if wanted.count() <= cfg.max_broadcast:
+        words = words.join(F.broadcast(wanted), "term", "left_semi")
+    frequency = words.groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
+    frequency = ws.table(frequency.join(wanted, "term", "left_semi"), "frequency")
     n = F.lit(docs.count()).cast("double")
     told = F.least(F.lit(1.0), F.col("c") / F.col("df_t"))
     sure = (F.col("texts") + cfg.prior * F.col("df_e") / n) / (F.col("texts") / told + cfg.prior)
@@ -196,14 +208,25 @@ def disclosures(docs: DataFrame, base: DataFrame, terms: DataFrame, ws: Workspac
                     .select("entity", "term", share(told).alias("share")), "disclosures")
 
 
+def disclosures(docs: DataFrame, base: DataFrame, terms: DataFrame, ws: Workspace,
+                cfg: Disclosure) -> DataFrame:
+    """(entity, term, share) of all terms that reveal at least ``generalise_at`` of an entity;
+    the entity stands for all of the same documents."""
+    return _telling(docs, *together(base, terms, ws), ws, cfg)
+
+
 def find_personal_data(docs: DataFrame, ws: Workspace, cfg: Disclosure = Disclosure()) -> DataFrame:
     """One row per document: doc_id, __text, span arrays of the four kinds, and ``term``:
     array of (s, e, share), ascending."""
     base = find_base(docs, ws, cfg)
     terms = ws.table(_terms_around(base), "terms")
-    told = disclosures(docs, base, terms, ws, cfg)
-    per_span = (terms.join(told, ["entity", "term"])
-                .groupBy("doc_id", "__text", "s", "e").agg(F.max("share").alias("share")))
+    near, entities = together(base, terms, ws)
+    told = (near.join(_telling(docs, near, entities, ws, cfg), ["entity", "term"])
+            .groupBy(F.col("doc_id").alias("__doc"), F.col("__text").alias("__t"), F.col("term").alias("__term"))
+            .agg(F.max("share").alias("share")))
+    spot = (terms["doc_id"].eqNullSafe(F.col("__doc")) & (terms["__text"] == F.col("__t"))
+            & (terms["term"] == F.col("__term")))
+    per_span = terms.join(told, spot).select("doc_id", "__text", "s", "e", "share").distinct()
     per_doc = ws.table(per_span.groupBy(F.col("doc_id").alias("__doc"), F.col("__text").alias("__t"))
                        .agg(F.sort_array(F.collect_list(F.struct("s", "e", "share"))).alias("term")),
                        "term_spans")

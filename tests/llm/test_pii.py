@@ -120,6 +120,17 @@ def test_entities_in_one_and_in_two_texts(spark):
     assert not any(got[i] for i in range(2000))
 
 
+def test_terms_far_from_the_entity(spark):
+    """A telling word counts and is marked all over the texts that hold the entity."""
+    far = "the quick fox walks home " * 20
+    rows = [(i, f"the quick fox number{chr(97 + i % 26)} walks home the end") for i in range(2000)]
+    rows += [(3000 + i, f"Farcelia {far} {w} far@mail.org the {far} farcelia") for i, w in enumerate(("end", "fox"))]
+    rows += [(None, f"Farcelia {far} end 4111 1111 1111 1111"), (3003, "the farcelia@mail.org fox")]
+    got = marked(spark, documents(spark, rows))
+    assert got[3000] == got[3001] == ["Farcelia", "farcelia"]
+    assert got[None] == ["Farcelia"] and got[3003] == []
+
+
 def test_empty(spark):
     d = documents(spark, [(1, "x")]).where(F.col("doc_id") < 0)
     assert pii.report(d, ws(spark)).count() == 0 and pii.sanitise(d, ws(spark)).count() == 0
