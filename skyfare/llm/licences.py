@@ -1,18 +1,21 @@
 """Licence scans: a trained paragraph classifier confirmed by templates.
 
-Paragraphs are the lines of a text.  A multinomial logistic regression over
-hashed word 1-, 2- and 3-grams names the licence family of a paragraph or
-'unknown'.  It is trained here on the family templates (cut, thinned and set
-between words of the corpus, seeded) against a bounded sample of corpus
-paragraphs as the unknown class.  A second part of both is kept aside to
-calibrate: a temperature, and the least probability at which a family is
-named, so that at most ``max_false`` of the kept-aside corpus paragraphs are.
-A prediction stands only if a template of the same family is in the paragraph:
-the share of the template's word pairs found there is at least ``min_template``.
-
-Word pairs decide the last step, so a paragraph without any word of four or
-more letters of the templates cannot be confirmed and is not scored; nothing
-else is skipped.
+Paragraphs are runs of lines up to a blank line; how their words are wrapped
+does not matter.  A template is looked for in every stretch of a paragraph that
+has at most ``slack`` words more than the template: the share of the template's
+word pairs found there must be at least ``min_template``.  A multinomial
+logistic regression over hashed word 1-, 2- and 3-grams then judges the words
+of the pairs found: their family must be at least as probable as the calibrated
+probability.  It is trained here on the family templates (cut, thinned and set
+between words of the corpus, seeded) against a bounded sample of corpus lines
+as the unknown class.  A second part of both is kept aside to calibrate: a
+temperature, and the least probability at which a family is named, so that at
+most ``max_false`` of the kept-aside corpus lines are.  The words around a
+notice do not enter, so a notice in a long line counts as one that stands alone.
+Of stretches that overlap the one with the most word pairs counts.
+
+A text that as a whole holds less than ``min_template`` of the pairs of every
+template cannot be confirmed and is not scored; nothing else is skipped.
 
 Defined cases: null and empty texts hold no licence; repeated rows are judged
 alike; equal scores go to the first family in order; an empty table gives an
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,7 +61,9 @@ TEMPLATES = {
             "SPDX-License-Identifier: GPL-3.0-or-later"),
     "isc": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
             "is hereby granted", "Licensed under the ISC License"),
-    "lgpl": ("This library is licensed under the GNU Lesser General Public License, version 3",),
+    "lgpl": ("This library is licensed under the GNU Lesser General Public License, version 3",
+             "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+             "published by the Free Software Foundation"),
     "mit": ("Released under the MIT License", "Licensed under the MIT License",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
             "associated documentation files", "SPDX-License-Identifier: MIT"),
@@ -78,6 +84,7 @@ class LicenceConfig:
     steps: int = 80
     max_false: float = 0.002
     min_template: float = 0.7
+    slack: int = 24
     seed: int = 11
 
 
@@ -90,8 +97,47 @@ def _pairs(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:]))
 
 
-def _anchors() -> frozenset:
-    return frozenset(w for ts in TEMPLATES.values() for t in ts for w in tokens(t) if len(w) >= 4)
+#: (family, words, word pairs) of every template, and the templates of a word pair.
+_TEMPLATE_PAIRS = [(f, len(tokens(t)), _pairs(tokens(t))) for f in sorted(TEMPLATES) for t in TEMPLATES[f]]
+_HOLDERS: dict = {}
+for _k, (_, _, _need) in enumerate(_TEMPLATE_PAIRS):
+    for _pair in _need:
+        _HOLDERS.setdefault(_pair, []).append(_k)
+
+
+def possible_templates(words: list[str], least: float) -> list[int]:
+    """Templates of which the words as a whole hold enough pairs."""
+    have = _HOLDERS.keys() & set(zip(words, words[1:]))
+    count = Counter(k for pair in have for k in _HOLDERS[pair])
+    return sorted(k for k, n in count.items() if n >= least * len(_TEMPLATE_PAIRS[k][2]))
+
+
+def stretches(words: list[str], templates: list[int], cfg: LicenceConfig) -> list[tuple[int, float, frozenset]]:
+    """(template, share, places of its word pairs) of every stretch that holds enough of a template;
+    of those of one template that overlap the fullest, then the shortest, then the first."""
+    places: dict[int, list[int]] = {k: [] for k in templates}
+    for i, pair in enumerate(zip(words, words[1:])):
+        for k in _HOLDERS.get(pair, ()):
+            if k in places:
+                places[k].append(i)
+    out = []
+    for k, at in places.items():
+        _, size, need = _TEMPLATE_PAIRS[k]
+        full = []
+        for a, first in enumerate(at):
+            seen: dict = {}
+            for i in at[a:a + size + cfg.slack]:
+                if i + 1 >= first + size + cfg.slack or len(seen) == len(need):
+                    break
+                seen.setdefault((words[i], words[i + 1]), i)
+            if len(seen) >= cfg.min_template * len(need):
+                full.append((-len(seen), max(seen.values()) - first, first, frozenset(seen.values())))
+        used = bytearray(len(words) + 1)
+        for n, length, first, hits in sorted(full, key=lambda c: c[:3]):
+            if not any(used[first:first + length + 1]):
+                used[first:first + length + 1] = b"\1" * (length + 1)
+                out.append((k, -n / len(need), hits))
+    return out
 
 
 def template_match(words: list[str], family: str) -> float:
@@ -125,16 +171,45 @@ class Model:
         e = np.exp(z - z.max())
         return e / e.sum()
 
-    def judge(self, line: str) -> tuple[str, float, float]:
-        """(family or unknown, probability, template share) of a paragraph."""
-        words = tokens(line)
-        p = self.probabilities(words)
-        known = [i for i, c in enumerate(self.classes) if c != UNKNOWN]
-        best = max(known, key=lambda i: p[i])
-        family, share = self.classes[best], template_match(words, self.classes[best])
-        if p[best] < self.least or share < LicenceConfig.min_template:
-            return UNKNOWN, float(p[self.classes.index(UNKNOWN)]), share
-        return family, float(p[best]), share
+    def find(self, words: list[str], cfg: LicenceConfig) -> list[tuple[str, float, float, int, int]]:
+        """(family, probability, template share, first word, last word) of the notices in a paragraph."""
+        found = []
+        for k, share, hits in stretches(words, possible_templates(words, cfg.min_template), cfg):
+            family = _TEMPLATE_PAIRS[k][0]
+            p = self.probabilities([words[j] for j in sorted(hits | {i + 1 for i in hits})])
+            score = float(p[self.classes.index(family)])
+            if score >= self.least:
+                found.append((len(hits), score, share, family, min(hits), max(hits) + 1))
+        used, out = bytearray(len(words)), []
+        for _, score, share, family, first, last in sorted(found, key=lambda c: (-c[0], -c[1], c[3:])):
+            if not any(used[first:last + 1]):
+                used[first:last + 1] = b"\1" * (last + 1 - first)
+                out.append((family, score, share, first, last))
+        return sorted(out, key=lambda c: (c[3:], c[0]))
+
+    def judge(self, paragraph: str) -> tuple[str, float, float]:
+        """(family or unknown, probability, template share) of a paragraph's most probable notice."""
+        words = tokens(paragraph)
+        found = self.find(words, LicenceConfig())
+        if found:
+            return max(found, key=lambda c: c[1])[:3]
+        return (UNKNOWN, float(self.probabilities(words)[self.classes.index(UNKNOWN)]),
+                max(template_match(words, f) for f in TEMPLATES))
+
+
+def paragraphs(text: str) -> Iterator[tuple[list[str], list[int]]]:
+    """(words, number of the line of every word) of each run of lines up to a blank one."""
+    words: list[str] = []
+    lines: list[int] = []
+    for i, line in enumerate(text.split("\n")):
+        if not line.strip() and words:
+            yield words, lines
+            words, lines = [], []
+        own = tokens(line)
+        words += own
+        lines += [i] * len(own)
+    if words:
+        yield words, lines
 
 
 def background(docs: DataFrame, cfg: LicenceConfig) -> list[str]:
@@ -228,25 +303,32 @@ def _calibrate(model: Model, words: list[list[str]], y: np.ndarray, cfg: Licence
 
 
 def scan(docs: DataFrame, cfg: LicenceConfig = LicenceConfig(), model: Model | None = None) -> DataFrame:
-    """One row per document: doc_id, found: array of (paragraph, start, end, family, score, template),
-    start and end in code points."""
+    """One row per document: doc_id, found: array of (paragraph, start, end, family, score, template);
+    paragraph is the number of the notice's first line, start and end (of its whole lines) are code points."""
     model = model or fit(background(docs, cfg), cfg)
     d = docs.select("doc_id", "text")
     id_type = d.schema["doc_id"].dataType.simpleString()
-    anchors = _anchors()
 
     def judged(text: str | None) -> list[dict]:
-        out, at = [], 0
-        if not text or anchors.isdisjoint(tokens(text)):
-            return out
-        for i, line in enumerate(text.split("\n")):
-            if not anchors.isdisjoint(tokens(line)):
-                family, score, share = model.judge(line)
-                if family != UNKNOWN:
-                    out.append({"paragraph": i, "start": at, "end": at + len(line), "family": family,
-                                "score": score, "template": share})
-            at += len(line) + 1
-        return out
+        if not text or not possible_templates(tokens(text), cfg.min_template):
+            return []
+        at = [0]
+        for line in text.split("\n"):
+            at.append(at[-1] + len(line) + 1)
+        out: list[dict] = []
+        for words, lines in paragraphs(text):
+            last: dict = {}
+            for family, score, share, first, end in model.find(words, cfg):
+                have = last.get(family)
+                if have and lines[first] <= have["to"]:  # notices of a family that share a line are one
+                    have |= {"to": max(have["to"], lines[end]), "score": max(have["score"], score),
+                             "template": max(have["template"], share)}
+                else:
+                    last[family] = {"paragraph": lines[first], "to": lines[end], "family": family,
+                                    "score": score, "template": share}
+                    out.append(last[family])
+        return [{"paragraph": x["paragraph"], "start": at[x["paragraph"]], "end": at[x["to"] + 1] - 1,
+                 "family": x["family"], "score": x["score"], "template": x["template"]} for x in out]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

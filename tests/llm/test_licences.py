@@ -45,3 +45,40 @@ def test_edges(spark):
     span = L.scan(d).where("doc_id = 3").first()["found"][0]
     assert (span["paragraph"], span["start"], span["end"]) == (1, 2, 2 + len(mit))
     assert L.licence_report(d.where("doc_id < 0")).count() == 0
+
+
+WRAPPED = {
+    "mit": "MIT License\n\nCopyright (c) 2020 Somebody\n\n"
+           "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "of this software and associated documentation files (the \"Software\"), to deal\n"
+           "in the Software without restriction, including without limitation the rights",
+    "bsd": "Redistribution and use in source and binary forms, with or without\n"
+           "modification, are permitted provided that the following conditions\nare met:",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any\n"
+           "purpose with or without fee is hereby granted, provided that the above",
+    "gpl": " * This program is free software: you can redistribute it and/or modify\n"
+           " * it under the terms of the GNU General Public License as published by\n"
+           " * the Free Software Foundation, either version 3 of the License, or",
+    "lgpl": "# This library is free software; you can redistribute it and/or\r\n"
+            "# modify it under the terms of the GNU Lesser General Public\r\n"
+            "# License as published by the Free Software Foundation; either",
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public\n"
+           "License, v. 2.0. If a copy of the MPL was not distributed with this",
+}
+
+
+def test_wrapped_notices(spark, model):
+    """Line ends inside a notice do not matter, with blank lines around it or without; blank lines part paragraphs."""
+    texts = {}
+    for family, t in WRAPPED.items():
+        texts[f"{family} a"] = f"er then the ounor\n\n{t}\n\nonst hathe"
+        texts[f"{family} b"] = "er then the ounor\n" * 300 + t + "\nonst hathe eringed" * 300
+    keys = sorted(texts)
+    d = documents(spark, [(i, texts[k]) for i, k in enumerate(keys)]
+                  + [(99, "Released under\n\nthe ounor\n\nthe MIT\n\nLicense")])
+    got = {r["doc_id"]: r["found"] for r in L.scan(d, model=model).collect()}
+    for i, k in enumerate(keys):
+        assert [x["family"] for x in got[i]] == [k.split()[0]], k
+        span = texts[k][got[i][0]["start"]:got[i][0]["end"]]
+        assert "\n" in span and "ounor" not in span and "hathe" not in span
+    assert got[99] == []
