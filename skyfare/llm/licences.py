@@ -12,7 +12,9 @@ as the unknown class.  A second part of both is kept aside to calibrate: a
 temperature, and the least probability at which a family is named, so that at
 most ``max_false`` of the kept-aside corpus lines are.  The words around a
 notice do not enter, so a notice in a long line counts as one that stands alone.
-Of stretches that overlap the one with the most word pairs counts.
+Every family that is confirmed so is reported; only a stretch whose word pairs
+all belong to an overlapping stretch as well (CC BY within CC BY-NC) says nothing
+of its own and does not count.
 
 A text that as a whole holds less than ``min_template`` of the pairs of every
 template cannot be confirmed and is not scored; nothing else is skipped.
@@ -179,13 +181,22 @@ class Model:
             p = self.probabilities([words[j] for j in sorted(hits | {i + 1 for i in hits})])
             score = float(p[self.classes.index(family)])
             if score >= self.least:
-                found.append((len(hits), score, share, family, min(hits), max(hits) + 1))
-        used, out = bytearray(len(words)), []
-        for _, score, share, family, first, last in sorted(found, key=lambda c: (-c[0], -c[1], c[3:])):
-            if not any(used[first:last + 1]):
-                used[first:last + 1] = b"\1" * (last + 1 - first)
+                found.append((min(hits), max(hits) + 1, frozenset((words[i], words[i + 1]) for i in hits),
+                              family, score, share))
+        found.sort(key=lambda c: (c[:2], c[3]))
+        widest = max((c[1] - c[0] for c in found), default=0)
+        out = []
+        for i, (first, last, pairs, family, score, share) in enumerate(found):
+            near = []
+            for step in (-1, 1):
+                j = i + step
+                while 0 <= j < len(found) and first - widest <= found[j][0] <= last:
+                    near.append(found[j])
+                    j += step
+            if not any(c[1] >= first and c[3] != family and (pairs < c[2] or pairs == c[2] and (score, c[3]) < (c[4], family))
+                       for c in near):
                 out.append((family, score, share, first, last))
-        return sorted(out, key=lambda c: (c[3:], c[0]))
+        return out
 
     def judge(self, paragraph: str) -> tuple[str, float, float]:
         """(family or unknown, probability, template share) of a paragraph's most probable notice."""

@@ -82,3 +82,21 @@ def test_wrapped_notices(spark, model):
         span = texts[k][got[i][0]["start"]:got[i][0]["end"]]
         assert "\n" in span and "ounor" not in span and "hathe" not in span
     assert got[99] == []
+
+
+def test_all_families_of_a_paragraph(spark, model):
+    """Dual licences give both families; a licence named within a longer one's name does not count beside it."""
+    lines = {"Licensed under the MIT License or the Apache License, Version 2.0": "apache,mit",
+             "Licensed under the Apache License, Version 2.0, or released under the MIT License, at your option":
+                 "apache,mit",
+             "Licensed under CC BY-NC 4.0": "cc-by-nc", "Licensed under CC BY-SA 4.0": "cc-by-sa",
+             "Licensed under CC BY 4.0": "cc-by",
+             "This library is licensed under the GNU Lesser General Public License, version 3": "lgpl"}
+    notices = {t: f for f, ts in L.TEMPLATES.items() for t in ts}
+    long = [(t, "er then the ounor eshth of and " * 400 + t + " onst hathe eringed" * 400) for t in notices]
+    rows = [(i, t) for i, t in enumerate([*lines, *[x for _, x in long]])]
+    got = {r["doc_id"]: r["found"] for r in L.scan(documents(spark, rows), model=model).collect()}
+    for i, expected in enumerate(lines.values()):
+        assert ",".join(sorted(x["family"] for x in got[i])) == expected, rows[i]
+    for i, (t, _) in enumerate(long, len(lines)):
+        assert [x["family"] for x in got[i]] == [notices[t]], t
