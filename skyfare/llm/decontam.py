@@ -4,7 +4,9 @@ Texts become tokens (lower case, runs of letters and digits).  A mask is a
 fixed 0/1 pattern over consecutive tokens; the tokens at its 1s are hashed, so
 a substituted word under a 0 does not change the hash.  Every mask is laid at
 every token of every benchmark item (the index) and of every document; equal
-hashes are hits.  A hit fixes how document and item align; it counts when some
+hashes are hits.  The masks are chosen so that every alignment with at least
+``min_match`` equal tokens has a hit, by enumeration of all places of the unequal
+tokens (2 of 11, 3 of 15 and 4 of 20; the other lengths hold one of these).  A hit fixes how document and item align; it counts when some
 aligned stretch of ``verify_tokens`` tokens (the whole item if shorter) that
 holds the hit has at least ``min_match`` equal tokens.
 
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import Workspace
 
-#: Two spaced masks of weight 7 over 11 tokens.
-MASKS = ("11101001011", "11010011101")
+#: Four spaced masks of weight 6 that leave no alignment of 11 tokens or more without a hit.
+MASKS = ("1111011", "110010111", "11000100111", "11111000001")
 
 
 @dataclass(frozen=True)
@@ -45,6 +47,10 @@ class Seeds:
     def span(self) -> int:
         return max(len(m) for m in self.masks)
 
+    @property
+    def shortest(self) -> int:
+        return min(len(m) for m in self.masks)
+
 
 def token_hashes(text: Column) -> Column:
     """Array of 64-bit token hashes of a text; empty for null."""
@@ -54,14 +60,16 @@ def token_hashes(text: Column) -> Column:
 
 def masked_positions(df: DataFrame, keep: list[str], cfg: Seeds) -> DataFrame:
     """One row per mask and token position: ``keep``, __pos, __key."""
-    n = F.size("__h")
-    last = n - F.lit(cfg.span)
-    at = df.withColumn("__pos", F.explode(F.when(n >= cfg.span, F.sequence(F.lit(0), last))
+    n, least = F.size("__h"), cfg.shortest
+    last = n - F.lit(least)
+    at = df.withColumn("__pos", F.explode(F.when(n >= least, F.sequence(F.lit(0), last))
                                           .otherwise(F.array().cast("array<int>"))))
     pos = F.col("__pos")
-    keys = [F.xxhash64(F.lit(i), *[F.col("__h")[pos + o] for o, bit in enumerate(m) if bit == "1"])
+    keys = [F.when(pos + len(m) <= n, F.xxhash64(F.lit(i), *[F.get("__h", pos + o)
+                                                            for o, bit in enumerate(m) if bit == "1"]))
             for i, m in enumerate(cfg.masks)]
-    return at.select(*keep, "__pos", F.explode(F.array(*keys)).alias("__key"))
+    return (at.select(*keep, "__pos", F.explode(F.array(*keys)).alias("__key"))
+            .where(F.col("__key").isNotNull()))
 
 
 def _overlap(doc: Column, item: Column, item_at: Column, cfg: Seeds) -> Column:
@@ -70,7 +78,7 @@ def _overlap(doc: Column, item: Column, item_at: Column, cfg: Seeds) -> Column:
     ``doc[i]`` is the document token that faces ``item[i]``; entries before the
     document are null, those after it are missing."""
     v = F.least(F.lit(cfg.verify_tokens), F.size(item))
-    first = F.greatest(F.lit(0), item_at + F.lit(cfg.span) - v)
+    first = F.greatest(F.lit(0), item_at + F.lit(cfg.shortest) - v)
     last = F.least(item_at, F.size(item) - v)
 
     def equal(w: Column) -> Column:

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -81,3 +82,35 @@ def test_edges(spark, corpus):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 5, 6]
     assert decontam.remove_contaminated(d, bench.where("item_id < 0"), ws(spark)).count() == 8
     assert decontam.decontaminate(d.where("doc_id < 0"), bench, ws(spark)).count() == 0
+
+
+@pytest.mark.parametrize("n", range(CFG.span, CFG.verify_tokens + 1))
+def test_every_alignment_at_the_threshold_has_a_hit(n):
+    ones = [[o for o, bit in enumerate(m) if bit == "1"] for m in CFG.masks]
+    laid = [{at + o for o in m} for m, text in zip(ones, CFG.masks) for at in range(n - len(text) + 1)]
+    for changed in itertools.combinations(range(n), n - -(-4 * n // 5)):
+        assert any(m.isdisjoint(changed) for m in laid), changed
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_random_substitutions_at_the_threshold(spark, limit):
+    rng = random.Random(8)
+    items = [(i, words(rng, n)) for i, n in enumerate((11, 12, 15, 16, 20, 27))]
+    docs = []
+    for k in range(240):
+        i, w = items[k % 6]
+        leak = list(w)
+        over = k // 6 % 2  # every other one has a token too few
+        for j in rng.sample(range(min(len(w), 20)), min(len(w), 20) - -(-4 * min(len(w), 20) // 5) + over):
+            leak[j] = "changed"
+        docs.append((k, " ".join(words(rng, rng.randint(0, 30)) + leak + words(rng, rng.randint(0, 30)))))
+    docs += [(900, " ".join(["changed" if i in (0, 4, 8, 9) else x for i, x in enumerate(items[4][1])]))]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = decontam.decontaminate(documents(spark, docs), bench, ws(spark), decontam.Seeds(max_broadcast=limit))
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert rows[900]["contaminated"]
+    for k, text in docs:
+        expected = plain(items, text)
+        assert rows[k]["n_items"] == len(expected), (k, text)
+        if expected:
+            assert rows[k]["best_match"] == pytest.approx(max(expected.values()))
