@@ -1,6 +1,7 @@
 """Benchmark decontamination: spaced-seed hashing.
 
-Texts become tokens (lower case, runs of letters and digits).  A mask is a
+Texts become tokens (lower case, runs of letters and digits; in scripts without
+spaces every letter is a token).  A mask is a
 fixed 0/1 pattern over consecutive tokens; the tokens at its 1s are hashed, so
 a substituted word under a 0 does not change the hash.  Every mask is laid at
 every token of every benchmark item (the index) and of every document; equal
@@ -8,10 +9,11 @@ hashes are hits.  The masks are chosen so that every alignment with at least
 ``min_match`` equal tokens has a hit, by enumeration of all places of the unequal
 tokens (2 of 11, 3 of 15 and 4 of 20; the other lengths hold one of these).  A hit fixes how document and item align; it counts when some
 aligned stretch of ``verify_tokens`` tokens (the whole item if shorter) that
-holds the hit has at least ``min_match`` equal tokens.
+holds the hit has at least ``min_match`` equal tokens.  Items with fewer tokens
+than a mask's span are looked for word for word: all their tokens are hashed, and
+so is every run of as many tokens of a document (only lengths that such items have).
 
-Defined cases: null and empty texts match nothing; items with fewer tokens
-than a mask's span cannot be told from chance and match nothing; repeated rows
+Defined cases: null and empty texts match nothing; repeated rows
 each get their verdict, repeated items add nothing; items without an id count
 like others; an empty benchmark leaves every document clean; null ids of
 documents are carried through; other columns are ignored
@@ -52,15 +54,27 @@ class Seeds:
         return min(len(m) for m in self.masks)
 
 
+#: Letters of scripts that set no spaces between words.
+UNSPACED = (r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+            "\u30fc\uff70]")
+
+
 def token_hashes(text: Column) -> Column:
     """Array of 64-bit token hashes of a text; empty for null."""
-    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+    body = F.lower(F.coalesce(text, F.lit("")))
+    body = F.when(body.rlike(UNSPACED), F.regexp_replace(body, f"({UNSPACED})", " $1 ")).otherwise(body)
+    words = F.array_remove(F.split(body, r"[^\p{L}\p{N}]+"), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def masked_positions(df: DataFrame, keep: list[str], cfg: Seeds) -> DataFrame:
-    """One row per mask and token position: ``keep``, __pos, __key."""
-    n, least = F.size("__h"), cfg.shortest
+def _run_key(pos: Column | int, length: int) -> Column:
+    """Hash of ``length`` tokens from ``pos``."""
+    return F.xxhash64(F.lit(-length), *[F.get("__h", pos + F.lit(o)) for o in range(length)])
+
+
+def masked_positions(df: DataFrame, keep: list[str], cfg: Seeds, lengths: tuple = ()) -> DataFrame:
+    """One row per mask, or run of one of ``lengths`` tokens, and token position: ``keep``, __pos, __key."""
+    n, least = F.size("__h"), min([cfg.shortest, *lengths])
     last = n - F.lit(least)
     at = df.withColumn("__pos", F.explode(F.when(n >= least, F.sequence(F.lit(0), last))
                                           .otherwise(F.array().cast("array<int>"))))
@@ -68,6 +82,7 @@ def masked_positions(df: DataFrame, keep: list[str], cfg: Seeds) -> DataFrame:
     keys = [F.when(pos + len(m) <= n, F.xxhash64(F.lit(i), *[F.get("__h", pos + o)
                                                             for o, bit in enumerate(m) if bit == "1"]))
             for i, m in enumerate(cfg.masks)]
+    keys += [F.when(pos + k <= n, _run_key(pos, k)) for k in lengths]
     return (at.select(*keep, "__pos", F.explode(F.array(*keys)).alias("__key"))
             .where(F.col("__key").isNotNull()))
 
@@ -78,7 +93,7 @@ def _overlap(doc: Column, item: Column, item_at: Column, cfg: Seeds) -> Column:
     ``doc[i]`` is the document token that faces ``item[i]``; entries before the
     document are null, those after it are missing."""
     v = F.least(F.lit(cfg.verify_tokens), F.size(item))
-    first = F.greatest(F.lit(0), item_at + F.lit(cfg.shortest) - v)
+    first = F.greatest(F.lit(0), F.least(item_at + F.lit(cfg.shortest), F.size(item)) - v)
     last = F.least(item_at, F.size(item) - v)
 
     def equal(w: Column) -> Column:
@@ -98,35 +113,42 @@ def _aligned(doc: Column, start: Column, length: Column) -> Column:
     return F.when(pad > 0, F.concat(F.array_repeat(F.lit(None).cast("long"), pad), body)).otherwise(body)
 
 
-def _index(benchmark: DataFrame, cfg: Seeds, ws: Workspace) -> tuple[DataFrame, DataFrame]:
-    """(distinct items with token hashes, index rows (__key, __item, __ipos, __ilen))."""
+def _index(benchmark: DataFrame, cfg: Seeds, ws: Workspace) -> tuple[DataFrame, DataFrame, tuple]:
+    """(distinct items with token hashes, index rows (__key, __item, __ipos, __ilen),
+    token counts of the items too short for the masks)."""
     items = ws.table(
         benchmark.select(F.col("item_id").alias("__item"), token_hashes(F.col("text")).alias("__h"))
-        .where(F.size("__h") >= cfg.span).dropDuplicates(["__item", "__h"])
+        .where(F.size("__h") > 0).dropDuplicates(["__item", "__h"])
         .withColumn("__ikey", F.xxhash64("__item", "__h")), "items")
-    index = masked_positions(items.withColumn("__ilen", F.size("__h")),
-                             ["__item", "__ikey", "__ilen", "__h"], cfg)
-    return items, index.select("__key", "__item", "__ikey", "__ilen",
-                               F.col("__pos").alias("__ipos"))
+    sized = items.withColumn("__ilen", F.size("__h"))
+    brief = sized.where(F.col("__ilen") < cfg.span)
+    lengths = tuple(sorted(r["__ilen"] for r in brief.select("__ilen").distinct().collect()))
+    columns = ["__key", "__item", "__ikey", "__ilen", F.col("__pos").alias("__ipos")]
+    index = masked_positions(sized.where(F.col("__ilen") >= cfg.span),
+                             ["__item", "__ikey", "__ilen", "__h"], cfg).select(columns)
+    if lengths:
+        whole = F.coalesce(*[F.when(F.col("__ilen") == k, _run_key(F.lit(0), k)) for k in lengths])
+        index = index.union(brief.withColumn("__pos", F.lit(0)).withColumn("__key", whole).select(columns))
+    return items, index, lengths
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, ws: Workspace,
                cfg: Seeds = Seeds()) -> DataFrame:
     """Verified (document, item) overlaps: __doc, __text (hash), __item, __match, __hits."""
-    items, index = _index(benchmark, cfg, ws)
+    items, index, lengths = _index(benchmark, cfg, ws)
     index = ws.table(index, "index")
     d = docs.select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__text"),
                     token_hashes(F.col("text")).alias("__h"))
     small = index.count() <= cfg.max_broadcast
     if small:
-        at = masked_positions(d, ["__doc", "__text", "__h"], cfg)
+        at = masked_positions(d, ["__doc", "__text", "__h"], cfg, lengths)
         hits = (at.join(F.broadcast(index), "__key")
                 .select("__doc", "__text", "__item", "__ikey", "__ipos",
                         _aligned(F.col("__h"), F.col("__pos") - F.col("__ipos"), F.col("__ilen"))
                         .alias("__d"))
                 .join(F.broadcast(items.select("__ikey", F.col("__h").alias("__i"))), "__ikey"))
     else:
-        at = masked_positions(d, ["__doc", "__text"], cfg)
+        at = masked_positions(d, ["__doc", "__text"], cfg, lengths)
         found = ws.table(at.join(index, "__key")
                          .select("__doc", "__text", "__item", "__ikey", "__ilen", "__ipos",
                                  (F.col("__pos") - F.col("__ipos")).alias("__start")), "found")

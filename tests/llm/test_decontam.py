@@ -114,3 +114,23 @@ def test_random_substitutions_at_the_threshold(spark, limit):
         assert rows[k]["n_items"] == len(expected), (k, text)
         if expected:
             assert rows[k]["best_match"] == pytest.approx(max(expected.values()))
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_short_items_and_scripts_without_spaces(spark, limit):
+    """Items of fewer tokens than a mask are found word for word; Chinese, Japanese and Thai letter by letter."""
+    rng = random.Random(5)
+    items = [(n, " ".join(words(rng, n))) for n in range(1, 11)]
+    chinese = "中华人民共和国的首都是哪一座城市请选择正确答案"
+    thai = "กรงเทพเปนเมองหลวงของประเทศไทย"
+    items += [(50, chinese), (51, "東京は日本の首都ですか"), (52, "首都在哪"), (53, thai)]
+    docs = [(i, f"{' '.join(words(rng, 9))} {t.upper()}, {' '.join(words(rng, 9))}") for i, t in items]
+    docs += [(100 + i, t) for i, t in items]
+    docs += [(250, "前言" + chinese.replace("都", "市").replace("确", "常") + "后记"), (251, "他说首都在北京哪里"),
+             (210, " ".join(items[9][1].split()[:9] + ["changed"]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.decontaminate(documents(spark, docs), bench, ws(spark), decontam.Seeds(max_broadcast=limit))
+    rows = {r["doc_id"]: (r["contaminated"], r["first_item"], r["best_match"]) for r in got.collect()}
+    for i, _ in items:
+        assert rows[i] == rows[100 + i] == (True, i, 1.0), i
+    assert rows[250][:2] == (True, 50) and not rows[251][0] and not rows[210][0]
