@@ -10,8 +10,18 @@
    most (a maximum spanning tree over conditional mutual information), so that
    overlapping lexicons are not counted twice.  Expectation maximisation
    estimates all of it and a posterior label for every sampled row.
-3. A linear classifier over word, word-beginning and pattern features is
-   trained on the posteriors; it alone scores documents.
+3. A linear classifier is trained on the posteriors of all sampled rows,
+   unlabelled ones too; it alone scores documents.  It has two parts over one
+   intercept: the voters' features with the patterns, and hashed words, word
+   beginnings and letter 4-grams of the whole sample.  The second is fitted
+   without the first, so that insults which stand beside a voter's word get
+   their weight too; its weights are not negative, and an L1 penalty keeps
+   features that explain less than ``l1`` toxic rows at zero.
+
+There are as many mined voters as the likelihood-ratio test finds.  One more
+voter is learned: the second part fitted to the labels of two thirds of the rows
+votes on the others, so that a row whose insults are no voter's is not taken for
+clean.
 
 The sample is bounded: about ``per_class`` labelled rows of each class and as
 many unlabelled rows, chosen by hash, all from the training fold.  Every
@@ -27,6 +37,7 @@ are ignored (``drop_toxic`` keeps them).
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -59,17 +70,19 @@ class WeakSupervision:
     min_support: int = 3
     min_lift: float = 8.0
     min_ratio: float = 12.0
-    max_features: int = 1000
-    mined_voters: int = 40
     em_rounds: int = 30
     l2: float = 0.02
     fit_steps: int = 1000
+    slots: int = 1 << 18
+    l1: float = 0.5
+    wide_steps: int = 200
     threshold: float = 0.7
 
 
 @dataclass
 class Model:
     weights: dict = field(default_factory=dict)
+    slots: int = 1 << 18
     patterns: tuple = (0.0,) * len(PATTERNS)
     bias: float = 0.0
 
@@ -96,6 +109,12 @@ def features_of(word: str) -> list[str]:
     return own + ["@" + g for g, words in SEED_GROUPS.items() if word in words]
 
 
+def slots_of(word: str, slots: int) -> list[int]:
+    """Hashed word, word beginnings and letter 4-grams."""
+    own = features_of(word) + ["~" + word[i:i + 4] for i in range(len(word) - 3)]
+    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % slots for x in own]
+
+
 def patterns_of(text: str | None) -> tuple[int, ...]:
     t = text or ""
     b = np.frombuffer(t.encode("utf-8", "surrogatepass"), dtype=np.uint8)
@@ -158,27 +177,31 @@ def mined_features(counts: DataFrame, n_pos: int, n_neg: int, cfg: WeakSupervisi
     top = (counts.where((F.col("n_pos") >= cfg.min_support) & (lift >= cfg.min_lift)
                          & ~F.col("feature").startswith("@"))
            .select("feature", ratio.alias("ratio")).where(F.col("ratio") >= cfg.min_ratio)
-           .orderBy(F.desc("ratio"), "feature").limit(cfg.max_features))
+           .orderBy(F.desc("ratio"), "feature"))
     return [r["feature"] for r in top.collect()]
 
 
-def design(sample: DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(binary feature matrix with patterns last, labels with -1 for none, weights) of the sample."""
+def design(sample: DataFrame, names: list[str], cfg: WeakSupervision) -> tuple[np.ndarray, list, np.ndarray, np.ndarray]:
+    """(binary feature matrix with patterns last, hashed features of every row, labels with -1 for
+    none, weights) of the sample."""
     column = {x: i for i, x in enumerate(names)}
+    slots = cfg.slots
 
     def rows(frames):
         for f in frames:
-            ids = [sorted({column[x] for w in words_of(t) for x in features_of(w) if x in column})
-                   for t in f["text"]]
-            yield pd.DataFrame({"ids": ids, "pat": [list(patterns_of(t)) for t in f["text"]],
+            words = [words_of(t) for t in f["text"]]
+            ids = [sorted({column[x] for w in ws for x in features_of(w) if x in column}) for ws in words]
+            wide = [np.array(sorted({x for w in ws for x in slots_of(w, slots)}), dtype="<i4").tobytes()
+                    for ws in words]
+            yield pd.DataFrame({"ids": ids, "pat": [list(patterns_of(t)) for t in f["text"]], "wide": wide,
                                 "y": f["y"].fillna(-1).astype("int32"), "weight": f["weight"]})
 
-    got = sample.mapInPandas(rows, "ids array<int>, pat array<int>, y int, weight double").collect()
-    x = np.zeros((len(got), len(names) + len(PATTERNS)), dtype=np.float32)
+    got = sample.mapInPandas(rows, "ids array<int>, pat array<int>, wide binary, y int, weight double").collect()
+    x = np.zeros((len(got), len(names) + len(PATTERNS)), dtype=np.uint8)
     for i, r in enumerate(got):
         x[i, r["ids"]] = 1
         x[i, len(names):] = r["pat"]
-    return (x, np.array([r["y"] for r in got], dtype=np.int64),
+    return (x, [np.frombuffer(r["wide"], dtype="<i4") for r in got], np.array([r["y"] for r in got], dtype=np.int64),
             np.array([r["weight"] for r in got], dtype=np.float64))
 
 
@@ -186,11 +209,11 @@ def covering_features(x: np.ndarray, y: np.ndarray, names: list[str], cfg: WeakS
     """The mined lexicons that become voters: again and again the feature that explains the
     toxic rows not yet covered best.  Words that only accompany a covered insult (all the
     words of a document copied many times) gain nothing and stay out."""
-    neg = x[y == 0][:, :len(names)].sum(axis=0).astype(float)
+    neg = x[y == 0][:, :len(names)].sum(axis=0, dtype=np.int64).astype(float)
     open_rows = x[y == 1][:, :len(names)]
+    pos = open_rows.sum(axis=0, dtype=np.int64).astype(float)
     n_neg, n_pos, chosen = float((y == 0).sum()), float((y == 1).sum()), []
-    while len(chosen) < cfg.mined_voters and len(open_rows):
-        pos = open_rows.sum(axis=0).astype(float)
+    while len(open_rows):
         share = n_pos / (n_pos + n_neg)
         ratio = 2 * (pos * np.log(np.maximum(pos, 1e-9) / np.maximum((pos + neg) * share, 1e-9))
                      + neg * np.log(np.maximum(neg, 1e-9) / np.maximum((pos + neg) * (1 - share), 1e-9)))
@@ -200,7 +223,9 @@ def covering_features(x: np.ndarray, y: np.ndarray, names: list[str], cfg: WeakS
             break
         best = max(np.flatnonzero(ratio >= ratio.max() - 1e-9), key=lambda i: (len(names[i]), names[i]))
         chosen.append(names[best])
-        open_rows = open_rows[open_rows[:, best] == 0]
+        covered = open_rows[:, best] > 0
+        pos = pos - open_rows[covered].sum(axis=0, dtype=np.int64)
+        open_rows = open_rows[~covered]
     return chosen
 
 
@@ -209,12 +234,13 @@ def covering_features(x: np.ndarray, y: np.ndarray, names: list[str], cfg: WeakS
 ABSTAIN, CLEAN, TOXIC = 0, 1, 2
 
 
-def votes(x: np.ndarray, y: np.ndarray, names: list[str], mined: list[str]) -> np.ndarray:
-    """Vote matrix; the label voter is the first column."""
+def votes(x: np.ndarray, y: np.ndarray, names: list[str], mined: list[str], learned: np.ndarray) -> np.ndarray:
+    """Vote matrix; the label voter is the first column; ``learned`` rows have the learned voter's vote."""
     column = {n: i for i, n in enumerate(names)}
     cols = [np.where(y < 0, ABSTAIN, np.where(y == 1, TOXIC, CLEAN))]
     cols += [np.where(x[:, column["@" + g]] > 0, TOXIC, ABSTAIN) for g in SEED_GROUPS]
     cols += [np.where(x[:, column[m]] > 0, TOXIC, ABSTAIN) for m in mined]
+    cols.append(np.where(learned, TOXIC, ABSTAIN))
     cols += [np.where(x[:, len(names) + k] > 0, TOXIC, ABSTAIN) for k in range(len(PATTERNS))]
     lexicon = np.stack(cols[1:-len(PATTERNS)], axis=1)
     cols.append(np.where((lexicon == ABSTAIN).all(axis=1), CLEAN, ABSTAIN))
@@ -314,13 +340,49 @@ def fit_linear(x: np.ndarray, q: np.ndarray, weight: np.ndarray, cfg: WeakSuperv
     return w, float(b)
 
 
+def fit_wide(wide: list, b: float, q: np.ndarray, weight: np.ndarray, cfg: WeakSupervision) -> dict:
+    """Weights of the hashed features that speak for toxic, over the intercept ``b``: logistic
+    regression on soft labels by AdaGrad steps with an L1 penalty."""
+    n = len(wide)
+    wt = weight / weight.sum() * n
+    penalty = cfg.l1 * float((wt * q).sum() / max(q.sum(), 1e-9))
+    used, what = np.unique(np.concatenate(wide), return_inverse=True)
+    who = np.repeat(np.arange(n), [len(o) for o in wide])
+    w, gw = np.zeros(len(used)), np.full(len(used), 1e-8)
+    for _ in range(cfg.wide_steps):
+        z = b + np.bincount(who, weights=w[what], minlength=n)
+        err = wt * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - q)
+        g = np.bincount(what, weights=err[who], minlength=len(used))
+        gw += g * g
+        rate = 0.3 / np.sqrt(gw)
+        w = np.maximum(w - rate * (g + penalty), 0.0)
+    return {int(k): float(c) for k, c in zip(used, w) if c}
+
+
+def learned_votes(wide: list, y: np.ndarray, weight: np.ndarray, cfg: WeakSupervision) -> np.ndarray:
+    """Rows that the hashed features call toxic, each judged by a fit to the labels of other rows."""
+    out = np.zeros(len(y), dtype=bool)
+    fold = np.array([zlib.crc32(w.tobytes()) % 3 for w in wide])  # equal texts are in one fold
+    for k in range(3):
+        own = np.flatnonzero((y >= 0) & (fold != k))
+        if not (y[own] == 1).any():
+            continue
+        share = weight[own][y[own] == 1].sum() / weight[own].sum()
+        b = float(min(-1.0, np.log(share / max(1 - share, 1e-9))))
+        w = fit_wide([wide[i] for i in own], b, np.where(y[own] == 1, 0.95, 0.05), weight[own], cfg)
+        for i in np.flatnonzero(fold == k):
+            z = b + sum(w.get(int(f), 0.0) for f in wide[i])
+            out[i] = z >= 0
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, ws: Workspace, cfg: WeakSupervision = WeakSupervision()) -> Model:
     sample = training_sample(docs, labels, ws, cfg)
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     mined = (mined_features(feature_counts(sample, ws), n[1], n.get(0, 0), cfg) if n.get(1) else [])
     seeds = ["@" + g for g in SEED_GROUPS]
     names = list(dict.fromkeys(seeds + mined))
-    x, y, weight = design(sample, names)
+    x, wide, y, weight = design(sample, names, cfg)
     if not len(x):
         return Model()
     column = {f: i for i, f in enumerate(names)}
@@ -328,25 +390,28 @@ def train(docs: DataFrame, labels: DataFrame, ws: Workspace, cfg: WeakSupervisio
     chosen = covering_features(x[:, candidates], y, mined, cfg) if mined else []
     names = list(dict.fromkeys(seeds + chosen))
     x = np.concatenate([x[:, [column[f] for f in names]], x[:, len(column):]], axis=1)
-    v = votes(x, y, names, chosen)
     if (y >= 0).any():  # an unlabelled row says no more than a labelled one
         weight = np.where(y < 0, weight[y >= 0].mean(), weight)
+    v = votes(x, y, names, chosen, learned_votes(wide, y, weight, cfg))
     q, _ = label_model(v, weight, cfg.em_rounds)
+    x = x.astype(np.float32)
     w, b = fit_linear(x, q, weight, cfg)
-    return Model({f: float(c) for f, c in zip(names, w)}, tuple(float(c) for c in w[len(names):]), b)
+    weights = {f: float(c) for f, c in zip(names, w)} | fit_wide(wide, b, q, weight, cfg)
+    return Model(weights, cfg.slots, tuple(float(c) for c in w[len(names):]), b)
 
 
 def score_texts(texts, model: Model, cache: dict) -> np.ndarray:
     """Scores of texts; ``cache`` maps words to the model features they hold."""
     weights, out = model.weights, np.empty(len(texts))
     for i, text in enumerate(texts):
-        hit: set[str] = set()
+        hit: set = set()
         for w in words_of(text):
             own = cache.get(w)
             if own is None:
                 if len(cache) >= CACHE:
                     cache.clear()
-                own = cache[w] = tuple(f for f in features_of(w) if f in weights)
+                own = cache[w] = tuple(
+                    f for f in (*features_of(w), *slots_of(w, model.slots)) if f in weights)
             if own:
                 hit.update(own)
         s = model.bias + sum(sorted(weights[f] for f in hit))

@@ -51,3 +51,21 @@ def test_edges(spark):
     alone = {r["doc_id"]: r["score"] for r in T.toxicity(d, none, ws(spark)).collect()}
     assert alone[201] > alone[1]
     assert T.toxicity(d.where("doc_id < 0"), labels, ws(spark)).count() == 0
+
+
+def test_wide_vocabulary_outside_the_seeds(spark):
+    """Several hundred insults that no seed group knows are learned from the labels."""
+    rng = np.random.default_rng(3)
+    def word():
+        return "".join(rng.choice(list("bcdfghjklmnprstvwz")) + rng.choice(list("aeiou")) for _ in range(4))
+    vocabulary = [word() for _ in range(1300)]
+    insults, plain = vocabulary[:300], vocabulary[300:]
+    rows = []
+    for i in range(5000):
+        text = list(rng.choice(plain, 20)) + (list(rng.choice(insults, 3)) if i % 3 == 0 else [])
+        rows.append((i, " ".join(rng.permutation(text))))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(5000)], "doc_id long, toxic int")
+    got = T.toxicity(documents(spark, rows), labels, ws(spark)).where("held_out").collect()
+    toxic = [r["predicted"] for r in got if r["doc_id"] % 3 == 0]
+    clean = [r["predicted"] for r in got if r["doc_id"] % 3]
+    assert sum(toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.02 * len(clean), (sum(toxic), len(toxic), sum(clean))
