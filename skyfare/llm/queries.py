@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, crf, decontam, licences, mixing, packing, pii, simhash, toxicity, url_reputation
+from . import (covertree, crf, decontam, licences, mixing, packing, pii, quality, simhash, toxicity,
+               url_reputation)
 from .common import Workspace, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +94,8 @@ def q_url_reputation(spark, d):
     return url_reputation.judge_pages(
         read(spark, d, "pages"), url_reputation.label_outcomes(read(spark, d, "labels")),
         Workspace(spark, "op10"))
+
+
+@register("op13_quality_rules", quality.judge_sql())
+def q_quality_rules(spark, d):
+    return quality.judge(read(spark, d, "documents"), Workspace(spark, "op13"))
