@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (covertree, crf, decontam, licences, mixing, packing, pii, quality, simhash, toxicity,
-               url_reputation)
+from . import (alignment, covertree, crf, decontam, licences, mixing, packing, pii, prefix_trie, quality,
+               simhash, toxicity, url_reputation)
 from .common import Workspace, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,22 @@ def q_url_reputation(spark, d):
         Workspace(spark, "op10"))
 
 
+@register("op11_prefix_trie", prefix_trie.conversation_trie_sql())
+def q_prefix_trie(spark, d):
+    return prefix_trie.conversation_trie(read(spark, d, "conversations"), Workspace(spark, "op11"))
+
+
+def tokenizer_pair() -> alignment.Alignment:
+    """The two public vocabularies that are aligned."""
+    import public_tokenizers
+    return alignment.Alignment(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op12_align_tokenizers")
+def q_align_tokenizers(spark, d):
+    return alignment.align(read(spark, d, "documents"), Workspace(spark, "op12"), tokenizer_pair())
+
+
 @register("op13_quality_rules", quality.judge_sql())
 def q_quality_rules(spark, d):
     return quality.judge(read(spark, d, "documents"), Workspace(spark, "op13"))
