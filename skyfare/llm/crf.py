@@ -25,9 +25,11 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,8 +38,24 @@ from pyspark.sql import functions as F
 
 from .common import bounded_sample_share, held_out, in_share, train_fold
 
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _numbers() -> str:
+    """Signs that count as word characters but are no letters (fractions, raised digits,
+    Roman numerals, circled numbers), as ranges of a character class."""
+    odd = [i for i in range(sys.maxunicode + 1) if chr(i).isalnum() and not chr(i).isalpha()]
+    runs: list[list[int]] = []
+    for i in odd:
+        if runs and runs[-1][1] == i - 1:
+            runs[-1][1] = i
+        else:
+            runs.append([i, i])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs)
+
+
+_WORD = re.compile(rf"[^\W\d_{_numbers()}]+")
 PIECE = 1 << 20
+AT_ONCE = 50_000     # new words scored together
 CHUNK = 64
 CHUNKS_AT_ONCE = 8192
 CACHE = 400_000
@@ -252,8 +270,10 @@ def label_sums(ids: np.ndarray, sizes: np.ndarray, prob: np.ndarray, t: np.ndarr
     start = np.repeat(np.cumsum(sizes) - sizes, per_doc) + nth * CHUNK
     size = np.minimum(CHUNK, np.repeat(sizes, per_doc) - nth * CHUNK)
     enter, leave = np.full((len(doc), m), 1.0 / m), np.ones((len(doc), m))
-    if per_doc.max() > 1:
-        enter, leave = _messages(ids, start, size, doc, nth, per_doc, prob, t)
+    several = per_doc > 1
+    if several.any():
+        cut = several[doc]
+        enter[cut], leave[cut] = _messages(ids, start[cut], size[cut], per_doc[several], prob, t)
     out = np.zeros((n_docs, m))
     for low in range(0, len(doc), CHUNKS_AT_ONCE):
         block = np.arange(low, min(low + CHUNKS_AT_ONCE, len(doc)))
@@ -277,9 +297,9 @@ def label_sums(ids: np.ndarray, sizes: np.ndarray, prob: np.ndarray, t: np.ndarr
     return out
 
 
-def _messages(ids, start, size, doc, nth, per_doc, prob, t) -> tuple[np.ndarray, np.ndarray]:
+def _messages(ids, start, size, per_doc, prob, t) -> tuple[np.ndarray, np.ndarray]:
     """Forward messages into and backward messages out of every chunk."""
-    m, n = prob.shape[1], len(doc)
+    m, n = prob.shape[1], len(start)
     matrix = np.zeros((n, m, m))
     for low in range(0, n, CHUNKS_AT_ONCE):
         block = np.arange(low, min(low + CHUNKS_AT_ONCE, n))
@@ -308,29 +328,36 @@ class Labeller:
 
     def __init__(self, model: Model):
         self.model, self.t = model, np.exp(model.trans)
+        self._forget()
+
+    def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.prob = np.zeros((0, len(model.langs)))
+        self.prob = np.zeros((1024, len(self.model.langs)))   # rows of known words first, then room
 
-    def _ids(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        new = list(dict.fromkeys(w for w in words if w not in known))
-        if new:
-            e = emissions(new, self.model)
-            e = np.exp(np.maximum(e - e.max(axis=1, keepdims=True), -60.0))
-            known.update(zip(new, range(len(self.prob), len(self.prob) + len(new))))
-            self.prob = np.concatenate([self.prob, e])
-        return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+    def _learn(self, words: list[str]) -> None:
+        e = emissions(words, self.model)
+        e = np.exp(np.maximum(e - e.max(axis=1, keepdims=True), -60.0))
+        n = len(self.known)
+        if n + len(words) > len(self.prob):
+            self.prob = np.concatenate([self.prob[:n], np.zeros((n + 2 * len(words), e.shape[1]))])
+        self.prob[n:n + len(words)] = e
+        self.known.update(zip(words, range(n, n + len(words))))
 
     def sums(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(summed label probabilities, word counts) of texts."""
         if len(self.known) > CACHE:
-            self.known, self.prob = {}, self.prob[:0]
-        chains = [self._ids(words_of(x)) for x in texts]
-        sizes = np.array([len(c) for c in chains], dtype=np.int64)
+            self._forget()
+        split = [words_of(x) for x in texts]
+        known = self.known
+        new = sorted({w for ws in split for w in ws if w not in known})
+        for at in range(0, len(new), AT_ONCE):
+            self._learn(new[at:at + AT_ONCE])
+        sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         out = np.zeros((len(texts), len(self.model.langs)))
         full = sizes > 0
         if full.any():
-            out[full] = label_sums(np.concatenate(chains), sizes[full], self.prob, self.t)
+            ids = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(sizes.sum()))
+            out[full] = label_sums(ids, sizes[full], self.prob, self.t)
         return out, sizes
 
 

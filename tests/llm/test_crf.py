@@ -90,3 +90,20 @@ def test_only_the_training_fold_is_learned_from(spark):
     d = documents(spark, train_rows()[:0] + [(i, "zz yy xx", "xx") for i in held] +
                   [(r[0] + 1000, r[1], r[2]) for r in train_rows()])
     assert "xx" not in {r["lang_pred"] for r in crf.identify(d).collect()}
+
+
+def test_number_signs_are_no_letters(spark):
+    assert crf.words_of("½ ² Ⅷ ① ٣ 3 _ x² été①b") == ["x", "été", "b"]
+    d = documents(spark, [(*r, "s") for r in train_rows()] + [(900 + i, t, None) for i, t in enumerate(["½ ²", "Ⅷ", "①", "½ the house"])])
+    by = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in crf.identify(d).where("doc_id >= 900").collect()}
+    assert all(by[k] == ("und", 0.0) for k in (900, 901, 902)) and by[903][0] == "en"
+
+
+def test_words_met_in_several_runs_keep_their_scores():
+    """A grown and a cleared cache give what a fresh one gives."""
+    rows = [(lang, text.split()) for _, text, lang in train_rows()]
+    model = crf.fit(rows, crf.CRFConfig())
+    texts = [" ".join(f"{w}{chr(97 + i % 26)}{chr(97 + j)}" for j, w in enumerate("the maison eau with".split())) for i in range(400)]
+    used = crf.Labeller(model)
+    parts = [used.sums(texts[i:i + 7])[0] for i in range(0, len(texts), 7)]
+    assert np.allclose(np.concatenate(parts), crf.Labeller(model).sums(texts)[0])
