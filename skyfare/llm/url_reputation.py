@@ -8,6 +8,9 @@ children of one level differ beyond binomial noise, the weaker the prior.
 A page passes when the lower posterior bound of its host's good rate
 (mean - z * sd of the beta posterior) reaches ``min_rate``; explicit rules win.
 
+User names and ports are no part of a domain or suffix; a host that is an address
+(four numbers, or in brackets) is its own domain and suffix.
+
 Defined cases: a null url or one without ``://`` has host and path ``''`` and
 is judged like any other host (``''`` is its domain and suffix too); pages or
 hosts without outcomes take their parent's prior; with no outcome at all every
@@ -24,7 +27,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Workspace
@@ -40,7 +43,11 @@ RULES = (
     ("block", "com", "/de/"),
 )
 
-#: Two-label public suffixes that count as one suffix (a parameter).
+#: User name and port around a host's name, and hosts that are addresses.
+NOT_NAME = r"^.*@|:[0-9]*$"
+ADDRESS = r"^[0-9]+(\.[0-9]+){3}$|^\["
+
+#: Public suffixes of several labels (a parameter; ``suffixes_in`` reads a list file).
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.za")
 
 
@@ -65,16 +72,41 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(rest, F.lit("")), r"^[^/?#]*([^?#]*)", 1)
 
 
-def suffix_of(host: Column, two_label: tuple = TWO_LABEL_SUFFIXES) -> Column:
-    last = F.substring_index(host, ".", -1)
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*two_label), two).otherwise(last) if two_label else last
+def suffixes_in(spark: SparkSession, path: str) -> tuple:
+    """Suffixes of several labels in a list file, one a line; ``//`` starts a comment, lines
+    with other signs than letters, digits, dots and hyphens (wildcards) are left out."""
+    line = F.lower(F.trim(F.split("value", "//")[0]))
+    rows = spark.read.text(path).select(line.alias("s")).where(F.rlike("s", F.lit(r"^[a-z0-9-]+(\.[a-z0-9-]+)+$"))).distinct()
+    return tuple(sorted(r["s"] for r in rows.collect()))
+
+
+def named_host(host: Column) -> Column:
+    """The host without user name and port."""
+    return F.regexp_replace(host, NOT_NAME, "")
+
+
+def _labels(suffixes: tuple) -> dict[int, list[str]]:
+    """Suffixes of several labels by their length, longest first."""
+    by: dict[int, list[str]] = {}
+    for s in suffixes:
+        by.setdefault(s.count(".") + 1, []).append(s)
+    return dict(sorted(by.items(), reverse=True))
+
+
+def suffix_of(host: Column, suffixes: tuple = TWO_LABEL_SUFFIXES) -> Column:
+    """Public suffix of a named host: the longest listed one, else the last label; an address is its own."""
+    out = F.when(F.rlike(host, F.lit(ADDRESS)), host)
+    for n, own in _labels(suffixes).items():
+        out = out.when(F.substring_index(host, ".", -n).isin(*own), F.substring_index(host, ".", -n))
+    return out.otherwise(F.substring_index(host, ".", -1))
 
 
-def domain_of(host: Column, two_label: tuple = TWO_LABEL_SUFFIXES) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return (F.when(two.isin(*two_label), F.substring_index(host, ".", -3)).otherwise(two)
-            if two_label else two)
+def domain_of(host: Column, suffixes: tuple = TWO_LABEL_SUFFIXES) -> Column:
+    """Registered domain of a named host: one label more than its suffix; an address is its own."""
+    out = F.when(F.rlike(host, F.lit(ADDRESS)), host)
+    for n, own in _labels(suffixes).items():
+        out = out.when(F.substring_index(host, ".", -n).isin(*own), F.substring_index(host, ".", -n - 1))
+    return out.otherwise(F.substring_index(host, ".", -2))
 
 
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -120,8 +152,9 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, ws: Workspace,
         seen.join(per_page, "page_id", "left")
         .groupBy("host").agg(F.count("good").alias("n"),
                              F.coalesce(F.sum("good"), F.lit(0)).cast("long").alias("good"))
-        .select("host", domain_of(F.col("host"), cfg.suffixes).alias("domain"),
-                suffix_of(F.col("host"), cfg.suffixes).alias("suffix"), "n", "good"), "hosts")
+        .select("host", named_host(F.col("host")).alias("name"), "n", "good")
+        .select("host", domain_of(F.col("name"), cfg.suffixes).alias("domain"),
+                suffix_of(F.col("name"), cfg.suffixes).alias("suffix"), "n", "good"), "hosts")
     h = hosts.where("n > 0")
     domains = ws.table(h.groupBy("domain", "suffix").agg(F.sum("n").alias("n"),
                                                          F.sum("good").alias("good")), "domains")
@@ -186,7 +219,11 @@ def _strength_sql(table: str, parent: str, name: str, cfg: Reputation) -> str:
 
 
 def judge_pages_sql(cfg: Reputation = Reputation(), rules=RULES) -> str:
-    two = ", ".join(f"'{s}'" for s in cfg.suffixes)
+    domain, suffix = f"CASE WHEN regexp_matches(name, '{ADDRESS}') THEN name", f"CASE WHEN regexp_matches(name, '{ADDRESS}') THEN name"
+    for n, own in _labels(cfg.suffixes).items():
+        listed = f" WHEN array_to_string(ls[-{n}:], '.') IN ({', '.join(f"'{s}'" for s in own)}) THEN "
+        domain += f"{listed}array_to_string(ls[-{n + 1}:], '.')"
+        suffix += f"{listed}array_to_string(ls[-{n}:], '.')"
     cases, verdicts = "", ""
     for v, h, p in sorted(rules, key=lambda r: -len(r[1] + r[2])):
         fits = f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
@@ -197,12 +234,11 @@ WITH url_parts AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0
     THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 seen AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM url_parts),
-parts AS (SELECT *, string_split(host, '.') AS ls,
-  array_to_string(string_split(host, '.')[-2:], '.') AS two FROM seen),
+parts AS (SELECT *, string_split(name, '.') AS ls
+  FROM (SELECT *, regexp_replace(host, '{NOT_NAME}', '', 'g') AS name FROM seen)),
 outc AS (SELECT doc_id AS page_id, MIN(CASE WHEN quality = 1 AND COALESCE(toxic, 0) = 0 THEN 1 ELSE 0 END) AS good
   FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY 1),
-hosts AS (SELECT host, CASE WHEN two IN ({two}) THEN array_to_string(ls[-3:], '.') ELSE two END AS domain,
-  CASE WHEN two IN ({two}) THEN two ELSE ls[-1] END AS suffix,
+hosts AS (SELECT host, {domain} ELSE array_to_string(ls[-2:], '.') END AS domain, {suffix} ELSE ls[-1] END AS suffix,
   COUNT(good) AS n, COALESCE(SUM(good), 0)::BIGINT AS good
   FROM parts LEFT JOIN outc USING (page_id) GROUP BY 1, 2, 3),
 domains AS (SELECT domain, suffix, SUM(n)::BIGINT AS n, SUM(good)::BIGINT AS good FROM hosts WHERE n > 0 GROUP BY 1, 2),
