@@ -14,6 +14,9 @@ class RunConfig:
     batch_ts: str = "2025-12-01 00:00:00"
     # load stamp of the previous SCD2 run (the fixture replays two runs)
     prev_batch_ts: str = "2025-11-01 00:00:00"
+    # stamps of the two loads of the stored warehouse (inside the fixture's order dates)
+    first_load_ts: str = "1994-07-01 00:00:00"
+    second_load_ts: str = "1996-07-01 00:00:00"
     # "current month" of the price-summary mart
     as_of: dt.date = dt.date(2000, 6, 15)
     # calendar dimension range, inclusive

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.dates import calendar_columns
 from .joins import unhinted
+from .numbering import dense_number
 
 
 DIM_DATE_COLUMNS = ["date_id", "full_date", "year", "quarter", "month",
@@ -53,21 +54,15 @@ def route_pairs(ods: DataFrame) -> DataFrame:
                .select("origin", "destination").distinct())
 
 
-def dim_route(ods: DataFrame, airports: DataFrame,
-              existing: DataFrame | None = None, hint=unhinted,
-              frozen: bool = False) -> DataFrame:
-    """Route dimension: distinct pairs whose two airports are known.
-
-    Unknown airports drop the pair.  New ids are ``max(existing id) +
-    row_number()`` over the *new pairs only*, ordered by the two codes, so
-    existing routes keep their ids.  Pass ``existing=None`` for a first
-    build.  The numbering window runs over distinct pairs, bounded by
-    airports squared, never over tickets.  ``frozen=True`` keeps an existing
-    dimension as it is (create-once behaviour: new routes then become
-    unknown-route rejects).
-    """
-    if frozen and existing is not None:
-        return existing
+ROUTE_COLUMNS = ["route_id", "origin_airport_id", "destination_airport_id", "distance_km",
+                 "popularity_category"]
+
+
+def new_routes(ods: DataFrame, airports: DataFrame, existing: DataFrame | None = None,
+               hint=unhinted) -> DataFrame:
+    """Routes of ``ods`` that ``existing`` does not hold: distinct pairs whose
+    two airports are known, numbered from the highest existing id on in the
+    order of their codes (in two passes, see ``numbering``)."""
     ap = hint(airports.select("airport_id", "airport_code"))
     o = ap.select(F.col("airport_id").alias("origin_airport_id"),
                   F.col("airport_code").alias("origin"))
@@ -79,13 +74,22 @@ def dim_route(ods: DataFrame, airports: DataFrame,
         pairs = pairs.join(existing.select("origin_airport_id", "destination_airport_id"),
                            ["origin_airport_id", "destination_airport_id"], "left_anti")
         base = existing.select(F.coalesce(F.max("route_id"), F.lit(0))).scalar()
-    w = Window.orderBy("origin", "destination")
-    new = pairs.select(
-        (base + F.row_number().over(w)).cast("int").alias("route_id"),
+    return dense_number(pairs, ["origin", "destination"]).select(
+        (base + F.col("number")).cast("int").alias("route_id"),
         F.col("origin_airport_id").cast("int"),
         F.col("destination_airport_id").cast("int"),
         F.lit(None).cast("int").alias("distance_km"),
         F.lit(None).cast("string").alias("popularity_category"))
-    if existing is not None:
-        return existing.unionByName(new)
-    return new
+
+
+def dim_route(ods: DataFrame, airports: DataFrame,
+              existing: DataFrame | None = None, hint=unhinted,
+              frozen: bool = False) -> DataFrame:
+    """Route dimension: the existing routes, which keep their ids, and the new
+    ones.  Unknown airports drop a pair.  Pass ``existing=None`` for a first
+    build.  ``frozen=True`` keeps an existing dimension as it is (create-once
+    behaviour: new routes then become unknown-route rejects).
+    """
+    if existing is None:
+        return new_routes(ods, airports, hint=hint)
+    return existing if frozen else existing.unionByName(new_routes(ods, airports, existing, hint))

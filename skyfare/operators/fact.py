@@ -82,12 +82,16 @@ def stage(ods: DataFrame, routes: DataFrame, airline_current: DataFrame,
     return j.withColumn("reject_reason", reason).drop("_in_calendar")
 
 
-def outcomes(staged: DataFrame) -> DataFrame:
+def outcomes(staged: DataFrame, airline: str = "airline_sk") -> DataFrame:
     """One row per flight_id: the winning row (struct, NULL if none valid),
-    valid-row count and per-reason counts.  Single shuffle."""
+    valid-row count and per-reason counts.  Single shuffle.
+
+    ``airline="airline"`` keeps the airline's code in place of a version's key:
+    such rows stay right when the dimension gets new versions, and outcomes of
+    several loads merge (``merge_outcomes``)."""
     valid = F.col("reject_reason").isNull()
     first = F.struct("extracted_at", "departure_ts", "price", "duration", "route_id",
-                     "airline_sk", "flight_type_id", "date_id")
+                     airline, "flight_type_id", "date_id")
     aggs = [F.min(F.when(valid, first)).alias("w"),
             F.count(F.when(valid, F.lit(1))).alias("n_valid")]
     aggs += [F.count(F.when(F.col("reject_reason") == r, F.lit(1))).alias(f"n_{r}")
@@ -95,6 +99,24 @@ def outcomes(staged: DataFrame) -> DataFrame:
     return staged.groupBy("flight_id").agg(*aggs)
 
 
+def merge_outcomes(out: DataFrame) -> DataFrame:
+    """Outcomes of several loads as one: the first winner, counts added.  On a
+    table bucketed by flight_id this is one aggregate without a shuffle."""
+    return out.groupBy("flight_id").agg(
+        F.min("w").alias("w"), F.sum("n_valid").alias("n_valid"),
+        *[F.sum(f"n_{r}").alias(f"n_{r}") for r in REASONS])
+
+
+def facts_by_code(out: DataFrame, airline_current: DataFrame) -> DataFrame:
+    """Facts of outcomes kept by airline code, on the current versions."""
+    al = airline_current.select(F.col("airline_bk").alias("__bk"), "airline_sk")
+    f = out.where(F.col("w").isNotNull()).select("flight_id", "w.*")
+    return (f.join(al, F.col("airline") == F.col("__bk"))
+            .select("flight_id", F.col("route_id").cast("int").alias("route_id"),
+                    F.col("airline_sk").cast("bigint").alias("airline_sk"), "date_id", "flight_type_id",
+                    "price", "duration", "extracted_at"))
+
+
 def fact_from_outcomes(out: DataFrame) -> DataFrame:
     return (out.where(F.col("w").isNotNull())
                .select("flight_id", F.col("w.route_id").cast("int").alias("route_id"),

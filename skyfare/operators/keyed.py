@@ -64,18 +64,36 @@ def kv_encode(df: DataFrame, prefix: str, key_cols: list[str]) -> DataFrame:
     return df.select(kv_key(prefix, key_cols).alias("key"), F.create_map(*pairs).alias("fields"))
 
 
+def values_hash() -> Column:
+    """128-bit hash of a row's field texts: tells equal stamps and orders apart, so the
+    same writes leave the same store however they are partitioned."""
+    return F.md5(F.concat_ws("\x1f", F.map_values("fields")).cast("binary"))
+
+
+def kv_writes(batch: DataFrame, seq: Column, order: list[str]) -> DataFrame:
+    """(key, ord, fields): per key the latest write of a load, to be appended to a
+    store that keeps all loads' rows of a key together."""
+    w = batch.select("key", "fields", F.struct(seq.alias("seq"), *[F.col(c).cast("string").alias(c) for c in order],
+                                               values_hash().alias("values")).alias("ord"))
+    return w.groupBy("key").agg(F.max("ord").alias("ord"), F.max_by("fields", "ord").alias("fields"))
+
+
+def kv_merged(writes: DataFrame) -> DataFrame:
+    """(key, ord, fields): the latest write of every key.  On a table bucketed by key
+    this is one aggregate without a shuffle."""
+    return writes.groupBy("key").agg(F.max("ord").alias("ord"), F.max_by("fields", "ord").alias("fields"))
+
+
 def kv_upsert(store: DataFrame | None, batch: DataFrame, seq: Column,
               order: list[str] | None = None) -> DataFrame:
     """Next store version: per key the fields of the latest write.
 
     ``seq`` orders writes (the load stamp); ``order`` are batch columns
     giving the write order inside one load (e.g. the feed's entry order);
-    what is left is ordered by the field texts.
+    what is left is ordered by a hash of the field texts.
     """
     order = order or []
-    # equal stamps and orders are told apart by the values themselves, so the
-    # same writes leave the same store however they are partitioned
-    last = F.map_values("fields").alias("_values")
+    last = values_hash().alias("_values")
     w = batch.select("key", "fields",
                      F.struct(seq.alias("_seq"), *[F.col(c) for c in order], last).alias("_ord"))
     if store is not None:

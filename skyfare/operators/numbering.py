@@ -13,8 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import new_run_dir
 
-def dense_number(df: DataFrame, order: list[str], write: Callable[[DataFrame], DataFrame],
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` stored in a fresh folder of the shared root and read back."""
+    path = new_run_dir(df.sparkSession, "numbering")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dense_number(df: DataFrame, order: list[str], write: Callable[[DataFrame], DataFrame] = written,
                  number: str = "number") -> DataFrame:
     """``df`` with ``number``: its rank by ``order`` from 1 on, without gaps.
 

@@ -12,10 +12,11 @@ airline code domain), never over tickets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .joins import unhinted
+from .numbering import dense_number
 
 
 DIM_AIRLINE_COLUMNS = ["airline_sk", "airline_bk", "airline_name", "country",
@@ -46,9 +47,8 @@ def scd2_initial(dim: DataFrame, source: DataFrame, batch_ts: str,
     order.  Skipped (dimension returned as is) when it already has rows."""
     if dim_rows > 0:
         return dim
-    w = Window.orderBy("airline_bk")
-    return source.select(
-        F.row_number().over(w).cast("bigint").alias("airline_sk"),
+    return dense_number(source, ["airline_bk"]).select(
+        F.col("number").cast("bigint").alias("airline_sk"),
         "airline_bk", "airline_name", "country",
         _ts(batch_ts).alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
@@ -86,9 +86,8 @@ def scd2_merge(dim: DataFrame, source: DataFrame, batch_ts: str, hint=unhinted)
                         .alias("valid_to"),
                        F.when(F.col("_close"), F.lit(0)).otherwise(F.col("is_current"))
                         .alias("is_current")))
-    w = Window.orderBy("airline_bk")
-    inserted = ch.select(
-        (max_sk + F.row_number().over(w)).cast("bigint").alias("airline_sk"),
+    inserted = dense_number(ch.select("airline_bk", "airline_name", "country"), ["airline_bk"]).select(
+        (max_sk + F.col("number")).cast("bigint").alias("airline_sk"),
         "airline_bk", "airline_name", "country",
         _ts(batch_ts).alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
@@ -127,6 +126,34 @@ def current_versions(dim: DataFrame) -> DataFrame:
     return dim.where(F.col("is_current") == 1)
 
 
+def _month(t: Column) -> Column:
+    return F.year(t) * 12 + F.month(t)
+
+
+def with_version_at(rows: DataFrame, dim: DataFrame, key: str, time: str, hint=unhinted) -> DataFrame:
+    """``rows`` with ``airline_sk``, the version of airline ``key`` that was valid at ``time``.
+
+    Intervals are half open (a version ends where its successor starts).  Times
+    before a key's first version take that one; a null time takes the current
+    version; keys that the dimension does not know give NULL.  Closed versions
+    are laid out by the months they cover, so a row meets the versions of one
+    month of its key, however many the key has had."""
+    v = dim.select(F.col("airline_bk").alias("__bk"), "airline_sk", "valid_from", "valid_to", "is_current")
+    ends = v.groupBy("__bk").agg(
+        F.max(F.when(F.col("is_current") == 1, F.struct("valid_from", "airline_sk"))).alias("__cur"),
+        F.min(F.struct("valid_from", "airline_sk")).alias("__first"))
+    closed = (v.where(F.col("valid_to").isNotNull() & (F.col("valid_to") > F.col("valid_from")))
+              .select(F.col("__bk").alias("__bk2"), F.col("airline_sk").alias("__sk"), "valid_from", "valid_to",
+                      F.explode(F.sequence(_month(F.col("valid_from")), _month(F.col("valid_to")))).alias("__month")))
+    t = F.col(time)
+    j = (rows.join(hint(ends), F.col(key) == F.col("__bk"), "left")
+         .join(hint(closed), (F.col(key) == F.col("__bk2")) & (_month(t) == F.col("__month"))
+               & (t >= F.col("valid_from")) & (t < F.col("valid_to")), "left"))
+    now = t.isNull() | (t >= F.col("__cur")["valid_from"])
+    sk = F.coalesce(F.when(now, F.col("__cur")["airline_sk"]), F.col("__sk"), F.col("__first")["airline_sk"])
+    return j.select(*[rows[c] for c in rows.columns], sk.alias("airline_sk"))
+
+
 def schema_compatible(columns, required=REQUIRED_COLUMNS) -> tuple[bool, list[str]]:
     """Required columns must be a subset of the table's columns."""
     have = {c.lower() for c in columns}

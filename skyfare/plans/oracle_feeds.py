@@ -100,6 +100,16 @@ c_norm AS (
          CASE WHEN price < 10000 THEN 'cheap' ELSE 'normal' END AS trend_category,
          '{stamp}' AS processed_at, route
   FROM c_ext WHERE reject_reason IS NULL),
+d_store AS (
+  SELECT NULLIF(origin, '') AS origin, NULLIF(destination, '') AS destination, CAST(price AS DECIMAL(18,2)) AS price,
+         NULLIF(airline, '') AS airline, NULLIF(flight_number, '') AS flight_number, departure_at, return_at, expires_at,
+         transfers, CAST(is_direct AS INTEGER) AS is_direct, popularity_category, extracted_at, processed_at
+  FROM d_norm),
+c_store AS (
+  SELECT ticket_id, NULLIF(origin, '') AS origin, NULLIF(destination, '') AS destination, departure_at, return_at,
+         CAST(price AS DECIMAL(18,2)) AS price, NULLIF(airline, '') AS airline, NULLIF(flight_number, '') AS flight_number,
+         transfers, CAST(is_direct AS INTEGER) AS is_direct, expires_at, trend_category, processed_at, route
+  FROM c_norm),
 quarantine AS (
   SELECT feed, origin, destination, month, poll, CAST(NULL AS VARCHAR) AS entry_key, {route_fault} AS reason
   FROM (SELECT DISTINCT o, d, origin, destination, strftime(day, '%Y-%m') AS month, poll FROM polled) r,

@@ -68,10 +68,11 @@ FALSE_TEXTS = ["", "false", "0", "0.0", "-0", "-0.0", "[]", "{}"]
 
 def _truthy(member: Column, body: Column) -> Column:
     """Truth of the ``success`` member: every value but null, false, zero and
-    empty ones.  The member map has texts without their quotes, so the rare
-    text "0" or "false" is told from the value by the body."""
+    empty ones.  The member map has texts without their quotes, so in the rare
+    case that one reads like a false value the member itself is read again."""
+    value = F.to_json(F.try_variant_get(F.try_parse_json(body), "$.success", "variant"))
     return (F.when(member.isNull(), False)
-             .when(member.isin(*FALSE_TEXTS), body.rlike(r'"success"\s*:\s*"[^"]'))
+             .when(member.isin(*FALSE_TEXTS), F.coalesce(value.startswith('"') & (value != '""'), F.lit(False)))
              .otherwise(True))
 
 
@@ -90,20 +91,35 @@ def object_status(body: Column, env: Column, entries_: Column, bad: Column) -> C
              .otherwise("ok"))
 
 
-def entries(parsed: DataFrame, key_name: str, fields: list[str]) -> DataFrame:
+def entries(parsed: DataFrame, key_name: str, fields: list[str], skips: bool = False) -> DataFrame:
     """One row per taken ``data`` entry: (key, ticket struct of VARIANT
     fields; a missing field is NULL, a JSON null a VARIANT null).
 
     Skipped objects explode a NULL map (no rows) rather than being filtered:
     a filter on ``status`` would be pushed below the projections and repeat
-    the JSON parses inside its condition."""
+    the JSON parses inside its condition.  With ``skips`` an object that is not
+    fully loaded gives one more row, without a ticket, whose ``_skip`` says why:
+    loaded and skipped objects then come out of a single parse."""
     taken = F.when(F.col("status").isin("ok", "bad_entry"), F.col("_m"))
     cur = F.coalesce(F.col("_o")["currency"], F.lit(fixed.DEFAULT_CURRENCY))
-    e = (parsed.select("origin", "destination", "month", "poll", cur.alias("currency"), "_bad",
-                       F.posexplode(taken).alias("_pos", key_name, "_txt"))
-               .where((F.col("_bad") == 0) | (F.col("_pos") < F.col("_bad") - 1)))
+    if skips:
+        own = F.filter(F.transform(F.map_entries(taken), lambda x, i: F.struct(
+            x["key"].alias("k"), x["value"].alias("t"), F.lit(None).cast("string").alias("s"), i.alias("i"))),
+            lambda x: (F.col("_bad") == 0) | (x["i"] < F.col("_bad") - 1))
+        why = F.when(F.col("status") != "ok", F.array(F.struct(
+            F.lit(None).cast("string").alias("k"), F.lit(None).cast("string").alias("t"), F.col("status").alias("s"),
+            F.lit(None).cast("int").alias("i"))))
+        none = F.array().cast("array<struct<k:string,t:string,s:string,i:int>>")
+        e = (parsed.select("origin", "destination", "month", "poll", cur.alias("currency"),
+                           F.explode(F.concat(F.coalesce(own, none), F.coalesce(why, none))).alias("_e"))
+                   .select("origin", "destination", "month", "poll", "currency", F.col("_e.k").alias(key_name),
+                           F.col("_e.t").alias("_txt"), F.col("_e.s").alias("_skip")))
+    else:
+        e = (parsed.select("origin", "destination", "month", "poll", cur.alias("currency"), "_bad",
+                           F.posexplode(taken).alias("_pos", key_name, "_txt"))
+                   .where((F.col("_bad") == 0) | (F.col("_pos") < F.col("_bad") - 1)).drop("_pos", "_bad"))
     t = F.try_variant_get(F.try_parse_json(F.col("_txt")), "$", _ticket_struct(fields))
-    return e.withColumn("_t", t).drop("_txt", "_pos", "_bad")
+    return e.withColumn("_t", t).drop("_txt")
 
 
 # ---- per-field helpers ---------------------------------------------------
@@ -213,13 +229,19 @@ def _fields(feed: str) -> dict[str, str]:
     return {f: (NUM if f in nums else TEXT) for f in FIELDS[feed]}
 
 
+def _skip(e: DataFrame) -> list[Column]:
+    """Why an object was not (fully) loaded, on the rows that say so."""
+    return [F.col("_skip").alias("object_status")] if "_skip" in e.columns else []
+
+
 # ---- the three feeds -------------------------------------------------------
 
 def extract_grouped_prices(landing: DataFrame, batch_ts: str,
-                           data_source: str = "grouped_prices_api") -> DataFrame:
+                           data_source: str = "grouped_prices_api",
+                           skips: bool = False) -> DataFrame:
     """17-field extract (raw values described by kind + cast value)."""
     f = FIELDS["grouped_prices"]
-    e = prepare(entries(parse_objects(landing, f), "departure_date", f), _fields("grouped_prices"))
+    e = prepare(entries(parse_objects(landing, f), "departure_date", f, skips), _fields("grouped_prices"))
     req_origin = F.col("origin")
     return e.select(
         F.concat_ws("_", key_part("airline"), key_part("flight_number"), F.col("destination"))
@@ -242,13 +264,14 @@ def extract_grouped_prices(landing: DataFrame, batch_ts: str,
         equals_zero("transfers").alias("is_direct"),
         cast_reason([("price", "double"), ("transfers", "int"), ("duration", "int")])
          .alias("reject_reason"),
-        F.col("month"), F.col("poll"), req_origin.alias("request_origin"))
+        F.col("month"), F.col("poll"), req_origin.alias("request_origin"), *_skip(e))
 
 
 def extract_calendar(landing: DataFrame, batch_ts: str,
-                     data_source: str = "price_calendar_api") -> DataFrame:
+                     data_source: str = "price_calendar_api",
+                     skips: bool = False) -> DataFrame:
     f = FIELDS["calendar"]
-    e = prepare(entries(parse_objects(landing, f), "date", f), _fields("calendar"))
+    e = prepare(entries(parse_objects(landing, f), "date", f, skips), _fields("calendar"))
     return e.select(
         F.concat_ws("_", key_part("airline"), key_part("flight_number"), F.col("origin"),
                     F.col("destination"), F.col("date")).alias("ticket_id"),
@@ -263,13 +286,14 @@ def extract_calendar(landing: DataFrame, batch_ts: str,
         F.col("date"), F.lit(data_source).alias("data_source"),
         equals_zero("transfers").alias("is_direct"),
         cast_reason([("price", "double"), ("transfers", "int")]).alias("reject_reason"),
-        F.col("month"), F.col("poll"))
+        F.col("month"), F.col("poll"), *_skip(e))
 
 
 def extract_directions(landing: DataFrame, batch_ts: str,
-                       data_source: str = "city_directions_api") -> DataFrame:
+                       data_source: str = "city_directions_api",
+                       skips: bool = False) -> DataFrame:
     f = FIELDS["directions"]
-    e = prepare(entries(parse_objects(landing, f), "dest_key", f), _fields("directions"))
+    e = prepare(entries(parse_objects(landing, f), "dest_key", f, skips), _fields("directions"))
     return e.select(
         F.col("origin"), F.col("dest_key").alias("destination"),
         kind("price").alias("price_kind"), as_double("price").alias("price"),
@@ -281,7 +305,7 @@ def extract_directions(landing: DataFrame, batch_ts: str,
         F.lit(data_source).alias("data_source"),
         equals_zero("transfers").alias("is_direct"),
         cast_reason([("price", "double"), ("transfers", "int")]).alias("reject_reason"),
-        F.col("month"), F.col("poll"))
+        F.col("month"), F.col("poll"), *_skip(e))
 
 
 def _stamp(batch_ts: str) -> Column:
@@ -348,3 +372,13 @@ def quarantine(feed: str, landing_parsed: DataFrame, extracted: DataFrame,
                     "month", "poll", F.col(key_col).alias("entry_key"),
                     F.col("reject_reason").alias("reason")))
     return objs.unionByName(rows)
+
+
+def quarantine_of(feed: str, extracted: DataFrame, key_col: str) -> DataFrame:
+    """The quarantine of an extract made with ``skips``, without parsing again."""
+    origin = F.col("request_origin" if "request_origin" in extracted.columns else "origin")
+    skipped = F.col("object_status").isNotNull()
+    return (extracted.where(skipped | F.col("reject_reason").isNotNull())
+            .select(F.lit(feed).alias("feed"), origin.alias("origin"), "destination", "month", "poll",
+                    F.when(~skipped, F.col(key_col)).alias("entry_key"),
+                    F.coalesce("object_status", "reject_reason").alias("reason")))

@@ -1,69 +1,94 @@
-"""Incremental feed -> ODS append as a Structured Streaming job.
+"""Incremental feed -> ODS append as a Structured Streaming job, for all three feeds.
 
 The source system re-ran the whole extract every six hours and appended.
 Here new landing files are picked up by a file-source stream and each
 micro-batch is processed like a batch layer build:
 
-1. the parsed extract of the batch is written (so the JSON is parsed once;
-   the later filters read materialised columns),
+1. the parsed extract of the batch is written, skipped objects included, so
+   each body is parsed once; the later steps read materialised columns,
 2. good rows, normalised, are written to the ODS,
-3. rejected rows and skipped objects are written to the quarantine.
+3. rejected rows and skipped objects are written to the quarantine,
+4. the batch is marked as done.
 
 Every write goes to a ``batch_id=<id>`` folder with overwrite, so a batch
-replayed after a failure replaces its own output: together with the
-checkpoint (which records consumed files) a run neither drops nor repeats
-a file.  ``trigger(availableNow=True)`` drains what has arrived and stops,
-which is what a scheduler calls every six hours.
+replayed after a failure replaces its own output, and readers see only batches
+marked as done: together with the checkpoint (which records consumed files) a
+run neither drops nor repeats a file, and no half batch is ever read.  With
+``once`` an object whose request (origin, destination, month, poll) came before
+is dropped by the stream's keyed state, whichever file or batch repeats it.
+``trigger(availableNow=True)`` drains what has arrived and stops, which is what
+a scheduler calls every six hours.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources import landing
 from ..sources.feeds import LANDING_SCHEMA
-from ..sources.landing import (FIELDS, extract_grouped_prices, normalize_tickets,
-                               parse_objects, quarantine, to_store)
 
+#: feed -> (extract, normalise, key of an entry)
+FEEDS: dict[str, tuple[Callable, Callable, str]] = {
+    "grouped_prices": (landing.extract_grouped_prices, landing.normalize_tickets, "departure_date"),
+    "directions": (landing.extract_directions, landing.normalize_directions, "destination"),
+    "calendar": (landing.extract_calendar, landing.normalize_trends, "date"),
+}
+REQUEST = ["origin", "destination", "month", "poll"]
+
+
+def _process_batch(feed: str, out_dir: str, batch_ts: str):
+    extract, normalise, key = FEEDS[feed]
 
-def _process_batch(out_dir: str, batch_ts: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         part = f"batch_id={batch_id}"
-        # one micro-batch (bounded by the files of one trigger) feeds two
-        # writes: keep it instead of re-reading the files
-        batch = batch.persist()
         ext_path = f"{out_dir}/_extract/{part}"
-        extract_grouped_prices(batch, batch_ts).write.mode("overwrite").parquet(ext_path)
+        extract(batch, batch_ts, skips=True).write.mode("overwrite").parquet(ext_path)
         ext = spark.read.parquet(ext_path)
-        (to_store(normalize_tickets(ext, batch_ts))
+        (landing.to_store(normalise(ext.where("object_status IS NULL"), batch_ts))
          .write.mode("overwrite").parquet(f"{out_dir}/ods/{part}"))
-        (quarantine("grouped_prices", parse_objects(batch, FIELDS["grouped_prices"]), ext,
-                    "departure_date")
+        (landing.quarantine_of(feed, ext, key)
          .write.mode("overwrite").parquet(f"{out_dir}/quarantine/{part}"))
-        batch.unpersist()
+        spark.range(1).write.mode("overwrite").parquet(f"{out_dir}/done/{part}")
     return run
 
 
 def run_available_now(spark: SparkSession, landing_dir: str, out_dir: str,
                       checkpoint_dir: str, batch_ts: str,
-                      max_files_per_trigger: int | None = None) -> int:
-    """Process every landing file not yet consumed; returns the number of
-    micro-batches run."""
+                      max_files_per_trigger: int | None = None,
+                      feed: str = "grouped_prices", once: bool = False) -> int:
+    """Process every landing file of ``feed`` not yet consumed; returns the
+    number of micro-batches run."""
     reader = spark.readStream.schema(LANDING_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    q = (reader.json(landing_dir).writeStream
-         .foreachBatch(_process_batch(out_dir, batch_ts))
+    objects = reader.json(landing_dir)
+    if once:
+        objects = objects.dropDuplicates(REQUEST)
+    q = (objects.writeStream
+         .foreachBatch(_process_batch(feed, out_dir, batch_ts))
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return len(q.recentProgress)
 
 
+def _done(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    """Rows of the batches that were finished."""
+    try:
+        done = spark.read.parquet(f"{out_dir}/done").select("batch_id").distinct()
+    except AnalysisException:      # no batch yet: nothing to read either way
+        return spark.read.parquet(f"{out_dir}/{name}").drop("batch_id").limit(0)
+    return spark.read.parquet(f"{out_dir}/{name}").join(done, "batch_id", "left_semi").drop("batch_id")
+
+
 def read_ods(spark: SparkSession, out_dir: str) -> DataFrame:
     """The ODS rows appended by all runs so far."""
-    return spark.read.parquet(f"{out_dir}/ods").drop("batch_id")
+    return _done(spark, out_dir, "ods")
 
 
 def read_quarantine(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{out_dir}/quarantine").drop("batch_id")
+    return _done(spark, out_dir, "quarantine")
