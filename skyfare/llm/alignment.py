@@ -47,7 +47,7 @@ from .minimal_hash import MinimalHash
 _UNIT = re.compile(r"[ \n\t]\s*\S+|\S+|\s+")
 _CUT = re.compile(r"(?<=\S)(?=[ \n\t])")
 RUN = 1 << 20        # characters aligned together
-CACHE = 300_000      # units kept
+CACHE = 500_000      # units kept
 BLOCK = 1 << 16      # counts of a vector's block
 # bytes as byte-level vocabularies spell them: visible Latin-1 signs stand for themselves, the
 # others, in order, for the characters from 256 on
@@ -83,9 +83,10 @@ class Rows:
 
 
 class Aligner:
-    """Units of texts with their groups and links; keeps those it has seen."""
+    """Units of texts with their groups (as ``texts``, if they are asked for) and links;
+    keeps those it has seen."""
 
-    def __init__(self, cfg: Alignment, counts: PairCounts | None = None):
+    def __init__(self, cfg: Alignment, counts: PairCounts | None = None, texts: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -100,13 +101,14 @@ class Aligner:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
         self.len_a, self.len_b = [len(x) for x in bytes_a], [len(x) for x in self.bytes_b]
+        self.size_a, self.size_b = np.array(self.len_a, dtype=np.int64), np.array(self.len_b, dtype=np.int64)
         self.name = [str(i) for i in range(max(len(bytes_a), self.n_b))]
         state = json.loads(self.a.pre_tokenizer.__getstate__()) if self.a.pre_tokenizer else {}
         self.cut = (self.a.normalizer is None and state.get("type") == "ByteLevel" and state.get("use_regex", True)
                     and not state.get("add_prefix_space")
                     and not any("\n" in p or "\t" in p or ("▁" in p[1:] and p.strip("▁")) for p in pieces))
         self.prefix = self.b.piece_to_id("▁")
-        self.counts = counts
+        self.counts, self.texts = counts, texts
         self.forget()
 
     def forget(self) -> None:
@@ -155,32 +157,79 @@ class Aligner:
         return [np.fromiter(map(known.__getitem__, us), dtype=np.int64, count=len(us)) for us in split]
 
     def _learn(self, units: list[str]) -> None:
-        if not units:
-            return
+        """Align new units: end to end where that leaves each as it is, else one by one."""
+        joined, single = [], []
+        for u in units:
+            (joined if self.cut and not u[-1].isspace() and "▁" not in u else single).append(u)
+        if joined and not self._learn_joined(joined):
+            single += joined
+        if single:
+            self._learn_single(single)
+
+    def _learn_joined(self, units: list[str]) -> bool:
+        """Units start with a blank and end without one, so both tokenizers cut between them."""
+        text, raw = "".join(units), [u.encode() for u in units]
+        a = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int64)
+        # B puts a blank in front: a text that has none there gets rid of it again
+        b = np.array(self.b.encode(text[1:] if text[0] == " " else text, num_threads=1), dtype=np.int64)
+        b = b if text[0] == " " else b[1:]
+        until = np.cumsum(np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)))
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        ends = np.intersect1d(end_a, end_b, assume_unique=True)
+        if (b"".join([self.bytes_b[i] for i in b.tolist()]) != b"".join(raw) or end_a[-1] != until[-1]
+                or not np.isin(until, ends, assume_unique=True).all()):
+            return False
+        of_a, of_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)      # groups of tokens
+        n_a, n_b = np.bincount(of_a, minlength=len(ends)), np.bincount(of_b, minlength=len(ends))
+        from_a, from_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        # every A token meets the B tokens of its group
+        times = n_b[of_a]
+        partner = np.repeat(from_b[of_a] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+        codes = np.repeat(a, times) * self.n_b + b[partner]
+        unit = np.searchsorted(until, ends)                                          # of groups
+        firsts = np.searchsorted(unit, np.arange(len(units) + 1))                    # groups before a unit
+        groups = self._group_texts(a, b, n_a, n_b, from_a, from_b, firsts.tolist()) if self.texts else [b""] * len(units)
+        stats = np.zeros((len(units), 7), dtype=np.int64)
+        stats[:, 2] = firsts[1:] - firsts[:-1]
+        for column, n in ((0, n_a), (1, n_b), (3, n_a * n_b)):
+            stats[:, column] = np.add.reduceat(n, firsts[:-1])
+        self._keep(units, groups, stats, codes)
+        return True
+
+    def _group_texts(self, a, b, n_a, n_b, from_a, from_b, cuts: list[int]) -> list[bytes]:
+        name = self.name
+        texts = [f"{name[x]}|{name[y]}" for x, y in zip(a[from_a].tolist(), b[from_b].tolist())]
+        for g in np.flatnonzero((n_a > 1) | (n_b > 1)).tolist():
+            own, other = a[from_a[g]:from_a[g] + n_a[g]].tolist(), b[from_b[g]:from_b[g] + n_b[g]].tolist()
+            texts[g] = ",".join([name[i] for i in own]) + "|" + ",".join([name[i] for i in other])
+        return [";".join(texts[x:y]).encode() for x, y in zip(cuts, cuts[1:])]
+
+    def _learn_single(self, units: list[str]) -> None:
         found_a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        # B puts a blank in front: units that have none there get rid of it again
         bare = [u[0] != " " for u in units]
         found_b = self.b.encode([u if x else u[1:] for u, x in zip(units, bare)], num_threads=1)
-        first, at = len(self.groups), self.codes.n
-        stats, starts, flat = [], [], []
+        groups, stats, flat = [], [], []
         for u, a, b, x in zip(units, found_a, found_b, bare):
             if x:
                 b = b[1:] if b and b[0] == self.prefix else b
             elif u == " ":
                 b = [self.prefix]   # nothing is left to put a blank in front of
-            self.known[u] = len(self.groups)
-            self.held += len(u)
-            starts.append(at + len(flat))
             raw = u.encode()
             if b"".join([self.bytes_b[i] for i in b]) != raw or sum([self.len_a[i] for i in a]) != len(raw):
-                self.groups.append(b"")
+                groups.append(b"")
                 stats.append((0, 0, 0, 0, 0, 0, 1))
                 continue
             text, codes, n_groups = self._groups(a, b)
-            self.groups.append(text)
+            groups.append(text)
             stats.append((len(a), len(b), n_groups, len(codes), 0, 0, 0))
             flat += codes
-        codes, stats = np.array(flat, dtype=np.int64), np.array(stats, dtype=np.int64)
+        self._keep(units, groups, np.array(stats, dtype=np.int64), np.array(flat, dtype=np.int64))
+
+    def _keep(self, units: list[str], groups: list[bytes], stats: np.ndarray, codes: np.ndarray) -> None:
+        first = len(self.groups)
+        self.known.update(zip(units, range(first, first + len(units))))
+        self.held += sum(map(len, units))
+        self.groups += groups
         if self.counts is not None and len(codes):
             n, top = self.counts.look_up(codes)
             of = np.repeat(np.arange(len(stats)), stats[:, 3])
@@ -188,9 +237,9 @@ class Aligner:
             np.add.at(stats[:, 5], of, n)
             for i, c in zip(of[n == 0].tolist(), codes[n == 0].tolist()):
                 self.rare.setdefault(first + i, []).append(c)
+        self.start.add((self.codes.n + np.cumsum(stats[:, 3]) - stats[:, 3]).reshape(-1, 1))
         self.stats.add(stats)
         self.codes.add(codes.reshape(-1, 1))
-        self.start.add(np.array(starts, dtype=np.int64).reshape(-1, 1))
 
     def _groups(self, a: list[int], b: list[int]) -> tuple[bytes, list[int], int]:
         """Groups as text, the codes of all links, the number of groups."""
@@ -287,7 +336,7 @@ def partial_counts(docs: DataFrame, cfg: Alignment, flush: int = 2_000_000) -> D
                                                   pa.array(n[at:at + 50_000])], names=["part", "code", "n"])
 
         for b in batches:
-            aligner = aligner or Aligner(cfg)
+            aligner = aligner or Aligner(cfg, texts=False)
             whole, broken = nothing, False
             for run in _documents(_texts(b, 0), aligner):
                 for _, ids, last in run:
