@@ -58,3 +58,16 @@ def in_share(key: Column, share: float | Column, seed: int = 17) -> Column:
     """Repeatable sampling by hash: true for about ``share`` of the keys."""
     unit = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return unit < share
+
+
+class Numbered(dict):
+    """Numbers keys in the order they are met; ``new`` lists those that wait for their values."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n

@@ -1,23 +1,24 @@
-"""Licence scans: a trained paragraph classifier confirmed by templates.
-
-Paragraphs are runs of lines up to a blank line; how their words are wrapped
-does not matter.  A template is looked for in every stretch of a paragraph that
-has at most ``slack`` words more than the template: the share of the template's
-word pairs found there must be at least ``min_template``.  A multinomial
-logistic regression over hashed word 1-, 2- and 3-grams then judges the words
-of the pairs found: their family must be at least as probable as the calibrated
-probability.  It is trained here on the family templates (cut, thinned and set
-between words of the corpus, seeded) against a bounded sample of corpus lines
-as the unknown class.  A second part of both is kept aside to calibrate: a
-temperature, and the least probability at which a family is named, so that at
-most ``max_false`` of the kept-aside corpus lines are.  The words around a
-notice do not enter, so a notice in a long line counts as one that stands alone.
-Every family that is confirmed so is reported; only a stretch whose word pairs
-all belong to an overlapping stretch as well (CC BY within CC BY-NC) says nothing
-of its own and does not count.
-
-A text that as a whole holds less than ``min_template`` of the pairs of every
-template cannot be confirmed and is not scored; nothing else is skipped.
+"""Licence scans: a trained paragraph classifier, confirmed by templates.
+
+Paragraphs are runs of lines up to a blank line; how their words are wrapped does
+not matter.  A multinomial logistic regression over hashed word 1-, 2- and 3-grams
+judges overlapping word windows of every paragraph (``sizes`` words, a third of that
+apart, from the paragraph's first word on), so a notice in a long line counts as one
+that stands alone.  A window whose family is at least as probable as the calibrated
+probability names that family; all others are unknown.  Around the windows that
+name it the family's templates are then looked for: a stretch with at most ``slack``
+words more than the template must hold at least ``min_template`` of its word pairs,
+which confirms the notice and gives its place.  Every family confirmed so is
+reported; only a stretch whose word pairs all belong to an overlapping stretch as
+well (CC BY within CC BY-NC) says nothing of its own and does not count.
+
+The classifier is trained here on windows over the family templates (cut, thinned
+and set between words of the corpus, seeded) against windows of a bounded sample of
+the corpus as the unknown class: ``background_docs`` documents by hash, from each
+``windows_per_doc`` stretches of ``window_words`` words spread over its whole text.
+A second part of both is kept aside to calibrate: a temperature, and the least
+probability at which a family is named, so that at most ``max_false`` of the
+kept-aside corpus windows are.
 
 Defined cases: null and empty texts hold no licence; repeated rows are judged
 alike; equal scores go to the first family in order; an empty table gives an
@@ -29,16 +30,16 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample_share, in_share
+from .common import Numbered, bounded_sample_share, in_share
 
 #: Short public notices of each licence family.
 TEMPLATES = {
@@ -74,18 +75,21 @@ TEMPLATES = {
 }
 UNKNOWN = "unknown"
 _WORD = re.compile(r"[^\W\d_]+")
+CACHE = 400_000      # words
 
 
 @dataclass(frozen=True)
 class LicenceConfig:
     background_docs: int = 400
-    lines_per_doc: int = 4
-    variants: int = 16
+    windows_per_doc: int = 6
+    window_words: int = 60
+    sizes: tuple = (6, 12, 24)
+    variants: int = 24
     slots: int = 1 << 15
-    l2: float = 0.3
-    steps: int = 80
+    l2: float = 0.1
+    steps: int = 120
     max_false: float = 0.002
-    min_template: float = 0.7
+    min_template: float = 0.5
     slack: int = 24
     seed: int = 11
 
@@ -99,7 +103,7 @@ def _pairs(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:]))
 
 
-#: (family, words, word pairs) of every template, and the templates of a word pair.
+#: (family, words, word pairs) of every template, the templates of a family and of a word pair.
 _TEMPLATE_PAIRS = [(f, len(tokens(t)), _pairs(tokens(t))) for f in sorted(TEMPLATES) for t in TEMPLATES[f]]
 _HOLDERS: dict = {}
 for _k, (_, _, _need) in enumerate(_TEMPLATE_PAIRS):
@@ -107,11 +111,7 @@ for _k, (_, _, _need) in enumerate(_TEMPLATE_PAIRS):
         _HOLDERS.setdefault(_pair, []).append(_k)
 
 
-def possible_templates(words: list[str], least: float) -> list[int]:
-    """Templates of which the words as a whole hold enough pairs."""
-    have = _HOLDERS.keys() & set(zip(words, words[1:]))
-    count = Counter(k for pair in have for k in _HOLDERS[pair])
-    return sorted(k for k, n in count.items() if n >= least * len(_TEMPLATE_PAIRS[k][2]))
+_OF_FAMILY = {f: [k for k, t in enumerate(_TEMPLATE_PAIRS) if t[0] == f] for f in TEMPLATES}
 
 
 def stretches(words: list[str], templates: list[int], cfg: LicenceConfig) -> list[tuple[int, float, frozenset]]:
@@ -152,10 +152,35 @@ def template_match(words: list[str], family: str) -> float:
     return best
 
 
-def gram_slots(words: list[str], slots: int) -> np.ndarray:
-    """Distinct hashed 1-, 2- and 3-grams."""
-    grams = set(words) | {" ".join(words[i:i + k]) for k in (2, 3) for i in range(len(words) - k + 1)}
-    return np.array(sorted({zlib.crc32(g.encode("utf-8", "surrogatepass")) % slots for g in grams}), dtype=np.int64)
+_M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
+
+
+def gram_slots(h: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slots of the 1-, 2- and 3-grams that start at each word, by the words' hashes."""
+    def slot(x: np.ndarray) -> np.ndarray:
+        return ((x ^ (x >> np.uint64(31))) % np.uint64(slots)).astype(np.int64)
+
+    with np.errstate(over="ignore"):
+        one = (h + np.uint64(1)) * _M1
+        two = (one[:-1] ^ (one[:-1] >> np.uint64(29))) * _M2 + one[1:]
+        three = (two[:-1] ^ (two[:-1] >> np.uint64(27))) * _M3 + one[2:] if len(h) > 2 else two[:0]
+    return slot(one), slot(two * _M3), slot(three * _M1)
+
+
+def hashes(words: list[str]) -> np.ndarray:
+    return np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words], dtype=np.uint64)
+
+
+def windows(of: np.ndarray, begin: np.ndarray, end: np.ndarray, sizes: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word behind the last) of the windows of paragraphs laid end to end; ``of`` is
+    the paragraph of every word, ``begin`` and ``end`` its words."""
+    at = np.arange(len(of))
+    low, high = [], []
+    for size in sizes:
+        own = at[(at - begin[of]) % max(1, size // 3) == 0]
+        low.append(own)
+        high.append(np.minimum(own + size, end[of[own]]))
+    return np.concatenate(low), np.concatenate(high)
 
 
 @dataclass
@@ -167,45 +192,79 @@ class Model:
     least: float
     slots: int
 
-    def probabilities(self, words: list[str]) -> np.ndarray:
-        at = gram_slots(words, self.slots)
-        z = (self.weights[at].sum(axis=0) / np.sqrt(max(1, len(at))) + self.bias) / self.temperature
-        e = np.exp(z - z.max())
-        return e / e.sum()
+    def window_probabilities(self, h: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Class probabilities of windows over the words with hashes ``h``, by running sums."""
+        z = np.zeros((len(low), len(self.classes)))
+        for k, slot in enumerate(gram_slots(h, self.slots)):
+            upto = np.zeros((len(slot) + 1, len(self.classes)))
+            np.cumsum(self.weights[slot], axis=0, dtype=np.float64, out=upto[1:])
+            z += upto[np.clip(np.maximum(high - k, low), 0, len(slot))] - upto[np.clip(low, 0, len(slot))]
+        z = (z / np.sqrt(_grams(high - low))[:, None] + self.bias) / self.temperature
+        e = np.exp(z - z.max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
+
+    def named(self, h: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[tuple[int, int, str, float]]:
+        """(first word, word behind the last, family, probability) of the windows that name a family."""
+        p = self.window_probabilities(h, low, high)
+        best = p.argmax(axis=1)
+        score = p[np.arange(len(p)), best]
+        hit = np.flatnonzero((score >= self.least) & (best != self.classes.index(UNKNOWN)))
+        return [(int(low[i]), int(high[i]), self.classes[best[i]], float(score[i])) for i in hit]
 
     def find(self, words: list[str], cfg: LicenceConfig) -> list[tuple[str, float, float, int, int]]:
         """(family, probability, template share, first word, last word) of the notices in a paragraph."""
-        found = []
-        for k, share, hits in stretches(words, possible_templates(words, cfg.min_template), cfg):
-            family = _TEMPLATE_PAIRS[k][0]
-            p = self.probabilities([words[j] for j in sorted(hits | {i + 1 for i in hits})])
-            score = float(p[self.classes.index(family)])
-            if score >= self.least:
-                found.append((min(hits), max(hits) + 1, frozenset((words[i], words[i + 1]) for i in hits),
-                              family, score, share))
-        found.sort(key=lambda c: (c[:2], c[3]))
-        widest = max((c[1] - c[0] for c in found), default=0)
-        out = []
-        for i, (first, last, pairs, family, score, share) in enumerate(found):
-            near = []
-            for step in (-1, 1):
-                j = i + step
-                while 0 <= j < len(found) and first - widest <= found[j][0] <= last:
-                    near.append(found[j])
-                    j += step
-            if not any(c[1] >= first and c[3] != family and (pairs < c[2] or pairs == c[2] and (score, c[3]) < (c[4], family))
-                       for c in near):
-                out.append((family, score, share, first, last))
-        return out
+        if not words:
+            return []
+        n = np.array([len(words)])
+        low, high = windows(np.zeros(len(words), dtype=np.int64), n * 0, n, cfg.sizes)
+        return confirmed(words, self.named(hashes(words), low, high), cfg)
 
-    def judge(self, paragraph: str) -> tuple[str, float, float]:
+    def judge(self, paragraph: str, cfg: LicenceConfig = LicenceConfig()) -> tuple[str, float, float]:
         """(family or unknown, probability, template share) of a paragraph's most probable notice."""
-        words = tokens(paragraph)
-        found = self.find(words, LicenceConfig())
+        found = self.find(tokens(paragraph), cfg)
         if found:
             return max(found, key=lambda c: c[1])[:3]
-        return (UNKNOWN, float(self.probabilities(words)[self.classes.index(UNKNOWN)]),
-                max(template_match(words, f) for f in TEMPLATES))
+        return UNKNOWN, 1.0, max(template_match(tokens(paragraph), f) for f in TEMPLATES)
+
+
+def _grams(n: np.ndarray) -> np.ndarray:
+    """1-, 2- and 3-grams of n words."""
+    return np.maximum(n, 1) + np.maximum(n - 1, 0) + np.maximum(n - 2, 0)
+
+
+def confirmed(words: list[str], named: list[tuple[int, int, str, float]], cfg: LicenceConfig) -> list:
+    """Notices of a paragraph: families that windows name, where a template confirms them."""
+    regions: dict[str, list[list]] = {}
+    for low, high, family, score in sorted(named):
+        low, high = max(0, low - cfg.slack), min(len(words), high + cfg.slack)
+        own = regions.setdefault(family, [])
+        if own and low <= own[-1][1]:
+            own[-1][1] = max(own[-1][1], high)
+            own[-1][2].append((low + cfg.slack, high - cfg.slack, score))
+        else:
+            own.append([low, high, [(low + cfg.slack, high - cfg.slack, score)]])
+    found = []
+    for family, own in regions.items():
+        for low, high, scores in own:
+            for _, share, hits in stretches(words[low:high], _OF_FAMILY[family], cfg):
+                first, last = low + min(hits), low + max(hits) + 1
+                near = [s for x, y, s in scores if x - cfg.slack <= last and first <= y + cfg.slack]
+                pairs = frozenset((words[low + i], words[low + i + 1]) for i in hits)
+                found.append((first, last, pairs, family, max(near, default=max(s for _, _, s in scores)), share))
+    found.sort(key=lambda c: (c[:2], c[3]))
+    widest = max((c[1] - c[0] for c in found), default=0)
+    out = []
+    for i, (first, last, pairs, family, score, share) in enumerate(found):
+        near = []
+        for step in (-1, 1):
+            j = i + step
+            while 0 <= j < len(found) and first - widest <= found[j][0] <= last:
+                near.append(found[j])
+                j += step
+        if not any(c[1] >= first and c[3] != family and (pairs < c[2] or pairs == c[2] and (score, c[3]) < (c[4], family))
+                   for c in near):
+            out.append((family, score, share, first, last))
+    return out
 
 
 def paragraphs(text: str) -> Iterator[tuple[list[str], list[int]]]:
@@ -224,34 +283,50 @@ def paragraphs(text: str) -> Iterator[tuple[list[str], list[int]]]:
 
 
 def background(docs: DataFrame, cfg: LicenceConfig) -> list[str]:
-    """Bounded sample of corpus paragraphs, spread over whole texts, in a fixed order."""
+    """Bounded sample of corpus stretches, spread over whole texts, in a fixed order."""
     share = bounded_sample_share(docs.count(), cfg.background_docs)
     row = F.coalesce(F.col("doc_id").cast("string"), F.col("text"))
-    lines = F.filter(F.split(F.col("text"), "\n"), lambda x: F.trim(x) != "")
-    step = F.greatest(F.lit(1), F.floor(F.size("lines") / cfg.lines_per_doc)).cast("int")
-    rows = (docs.where(F.col("text").isNotNull() & in_share(row, F.lit(share), seed=41))
-            .select(lines.alias("lines")).where(F.size("lines") > 0)
-            .select(F.explode(F.transform(F.sequence(F.lit(1), F.size("lines"), step),
-                                          lambda i: F.substring(F.get("lines", i - 1), 1, 600))).alias("line"))
-            .collect())
-    found = sorted(r["line"] for r in rows)
+    picked = docs.where(F.col("text").isNotNull() & in_share(row, F.lit(share), seed=41)).select("text")
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for text in f["text"]:
+                w = tokens(text)
+                starts = np.linspace(0, max(len(w) - cfg.window_words, 0), cfg.windows_per_doc).astype(int)
+                out += [" ".join(w[i:i + cfg.window_words]) for i in sorted(set(starts.tolist())) if w]
+            yield pd.DataFrame({"words": out}, dtype=str)
+
+    found = sorted(r["words"] for r in picked.mapInPandas(cut, "words string").collect())
     return [x for x in found if max(template_match(tokens(x), f) for f in TEMPLATES) < 0.4]
 
 
-def _variants(cfg: LicenceConfig, filler: list[list[str]], rng: np.random.Generator) -> list[tuple[list[str], str]]:
+def _examples(cfg: LicenceConfig, filler: list[list[str]], rng: np.random.Generator) -> list[tuple[list[str], str]]:
+    """(words, class) of training windows."""
     out = []
     for family in sorted(TEMPLATES):
         for t in TEMPLATES[family]:
             base = tokens(t)
             for i in range(cfg.variants):
                 w = list(base)
-                if i and len(w) > 8:
-                    keep = rng.random(len(w)) > 0.1
-                    w = [x for x, k in zip(w, keep) if k]
-                if i % 2 and filler:
-                    before, after = (filler[rng.integers(len(filler))] for _ in range(2))
-                    w = before[:rng.integers(0, 25)] + w + after[:rng.integers(0, 25)]
-                out.append((w, family))
+                if i and len(w) > 8:    # some words are lost or others
+                    w = [x if r > 0.07 else None if r < 0.04 else filler[rng.integers(len(filler))][0] if filler else None
+                         for x, r in zip(w, rng.random(len(w)))]
+                    w = [x for x in w if x]
+                before, after = ([], []) if not i or not filler else (filler[rng.integers(len(filler))] for _ in range(2))
+                words, first = before + w + after, len(before)
+                for size in cfg.sizes:
+                    whole = min(size, len(w))
+                    # most of the window, or of the notice, is seen
+                    least = -(-3 * whole // 4)
+                    low = rng.integers(max(0, first + least - size), max(1, first + len(w) - least + 1))
+                    own = words[low:low + size]
+                    seen = min(low + size, first + len(w)) - max(low, first)
+                    out.append((own, family if seen >= least else UNKNOWN))
+    for w in filler:
+        for size in cfg.sizes:
+            low = rng.integers(max(1, len(w) - size + 1))
+            out.append((w[low:low + size], UNKNOWN))
     return out
 
 
@@ -259,19 +334,20 @@ def fit(paragraphs: list[str], cfg: LicenceConfig = LicenceConfig()) -> Model:
     rng = np.random.default_rng(cfg.seed)
     classes = sorted([*TEMPLATES, UNKNOWN])
     filler = [w for w in map(tokens, paragraphs) if w]
-    rows = _variants(cfg, filler, rng) + [(w, UNKNOWN) for w in filler]
+    rows = _examples(cfg, filler, rng)
     # sentences that speak of licences without granting one
     rows += [(tokens(x), UNKNOWN) for x in (
         "the driver must carry a license", "permission to enter was refused", "this work is a study of public law",
-        "a version of the general story", "the library is public", "she has a fishing licence", "free software")] * 8
+        "a version of the general story", "the library is public", "she has a fishing licence", "free software",
+        "the licence to use a version of software", "general public library", "license")] * 12
     rng.shuffle(rows)
     aside = np.arange(len(rows)) % 4 == 0
-    grams = [gram_slots(w, cfg.slots) for w, _ in rows]
+    grams = [np.concatenate(gram_slots(hashes(w), cfg.slots)) if w else np.zeros(0, dtype=np.int64) for w, _ in rows]
     y = np.array([classes.index(c) for _, c in rows])
     train = np.flatnonzero(~aside)
     who = np.repeat(np.arange(len(train)), [len(grams[i]) for i in train])
     what = np.concatenate([grams[i] for i in train]) if len(train) else np.zeros(0, dtype=np.int64)
-    scale = 1.0 / np.sqrt(np.maximum(1, np.array([len(grams[i]) for i in train])))
+    scale = 1.0 / np.sqrt(_grams(np.array([len(rows[i][0]) for i in train])))
     m, n = len(classes), len(train)
     w, b = np.zeros((cfg.slots, m)), np.zeros(m)
     a1, a2, eye = np.zeros_like(w), np.zeros_like(w), np.eye(m)
@@ -299,9 +375,12 @@ def _calibrate(model: Model, words: list[list[str]], y: np.ndarray, cfg: Licence
     if not len(y):
         return model
 
+    size = np.array([len(w) for w in words])
+    h, high = hashes([x for w in words for x in [*w, "", ""]]), np.cumsum(size + 2) - 2
+
     def at(t: float) -> np.ndarray:
         model.temperature = t
-        return np.stack([model.probabilities(w) for w in words])
+        return model.window_probabilities(h, high - size, high)
 
     grid = [0.25, 0.5, 0.75, 1.0, 1.5, 2.0]
     loss = [-np.log(at(t)[np.arange(len(y)), y] + 1e-12).mean() for t in grid]
@@ -313,6 +392,49 @@ def _calibrate(model: Model, words: list[list[str]], y: np.ndarray, cfg: Licence
     return model
 
 
+def _runs(texts: list[str], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Texts in runs of about ``size`` characters."""
+    low = held = 0
+    for i, t in enumerate(texts, 1):
+        held += len(t)
+        if held >= size or i == len(texts):
+            yield low, i
+            low, held = i, 0
+
+
+class Scanner:
+    """Judges the windows of many texts together; keeps the hashes of words it has seen."""
+
+    def __init__(self, model: Model, cfg: LicenceConfig):
+        self.model, self.cfg = model, cfg
+        self.known, self.hash = Numbered(), np.zeros(0, dtype=np.uint64)
+
+    def notices(self, texts: list[str]) -> list[list[tuple[list, list]]]:
+        """Per text the paragraphs with notices: (notices, number of the line of every word)."""
+        if len(self.known) > CACHE:
+            self.known, self.hash = Numbered(), self.hash[:0]
+        parts = [(i, words, lines) for i, t in enumerate(texts) for words, lines in paragraphs(t)]
+        out: list[list] = [[] for _ in texts]
+        if not parts:
+            return out
+        size = np.array([len(w) for _, w, _ in parts])
+        ids = np.fromiter(map(self.known.__getitem__, chain.from_iterable(w for _, w, _ in parts)),
+                          dtype=np.int64, count=int(size.sum()))
+        new, self.known.new = self.known.new, []
+        self.hash = np.concatenate([self.hash, hashes(new)])
+        end = np.cumsum(size)
+        low, high = windows(np.repeat(np.arange(len(parts)), size), end - size, end, self.cfg.sizes)
+        by: dict[int, list] = {}
+        for x, y, family, score in self.model.named(self.hash[ids], low, high):
+            k = int(np.searchsorted(end, x, side="right"))
+            by.setdefault(k, []).append((x - int(end[k] - size[k]), y - int(end[k] - size[k]), family, score))
+        for k in sorted(by):
+            i, words, lines = parts[k]
+            if found := confirmed(words, by[k], self.cfg):
+                out[i].append((found, lines))
+        return out
+
+
 def scan(docs: DataFrame, cfg: LicenceConfig = LicenceConfig(), model: Model | None = None) -> DataFrame:
     """One row per document: doc_id, found: array of (paragraph, start, end, family, score, template);
     paragraph is the number of the notice's first line, start and end (of its whole lines) are code points."""
@@ -320,16 +442,15 @@ def scan(docs: DataFrame, cfg: LicenceConfig = LicenceConfig(), model: Model | N
     d = docs.select("doc_id", "text")
     id_type = d.schema["doc_id"].dataType.simpleString()
 
-    def judged(text: str | None) -> list[dict]:
-        if not text or not possible_templates(tokens(text), cfg.min_template):
-            return []
+    def spans(text: str, found: list[tuple[list, list]]) -> list[dict]:
+        """Notices of a text as lines; ``found``: (notices, number of the line of every word) per paragraph."""
         at = [0]
         for line in text.split("\n"):
             at.append(at[-1] + len(line) + 1)
         out: list[dict] = []
-        for words, lines in paragraphs(text):
+        for notices, lines in found:
             last: dict = {}
-            for family, score, share, first, end in model.find(words, cfg):
+            for family, score, share, first, end in notices:
                 have = last.get(family)
                 if have and lines[first] <= have["to"]:  # notices of a family that share a line are one
                     have |= {"to": max(have["to"], lines[end]), "score": max(have["score"], score),
@@ -342,8 +463,13 @@ def scan(docs: DataFrame, cfg: LicenceConfig = LicenceConfig(), model: Model | N
                  "family": x["family"], "score": x["score"], "template": x["template"]} for x in out]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scanner = Scanner(model, cfg)
         for f in frames:
-            yield pd.DataFrame({"doc_id": f["doc_id"], "found": [judged(t) for t in f["text"]]})
+            texts = [t or "" for t in f["text"]]
+            out: list[list] = []
+            for low, high in _runs(texts):
+                out += [spans(t, x) if x else [] for t, x in zip(texts[low:high], scanner.notices(texts[low:high]))]
+            yield pd.DataFrame({"doc_id": f["doc_id"], "found": out})
 
     return d.mapInPandas(run, f"doc_id {id_type}, found array<struct<paragraph:long,start:long,end:long,"
                               "family:string,score:double,template:double>>")

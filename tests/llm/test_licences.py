@@ -1,3 +1,6 @@
+import random
+
+import numpy as np
 import pytest
 
 from skyfare.llm import licences as L
@@ -100,3 +103,75 @@ def test_all_families_of_a_paragraph(spark, model):
         assert ",".join(sorted(x["family"] for x in got[i])) == expected, rows[i]
     for i, (t, _) in enumerate(long, len(lines)):
         assert [x["family"] for x in got[i]] == [notices[t]], t
+
+
+def plain_notices(model, text, cfg):
+    """Every window of every paragraph on its own, then the templates around the named ones."""
+    out = []
+    for words, lines in L.paragraphs(text):
+        named = []
+        for size in cfg.sizes:
+            for low in range(0, len(words), max(1, size // 3)):
+                own = words[low:low + size]
+                grams = np.concatenate(L.gram_slots(L.hashes(own), cfg.slots))
+                z = (model.weights[grams].astype(float).sum(axis=0) / np.sqrt(len(grams)) + model.bias) / model.temperature
+                p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+                best = int(p.argmax())
+                if p[best] >= model.least and model.classes[best] != L.UNKNOWN:
+                    named.append((low, min(low + size, len(words)), model.classes[best], float(p[best])))
+        found = L.confirmed(words, named, cfg)
+        if found:
+            out.append((found, lines))
+    return out
+
+
+def test_scan_equals_every_window_on_its_own(spark, model):
+    """Texts judged together, by running sums, give what each window gives alone."""
+    cfg = L.LicenceConfig()
+    texts = [r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60).collect()]
+    notices = [t for ts in L.TEMPLATES.values() for t in ts]
+    texts += [f"er then {x}\n\n{y} the ounor\nonst {x} eshth" for x, y in zip(notices, notices[5:])] + ["", "one", "a b"]
+    got = L.Scanner(model, cfg).notices(texts)
+    assert sum(map(bool, got)) > 15
+    for t, g in zip(texts, got):
+        expected = plain_notices(model, t, cfg)
+        assert [lines for _, lines in g] == [lines for _, lines in expected]
+        for (a, _), (b, _) in zip(g, expected):
+            assert [(x[0], *x[2:]) for x in a] == [(x[0], *x[2:]) for x in b]
+            assert all(abs(x[1] - y[1]) < 1e-6 for x, y in zip(a, b))
+
+
+def test_reworded_and_cut_notices_are_found(model):
+    """Notices that lost words, got others, or were cut off: nine in ten are named, half of their pairs confirm them."""
+    rng, cfg = random.Random(6), L.LicenceConfig()
+    seen = found = 0
+    for family, texts in sorted(L.TEMPLATES.items()):
+        for t in texts:
+            w = L.tokens(t)
+            if len(w) < 10:
+                continue
+            for k in range(12):
+                own = list(w)
+                for i in sorted(rng.sample(range(len(own)), len(own) // 8), reverse=True):
+                    own[i:i + 1] = [] if k % 2 else ["ounor"]
+                if k % 3 == 0:
+                    own = own[:-(len(own) // 5)]
+                if L.template_match(own, family) < cfg.min_template:
+                    continue
+                seen += 1
+                text = ["er", "then", "the", "ounor"] * 10 + own + ["onst", "hathe"] * 20
+                found += family in {x[0] for x in model.find(text, cfg)}
+    assert seen > 80 and found >= 0.9 * seen, (found, seen)
+
+
+def test_the_classifier_decides(model):
+    """A paragraph that no window names is not reported, whatever template it holds."""
+    quiet = L.Model(model.classes, model.weights * 0, model.bias * 0, 1.0, 0.5, model.slots)
+    assert quiet.find(L.tokens("Released under the MIT License"), L.LicenceConfig()) == []
+    assert model.find(L.tokens("Released under the MIT License"), L.LicenceConfig())
+
+
+def test_background_is_spread_over_whole_texts(spark):
+    cfg = L.LicenceConfig(windows_per_doc=3, window_words=2)
+    text = "alpha beta " + "filler words " * 400 + "mid point " + "filler words " * 400 + "near end"
+    assert {"alpha beta", "near end"} <= set(L.background(documents(spark, [(1, text), (2, None), (3, "")]), cfg))
