@@ -10,11 +10,14 @@ hashes are hits.  The masks are chosen so that every alignment with at least
 tokens (2 of 11, 3 of 15 and 4 of 20; the other lengths hold one of these).  A hit fixes how document and item align; it counts when some
 aligned stretch of ``verify_tokens`` tokens (the whole item if shorter) that
 holds the hit has at least ``min_match`` equal tokens.  Items with fewer tokens
-than a mask's span are looked for word for word: all their tokens are hashed, and
-so is every run of as many tokens of a document (only lengths that such items have).
+than the longest mask get masks over their whole length, chosen greedily so that
+any allowed number of unequal tokens falls under the 0s of one of them
+(``short_masks``; up to four tokens none may differ).  They are laid at every token
+of a document, for the lengths that such items have.
 
 Defined cases: null and empty texts match nothing; repeated rows
-each get their verdict, repeated items add nothing; items without an id count
+each get their verdict, repeated items add nothing, a text under several ids is
+looked for once and reported for each; items without an id count
 like others; an empty benchmark leaves every document clean; null ids of
 documents are carried through; other columns are ignored
 (``remove_contaminated`` keeps them).
@@ -28,6 +31,8 @@ are joined by a shuffle on the hash and only hits go back to their documents.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,22 +72,42 @@ def token_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _run_key(pos: Column | int, length: int) -> Column:
-    """Hash of ``length`` tokens from ``pos``."""
-    return F.xxhash64(F.lit(-length), *[F.get("__h", pos + F.lit(o)) for o in range(length)])
+@lru_cache(maxsize=None)
+def short_masks(length: int, min_match: float, weight: int = 6) -> tuple:
+    """Masks over all ``length`` tokens of a short item, of at most ``weight`` 1s where
+    that many may be left out, that together miss no allowed set of unequal tokens."""
+    allowed = int(length * (1 - min_match) + 1e-9)
+    if not allowed:
+        return ("1" * length,)
+    left = set(combinations(range(length), allowed))
+    choices = [frozenset(c) for c in combinations(range(length), max(allowed, length - weight))]
+    masks = []
+    while left:
+        zeros = max(choices, key=lambda z: sum(z.issuperset(c) for c in left))
+        left = {c for c in left if not zeros.issuperset(c)}
+        masks.append("".join("0" if i in zeros else "1" for i in range(length)))
+    return tuple(masks)
+
+
+def _short_keys(pos: Column, length: int, cfg: Seeds) -> list[Column]:
+    """Hashes of a short item's masks at ``pos``."""
+    return [F.xxhash64(F.lit(-length), F.lit(i), *[F.get("__h", pos + F.lit(o)) for o, bit in enumerate(m) if bit == "1"])
+            for i, m in enumerate(short_masks(length, cfg.min_match))]
 
 
 def masked_positions(df: DataFrame, keep: list[str], cfg: Seeds, lengths: tuple = ()) -> DataFrame:
-    """One row per mask, or run of one of ``lengths`` tokens, and token position: ``keep``, __pos, __key."""
+    """One row per mask, those of short items of ``lengths`` tokens too, and token position: ``keep``, __pos, __key."""
+    # a short item may reach over a text's ends by as many tokens as may differ
+    over = max((int(k * (1 - cfg.min_match) + 1e-9) for k in lengths), default=0)
     n, least = F.size("__h"), min([cfg.shortest, *lengths])
-    last = n - F.lit(least)
-    at = df.withColumn("__pos", F.explode(F.when(n >= least, F.sequence(F.lit(0), last))
+    last = n - F.lit(least) + over
+    at = df.withColumn("__pos", F.explode(F.when(last >= -over, F.sequence(F.lit(-over), last))
                                           .otherwise(F.array().cast("array<int>"))))
     pos = F.col("__pos")
-    keys = [F.when(pos + len(m) <= n, F.xxhash64(F.lit(i), *[F.get("__h", pos + o)
-                                                            for o, bit in enumerate(m) if bit == "1"]))
+    keys = [F.when((pos >= 0) & (pos + len(m) <= n), F.xxhash64(F.lit(i), *[F.get("__h", pos + o)
+                                                                            for o, bit in enumerate(m) if bit == "1"]))
             for i, m in enumerate(cfg.masks)]
-    keys += [F.when(pos + k <= n, _run_key(pos, k)) for k in lengths]
+    keys += [F.when(pos + k <= n + over, key) for k in lengths for key in _short_keys(pos, k, cfg)]
     return (at.select(*keep, "__pos", F.explode(F.array(*keys)).alias("__key"))
             .where(F.col("__key").isNotNull()))
 
@@ -113,29 +138,29 @@ def _aligned(doc: Column, start: Column, length: Column) -> Column:
     return F.when(pad > 0, F.concat(F.array_repeat(F.lit(None).cast("long"), pad), body)).otherwise(body)
 
 
-def _index(benchmark: DataFrame, cfg: Seeds, ws: Workspace) -> tuple[DataFrame, DataFrame, tuple]:
-    """(distinct items with token hashes, index rows (__key, __item, __ipos, __ilen),
-    token counts of the items too short for the masks)."""
-    items = ws.table(
+def _index(benchmark: DataFrame, cfg: Seeds, ws: Workspace) -> tuple[DataFrame, DataFrame, DataFrame, tuple]:
+    """(distinct token sequences (__ikey, __h), their ids (__ikey, __item), index rows (__key, __ikey,
+    __ipos, __ilen), token counts of the items too short for the masks)."""
+    named = ws.table(
         benchmark.select(F.col("item_id").alias("__item"), token_hashes(F.col("text")).alias("__h"))
-        .where(F.size("__h") > 0).dropDuplicates(["__item", "__h"])
-        .withColumn("__ikey", F.xxhash64("__item", "__h")), "items")
+        .where(F.size("__h") > 0).select("__item", "__h", F.xxhash64("__h").alias("__ikey"))
+        .dropDuplicates(["__item", "__ikey"]), "items")
+    items = ws.table(named.select("__ikey", "__h").dropDuplicates(["__ikey"]), "sequences")
     sized = items.withColumn("__ilen", F.size("__h"))
     brief = sized.where(F.col("__ilen") < cfg.span)
     lengths = tuple(sorted(r["__ilen"] for r in brief.select("__ilen").distinct().collect()))
-    columns = ["__key", "__item", "__ikey", "__ilen", F.col("__pos").alias("__ipos")]
-    index = masked_positions(sized.where(F.col("__ilen") >= cfg.span),
-                             ["__item", "__ikey", "__ilen", "__h"], cfg).select(columns)
-    if lengths:
-        whole = F.coalesce(*[F.when(F.col("__ilen") == k, _run_key(F.lit(0), k)) for k in lengths])
-        index = index.union(brief.withColumn("__pos", F.lit(0)).withColumn("__key", whole).select(columns))
-    return items, index, lengths
+    columns = ["__key", "__ikey", "__ilen", F.col("__pos").alias("__ipos")]
+    index = masked_positions(sized.where(F.col("__ilen") >= cfg.span), ["__ikey", "__ilen", "__h"], cfg).select(columns)
+    for k in lengths:
+        index = index.union(brief.where(F.col("__ilen") == k).withColumn("__pos", F.lit(0))
+                            .withColumn("__key", F.explode(F.array(*_short_keys(F.lit(0), k, cfg)))).select(columns))
+    return items, named.select("__ikey", "__item"), index, lengths
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, ws: Workspace,
                cfg: Seeds = Seeds()) -> DataFrame:
     """Verified (document, item) overlaps: __doc, __text (hash), __item, __match, __hits."""
-    items, index, lengths = _index(benchmark, cfg, ws)
+    items, ids, index, lengths = _index(benchmark, cfg, ws)
     index = ws.table(index, "index")
     d = docs.select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__text"),
                     token_hashes(F.col("text")).alias("__h"))
@@ -143,29 +168,28 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, ws: Workspace,
     if small:
         at = masked_positions(d, ["__doc", "__text", "__h"], cfg, lengths)
         hits = (at.join(F.broadcast(index), "__key")
-                .select("__doc", "__text", "__item", "__ikey", "__ipos",
+                .select("__doc", "__text", "__ikey", "__ipos",
                         _aligned(F.col("__h"), F.col("__pos") - F.col("__ipos"), F.col("__ilen"))
                         .alias("__d"))
                 .join(F.broadcast(items.select("__ikey", F.col("__h").alias("__i"))), "__ikey"))
     else:
         at = masked_positions(d, ["__doc", "__text"], cfg, lengths)
         found = ws.table(at.join(index, "__key")
-                         .select("__doc", "__text", "__item", "__ikey", "__ilen", "__ipos",
+                         .select("__doc", "__text", "__ikey", "__ilen", "__ipos",
                                  (F.col("__pos") - F.col("__ipos")).alias("__start")), "found")
         back = (d.dropDuplicates(["__doc", "__text"])
                 .withColumnRenamed("__doc", "__doc2").withColumnRenamed("__text", "__text2"))
         hits = (found.join(back, (F.col("__text") == F.col("__text2"))
                            & F.col("__doc").eqNullSafe(F.col("__doc2")))
-                .select("__doc", "__text", "__item", "__ikey", "__ipos",
+                .select("__doc", "__text", "__ikey", "__ipos",
                         _aligned(F.col("__h"), F.col("__start"), F.col("__ilen")).alias("__d"))
                 .join(items.select("__ikey", F.col("__h").alias("__i")), "__ikey"))
-    scored = hits.select("__doc", "__text", "__item",
+    scored = hits.select("__doc", "__text", "__ikey",
                          _overlap(F.col("__d"), F.col("__i"), F.col("__ipos"), cfg)
                          .alias("__match"))
-    return ws.table(scored.where(F.col("__match") >= cfg.min_match)
-                    .groupBy("__doc", "__text", "__item")
-                    .agg(F.max("__match").alias("__match"), F.count(F.lit(1)).alias("__hits")),
-                    "leaks")
+    found = (scored.where(F.col("__match") >= cfg.min_match).groupBy("__doc", "__text", "__ikey")
+             .agg(F.max("__match").alias("__match"), F.count(F.lit(1)).alias("__hits")))
+    return ws.table(found.join(ids, "__ikey").drop("__ikey"), "leaks")
 
 
 def _per_document(leaks: DataFrame, ws: Workspace) -> DataFrame:

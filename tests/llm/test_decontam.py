@@ -38,8 +38,6 @@ def plain(items, text):
     found = {}
     for item, w in items:
         v = min(CFG.verify_tokens, len(w))
-        if len(w) < CFG.span:
-            continue
         for d in range(-len(w) + 1, len(t)):
             eq = [0 <= d + i < len(t) and t[d + i] == w[i] for i in range(len(w))]
             best = max(sum(eq[i:i + v]) for i in range(len(w) - v + 1))
@@ -118,7 +116,7 @@ def test_random_substitutions_at_the_threshold(spark, limit):
 
 @pytest.mark.parametrize("limit", [1_000_000, 0])
 def test_short_items_and_scripts_without_spaces(spark, limit):
-    """Items of fewer tokens than a mask are found word for word; Chinese, Japanese and Thai letter by letter."""
+    """Items of fewer tokens than a mask are found too; Chinese, Japanese and Thai letter by letter."""
     rng = random.Random(5)
     items = [(n, " ".join(words(rng, n))) for n in range(1, 11)]
     chinese = "中华人民共和国的首都是哪一座城市请选择正确答案"
@@ -133,4 +131,49 @@ def test_short_items_and_scripts_without_spaces(spark, limit):
     rows = {r["doc_id"]: (r["contaminated"], r["first_item"], r["best_match"]) for r in got.collect()}
     for i, _ in items:
         assert rows[i] == rows[100 + i] == (True, i, 1.0), i
-    assert rows[250][:2] == (True, 50) and not rows[251][0] and not rows[210][0]
+    assert rows[250][:2] == (True, 50) and not rows[251][0] and rows[210] == (True, 10, 0.9)
+
+
+@pytest.mark.parametrize("n", range(1, 11))
+def test_short_masks_miss_no_allowed_substitution(n):
+    allowed = int(n * 0.2 + 1e-9)
+    zeros = [{i for i, bit in enumerate(m) if bit == "0"} for m in decontam.short_masks(n, 0.8)]
+    assert all(len(m) == n and m.count("1") >= min(n - allowed, 4) for m in decontam.short_masks(n, 0.8))
+    for changed in itertools.combinations(range(n), allowed):
+        assert any(z.issuperset(changed) for z in zeros)
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_short_items_with_substitutions(spark, limit):
+    """Five to ten tokens, as many changed as may be or one more, inside texts and across their ends."""
+    rng = random.Random(12)
+    items = [(i, words(rng, n)) for i, n in enumerate((3, 5, 6, 7, 8, 9, 10))]
+    docs = []
+    for k in range(280):
+        leak = list(items[k % 7][1])
+        for j in rng.sample(range(len(leak)), min(len(leak), len(leak) // 5 + k // 7 % 2)):
+            leak[j] = "changed"
+        cut = rng.randint(0, 2)
+        body = [leak[cut:] + words(rng, 5), words(rng, 5) + leak[:len(leak) - cut], words(rng, 3) + leak + words(rng, 3), leak]
+        docs.append((k, " ".join(body[k % 4])))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = decontam.decontaminate(documents(spark, docs), bench, ws(spark), decontam.Seeds(max_broadcast=limit))
+    rows = {r["doc_id"]: r for r in got.collect()}
+    for k, text in docs:
+        expected = plain(items, text)
+        assert rows[k]["n_items"] == len(expected), (k, text)
+        if expected:
+            assert rows[k]["best_match"] == pytest.approx(max(expected.values()))
+
+
+def test_a_text_under_many_ids_is_looked_for_once(spark):
+    rng = random.Random(2)
+    leak = " ".join(words(rng, 24))
+    bench = spark.createDataFrame([(i, leak) for i in range(50)], "item_id long, text string")
+    one = decontam.decontaminate(documents(spark, [(1, leak)]), bench.where("item_id = 7"), ws(spark)).first()
+    many = decontam.decontaminate(documents(spark, [(1, leak)]), bench, ws(spark)).first()
+    assert (one["n_items"], many["n_items"], many["first_item"]) == (1, 50, 0)
+    assert many["n_hits"] == 50 * one["n_hits"]
+    _, _, index, _ = decontam._index(bench, CFG, ws(spark))
+    _, _, single, _ = decontam._index(bench.where("item_id = 7"), CFG, ws(spark))
+    assert index.count() == single.count()
