@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace
+from .common import Numbered, Workspace
 from .minimal_hash import MinimalHash
 
 _UNIT = re.compile(r"[ \n\t]\s*\S+|\S+|\s+")
@@ -78,6 +78,10 @@ class Rows:
         self.held[self.n:self.n + len(rows)] = rows
         self.n += len(rows)
 
+    def room(self, n: int) -> None:
+        """``n`` more rows of zeros."""
+        self.add(np.zeros((n, self.held.shape[1]), dtype=np.int64))
+
     def array(self) -> np.ndarray:
         return self.held[:self.n]
 
@@ -112,7 +116,7 @@ class Aligner:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Numbered()
         self.groups: list[bytes] = []
         self.stats = Rows(7)       # n_a, n_b, n_groups, n_links, n_best, count_sum, not given back
         self.codes = Rows(1)       # of all units' links, end to end
@@ -146,15 +150,25 @@ class Aligner:
         """Unit numbers of texts that start with a blank where both tokenizers cut."""
         if len(self.known) > CACHE or self.held > 64 * CACHE:
             self.forget()
-        known = self.known
-        split = [self.units(t) for t in texts]
-        new = {u for us in split for u in us if u not in known}
-        odd = {u for u in new if u[0] not in " \n\t"}
+        known, split = self.known, [self.units(t) for t in texts]
+
+        def numbers() -> list[np.ndarray]:
+            return [np.fromiter(map(known.__getitem__, us), dtype=np.int64, count=len(us)) for us in split]
+
+        out = numbers()
+        odd = {u for u in known.new if u[0] not in " \n\t"}
         if odd and self.cut:
+            for u in known.new:     # the last that were numbered
+                del known[u]
+            known.new = []
             split = [self._joined(us) if not odd.isdisjoint(us) else us for us in split]
-            new = {u for us in split for u in us if u not in known}
-        self._learn(sorted(new))
-        return [np.fromiter(map(known.__getitem__, us), dtype=np.int64, count=len(us)) for us in split]
+            out = numbers()
+        new, known.new = known.new, []
+        self.groups += [b""] * len(new)
+        self.stats.room(len(new))
+        self.start.room(len(new))
+        self._learn(new)
+        return out
 
     def _learn(self, units: list[str]) -> None:
         """Align new units: end to end where that leaves each as it is, else one by one."""
@@ -226,19 +240,19 @@ class Aligner:
         self._keep(units, groups, np.array(stats, dtype=np.int64), np.array(flat, dtype=np.int64))
 
     def _keep(self, units: list[str], groups: list[bytes], stats: np.ndarray, codes: np.ndarray) -> None:
-        first = len(self.groups)
-        self.known.update(zip(units, range(first, first + len(units))))
+        at = np.fromiter(map(self.known.__getitem__, units), dtype=np.int64, count=len(units))
         self.held += sum(map(len, units))
-        self.groups += groups
+        for i, text in zip(at.tolist(), groups):
+            self.groups[i] = text
         if self.counts is not None and len(codes):
             n, top = self.counts.look_up(codes)
             of = np.repeat(np.arange(len(stats)), stats[:, 3])
             stats[:, 4] = np.bincount(of, weights=top, minlength=len(stats))
             np.add.at(stats[:, 5], of, n)
-            for i, c in zip(of[n == 0].tolist(), codes[n == 0].tolist()):
-                self.rare.setdefault(first + i, []).append(c)
-        self.start.add((self.codes.n + np.cumsum(stats[:, 3]) - stats[:, 3]).reshape(-1, 1))
-        self.stats.add(stats)
+            for i, c in zip(at[of[n == 0]].tolist(), codes[n == 0].tolist()):
+                self.rare.setdefault(i, []).append(c)
+        self.start.array()[at, 0] = self.codes.n + np.cumsum(stats[:, 3]) - stats[:, 3]
+        self.stats.array()[at] = stats
         self.codes.add(codes.reshape(-1, 1))
 
     def _groups(self, a: list[int], b: list[int]) -> tuple[bytes, list[int], int]:

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample_share, held_out, in_share, train_fold
+from .common import Numbered, bounded_sample_share, held_out, in_share, train_fold
 
 
 
@@ -331,32 +331,31 @@ class Labeller:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known, self.scored = Numbered(), 0
         self.prob = np.zeros((1024, len(self.model.langs)))   # rows of known words first, then room
 
     def _learn(self, words: list[str]) -> None:
         e = emissions(words, self.model)
         e = np.exp(np.maximum(e - e.max(axis=1, keepdims=True), -60.0))
-        n = len(self.known)
+        n = self.scored
         if n + len(words) > len(self.prob):
             self.prob = np.concatenate([self.prob[:n], np.zeros((n + 2 * len(words), e.shape[1]))])
         self.prob[n:n + len(words)] = e
-        self.known.update(zip(words, range(n, n + len(words))))
+        self.scored += len(words)
 
     def sums(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(summed label probabilities, word counts) of texts."""
         if len(self.known) > CACHE:
             self._forget()
         split = [words_of(x) for x in texts]
-        known = self.known
-        new = sorted({w for ws in split for w in ws if w not in known})
+        sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        ids = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(sizes.sum()))
+        new, self.known.new = self.known.new, []
         for at in range(0, len(new), AT_ONCE):
             self._learn(new[at:at + AT_ONCE])
-        sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         out = np.zeros((len(texts), len(self.model.langs)))
         full = sizes > 0
         if full.any():
-            ids = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(sizes.sum()))
             out[full] = label_sums(ids, sizes[full], self.prob, self.t)
         return out, sizes
 
