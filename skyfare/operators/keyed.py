@@ -64,24 +64,30 @@ def kv_encode(df: DataFrame, prefix: str, key_cols: list[str]) -> DataFrame:
     return df.select(kv_key(prefix, key_cols).alias("key"), F.create_map(*pairs).alias("fields"))
 
 
-def values_hash() -> Column:
-    """128-bit hash of a row's field texts: tells equal stamps and orders apart, so the
-    same writes leave the same store however they are partitioned."""
-    return F.md5(F.concat_ws("\x1f", F.map_values("fields")).cast("binary"))
+def _write(seq: Column, order: list[Column]) -> Column:
+    """A write as one struct that orders like the writes and holds the fields: the stamp, the
+    place inside its load, then the field texts, which tell equal stamps and places apart, so
+    the same writes leave the same store however they are partitioned."""
+    return F.struct(seq.alias("_seq"), *order, F.map_values("fields").alias("_values"),
+                    F.map_keys("fields").alias("_keys"))
 
 
 def kv_writes(batch: DataFrame, seq: Column, order: list[str]) -> DataFrame:
-    """(key, ord, fields): per key the latest write of a load, to be appended to a
-    store that keeps all loads' rows of a key together."""
-    w = batch.select("key", "fields", F.struct(seq.alias("seq"), *[F.col(c).cast("string").alias(c) for c in order],
-                                               values_hash().alias("values")).alias("ord"))
-    return w.groupBy("key").agg(F.max("ord").alias("ord"), F.max_by("fields", "ord").alias("fields"))
+    """(key, write): per key the latest write of a load, to be appended to a store that
+    keeps all loads' rows of a key together."""
+    w = batch.select("key", _write(seq, [F.col(c).cast("string").alias(c) for c in order]).alias("write"))
+    return kv_merged(w)
 
 
 def kv_merged(writes: DataFrame) -> DataFrame:
-    """(key, ord, fields): the latest write of every key.  On a table bucketed by key
-    this is one aggregate without a shuffle."""
-    return writes.groupBy("key").agg(F.max("ord").alias("ord"), F.max_by("fields", "ord").alias("fields"))
+    """(key, write): the latest write of every key.  On a table bucketed by key this is
+    one aggregate without a shuffle."""
+    return writes.groupBy("key").agg(F.max("write").alias("write"))
+
+
+def kv_fields(merged: DataFrame) -> DataFrame:
+    """(key, fields) of merged writes."""
+    return merged.select("key", F.map_from_arrays("write._keys", "write._values").alias("fields"))
 
 
 def kv_upsert(store: DataFrame | None, batch: DataFrame, seq: Column,
@@ -90,20 +96,15 @@ def kv_upsert(store: DataFrame | None, batch: DataFrame, seq: Column,
 
     ``seq`` orders writes (the load stamp); ``order`` are batch columns
     giving the write order inside one load (e.g. the feed's entry order);
-    what is left is ordered by a hash of the field texts.
+    what is left is ordered by the field texts.
     """
     order = order or []
-    last = values_hash().alias("_values")
-    w = batch.select("key", "fields",
-                     F.struct(seq.alias("_seq"), *[F.col(c) for c in order], last).alias("_ord"))
+    w = batch.select("key", _write(seq, [F.col(c) for c in order]).alias("write"))
     if store is not None:
-        old = store.select("key", "fields", F.struct(
-            F.col("_seq"), *[F.lit(None).cast(batch.schema[c].dataType).alias(c)
-                             for c in order], last).alias("_ord"))
-        w = old.unionByName(w)
-    return (w.groupBy("key").agg(F.max_by("fields", "_ord").alias("fields"),
-                                 F.max("_ord").alias("_ord"))
-             .select("key", F.col("_ord._seq").alias("_seq"), "fields"))
+        nulls = [F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in order]
+        w = store.select("key", _write(F.col("_seq"), nulls).alias("write")).unionByName(w)
+    return kv_merged(w).select("key", F.col("write._seq").alias("_seq"),
+                               F.map_from_arrays("write._keys", "write._values").alias("fields"))
 
 
 def kv_lookup(store: DataFrame, keys: DataFrame) -> DataFrame:
