@@ -2,6 +2,8 @@
 
 * documents: one JSON document per row (``to_json(struct(*))``), appended
   as JSON-lines files; queries are filters / counts / group counts.
+* documents of any shape: one VARIANT per row in parquet; a query names the paths it
+  needs, and only those are read (no schema is fixed, nothing is parsed again).
 * key-value: a hash per key (``ticket:{id}``, ``direction:{o}:{d}``,
   ``price_trend:{id}``) whose fields are the row's values as text (booleans
   as 0/1, NULL as '').  Writes are upserts, last write wins; on immutable
@@ -148,3 +150,34 @@ def doc_count(docs: DataFrame) -> DataFrame:
 
 def doc_group_count(docs: DataFrame, field: str) -> DataFrame:
     return docs.groupBy(field).agg(F.count(F.lit(1)).alias("documents"))
+
+
+# ---- documents of any shape ------------------------------------------------------
+
+def write_variants(df: DataFrame, path: str, mode: str = "append") -> str:
+    """Append each row as one document; later rows may have other fields."""
+    df.select(F.parse_json(F.to_json(F.struct(*df.columns))).alias("doc")).write.mode(mode).parquet(path)
+    return path
+
+
+def read_variants(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("doc variant").parquet(path)
+
+
+def at_path(path: str, type_: str = "string") -> Column:
+    """The value at a JSON path (``$.airports.origin``) as a type; NULL where a document
+    has no such field, or one that does not cast."""
+    return F.try_variant_get("doc", path, type_)
+
+
+def path_find(docs: DataFrame, where: dict[str, str], *paths: str) -> DataFrame:
+    """The named paths of the documents whose values equal ``where``."""
+    cond = F.lit(True)
+    for p, v in where.items():
+        cond = cond & (at_path(p) == F.lit(v))
+    return docs.where(cond).select(*[at_path(p).alias(p.split(".")[-1]) for p in paths])
+
+
+def path_group(docs: DataFrame, path: str, name: str) -> DataFrame:
+    """Documents per value at a path."""
+    return docs.groupBy(at_path(path).alias(name)).agg(F.count(F.lit(1)).alias("documents"))

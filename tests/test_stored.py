@@ -271,3 +271,21 @@ def test_ties_do_not_depend_on_partitions(spark):
     batch = spark.createDataFrame([("k", {"a": str(i)}) for i in range(30)], "key string, fields map<string,string>")
     for df in (batch.coalesce(1), batch.repartition(9)):
         assert keyed.kv_fields(keyed.kv_writes(df, F.lit("s"), [])).first()["fields"] == {"a": "9"}
+
+
+def test_documents_of_any_shape(spark, tmp_path):
+    path = f"{tmp_path}/docs"
+    one = spark.createDataFrame([(1, "a", 5.0), (2, "b", None)], "id long, city string, price double")
+    other = spark.createDataFrame([(3, ("z", 7)), (4, (None, 8))], "id string, deep struct<name:string,n:int>")
+    keyed.write_variants(one, path)
+    keyed.write_variants(other, path)
+    docs = keyed.read_variants(spark, path)
+    assert docs.count() == 4
+    assert [r["id"] for r in keyed.path_find(docs, {"$.city": "b"}, "$.id").collect()] == ["2"]
+    assert [r["n"] for r in keyed.path_find(docs, {"$.deep.name": "z"}, "$.deep.n", "$.city").collect()] == ["7"]
+    assert rows(keyed.path_group(docs, "$.city", "city")) == [("a", 1), ("b", 1), (None, 2)]
+    assert docs.select(F.sum(keyed.at_path("$.id", "long"))).first()[0] == 10
+    assert keyed.path_find(docs, {"$.none.such": "x"}, "$.id").count() == 0
+    # only the asked paths reach the scan, the condition too
+    plan = plan_of(keyed.path_group(docs.where(keyed.at_path("$.city") == "a"), "$.price", "price"))
+    assert "ReadSchema: struct<doc:struct<0:string,1:string>>" in plan and "EqualTo(doc" in plan
