@@ -36,7 +36,7 @@ from .common import Workspace
 
 WORD = r"[^\x20\x09-\x0D]+"
 NOBODY = hashlib.sha256(b"").hexdigest()
-CHUNK = 4096
+CHUNK = 512   # ids joined in one text
 
 
 @dataclass(frozen=True)
