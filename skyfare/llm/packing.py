@@ -43,8 +43,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 _RUN = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
-# between a letter and a single comma or full stop before a blank
-_STOP = re.compile(r"(?<=[a-z])(?=[.,](?:[ \n]|$))")
 # letters that normalising keeps or lower-cases one for one (not the dotted capital I)
 _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 _LOWER = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
@@ -99,20 +97,6 @@ def _state(component) -> dict:
     return json.loads(component.__getstate__()) if component is not None else {}
 
 
-class Pieces(dict):
-    """Encodings of pieces; one that is met for the first time is handed out empty, to be
-    filled in later, and listed in ``new``."""
-
-    def __init__(self):
-        super().__init__({"": b""})
-        self.new: list[str] = []
-
-    def __missing__(self, piece: str) -> bytearray:
-        out = self[piece] = bytearray()
-        self.new.append(piece)
-        return out
-
-
 class Encoder:
     """Ids of whole texts, as little-endian 32-bit bytes.
 
@@ -132,11 +116,7 @@ class Encoder:
         self.in_parts = (_state(self.tokenizer.normalizer) == NORMALIZER and len(cuts) == 2
                          and cuts[0].get("pattern") == {"Regex": FIRST_CUT} and cuts[1].get("type") == "ByteLevel"
                          and not cuts[1].get("use_regex") and not cuts[1].get("add_prefix_space"))
-        suffix = getattr(self.model, "end_of_word_suffix", None)
-        self.closes = np.zeros(self.vocabulary, dtype=bool)   # tokens that end a word
-        if suffix:
-            self.closes[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
-        self.known = Pieces()                      # pieces as they stand in texts
+        self.known: dict[str, bytes] = {"": b""}   # pieces as they stand in texts
         self.parts: dict[str, bytes] = {"": b""}   # what the tokenizer was asked
 
     def _ask(self, texts: list[str]) -> list[bytes]:
@@ -149,49 +129,49 @@ class Encoder:
         ids = [t.id for t in self.model.tokenize(spelt)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Parts of lower-case letters, encoded end to end; a token with the model's word
-        end closes a part."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) != len(words) or (len(ends) and ends[-1] != len(ids)):
-            return [self._word(w) for w in words]
-        raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-        return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
-
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if not self.in_parts:
             return self._ask([t or "" for t in texts])
         if len(self.known) > CACHE:
-            self.known = Pieces()
+            self.known = {"": b""}
         if len(self.parts) > CACHE:
             self.parts = {"": b""}
         known, parts = self.known, self.parts
-        found = [list(map(known.__getitem__, pieces_of(t or ""))) for t in texts]
-        new, known.new = known.new, []
-        cut = [parts_of(p) for p in new]
+        split = [pieces_of(t or "") for t in texts]
+        found = [list(map(known.get, pieces)) for pieces in split]
+        open_ = [i for i, x in enumerate(found) if None in x]
+        cut = {p: parts_of(p) for p in {p for i in open_ for p, e in zip(split[i], found[i]) if e is None}}
         words, other = [], []
-        for x in {x for xs in cut for x in xs if x not in parts}:
+        for x in {x for xs in cut.values() for x in xs if x not in parts}:
             (words if x.isascii() and x.isalpha() or _LOWER.fullmatch(x) else other).append(x)
-        for i in range(0, len(words), 50_000):
-            parts.update(zip(words[i:i + 50_000], self._words(words[i:i + 50_000])))
+        parts.update(zip(words, map(self._word, words)))
         for i in range(0, len(other), 10_000):
             parts.update(zip(other[i:i + 10_000], self._ask(other[i:i + 10_000])))
-        for p, xs in zip(new, cut):
-            out = known[p]
-            for x in xs:
-                out += parts[x]
+        for p, xs in cut.items():
+            known[p] = parts[xs[0]] if len(xs) == 1 else b"".join([parts[x] for x in xs])
+        for i in open_:
+            found[i] = [known[p] if e is None else e for p, e in zip(split[i], found[i])]
         return list(map(b"".join, found))
 
 
 def pieces_of(text: str) -> list[str]:
-    """A text at its blanks.  In plain ASCII letters become lower case and a comma or full
-    stop behind one stands alone, as the tokenizer will have it: fewer different pieces."""
-    if text.isascii() and "<|" not in text:   # special tokens keep their case
-        text = _STOP.sub(" ", text.lower())
+    """A text at its blanks, in Latin-1 in lower case (as the tokenizer will have it; letter
+    by letter, so fewer different pieces)."""
+    if _latin(text) and "<|" not in text:   # special tokens keep their case
+        text = text.lower()
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
+def _latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def parts_of(piece: str) -> tuple[str, ...]:
     """A piece without blanks in parts that encode one after another like the whole.
 
