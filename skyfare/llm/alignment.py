@@ -17,7 +17,8 @@ their counts in a join.
 
 Texts are cut into units before blanks that no token of A or B crosses (checked for
 the vocabularies at hand, else a text is one unit).  Both tokenizers end a token
-there, so a unit is encoded and aligned once and then looked up.
+there, so a unit is encoded and aligned once and then looked up; tasks that a worker
+runs one after another share their units.
 
 Defined cases: a text that is null, empty, or not given back byte for byte by both
 tokenizers (U+2581 in it) has no tokens: counts 0, ``groups_sha256`` ''; repeated
@@ -31,6 +32,7 @@ import hashlib
 import json
 import os
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,13 +43,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbered, Workspace
+from .common import Numbered, Workspace, kept
 from .minimal_hash import MinimalHash
 
 _UNIT = re.compile(r"[ \n\t]\s*\S+|\S+|\s+")
 _CUT = re.compile(r"(?<=\S)(?=[ \n\t])")
 RUN = 1 << 20        # characters aligned together
-CACHE = 500_000      # units kept
+CACHE = 800_000      # units kept
 BLOCK = 1 << 16      # counts of a vector's block
 # bytes as byte-level vocabularies spell them: visible Latin-1 signs stand for themselves, the
 # others, in order, for the characters from 256 on
@@ -189,19 +191,24 @@ class Aligner:
         b = b if text[0] == " " else b[1:]
         until = np.cumsum(np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)))
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        ends = np.intersect1d(end_a, end_b, assume_unique=True)
-        if (b"".join([self.bytes_b[i] for i in b.tolist()]) != b"".join(raw) or end_a[-1] != until[-1]
-                or not np.isin(until, ends, assume_unique=True).all()):
+        if b"".join(map(self.bytes_b.__getitem__, b.tolist())) != b"".join(raw) or end_a[-1] != until[-1]:
             return False
-        of_a, of_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)      # groups of tokens
-        n_a, n_b = np.bincount(of_a, minlength=len(ends)), np.bincount(of_b, minlength=len(ends))
+        both = np.zeros(int(until[-1]) + 1, dtype=np.int8)     # 3 where a token of both ends
+        both[end_a] = 1
+        both[end_b] += 2
+        both = both == 3
+        if not both[until].all():
+            return False
+        upto = np.cumsum(both)                                   # groups that end up to a byte
+        of_a, of_b = upto[end_a] - both[end_a], upto[end_b] - both[end_b]            # groups of tokens
+        n_groups = int(upto[-1])
+        n_a, n_b = np.bincount(of_a, minlength=n_groups), np.bincount(of_b, minlength=n_groups)
         from_a, from_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
         # every A token meets the B tokens of its group
         times = n_b[of_a]
         partner = np.repeat(from_b[of_a] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
         codes = np.repeat(a, times) * self.n_b + b[partner]
-        unit = np.searchsorted(until, ends)                                          # of groups
-        firsts = np.searchsorted(unit, np.arange(len(units) + 1))                    # groups before a unit
+        firsts = np.concatenate([[0], upto[until]])              # groups before a unit
         groups = self._group_texts(a, b, n_a, n_b, from_a, from_b, firsts.tolist()) if self.texts else [b""] * len(units)
         stats = np.zeros((len(units), 7), dtype=np.int64)
         stats[:, 2] = firsts[1:] - firsts[:-1]
@@ -211,11 +218,12 @@ class Aligner:
         return True
 
     def _group_texts(self, a, b, n_a, n_b, from_a, from_b, cuts: list[int]) -> list[bytes]:
-        name = self.name
-        texts = [f"{name[x]}|{name[y]}" for x, y in zip(a[from_a].tolist(), b[from_b].tolist())]
+        name_a, name_b = list(map(self.name.__getitem__, a.tolist())), list(map(self.name.__getitem__, b.tolist()))
+        i_a, i_b, k_a, k_b = from_a.tolist(), from_b.tolist(), n_a.tolist(), n_b.tolist()
+        texts = [f"{name_a[i]}|{name_b[j]}" for i, j in zip(i_a, i_b)]
         for g in np.flatnonzero((n_a > 1) | (n_b > 1)).tolist():
-            own, other = a[from_a[g]:from_a[g] + n_a[g]].tolist(), b[from_b[g]:from_b[g] + n_b[g]].tolist()
-            texts[g] = ",".join([name[i] for i in own]) + "|" + ",".join([name[i] for i in other])
+            i, j = i_a[g], i_b[g]
+            texts[g] = ",".join(name_a[i:i + k_a[g]]) + "|" + ",".join(name_b[j:j + k_b[g]])
         return [";".join(texts[x:y]).encode() for x, y in zip(cuts, cuts[1:])]
 
     def _learn_single(self, units: list[str]) -> None:
@@ -350,7 +358,7 @@ def partial_counts(docs: DataFrame, cfg: Alignment, flush: int = 2_000_000) -> D
                                                   pa.array(n[at:at + 50_000])], names=["part", "code", "n"])
 
         for b in batches:
-            aligner = aligner or Aligner(cfg, texts=False)
+            aligner = aligner or kept("aligner", (cfg.a, cfg.b), lambda: Aligner(cfg, texts=False))
             whole, broken = nothing, False
             for run in _documents(_texts(b, 0), aligner):
                 for _, ids, last in run:
@@ -498,7 +506,7 @@ def align(docs: DataFrame, ws: Workspace, cfg: Alignment) -> DataFrame:
     pairs = pair_counts(docs, ws, cfg)
     n_b = Aligner(cfg).n_b
     common, left_out = common_pairs(pairs, cfg, n_b)
-    shared = spark.sparkContext.broadcast(common)
+    shared, run_id = spark.sparkContext.broadcast(common), uuid.uuid4().hex
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {id_type}, " + ", ".join(f"{f} long" for f in FIELDS) + ", groups_sha256 string, "
               "rare array<struct<code: long, times: long>>")
@@ -506,7 +514,7 @@ def align(docs: DataFrame, ws: Workspace, cfg: Alignment) -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = None
         for b in batches:
-            aligner = aligner or Aligner(cfg, shared.value)
+            aligner = aligner or kept("aligner", (cfg.a, cfg.b, run_id), lambda: Aligner(cfg, shared.value))
             sums, sha, rare = np.zeros((b.num_rows, 7), dtype=np.int64), [""] * b.num_rows, [None] * b.num_rows
             digest, times = None, Counter()
             for run in _documents(_texts(b, 1), aligner):

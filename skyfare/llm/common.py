@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,3 +75,12 @@ class Numbered(dict):
         n = self[key] = len(self)
         self.new.append(key)
         return n
+
+
+def kept(name: str, key: tuple, make: Callable):
+    """An object of this Python worker process, made anew when ``key`` changes: the tasks
+    that a worker runs one after another share what they have looked up."""
+    held = sys.modules.setdefault("skyfare_worker", types.ModuleType("skyfare_worker")).__dict__
+    if name not in held or held[name][0] != key:
+        held[name] = (key, make())
+    return held[name][1]

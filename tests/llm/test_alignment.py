@@ -78,7 +78,7 @@ def found(df):
 
 ODD = [None, "", " ", "  ", "a", " lead", "trail ", "two  spaces", "a\nb", "a \n b", "\ttab\tx", "a\r\nb;\r", "x\xa0y z", "!\x1cq \x1f.",
        "▁x", "word ▁ word", "<|endoftext|> </s> <0x41>", "日本語 テキスト 漢字", "\U0001f600\U0001f680 ok", "é é ﬁ ½", "don't we'll",
-       "a\x00b", "-" * 700, "ab" * 500, " " * 70 + "x", "\n\n\n", "x   y　z", "1234567890 3.14", "Üñî çødé", "\x85a b\x0bc"]
+       "a\x00b", "-" * 700, "ab" * 500, " " * 70 + "x", "\n\n\n", "word, word. word; (word), x_, x_. 1, 2. it's, é. ²., word***\nword$$$ a,b,c ,a .b", ".", ",", ", x", "x   y　z", "1234567890 3.14", "Üñî çødé", "\x85a b\x0bc"]
 
 
 def test_odd_texts_equal_plain_ones(spark):
