@@ -84,3 +84,10 @@ def kept(name: str, key: tuple, make: Callable):
     if name not in held or held[name][0] != key:
         held[name] = (key, make())
     return held[name][1]
+
+
+def release(name: str) -> None:
+    """Forget what ``kept`` holds under a name."""
+    held = sys.modules.get("skyfare_worker")
+    if held is not None:
+        held.__dict__.pop(name, None)

@@ -42,6 +42,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from .common import kept, release
+
 _RUN = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 # letters that normalising keeps or lower-cases one for one (not the dotted capital I)
 _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
@@ -50,7 +52,8 @@ _LOWER = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 # other bytes, in order, for the characters from 256 on
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
-CACHE = 600_000
+CACHE = 600_000      # pieces looked up
+PARTS = 400_000      # parts of pieces, kept by a worker from task to task
 
 
 @dataclass(frozen=True)
@@ -119,6 +122,11 @@ class Encoder:
         self.known: dict[str, bytes] = {"": b""}   # pieces as they stand in texts
         self.parts: dict[str, bytes] = {"": b""}   # what the tokenizer was asked
 
+    def begin(self) -> Encoder:
+        """For a further task of the same worker: parts stay known, pieces do not."""
+        self.known = {"": b""}
+        return self
+
     def _ask(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e.ids)}I", *e.ids)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -134,7 +142,7 @@ class Encoder:
             return self._ask([t or "" for t in texts])
         if len(self.known) > CACHE:
             self.known = {"": b""}
-        if len(self.parts) > CACHE:
+        if len(self.parts) > PARTS:
             self.parts = {"": b""}
         known, parts = self.known, self.parts
         split = [pieces_of(t or "") for t in texts]
@@ -239,7 +247,7 @@ def write_tokens(docs: DataFrame, path: str, cfg: Packing) -> None:
                                                  if id_type == "int" else pa.string())),
                             ("doc_tokens", pa.list_(pa.int64())), ("payload", pa.binary())])
         for b in batches:
-            encoder = encoder or Encoder(cfg.tokenizer)
+            encoder = encoder or kept("encoder", (cfg.tokenizer,), lambda: Encoder(cfg.tokenizer)).begin()
             at = 0
             for run in _chunks(b.column(1).to_pylist()):
                 for e in encoder.encode(run):
@@ -274,6 +282,7 @@ def document_digests(spark: SparkSession, path: str) -> DataFrame:
     id_type = b.schema["doc_ids"].dataType.elementType.simpleString()
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release("encoder")   # the file is written
         for batch in batches:
             for r in range(batch.num_rows):
                 base, first, n, width = (batch.column(i)[r].as_py() for i in range(4))
