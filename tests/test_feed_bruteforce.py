@@ -133,3 +133,52 @@ def test_equal_stamps_leave_one_store(spark):
         out = keyed.kv_upsert(None, batch, F.col("fields")["at"])
         seen |= {r["fields"]["v"] for r in out.collect()}
     assert seen == {"v99"}
+
+
+def test_key_value_store_is_built_straight_from_the_landing(spark, tmp_path, monkeypatch):
+    """One parse, which nothing is written of; the same store as from the parsed table."""
+    from pyspark.sql import functions as F
+
+    from skyfare.operators import keyed
+    from skyfare.plans import registry
+    from skyfare.plans.warehouse import Warehouse
+
+    rnd = random.Random(5)
+    raw = landing(spark, [answer(rnd)[0] for _ in range(60)]).withColumn("poll", F.lit(1))
+    raw.write.json(f"{tmp_path}/in")
+
+    def made():
+        w = Warehouse(spark, str(tmp_path))
+        w.paths["landing_grouped_prices"] = f"{tmp_path}/in"
+        monkeypatch.setattr(registry, "wh", lambda *_: w)
+        return w
+
+    w = made()
+    plan = w.accepted("grouped_prices")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson(_txt") == 1
+    counts = registry.q_kv_field_count(spark, str(tmp_path)).collect()
+    assert "kv_tickets" in w.paths and "parsed_grouped_prices" not in w.paths
+    store = sorted(registry._kv_store(spark, str(tmp_path)).collect(), key=repr)
+    assert counts and sorted(counts) == [(r["key"], 14) for r in sorted(store)]
+
+    w = made()
+    n = normalize_tickets(w.extract("grouped_prices"), registry.DEFAULT.batch_ts)
+    batch = (keyed.kv_encode(n, *keyed.TICKET_KEY).withColumn("_dep", F.col("fields")["departure_at"])
+             .withColumn("_org", F.col("fields")["origin"]))
+    upsert = keyed.kv_upsert(None, batch, F.col("fields")["extracted_at"], ["_dep", "_org"])
+    assert sorted(upsert.collect(), key=repr) == store
+    assert sorted(registry._kv_store(spark, str(tmp_path)).collect(), key=repr) == store
+
+
+def test_numbers_and_texts_like_them(spark):
+    """(value as written) -> (kind, whole number, is it the number zero)."""
+    cases = {"0.4": ("number", 0, False), "-0.0": ("number", 0, True), "1e30": ("number", None, False),
+             "9007199254740993": ("number", 9007199254740993, False), "false": ("number", 0, True),
+             '"0"': ("text", 0, False), '"2"': ("text", 2, False), "null": ("null", None, False),
+             '0,"x":{"transfers":"1"}': ("number", 0, True), '2,"transfers":3': ("missing", 0, True),
+             '5,"link":"\\"transfers\\":\\""': ("number", 5, False)}
+    blank = {f' : {v}' if i % 2 else f':{v}': e for i, (v, e) in enumerate(cases.items())}
+    land = landing(spark, [f'{{"success":true,"data":{{"d":{{"transfers"{v}}}}}}}' for v in blank])
+    got = {r["month"]: (r["transfers_kind"], r["transfers"], r["is_direct"])
+           for r in extract_grouped_prices(land, "2025-12-01 00:00:00").collect()}
+    assert got == {f"m{i}": e for i, e in enumerate(blank.values())}
