@@ -137,14 +137,16 @@ def links(fps: DataFrame, ws: Workspace, cfg: SimHash = SimHash()) -> DataFrame:
     centres = ws.table(_index(fps, cfg).groupBy("bit", "rest")
                        .agg(F.min("fp").alias("centre")), "centres")
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))) <= cfg.max_distance
-    members = ws.table(_index(fps, cfg).join(centres, ["bit", "rest"])
+    # Spark sizes an index as if its explode kept the number of rows, 64 times too low, and a table
+    # by its compressed files: both joins are by a shuffle at every size, never broadcast
+    members = ws.table(_index(fps, cfg).hint("merge").join(centres, ["bit", "rest"])
                        .select("bit", "rest", "fp", "centre", near.alias("near")), "members")
     star = members.where("near AND fp <> centre").select(F.col("centre").alias("a"), F.col("fp").alias("b"))
     m = members.select(F.col("bit").alias("mbit"), F.col("rest").alias("mrest"),
                        F.col("fp").alias("b"), F.col("near").alias("mnear"))
     x = F.col("a").bitwiseXOR(F.col("b"))
     pairs = (members.where("NOT near").select("bit", "rest", F.col("fp").alias("a"))
-             .join(m, (F.col("bit") == F.col("mbit")) & (F.col("rest") == F.col("mrest"))
+             .join(m.hint("merge"), (F.col("bit") == F.col("mbit")) & (F.col("rest") == F.col("mrest"))
                    & (F.bit_count(x) <= cfg.max_distance) & (F.col("mnear") | (F.col("a") < F.col("b")))
                    & _canonical(x, F.col("bit"), cfg)))
     return star.union(pairs.select("a", "b"))

@@ -5,6 +5,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from skyfare.llm import simhash
+from skyfare.llm.common import Workspace
 from skyfare.llm.components import connected
 from skyfare.llm.queries import QUERIES
 
@@ -35,6 +36,30 @@ def plain_components(items):
     return comp
 
 
+class Planned(Workspace):
+    """Keeps the physical plan of every table that it writes."""
+
+    def __init__(self, spark):
+        super().__init__(spark, "planned")
+        self.plans = {}
+
+    def table(self, df, name, partition_by=None):
+        self.plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return super().table(df, name, partition_by)
+
+
+def test_tables_that_grow_with_the_documents_are_never_broadcast(spark):
+    """However small Spark takes them to be: an explode is not counted in its sizes."""
+    rows = [(i, f"{'one two three four five six seven ' * (i % 3)} eight {i // 4}") for i in range(40)]
+    w = Planned(spark)
+    kept = simhash.drop_near_duplicates(documents(spark, rows), w)
+    for name in ("members", "links_0"):
+        assert "Join" in w.plans[name] and "Broadcast" not in w.plans[name], (name, w.plans[name])
+    items = [(i, simhash.fingerprint(t)) for i, t in rows]
+    component = plain_components(items)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(component.values()))
+
+
 def test_fingerprint_is_the_plain_one():
     rng = random.Random(1)
     texts = [None, "", " \t\n", "One", "two Words", "ÄB \x0bc\x0c d É", "a b c d", "A a A a A a a"]
