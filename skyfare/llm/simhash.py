@@ -181,14 +181,14 @@ def drop_near_duplicates(docs: DataFrame, ws: Workspace, cfg: SimHash = SimHash(
                .agg(F.count(F.lit(1)).alias("n"))
     keys = ws.table(keys, "keys")
     best = ws.table(rows.groupBy(*group).agg(F.min(by).alias("best")), "best")
-    kept = (best.select(F.col("best.id").alias("kid"), F.col("best.text").alias("ktext")))
+    # the lists grow with the documents: joined by a shuffle at every size, never broadcast
+    kept = best.select(F.col("best.id").alias("kid"), F.col("best.text").alias("ktext")).hint("merge")
     same = F.col("kid").eqNullSafe(F.col("doc_id")) & (F.col("ktext") == F.col("__text"))
     out = ws.table(keys.join(kept, same, "left_anti").select(
         F.col("doc_id").alias("__id"), F.col("__text").alias("__t")), "out")
     twice = ws.table(keys.where("n > 1").join(kept, same, "left_semi").select(
         F.col("doc_id").alias("__id"), F.col("__text").alias("__t")), "twice")
     mine = F.col("__id").eqNullSafe(docs["doc_id"]) & (F.col("__t") == F.xxhash64(docs["text"]))
-    # the list grows with the documents: joined by a shuffle at every size, never broadcast
     left = docs.join(out.hint("merge"), mine, "left_anti")
     if twice.isEmpty():
         return left

@@ -53,7 +53,7 @@ def test_tables_that_grow_with_the_documents_are_never_broadcast(spark):
     rows = [(i, f"{'one two three four five six seven ' * (i % 3)} eight {i // 4}") for i in range(40)]
     w = Planned(spark)
     kept = simhash.drop_near_duplicates(documents(spark, rows), w)
-    for name in ("members", "links_0"):
+    for name in ("members", "links_0", "out", "twice"):
         assert "Join" in w.plans[name] and "Broadcast" not in w.plans[name], (name, w.plans[name])
     items = [(i, simhash.fingerprint(t)) for i, t in rows]
     component = plain_components(items)
