@@ -1,4 +1,6 @@
+import glob
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from skyfare.operators import fact, keyed, scd2
 from skyfare.operators.numbering import dense_number
 from skyfare.plans.store import Conflict, SchemaChanged, Store
 from skyfare.plans.stored import OUTCOMES, StoredWarehouse
-from skyfare.session import new_run_dir
+from skyfare.session import CLEANUP, new_run_dir
 from skyfare.sources import landing
 from skyfare.streaming import incremental
 
@@ -182,6 +184,28 @@ def test_hashes_keep_the_latest_write_and_open_few_buckets(spark, root):
 # ---- operators ------------------------------------------------------------------
 
 
+def _shuffle_files(spark) -> set:
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in dirs for f in glob.glob(f"{d.getPath()}/*/shuffle_*")}
+
+
+def test_shuffles_of_a_write_do_not_outlive_it(spark, root):
+    """The files of a merge go with its write, not with the driver's garbage; the session's setting stays."""
+    setting = spark.conf.get(CLEANUP, None)
+    rows = spark.range(2000).selectExpr("cast(id % 700 as string) ticket_id", "cast(id as string) departure_at", "'a' processed_at")
+    w = StoredWarehouse(spark, root)
+    before = _shuffle_files(spark)
+    w.write_hashes("kv_trends", "b", rows, "processed_at")
+    for _ in range(50):
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(CLEANUP, None) == setting
+    assert w.hashes("kv_trends").count() == 700
+
+
 def test_dense_numbers(spark):
     values = [(v, i) for i, v in enumerate(["b", None, "a", "b", "zz", "", "c"] * 40)]
     got = dense_number(spark.createDataFrame(values, "v string, i int").repartition(7), ["v", "i"])
