@@ -55,6 +55,41 @@ def test_quarantine_reads_one_parse(spark, monkeypatch):
     assert "from_json" not in q._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_quarantine_parses_no_whole_tickets(spark, monkeypatch):
+    """Without a parsed table none is made: only the members that can be at fault are read."""
+    w = Warehouse(spark, SF_SMALL)
+    monkeypatch.setattr(registry, "wh", lambda spark, d: w)
+    straight = sorted(map(tuple, registry.q_ingest_quarantine(spark, SF_SMALL).collect()), key=repr)
+    assert not [name for name in w.paths if name.startswith("parsed_")]
+    parsed = Warehouse(spark, SF_SMALL)
+    monkeypatch.setattr(registry, "wh", lambda spark, d: parsed)
+    for feed in Warehouse.FEEDS:
+        parsed.parsed(feed)
+    assert straight == sorted(map(tuple, registry.q_ingest_quarantine(spark, SF_SMALL).collect()), key=repr)
+
+
+def test_quarantine_straight_from_landing_is_that_of_the_parsed_rows(spark):
+    def answer(data):
+        return f'{{"success":true,"currency":"rub","data":{data}}}'
+
+    bodies = [answer('{"d1":{"price":1.5,"transfers":0,"airline":"A"},"d2":{"price":null,"transfers":1},"d3":{"transfers":"x"}}'),
+              answer('{"d4":{"price":1e20,"transfers":1},"d5":{"price":"nan"},"d6":7,"d7":{"price":"abc"}}'),
+              answer('[1]'), answer('{}'), '{"success":true}', '{"success":false,"data":{"d8":{"price":1}}}', "", None, '{"succ',
+              answer('{"d9":{"price":2,"price":3,"transfers":1099511627776}}'), answer('{"d10":{"price":3,"transfers":1099511627776}}')]
+    raw = spark.createDataFrame([("O", "D", str(i), i, b) for i, b in enumerate(bodies)], feeds.LANDING_SCHEMA)
+    ext = landing.extract_calendar(raw, "2025-12-01 00:00:00", skips=True)
+    straight = landing.quarantine_of("calendar", ext, "date", stored=False)
+    plan = straight._jdf.queryExecution().optimizedPlan().toString()
+    assert "price" in plan and "airline" not in plan
+    got = [(r["poll"], r["entry_key"], r["reason"]) for r in straight.collect()]
+    assert sorted(got, key=repr) == sorted(
+        [(0, "d2", "null_price"), (0, "d3", "bad_transfers"), (1, "d4", "range_price"), (1, "d5", "bad_price"), (1, None, "bad_entry"),
+         (2, None, "data_not_object"), (4, None, "no_data"), (5, None, "not_success"), (6, None, "empty_body"),
+         (7, None, "empty_body"), (8, None, "broken_json"), (10, "d10", "range_transfers")], key=repr)
+    kept = landing.quarantine_of("calendar", ext, "date")
+    assert sorted(map(tuple, straight.collect()), key=repr) == sorted(map(tuple, kept.collect()), key=repr)
+
+
 def test_names_not_carried_through_merges(spark):
     """Writes whose fields are the same are merged without their names, to the same hashes."""
     df = spark.createDataFrame([("k", "1"), ("k", "3"), ("k", "2")], "id string, v string")
